@@ -31,7 +31,8 @@ BROADCAST_MAX_ROWS = 1_000_000
 
 def build_session(master: str | None = None, app_name: str = "sensorwerk",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
     for key, value in JOB_CONF.items():

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sensorwerk.functions.columns import ntz, ratio_pct, sla_status, week_start, wow_delta_pct
 from sensorwerk.operators.aggregates import (
-    hourly_plant_kpis, stg_iot_events, weekly_devices, weekly_from_hourly, weekly_plant_events,
+    attach_minute_stats, hourly_plant_kpis, stg_iot_events, weekly_devices, weekly_from_hourly, weekly_plant_events,
 )
 
 DEFAULT_AS_OF = "2024-01-31"
@@ -67,7 +67,8 @@ def weekly_report_after(fact: DataFrame, plants: DataFrame, as_of: str = DEFAULT
     lo, hi = day_range(as_of, days)
     window_fact = fact.filter(in_range("event_ts", lo, hi))
     if hourly is None:
-        hourly = hourly_plant_kpis(window_fact, plants)
+        with_stats = window_fact if "avg_value_1min" in fact.columns else attach_minute_stats(window_fact)
+        hourly = hourly_plant_kpis(with_stats, plants)
     base = weekly_from_hourly(hourly.filter(in_range("event_hour", lo, hi)))
     devices = weekly_devices(window_fact, exact=exact_devices).withColumnRenamed("active_devices", "_devices")
     keys = plants.select("plant_id", "plant_sk")

@@ -1,0 +1,54 @@
+"""Producer-shaped synthetic IoT events (SRC-10), one per source row.
+
+Deterministic: every pseudo-random choice is a hash of the source key, so a re-run (or a
+re-executed task after an executor loss) produces the same rows.
+"""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from sensorwerk import schemas as S
+from sensorwerk.functions.columns import ts_to_epoch_ms
+
+# ---- fixed values: the producer's device and plant lists -------------------------------------
+GENERATOR_DEVICES = ("DEVICE-001", "DEVICE-002", "DEVICE-003")
+GENERATOR_PLANTS = ("LYON-01", "PARIS-01", "BERLIN-01")
+GENERATOR_FIRMWARE = "v2.1.0"
+# ------------------------------------------------------------------------------------------------
+
+
+def _uniform(key, salt: int) -> F.Column:
+    """Hash-derived value in [0, 1)."""
+    return F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(1_000_000)).cast("double") / 1_000_000.0
+
+
+def _pick(key, salt: int, values) -> F.Column:
+    idx = F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(len(values))) + 1
+    return F.element_at(F.array(*[F.lit(v) for v in values]), idx.cast("int"))
+
+
+def synthetic_iot_events(source: DataFrame, key: str = "event_id", ts: str = "ts") -> DataFrame:
+    k = F.col(key)
+    name = _pick(k, 1, [r[0] for r in S.GENERATOR_RANGES])
+
+    def by_name(i):
+        expr = None
+        for r in S.GENERATOR_RANGES:
+            expr = (F.when(name == r[0], F.lit(r[i])) if expr is None else expr.when(name == r[0], F.lit(r[i])))
+        return expr
+
+    lo, hi, unit, thr = by_name(1), by_name(2), by_name(3), by_name(4)
+    qlo, qhi = S.GENERATOR_QUALITY
+    return source.select(
+        F.concat(F.lit("EVT-TEST-"), F.printf(F.lit("%06d"), k)).alias("event_id"),
+        _pick(k, 2, GENERATOR_DEVICES).alias("device_id"),
+        _pick(k, 3, GENERATOR_PLANTS).alias("plant_id"),
+        ts_to_epoch_ms(ts).alias("timestamp_ms"),
+        name.alias("event_name"),
+        F.round(lo + (hi - lo) * _uniform(k, 4), 2).alias("value_numeric"),
+        unit.alias("unit"),
+        (F.lit(qlo) + F.pmod(F.xxhash64(k, F.lit(5)), F.lit(qhi - qlo + 1))).cast("int").alias("quality"),
+        thr.alias("alert_threshold"),
+        F.lit(GENERATOR_FIRMWARE).alias("firmware_version"),
+    )
