@@ -2,6 +2,9 @@
 breaching periods; a period with no data counts as not breaching."""
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,26 +12,45 @@ _STATS = {"sum": F.sum, "max": F.max, "min": F.min, "avg": F.avg, "count": F.cou
 _CMP = {">": lambda c, t: c > t, ">=": lambda c, t: c >= t, "<": lambda c, t: c < t, "<=": lambda c, t: c <= t}
 
 
-def period_alerts(df: DataFrame, ts: str, group: str, metric: str, stat: str, threshold: float,
-                  comparison: str, periods: int, period: str = "5 minutes",
-                  name: str = "alert") -> DataFrame:
-    """Periods in ALARM per group.
+@dataclass(frozen=True)
+class AlertRule:
+    name: str
+    metric: str          # column aggregated per period
+    stat: str            # sum | max | min | avg | count
+    threshold: float
+    comparison: str      # > | >= | < | <=
+    periods: int         # consecutive breaching periods that raise the alarm
+
+
+def evaluate_alerts(df: DataFrame, ts: str, group: str, rules: list[AlertRule],
+                    period: str = "5 minutes") -> DataFrame:
+    """Periods in ALARM per group, for several rules over one pass of ``df``.
 
-    1. one partial aggregate per (group, period);
+    1. one partial aggregate per (group, period) computing every rule's statistic;
     2. a dense period grid per group between its first and last period (sequence +
        explode; its size is the time span over the period, not the data volume);
-    3. a running count of breaching periods over the last ``periods`` rows of each group.
+    3. per rule, a running count of breaching periods over its last ``periods`` rows.
     """
-    buckets = (df.groupBy(group, F.window(ts, period).start.alias("period_start"))
-               .agg(_STATS[stat](metric).alias("value")))
+    stats = [_STATS[r.stat](r.metric).cast("double").alias(f"_v{i}") for i, r in enumerate(rules)]
+    buckets = df.groupBy(group, F.window(ts, period).start.alias("period_start")).agg(*stats)
     step = F.expr(f"INTERVAL {period}")
     grid = (buckets.groupBy(group).agg(F.min("period_start").alias("lo"), F.max("period_start").alias("hi"))
             .select(group, F.explode(F.sequence("lo", "hi", step)).alias("period_start")))
     filled = grid.join(buckets, [group, "period_start"], "left")
-    breaching = F.coalesce(_CMP[comparison](F.col("value"), F.lit(threshold)), F.lit(False))
-    w = Window.partitionBy(group).orderBy("period_start").rowsBetween(-(periods - 1), 0)
-    run = filled.withColumn("breaching", breaching).withColumn(
-        "breaching_in_window", F.sum(F.col("breaching").cast("int")).over(w))
-    return (run.filter(F.col("breaching_in_window") == periods)
-            .select(F.lit(name).alias("alert_name"), group, "period_start", "value",
-                    F.col("breaching_in_window").alias("consecutive_periods")))
+    order = Window.partitionBy(group).orderBy("period_start")
+    streaks = {}
+    for i, r in enumerate(rules):
+        breaching = F.coalesce(_CMP[r.comparison](F.col(f"_v{i}"), F.lit(r.threshold)), F.lit(False)).cast("int")
+        streaks[f"_n{i}"] = F.sum(breaching).over(order.rowsBetween(-(r.periods - 1), 0))
+    run = filled.withColumns(streaks)
+    parts = [run.filter(F.col(f"_n{i}") == r.periods).select(
+                 F.lit(r.name).alias("alert_name"), group, "period_start", F.col(f"_v{i}").alias("value"),
+                 F.col(f"_n{i}").alias("consecutive_periods"))
+             for i, r in enumerate(rules)]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def period_alerts(df: DataFrame, ts: str, group: str, metric: str, stat: str, threshold: float,
+                  comparison: str, periods: int, period: str = "5 minutes", name: str = "alert") -> DataFrame:
+    """One rule (see :func:`evaluate_alerts`)."""
+    return evaluate_alerts(df, ts, group, [AlertRule(name, metric, stat, threshold, comparison, periods)], period)

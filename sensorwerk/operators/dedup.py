@@ -15,21 +15,24 @@ from pyspark.sql import functions as F
 
 
 def keep_latest(df: DataFrame, key: str, order: Sequence[str], copies_col: str | None = None,
-                collapse_null_keys: bool = False) -> DataFrame:
+                null_keys: str = "collapse") -> DataFrame:
     """One row per ``key``: the one with the greatest ``order`` tuple (NULLs lose).
 
-    ``copies_col`` adds how many input rows each survivor stood for. Rows with a NULL key
-    are passed through untouched unless ``collapse_null_keys`` (the reference's behaviour,
-    which merges all of them into one row).
+    ``copies_col`` adds how many input rows each survivor stood for. ``null_keys``:
+    ``"collapse"`` (one pass; all NULL-key rows form one group, as in the reference),
+    ``"keep"`` (NULL-key rows pass through untouched; costs a second branch over the
+    input, so callers with a persisted input, like the log job, route them away first).
     """
+    if null_keys not in ("collapse", "keep"):
+        raise ValueError("null_keys must be 'collapse' or 'keep'")
     payload = F.struct(*[F.col(c) for c in df.columns])
     ordering = F.struct(*[F.col(c) for c in order])
     aggs = [F.max_by(payload, ordering).alias("_row")]
     if copies_col:
         aggs.append(F.count(F.lit(1)).alias(copies_col))
-    keyed = df if collapse_null_keys else df.filter(F.col(key).isNotNull())
+    keyed = df if null_keys == "collapse" else df.filter(F.col(key).isNotNull())
     out = keyed.groupBy(key).agg(*aggs).select("_row.*", *([copies_col] if copies_col else []))
-    if collapse_null_keys:
+    if null_keys == "collapse":
         return out
     nulls = df.filter(F.col(key).isNull())
     if copies_col:

@@ -40,9 +40,13 @@ def run_log_job(spark: SparkSession, raw_path: str, processed_path: str, quarant
         lake.write_quarantine(bad, quarantine_path, run_id)
 
         flagged = quality.with_dq_flags(good)
+        # a record without an id cannot be de-duplicated or upserted: it fails the checks
+        # (reason "event_id") instead of collapsing with every other id-less record
+        no_id = quality.fail_missing_key(flagged.filter(F.col("event_id").isNull()), "event_id")
         others = sorted(c for c in good.columns if c not in ("event_id", "event_timestamp"))
         order = (["dq_pass_strict"] if prefer_valid else []) + ["event_timestamp"] + others
-        latest = dedup.keep_latest(flagged, "event_id", order, copies_col="copies")
+        latest = dedup.keep_latest(flagged.filter(F.col("event_id").isNotNull()), "event_id", order,
+                                   copies_col="copies").unionByName(no_id.withColumn("copies", F.lit(1).cast("long")))
         enriched = enrich.enrich_logs(latest, run_ts).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             clean, failed = quality.route(enriched, strict=strict)

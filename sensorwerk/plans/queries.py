@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sensorwerk.functions.columns import ntz
 from sensorwerk.operators import aggregates as A
 from sensorwerk.operators import dims, enrich, quality, warehouse
-from sensorwerk.operators.alerts import period_alerts
+from sensorwerk.operators.alerts import AlertRule, evaluate_alerts
 from sensorwerk.operators.dedup import keep_latest
 from sensorwerk.plans import dashboard as D
 from sensorwerk.plans import reports
@@ -40,8 +40,12 @@ def _logs_flagged(spark, sf):
     return quality.with_dq_flags(T.log_raw(spark, sf))
 
 
+def _dedup(flagged, copies: str | None = None):
+    return keep_latest(flagged, "event_id", ["event_timestamp", "resend"], copies_col=copies)
+
+
 def _logs_deduped(spark, sf, copies: str | None = None):
-    return keep_latest(_logs_flagged(spark, sf), "event_id", ["event_timestamp", "resend"], copies_col=copies)
+    return _dedup(_logs_flagged(spark, sf), copies)
 
 
 def _fact_machine_logs(spark, sf):
@@ -142,7 +146,8 @@ def q_log_enriched(spark, sf):
 
 
 def q_run_metrics(spark, sf):
-    return quality.run_metrics(T.log_raw(spark, sf), _logs_deduped(spark, sf, copies="copies"))
+    raw = T.log_raw(spark, sf)
+    return quality.run_metrics(raw, _dedup(quality.with_dq_flags(raw), copies="copies"))
 
 
 def q_dq_fail_rate(spark, sf):
@@ -279,11 +284,10 @@ def q_cumulative_alarms(spark, sf):
 
 def q_threshold_alerts(spark, sf):
     fact = _fact(spark, sf).withColumn("breach_int", F.col("threshold_breach").cast("int"))
-    a = period_alerts(fact, "event_ts", "plant_sk", "breach_int", "sum", 1, ">=", 1, "5 minutes",
-                      name="breach_count")
-    b = period_alerts(fact, "event_ts", "plant_sk", "value_numeric", "max", 90.0, ">", 2, "5 minutes",
-                      name="max_value")
-    return a.withColumn("value", F.col("value").cast("double")).unionByName(b)
+    return evaluate_alerts(fact, "event_ts", "plant_sk", [
+        AlertRule("breach_count", "breach_int", "sum", 1, ">=", 1),
+        AlertRule("max_value", "value_numeric", "max", 90.0, ">", 2),
+    ], "5 minutes")
 
 
 # ---- generators and diagnostics (rows-only) ---------------------------------------------------

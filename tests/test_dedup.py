@@ -15,8 +15,8 @@ def test_latest_with_tie_breaker(spark):
 
 def test_null_keys(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "event_id string, ts long")
-    assert keep_latest(df, "event_id", ["ts"]).count() == 3
-    assert keep_latest(df, "event_id", ["ts"], collapse_null_keys=True).count() == 2
+    assert keep_latest(df, "event_id", ["ts"], null_keys="keep").count() == 3
+    assert keep_latest(df, "event_id", ["ts"]).count() == 2
 
 
 def test_prefer_valid(spark):

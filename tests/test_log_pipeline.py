@@ -72,6 +72,8 @@ def test_log_job_end_to_end(spark, scratch):
     # re-sent copies of A: an older one and a newer invalid one
     lines.append(_line(event_id="A", event_timestamp=1704067100000))
     lines.append(_line(event_id="H", severity="FATAL"))
+    lines.append(_line(event_id=None))                 # two id-less records: failures, not merged
+    lines.append(_line(event_id=None, event_timestamp=1704067300000))
     write_lines(src, "a.json", lines)
     res = run_log_job(spark, src, os.path.join(scratch, "out"), os.path.join(scratch, "q"),
                       os.path.join(scratch, "dq"), metrics_path=os.path.join(scratch, "m"),
@@ -89,4 +91,5 @@ def test_log_job_end_to_end(spark, scratch):
     assert q.filter(F.col("job_run") == "run-1").count() == 3
     dq = spark.read.parquet(os.path.join(scratch, "dq"))
     assert dq.count() == m["dq_failed"] and "dq_reason" in dq.columns
+    assert dq.filter(F.col("event_id").isNull() & (F.col("dq_reason") == "event_id")).count() == 2
     assert spark.read.json(os.path.join(scratch, "m")).count() == 1
