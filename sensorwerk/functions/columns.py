@@ -15,7 +15,7 @@ __all__ = [
     "col_of", "epoch_ntz", "epoch_ms_to_ts", "epoch_ms_to_instant", "ts_to_epoch_ms",
     "hour_start", "week_start", "day_start", "date_sk", "partition_strings", "ratio_pct",
     "wow_delta_pct", "sla_status", "threshold_breach", "anomaly_score", "quality_bad",
-    "bucket_start", "ntz",
+    "bucket_start", "ntz", "round_numeric",
 ]
 
 def epoch_ntz() -> Column:
@@ -113,3 +113,15 @@ def bucket_start(ts, unit: str) -> Column:
 def ntz(value: str) -> Column:
     """TIMESTAMP_NTZ literal from 'YYYY-MM-DD[ HH:MM:SS]'."""
     return F.lit(value if " " in value else value + " 00:00:00").cast("timestamp_ntz")
+
+
+def round_numeric(c, scale: int) -> Column:
+    """Round like a NUMERIC value: on the decimal value, half away from zero.
+
+    For aggregates (averages, standard deviations) whose last binary digits depend on the
+    summation order: the value is first normalised to 10 decimal places, so the result does
+    not flip at an exact tie such as 20.5425 depending on how the partial sums were combined.
+    Values beyond DECIMAL(38,10) fall back to a plain ``round``.
+    """
+    c = col_of(c)
+    return F.coalesce(F.round(c.try_cast("decimal(38,10)"), scale).cast("double"), F.round(c, scale))

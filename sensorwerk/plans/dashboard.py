@@ -7,7 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorwerk.functions.columns import bucket_start, ratio_pct, sla_status, week_start, wow_delta_pct
+from sensorwerk.functions.columns import bucket_start, ratio_pct, round_numeric, sla_status, week_start, wow_delta_pct
 from sensorwerk.operators.aggregates import weekly_plant_events, with_running_sum
 from sensorwerk.plans.reports import DEFAULT_AS_OF, in_range
 
@@ -27,7 +27,7 @@ def kpi_cards(fact: DataFrame, lo: str | None = None, hi: str | None = None, pla
         F.count(F.lit(1)).alias("total_events"),
         alarms.alias("total_alarms"),
         ratio_pct(alarms, F.count(F.lit(1)), 2).alias("alarm_rate_pct"),
-        F.round(F.avg("quality"), 2).alias("avg_quality"),
+        round_numeric(F.avg("quality"), 2).alias("avg_quality"),
     )
 
 
@@ -43,7 +43,7 @@ def temperature_trend(fact: DataFrame, grain: str = "HOUR", by_device: bool = Tr
     if by_device:
         keys.append(F.col("device_sk"))
     return (fact.filter(F.col("event_name") == event_name).groupBy(*keys)
-            .agg(F.round(F.avg("value_numeric"), 4).alias("avg_value"),
+            .agg(round_numeric(F.avg("value_numeric"), 4).alias("avg_value"),
                  F.count(F.lit(1)).alias("readings")))
 
 

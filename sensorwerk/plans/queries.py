@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorwerk.functions.columns import ntz
+from sensorwerk.functions.columns import ntz, round_numeric
 from sensorwerk.operators import aggregates as A
 from sensorwerk.operators import dims, enrich, quality, warehouse
 from sensorwerk.operators.alerts import AlertRule, evaluate_alerts
@@ -54,7 +54,7 @@ def _fact_machine_logs(spark, sf):
 
 
 def _r4(c):
-    return F.round(c, 4).alias(c)
+    return round_numeric(c, 4).alias(c)
 
 
 # ---- reports ---------------------------------------------------------------------------------

@@ -11,7 +11,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorwerk.functions.columns import ntz, ratio_pct, sla_status, week_start, wow_delta_pct
+from sensorwerk.functions.columns import ntz, ratio_pct, round_numeric, sla_status, week_start, wow_delta_pct
 from sensorwerk.operators.aggregates import (
     attach_minute_stats, hourly_plant_kpis, stg_iot_events, weekly_devices, weekly_from_hourly, weekly_plant_events,
 )
@@ -46,8 +46,8 @@ def weekly_plant_mart(fact: DataFrame, plants: DataFrame, since: str = "2024-01-
         .select(
             "week_start", "plant_id", "plant_name", "country_code", "total_events", "total_alarms",
             "high_anomalies",
-            F.round("avg_value", 2).alias("avg_sensor_value"),
-            F.round("avg_quality", 1).alias("avg_quality"),
+            round_numeric("avg_value", 2).alias("avg_sensor_value"),
+            round_numeric("avg_quality", 1).alias("avg_quality"),
             rate.alias("alarm_rate_pct"),
             wow_delta_pct("total_alarms", F.lag("total_alarms").over(w)).alias("alarm_wow_delta_pct"),
             sla_status(rate).alias("sla_status"),
@@ -81,8 +81,8 @@ def weekly_report_after(fact: DataFrame, plants: DataFrame, as_of: str = DEFAULT
             "total_alarms", "total_high_anomalies",
             F.coalesce("_devices", F.lit(0)).alias("active_devices"),
             ratio_pct("total_alarms", "total_events", 2).alias("alarm_rate_pct"),
-            F.round("avg_sensor_value", 3).alias("avg_sensor_value"),
-            F.round("avg_quality", 1).alias("avg_quality"),
+            round_numeric("avg_sensor_value", 3).alias("avg_sensor_value"),
+            round_numeric("avg_quality", 1).alias("avg_quality"),
             F.lag("total_alarms").over(w).alias("prev_week_alarms"),
             F.lag("total_events").over(w).alias("prev_week_events"),
         )
