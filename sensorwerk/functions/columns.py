@@ -15,7 +15,7 @@ __all__ = [
     "col_of", "epoch_ntz", "epoch_ms_to_ts", "epoch_ms_to_instant", "ts_to_epoch_ms",
     "hour_start", "week_start", "day_start", "date_sk", "partition_strings", "ratio_pct",
     "wow_delta_pct", "sla_status", "threshold_breach", "anomaly_score", "quality_bad",
-    "bucket_start", "ntz", "round_numeric",
+    "bucket_start", "ntz", "round_numeric", "json_field",
 ]
 
 def epoch_ntz() -> Column:
@@ -125,3 +125,9 @@ def round_numeric(c, scale: int) -> Column:
     """
     c = col_of(c)
     return F.coalesce(F.round(c.try_cast("decimal(38,10)"), scale).cast("double"), F.round(c, scale))
+
+
+def json_field(c, path: str, cast: str | None = None) -> Column:
+    """One field of a JSON text column (the ``metadata`` blob stays text until asked)."""
+    v = F.get_json_object(col_of(c), path)
+    return v.cast(cast) if cast else v

@@ -27,25 +27,28 @@ def evaluate_alerts(df: DataFrame, ts: str, group: str, rules: list[AlertRule],
     """Periods in ALARM per group, for several rules over one pass of ``df``.
 
     1. one partial aggregate per (group, period) computing every rule's statistic;
-    2. a dense period grid per group between its first and last period (sequence +
-       explode; its size is the time span over the period, not the data volume);
-    3. per rule, a running count of breaching periods over its last ``periods`` rows.
+    2. per rule, over the periods that have data, ordered in time: the period is in ALARM
+       when it and the ``periods - 1`` before it all breach *and* the first of them lies
+       exactly ``periods - 1`` periods earlier. Strictly increasing periods spanning exactly
+       that distance leave no gap, so this equals evaluating a dense grid in which missing
+       periods do not breach — without materialising the grid, whose size would follow the
+       time span (one stray epoch-0 timestamp would stretch it over decades).
     """
     stats = [_STATS[r.stat](r.metric).cast("double").alias(f"_v{i}") for i, r in enumerate(rules)]
-    buckets = df.groupBy(group, F.window(ts, period).start.alias("period_start")).agg(*stats)
-    step = F.expr(f"INTERVAL {period}")
-    grid = (buckets.groupBy(group).agg(F.min("period_start").alias("lo"), F.max("period_start").alias("hi"))
-            .select(group, F.explode(F.sequence("lo", "hi", step)).alias("period_start")))
-    filled = grid.join(buckets, [group, "period_start"], "left")
+    buckets = (df.groupBy(group, F.window(ts, period).start.alias("period_start")).agg(*stats)
+               .withColumn("_p", F.unix_micros(F.col("period_start").cast("timestamp"))))
+    step_us = F.unix_micros(F.lit("1970-01-01 00:00:00").cast("timestamp") + F.expr(f"INTERVAL {period}"))
     order = Window.partitionBy(group).orderBy("period_start")
-    streaks = {}
+    cols = {}
     for i, r in enumerate(rules):
+        frame = order.rowsBetween(-(r.periods - 1), 0)
         breaching = F.coalesce(_CMP[r.comparison](F.col(f"_v{i}"), F.lit(r.threshold)), F.lit(False)).cast("int")
-        streaks[f"_n{i}"] = F.sum(breaching).over(order.rowsBetween(-(r.periods - 1), 0))
-    run = filled.withColumns(streaks)
-    parts = [run.filter(F.col(f"_n{i}") == r.periods).select(
-                 F.lit(r.name).alias("alert_name"), group, "period_start", F.col(f"_v{i}").alias("value"),
-                 F.col(f"_n{i}").alias("consecutive_periods"))
+        cols[f"_n{i}"] = F.sum(breaching).over(frame)
+        cols[f"_span{i}"] = F.col("_p") - F.min("_p").over(frame)
+    run = buckets.withColumns(cols)
+    parts = [run.filter((F.col(f"_n{i}") == r.periods) & (F.col(f"_span{i}") == step_us * (r.periods - 1)))
+                .select(F.lit(r.name).alias("alert_name"), group, "period_start", F.col(f"_v{i}").alias("value"),
+                        F.col(f"_n{i}").cast("bigint").alias("consecutive_periods"))
              for i, r in enumerate(rules)]
     return reduce(lambda a, b: a.unionByName(b), parts)
 

@@ -345,3 +345,37 @@ QUERIES = {
     "synthetic_events": q_synthetic_events,
     "dataset_size_report": q_dataset_size_report,
 }
+
+
+# ---- streaming and alert queries added after the first registry -------------------------------
+def q_stream_enriched_events(spark, sf):
+    """The streaming IoT job run to completion over the whole ``iot_raw`` table: records are
+    landed as JSON in the shared checkpoint folder, streamed through watermark / de-dup /
+    anomaly flags / registry join / partition columns into the idempotent sink, and the
+    sink's table is returned."""
+    import uuid
+
+    from sensorwerk.config import checkpoint_dir
+    from sensorwerk.functions.columns import ts_to_epoch_ms
+    from sensorwerk.streaming import iot
+
+    base = f"{checkpoint_dir(spark).rstrip('/')}/stream-query-{uuid.uuid4().hex}"
+    src = T.iot_raw(spark, sf).withColumn("timestamp_ms", ts_to_epoch_ms("event_ts")).drop("event_ts")
+    src.write.json(f"{base}/landing")
+    stream = iot.read_iot_stream(spark, f"{base}/landing", max_files=1_000_000)
+    out = iot.run_to_completion(spark, iot.iot_pipeline(stream, T.device_registry(spark, sf)),
+                                f"{base}/processed", f"{base}/checkpoint")
+    return out.select("event_id", "device_id", "plant_id", "timestamp_ms", "threshold_breach", "quality_bad",
+                      "anomaly_score", "asset_name", "criticality", "year", "month", "day", "hour")
+
+
+def q_dq_failure_alerts(spark, sf):
+    """Failure alarm re-aimed at data quality: per plant, any failing log record in a
+    5-minute period raises it (Sum >= 1 over 1 period)."""
+    logs = enrich.enrich_logs(_logs_deduped(spark, sf), RUN_TS)
+    failed = logs.withColumn("failed", (~F.col("dq_pass_strict")).cast("int"))
+    return evaluate_alerts(failed, "event_ts", "plant_code", [AlertRule("dq_failures", "failed", "sum", 1, ">=", 1)])
+
+
+QUERIES["stream_enriched_events"] = q_stream_enriched_events
+QUERIES["dq_failure_alerts"] = q_dq_failure_alerts

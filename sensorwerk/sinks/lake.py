@@ -65,3 +65,12 @@ def analyze_table(spark: SparkSession, table: str, columns=()) -> None:
         spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR COLUMNS {', '.join(columns)}")
     else:
         spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
+
+
+def save_bucketed(df: DataFrame, table: str, bucket_cols, buckets: int, sort_cols=(), mode: str = "overwrite") -> None:
+    """Saved table bucketed on the join key (the DISTKEY of the reference): later joins or
+    aggregations on ``bucket_cols`` between tables with the same bucketing skip the shuffle."""
+    w = df.write.mode(mode).format("parquet").bucketBy(buckets, *bucket_cols)
+    if sort_cols:
+        w = w.sortBy(*sort_cols)
+    w.saveAsTable(table)

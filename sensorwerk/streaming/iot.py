@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 
 from sensorwerk import schemas as S
 from sensorwerk.config import BROADCAST_MAX_ROWS
-from sensorwerk.functions.columns import epoch_ms_to_instant
+from sensorwerk.functions.columns import epoch_ms_to_instant, epoch_ms_to_ts
 from sensorwerk.operators import aggregates as A
 from sensorwerk.operators import enrich
 
@@ -65,7 +65,8 @@ def iot_pipeline(stream: DataFrame, registry: DataFrame, watermark_minutes: int
         df = dedup_within_watermark(df)
     df = enrich.detect_anomalies(df)
     df = enrich.enrich_with_registry(df, registry, registry_max_rows)
-    return enrich.add_partition_cols(df)
+    # hour partition from the record's own epoch ms in UTC, whatever the session time zone
+    return enrich.add_partition_cols(df.withColumn("_utc_ts", epoch_ms_to_ts("timestamp_ms")), "_utc_ts").drop("_utc_ts")
 
 
 def windowed_stats(stream: DataFrame, window: str = "1 minute", watermark_minutes: int = S.WATERMARK_MINUTES) -> DataFrame:
@@ -114,11 +115,20 @@ def idempotent_batch_writer(output_path: str, partition_cols=("year", "month", "
     return process
 
 
+IOT_PARTITIONS = ("year", "month", "day", "hour", "plant_id")
+BACKFILL_PARTITIONS = ("year", "month", "day")
+
+
 def start_iot_sink(df: DataFrame, output_path: str, checkpoint: str, trigger: dict | None = None,
-                   metrics: BatchMetrics | None = None, query_name: str | None = None) -> StreamingQuery:
+                   metrics: BatchMetrics | None = None, query_name: str | None = None,
+                   partition_cols=IOT_PARTITIONS) -> StreamingQuery:
     """Start the stream (ST-6, ST-7). ``trigger`` defaults to a 5-minute processing-time
-    trigger; pass ``{"availableNow": True}`` for a bounded catch-up run (bookmark-like)."""
-    w = (df.writeStream.foreachBatch(idempotent_batch_writer(output_path, metrics=metrics))
+    trigger; pass ``{"availableNow": True}`` for a bounded catch-up run (bookmark-like).
+
+    The hourly x plant layout suits 5-minute micro-batches (a batch touches a few hour
+    partitions of a large stream). A backfill that pushes weeks through one batch should
+    pass ``BACKFILL_PARTITIONS``: hour x plant would make a file per hour and plant."""
+    w = (df.writeStream.foreachBatch(idempotent_batch_writer(output_path, partition_cols, metrics=metrics))
          .option("checkpointLocation", checkpoint))
     if query_name:
         w = w.queryName(query_name)
@@ -126,6 +136,16 @@ def start_iot_sink(df: DataFrame, output_path: str, checkpoint: str, trigger: di
     return w.start()
 
 
+def run_to_completion(spark: SparkSession, stream_df: DataFrame, output_path: str, checkpoint: str,
+                      metrics: BatchMetrics | None = None, partition_cols=BACKFILL_PARTITIONS) -> DataFrame:
+    """Process everything available now through the sink, then return the sink's table."""
+    start_iot_sink(stream_df, output_path, checkpoint, trigger={"availableNow": True}, metrics=metrics,
+                   partition_cols=partition_cols).awaitTermination()
+    # read back with the sink's own schema: partition values such as "05" stay strings
+    schema = stream_df.schema.add("batch_id", "long")
+    return spark.read.schema(schema).parquet(output_path)
+
+
 def run_bounded(query: StreamingQuery, minutes: float = S.STREAM_RUN_MINUTES) -> None:
     """Run for at most ``minutes`` then stop the query cleanly (the reference only waited)."""
     finished = query.awaitTermination(timeout=int(minutes * 60))

@@ -58,3 +58,11 @@ def start_landing(df: DataFrame, path: str, checkpoint: str, trigger: dict | Non
             .option("compression", "gzip").option("maxRecordsPerFile", str(max_records))
             .partitionBy("topic", "year", "month", "day", "hour")
             .trigger(**(trigger or {"processingTime": S.TRIGGER_INTERVAL})).start())
+
+
+def start_dead_letters(dead: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
+    """Dead-letter sink (SNK-7): failed records with their source topic / partition / offset
+    and error, as JSON lines partitioned by source topic."""
+    return (dead.writeStream.format("json").option("path", path).option("checkpointLocation", checkpoint)
+            .partitionBy("source_topic")
+            .trigger(**(trigger or {"processingTime": S.TRIGGER_INTERVAL})).start())
