@@ -76,7 +76,7 @@ def q_weekly_report_before(spark, sf):
 
 
 def q_hourly_plant_kpis(spark, sf):
-    h = A.hourly_plant_kpis(A.attach_minute_stats(_fact(spark, sf)), _plants(spark, sf))
+    h = A.hourly_plant_kpis(_fact(spark, sf), _plants(spark, sf))
     return h.select("event_hour", "plant_id", "plant_name", "country_code", "region", "total_events",
                     "alarm_count", "high_anomaly_count", _r4("avg_sensor_value"), _r4("avg_quality"),
                     "low_quality_events", F.round("alarm_rate_pct", 2).alias("alarm_rate_pct"))
