@@ -3,8 +3,6 @@ breaching periods; a period with no data counts as not breaching."""
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,11 +44,15 @@ def evaluate_alerts(df: DataFrame, ts: str, group: str, rules: list[AlertRule],
         cols[f"_n{i}"] = F.sum(breaching).over(frame)
         cols[f"_span{i}"] = F.col("_p") - F.min("_p").over(frame)
     run = buckets.withColumns(cols)
-    parts = [run.filter((F.col(f"_n{i}") == r.periods) & (F.col(f"_span{i}") == step_us * (r.periods - 1)))
-                .select(F.lit(r.name).alias("alert_name"), group, "period_start", F.col(f"_v{i}").alias("value"),
-                        F.col(f"_n{i}").cast("bigint").alias("consecutive_periods"))
-             for i, r in enumerate(rules)]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    # one row per (period, rule) from the same plan branch (no union of copies)
+    per_rule = F.array(*[F.struct(
+        F.lit(r.name).alias("alert_name"), F.col(f"_v{i}").alias("value"),
+        F.col(f"_n{i}").cast("bigint").alias("consecutive_periods"),
+        ((F.col(f"_n{i}") == r.periods) & (F.col(f"_span{i}") == step_us * (r.periods - 1))).alias("alarm"))
+        for i, r in enumerate(rules)])
+    return (run.select(group, "period_start", F.explode(per_rule).alias("_r"))
+            .filter(F.col("_r.alarm"))
+            .select("_r.alert_name", group, "period_start", "_r.value", "_r.consecutive_periods"))
 
 
 def period_alerts(df: DataFrame, ts: str, group: str, metric: str, stat: str, threshold: float,

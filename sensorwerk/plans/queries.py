@@ -183,13 +183,14 @@ def q_fk_orphans(spark, sf):
                             _plants(spark, sf), device_col="machine_id", plant_col="plant_code")
     cal = dims.calendar_for(fact)
     devices = T.dim_device(spark, sf)
-    return dims.orphan_report([
-        ("fact_iot_events.device_sk", fact, "device_sk", devices, "device_sk"),
-        ("fact_iot_events.plant_sk", fact, "plant_sk", _plants(spark, sf), "plant_sk"),
-        ("fact_iot_events.date_sk", fact, "date_sk", cal, "date_sk"),
-        ("fact_machine_logs.date_sk", logs, "date_sk", cal, "date_sk"),
-        ("fact_machine_logs.machine_id", logs, "machine_id", devices, "device_id"),
-    ])
+    return dims.orphan_report(
+        [(fact, [("fact_iot_events.device_sk", "device_sk"), ("fact_iot_events.plant_sk", "plant_sk"),
+                 ("fact_iot_events.date_sk", "date_sk")]),
+         (logs, [("fact_machine_logs.date_sk", "date_sk"), ("fact_machine_logs.machine_id", "machine_id")])],
+        [(["fact_iot_events.device_sk"], devices, "device_sk"),
+         (["fact_machine_logs.machine_id"], devices, "device_id"),
+         (["fact_iot_events.plant_sk"], _plants(spark, sf), "plant_sk"),
+         (["fact_iot_events.date_sk", "fact_machine_logs.date_sk"], cal, "date_sk")])
 
 
 def q_conditional_counts(spark, sf):
