@@ -49,11 +49,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder named by the cluster in ``spark.checkpoint.dir``.
 
     Lineage is cut by writing there (``DataFrame.checkpoint`` or a written table); a
-    machine-local temp folder would vanish with the executor that wrote it.
+    machine-local temp folder would vanish with the executor that wrote it. Only when the
+    session names none is a folder chosen, under the SQL warehouse directory (the shared
+    table location of the deployment), and recorded on the session.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
-        raise RuntimeError("spark.checkpoint.dir is not set; the cluster must name a shared folder")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        path = f"{warehouse.rstrip('/')}/_checkpoints"
+        spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path

@@ -5,6 +5,18 @@ from __future__ import annotations
 from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
+
+from sensorwerk.functions.columns import epoch_ntz
+
+_UNIT_US = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
+
+
+def period_micros(period: str) -> int:
+    """'5 minutes' -> 300000000."""
+    n, unit = period.split()
+    return int(n) * _UNIT_US[unit.lower().rstrip("s")]
+
 
 _STATS = {"sum": F.sum, "max": F.max, "min": F.min, "avg": F.avg, "count": F.count}
 _CMP = {">": lambda c, t: c > t, ">=": lambda c, t: c >= t, "<": lambda c, t: c < t, "<=": lambda c, t: c <= t}
@@ -33,9 +45,13 @@ def evaluate_alerts(df: DataFrame, ts: str, group: str, rules: list[AlertRule],
        time span (one stray epoch-0 timestamp would stretch it over decades).
     """
     stats = [_STATS[r.stat](r.metric).cast("double").alias(f"_v{i}") for i, r in enumerate(rules)]
-    buckets = (df.groupBy(group, F.window(ts, period).start.alias("period_start")).agg(*stats)
-               .withColumn("_p", F.unix_micros(F.col("period_start").cast("timestamp"))))
-    step_us = F.unix_micros(F.lit("1970-01-01 00:00:00").cast("timestamp") + F.expr(f"INTERVAL {period}"))
+    buckets = df.groupBy(group, F.window(ts, period).start.alias("period_start")).agg(*stats)
+    # period position in microseconds, without a time-zone conversion (DST-safe)
+    ntz = isinstance(buckets.schema["period_start"].dataType, TimestampNTZType)
+    pos = (F.timestamp_diff("MICROSECOND", epoch_ntz(), F.col("period_start")) if ntz
+           else F.unix_micros(F.col("period_start")))
+    buckets = buckets.withColumn("_p", pos)
+    step_us = F.lit(period_micros(period))
     order = Window.partitionBy(group).orderBy("period_start")
     cols = {}
     for i, r in enumerate(rules):

@@ -49,3 +49,16 @@ def test_hll_error_bound(spark):
         F.approx_count_distinct("event_id", 0.02).alias("approx"), F.count_distinct("event_id").alias("exact"))
     for r in w.collect():
         assert abs(r.approx - r.exact) <= 0.06 * r.exact, r   # 3 sigma at rsd 0.02
+
+
+def test_alerts_do_not_depend_on_session_time_zone(spark):
+    fact = T.fact_iot_events(spark, SF_SMALL)
+    def run():
+        return sorted((r.plant_sk, r.period_start, r.consecutive_periods) for r in
+                      period_alerts(fact, "event_ts", "plant_sk", "value_numeric", "max", 50.0, ">", 2).collect())
+    base = run()
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert run() == base
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
