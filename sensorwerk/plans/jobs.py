@@ -29,7 +29,13 @@ class LogJobResult:
 
 def run_log_job(spark: SparkSession, raw_path: str, processed_path: str, quarantine_path: str,
                 dq_path: str, metrics_path: str | None = None, run_id: str | None = None,
-                run_ts: str | None = None, strict: bool = True, prefer_valid: bool = False) -> LogJobResult:
+                run_ts: str | None = None, strict: bool = True, prefer_valid: bool = False,
+                partition_cols=lake.LOG_PARTITIONS) -> LogJobResult:
+    """Batch log job: parse -> quarantine -> rules -> keep-latest -> enrich -> clean / failed.
+
+    ``partition_cols`` defaults to the hourly x plant layout of an hourly run; a backfill of
+    weeks in one run should pass ``lake.BACKFILL_PARTITIONS`` (hour x plant would write a
+    file per hour and plant)."""
     run_id = run_id or str(uuid.uuid4())
     raw = read_raw_logs(spark, raw_path).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -54,7 +60,7 @@ def run_log_job(spark: SparkSession, raw_path: str, processed_path: str, quarant
             lake.write_processed(
                 clean.observe(obs_clean, F.count(F.lit(1)).alias("written"),
                               F.coalesce(F.sum("copies"), F.lit(0)).alias("clean_raw")).drop("copies"),
-                processed_path)
+                processed_path, partition_cols)
             obs_failed = Observation(f"failed-{run_id}")
             lake.write_dq_failures(
                 failed.observe(obs_failed, F.count(F.lit(1)).alias("dq_failed"),

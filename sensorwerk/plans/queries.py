@@ -378,5 +378,27 @@ def q_dq_failure_alerts(spark, sf):
     return evaluate_alerts(failed, "event_ts", "plant_code", [AlertRule("dq_failures", "failed", "sum", 1, ">=", 1)])
 
 
+def q_log_job_output(spark, sf):
+    """The batch log job run over the whole log table landed as JSON lines: its processed
+    (clean) output is read back with the written schema."""
+    import uuid
+
+    from sensorwerk.config import checkpoint_dir
+    from sensorwerk.plans.jobs import run_log_job
+    from sensorwerk.sinks import lake
+
+    base = f"{checkpoint_dir(spark).rstrip('/')}/log-job-query-{uuid.uuid4().hex}"
+    T.log_raw(spark, sf).drop("resolution_minutes").write.json(f"{base}/raw")
+    run_log_job(spark, f"{base}/raw", f"{base}/processed", f"{base}/quarantine", f"{base}/dq",
+                run_id="query", run_ts=RUN_TS, partition_cols=lake.BACKFILL_PARTITIONS)
+    out = spark.read.option("basePath", f"{base}/processed").schema(
+        "event_id string, event_timestamp long, event_type string, severity string, temperature_c double, "
+        "event_ts timestamp_ntz, hour string, is_alarm boolean, is_critical boolean, processed_at timestamp_ntz, "
+        "temp_fahrenheit double, plant_code string, year string, month string, day string").parquet(f"{base}/processed")
+    return out.select("event_id", "event_timestamp", "event_type", "severity", "event_ts", "year", "month", "day",
+                      "hour", "plant_code", "is_alarm", "is_critical", "temp_fahrenheit")
+
+
 QUERIES["stream_enriched_events"] = q_stream_enriched_events
+QUERIES["log_job_output"] = q_log_job_output
 QUERIES["dq_failure_alerts"] = q_dq_failure_alerts

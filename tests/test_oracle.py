@@ -30,3 +30,17 @@ def test_every_query_has_oracle_or_is_declared_rows_only():
     rows_only = {"approx_distinct_weekly", "weekly_report_after_hll", "synthetic_events", "dataset_size_report"}
     missing = set(E.queries()) - set(E.oracle_sql())
     assert missing == rows_only
+
+
+TIME_SENSITIVE = ["weekly_plant_mart", "hourly_plant_kpis", "log_enriched", "iot_partition_cols", "calendar_dim",
+                  "threshold_alerts", "minute_window_agg", "wow_alarms", "sk_lookup"]
+
+
+@pytest.mark.parametrize("name", TIME_SENSITIVE)
+def test_query_independent_of_session_time_zone(spark, con, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        r = compare(spark, name, E.queries()[name], E.oracle_sql().get(name), SF_SMALL, con)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert r["status"] == "OK", r
