@@ -64,11 +64,15 @@ def q_weekly_plant_mart(spark, sf):
 
 def q_weekly_report_after(spark, sf):
     # exact device counts: an approximate column cannot be value-checked (see the _hll twin)
-    return reports.weekly_report_after(_fact(spark, sf), _plants(spark, sf), AS_OF, exact_devices=True)
+    return reports.weekly_report_after(_fact(spark, sf), _plants(spark, sf), AS_OF, devices="fact_exact")
 
 
 def q_weekly_report_after_hll(spark, sf):
-    return reports.weekly_report_after(_fact(spark, sf), _plants(spark, sf), AS_OF, exact_devices=False)
+    return reports.weekly_report_after(_fact(spark, sf), _plants(spark, sf), AS_OF, devices="fact_hll")
+
+
+def q_weekly_report_after_sketch(spark, sf):
+    return reports.weekly_report_after(_fact(spark, sf), _plants(spark, sf), AS_OF, devices="sketch")
 
 
 def q_weekly_report_before(spark, sf):
@@ -305,6 +309,7 @@ QUERIES = {
     "weekly_plant_mart": q_weekly_plant_mart,
     "weekly_report_after": q_weekly_report_after,
     "weekly_report_after_hll": q_weekly_report_after_hll,
+    "weekly_report_after_sketch": q_weekly_report_after_sketch,
     "weekly_report_before": q_weekly_report_before,
     "hourly_plant_kpis": q_hourly_plant_kpis,
     "stg_iot_events": q_stg_iot_events,

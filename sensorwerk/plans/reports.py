@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from sensorwerk.functions.columns import ntz, ratio_pct, round_numeric, sla_status, week_start, wow_delta_pct
 from sensorwerk.operators.aggregates import (
-    hourly_plant_kpis, stg_iot_events, weekly_devices, weekly_from_hourly, weekly_plant_events,
+    hourly_plant_kpis, stg_iot_events, weekly_devices, weekly_devices_from_sketches, weekly_from_hourly,
+    weekly_plant_events,
 )
 
 DEFAULT_AS_OF = "2024-01-31"
@@ -56,25 +57,31 @@ def weekly_plant_mart(fact: DataFrame, plants: DataFrame, since: str = "2024-01-
     )
 
 
-def weekly_report_after(fact: DataFrame, plants: DataFrame, as_of: str = DEFAULT_AS_OF, days: int = 7,
-                        hourly: DataFrame | None = None, exact_devices: bool = False) -> DataFrame:
+def weekly_report_after(fact: DataFrame | None, plants: DataFrame, as_of: str = DEFAULT_AS_OF, days: int = 7,
+                        hourly: DataFrame | None = None, devices: str = "fact_hll") -> DataFrame:
     """Weekly report over the hourly roll-up (Q-11).
 
     ``hourly`` is the materialized hourly table when one exists; otherwise it is derived
-    from the time-filtered fact. Device counts come from HyperLogLog at 2 % error unless
-    ``exact_devices``.
+    from the time-filtered fact. Active devices per plant-week: ``"fact_hll"`` (HyperLogLog
+    over the fact at 2 % error, as the reference), ``"fact_exact"`` (count distinct) or
+    ``"sketch"`` (union of the hourly table's device sketches: the fact is not read again).
     """
     lo, hi = day_range(as_of, days)
-    window_fact = fact.filter(in_range("event_ts", lo, hi))
+    window_fact = fact.filter(in_range("event_ts", lo, hi)) if fact is not None else None
     if hourly is None:
-        hourly = hourly_plant_kpis(window_fact, plants)
-    base = weekly_from_hourly(hourly.filter(in_range("event_hour", lo, hi)))
-    devices = weekly_devices(window_fact, exact=exact_devices).withColumnRenamed("active_devices", "_devices")
+        hourly = hourly_plant_kpis(window_fact, plants, device_sketch=(devices == "sketch"))
+    in_window = hourly.filter(in_range("event_hour", lo, hi))
+    base = weekly_from_hourly(in_window)
+    if devices == "sketch":
+        counts = weekly_devices_from_sketches(in_window)
+    else:
+        counts = weekly_devices(window_fact, exact=(devices == "fact_exact"))
+    devices_df = counts.withColumnRenamed("active_devices", "_devices")
     keys = plants.select("plant_id", "plant_sk")
     w = Window.partitionBy("plant_id").orderBy("week_start")
     enriched = (
         base.join(keys, "plant_id", "left")
-        .join(devices, ["plant_sk", "week_start"], "left")
+        .join(devices_df, ["plant_sk", "week_start"], "left")
         .select(
             "week_start", "plant_id", "plant_name", "country_code", "region", "total_events",
             "total_alarms", "total_high_anomalies",

@@ -62,3 +62,16 @@ def test_alerts_do_not_depend_on_session_time_zone(spark):
         assert run() == base
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_weekly_devices_from_hourly_sketches(spark):
+    """Sketch union over hours vs exact distinct devices per plant-week (2 % bound)."""
+    from sensorwerk.operators import aggregates as A
+    fact = T.fact_iot_events(spark, SF_MID)
+    hourly = A.hourly_plant_kpis(fact, T.dim_plant(spark, SF_MID), device_sketch=True)
+    est = A.weekly_devices_from_sketches(hourly)
+    exact = A.weekly_devices(fact, exact=True).withColumnRenamed("active_devices", "exact")
+    rows = est.join(exact, ["week_start", "plant_sk"]).collect()
+    assert len(rows) == exact.count()
+    for r in rows:
+        assert abs(r.active_devices - r.exact) <= max(1, 0.02 * r.exact), r
