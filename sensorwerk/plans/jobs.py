@@ -109,7 +109,7 @@ def refresh_hourly(spark: SparkSession, fact_path: str, plants: DataFrame, hourl
     if touched_dates is not None:
         days = [r[0] for r in touched_dates.distinct().collect()]  # bounded: calendar days
         fact = fact.filter(F.col("event_date").isin(days))
-    hourly = A.hourly_plant_kpis(fact, plants).withColumn(
+    hourly = A.hourly_plant_kpis(fact, plants, device_sketch=True).withColumn(
         "event_date", F.to_date("event_hour"))
     warehouse.refresh_partitions(spark, hourly_path, hourly.sortWithinPartitions("event_hour", "plant_id"),
                                  "event_date")

@@ -71,6 +71,9 @@ def weekly_report_after(fact: DataFrame | None, plants: DataFrame, as_of: str =
     if hourly is None:
         hourly = hourly_plant_kpis(window_fact, plants, device_sketch=(devices == "sketch"))
     in_window = hourly.filter(in_range("event_hour", lo, hi))
+    if "event_date" in hourly.columns:  # materialized table partitioned by day: prune partitions
+        last_day = (date.fromisoformat(hi) - timedelta(days=1)).isoformat()
+        in_window = in_window.filter(F.col("event_date").between(F.lit(lo).cast("date"), F.lit(last_day).cast("date")))
     base = weekly_from_hourly(in_window)
     if devices == "sketch":
         counts = weekly_devices_from_sketches(in_window)
