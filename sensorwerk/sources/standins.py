@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorwerk.functions.columns import (
-    anomaly_score, date_sk, epoch_ms_to_ts, quality_bad, threshold_breach, ts_to_epoch_ms,
+    anomaly_score, date_sk, quality_bad, threshold_breach,
 )
 from sensorwerk.sources.tables import read_table
 
@@ -32,42 +32,33 @@ def plant_id_of(key) -> Column:
     return F.concat(F.lit("PLANT-"), _zero_pad(F.col(key) if isinstance(key, str) else key, 2))
 
 
-def _by_event_type(mapping: dict, default=None, col: str = "event_type") -> Column:
-    expr = None
-    for k, v in mapping.items():
-        expr = F.when(F.col(col) == k, F.lit(v)) if expr is None else expr.when(F.col(col) == k, F.lit(v))
-    return expr.otherwise(F.lit(default)) if default is not None else expr
-
-
-EVENT_NAMES = {"click": "TEMPERATURE", "view": "VIBRATION", "error": "PRESSURE", "signup": "HUMIDITY"}
-UNITS = {"click": "C", "view": "Hz", "error": "bar", "signup": "pct"}
-THRESHOLDS = {"click": 150.0, "view": 200.0, "error": 250.0, "purchase": 300.0}
-LOG_TYPES = {"click": "START", "view": "STOP", "error": "ALARM", "signup": "MAINTENANCE"}
-
-
 def iot_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sensor readings with natural ids (as landed in the lake) and surrogate keys."""
+    """Sensor readings with natural ids (as landed in the lake) and surrogate keys.
+
+    Projections are SQL expression strings: each column is one parse in the JVM instead of
+    a tree of Column objects built call by call from Python.
+    """
     e = read_table(spark, sf_dir, "events")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    j = e.join(c, e.user_id == c.c_custkey)
-    eid = F.col("event_id")
-    return j.select(
-        eid.alias("event_sk"),
-        F.concat(F.lit("EVT-"), eid.cast("string")).alias("event_id"),
-        F.col("user_id").alias("device_sk"),
-        F.col("c_nationkey").cast("bigint").alias("plant_sk"),
-        device_id_of("user_id").alias("device_id"),
-        F.when(F.col("user_id") % 3 == 0, "SENSOR").when(F.col("user_id") % 3 == 1, "PLC")
-         .otherwise("HMI").alias("device_type"),
-        plant_id_of("c_nationkey").alias("plant_id"),
-        F.concat(F.lit("LINE-"), (F.col("user_id") % 4).cast("string")).alias("line_id"),
-        F.col("ts").alias("event_ts"),
-        _by_event_type(EVENT_NAMES, "CURRENT").alias("event_name"),
-        F.when(eid % 89 == 0, F.lit(None).cast("double")).otherwise(F.col("value")).alias("value_numeric"),
-        _by_event_type(UNITS, "A").alias("unit"),
-        F.when(eid % 97 == 0, F.lit(None).cast("int"))
-         .otherwise(F.regexp_extract("props", "[0-9]+", 0).cast("int")).alias("quality"),
-        _by_event_type(THRESHOLDS).cast("double").alias("alert_threshold"),
+    return e.join(c, e.user_id == c.c_custkey).selectExpr(
+        "event_id AS event_sk",
+        "concat('EVT-', cast(event_id AS string)) AS event_id",
+        "user_id AS device_sk",
+        "cast(c_nationkey AS bigint) AS plant_sk",
+        "concat('DEVICE-', printf('%05d', user_id)) AS device_id",
+        "CASE user_id % 3 WHEN 0 THEN 'SENSOR' WHEN 1 THEN 'PLC' ELSE 'HMI' END AS device_type",
+        "concat('PLANT-', printf('%02d', c_nationkey)) AS plant_id",
+        "concat('LINE-', cast(user_id % 4 AS string)) AS line_id",
+        "ts AS event_ts",
+        "CASE event_type WHEN 'click' THEN 'TEMPERATURE' WHEN 'view' THEN 'VIBRATION' WHEN 'error' THEN 'PRESSURE' "
+        "WHEN 'signup' THEN 'HUMIDITY' ELSE 'CURRENT' END AS event_name",
+        "CASE WHEN event_id % 89 = 0 THEN CAST(NULL AS double) ELSE value END AS value_numeric",
+        "CASE event_type WHEN 'click' THEN 'C' WHEN 'view' THEN 'Hz' WHEN 'error' THEN 'bar' WHEN 'signup' THEN 'pct' "
+        "ELSE 'A' END AS unit",
+        "CASE WHEN event_id % 97 = 0 THEN CAST(NULL AS int) "
+        "ELSE cast(regexp_extract(props, '[0-9]+', 0) AS int) END AS quality",
+        "cast(CASE event_type WHEN 'click' THEN 150 WHEN 'view' THEN 200 WHEN 'error' THEN 250 "
+        "WHEN 'purchase' THEN 300 END AS double) AS alert_threshold",
     )
 
 
@@ -176,31 +167,24 @@ def log_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Machine logs as parsed from JSON (machines are devices): every 20th event is re-sent one
     second later."""
     e = read_table(spark, sf_dir, "events")
-    first = e.withColumn("resend", F.lit(0))
-    again = e.filter(F.col("event_id") % 20 == 0).withColumn("resend", F.lit(1))
-    t = first.unionByName(again)
-    eid, uid = F.col("event_id"), F.col("user_id")
-    etype = (F.when(eid % 67 == 0, F.lit(None).cast("string"))
-             .when(eid % 61 == 0, "UNKNOWN")
-             .when(F.col("event_type") == "click", "START")
-             .when(F.col("event_type") == "view", "STOP")
-             .when(F.col("event_type") == "error", "ALARM")
-             .when(F.col("event_type") == "signup", "MAINTENANCE")
-             .otherwise("CYCLE_COMPLETE"))
-    severity = (F.when(eid % 59 == 0, "FATAL").when(eid % 5 == 0, "INFO").when(eid % 5 == 1, "WARNING")
-                .when(eid % 5 == 2, "ERROR").when(eid % 5 == 3, "CRITICAL"))
-    return t.select(
-        F.concat(F.lit("LOG-"), eid.cast("string")).alias("event_id"),
-        device_id_of(uid).alias("machine_id"),
-        plant_id_of(uid % 25).alias("plant_code"),
-        F.concat(F.lit("LINE-"), (uid % 4).cast("string")).alias("line_id"),
-        etype.alias("event_type"),
-        F.when(eid % 101 == 0, F.lit(0).cast("bigint"))
-         .otherwise(ts_to_epoch_ms("ts") + F.col("resend") * 1000).alias("event_timestamp"),
-        severity.alias("severity"),
-        F.when(eid % 71 == 0, F.lit(None).cast("double")).otherwise(F.col("value") * 4 - 60).alias("temperature_c"),
-        F.when(eid % 13 == 0, F.lit(None).cast("int")).otherwise((eid % 11).cast("int")).alias("resolution_minutes"),
-        F.col("props").alias("metadata"),
+    t = e.withColumn("resend", F.lit(0)).unionByName(
+        e.filter(F.col("event_id") % 20 == 0).withColumn("resend", F.lit(1)))
+    return t.selectExpr(
+        "concat('LOG-', cast(event_id AS string)) AS event_id",
+        "concat('DEVICE-', printf('%05d', user_id)) AS machine_id",
+        "concat('PLANT-', printf('%02d', user_id % 25)) AS plant_code",
+        "concat('LINE-', cast(user_id % 4 AS string)) AS line_id",
+        "CASE WHEN event_id % 67 = 0 THEN CAST(NULL AS string) WHEN event_id % 61 = 0 THEN 'UNKNOWN' "
+        "WHEN event_type = 'click' THEN 'START' WHEN event_type = 'view' THEN 'STOP' "
+        "WHEN event_type = 'error' THEN 'ALARM' WHEN event_type = 'signup' THEN 'MAINTENANCE' "
+        "ELSE 'CYCLE_COMPLETE' END AS event_type",
+        "CASE WHEN event_id % 101 = 0 THEN CAST(0 AS bigint) "
+        "ELSE timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) + resend * 1000 END AS event_timestamp",
+        "CASE WHEN event_id % 59 = 0 THEN 'FATAL' WHEN event_id % 5 = 0 THEN 'INFO' WHEN event_id % 5 = 1 THEN 'WARNING' "
+        "WHEN event_id % 5 = 2 THEN 'ERROR' WHEN event_id % 5 = 3 THEN 'CRITICAL' END AS severity",
+        "CASE WHEN event_id % 71 = 0 THEN CAST(NULL AS double) ELSE value * 4 - 60 END AS temperature_c",
+        "CASE WHEN event_id % 13 = 0 THEN CAST(NULL AS int) ELSE cast(event_id % 11 AS int) END AS resolution_minutes",
+        "props AS metadata",
         "resend",
     )
 
