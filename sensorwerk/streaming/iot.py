@@ -20,6 +20,7 @@ from sensorwerk.config import BROADCAST_MAX_ROWS
 from sensorwerk.functions.columns import epoch_ms_to_instant, epoch_ms_to_ts
 from sensorwerk.operators import aggregates as A
 from sensorwerk.operators import enrich
+from sensorwerk.sinks import lake
 
 log = logging.getLogger(__name__)
 
@@ -104,8 +105,7 @@ def idempotent_batch_writer(output_path: str, partition_cols=("year", "month", "
             out = batch.withColumn("batch_id", F.lit(batch_id).cast("long")).observe(
                 obs, F.count(F.lit(1)).alias("records"),
                 F.count_if(F.col("threshold_breach")).alias("alarms"))
-            (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(*cols).parquet(output_path))
+            lake.write_partitioned(out, output_path, cols, mode="overwrite", dynamic_overwrite=True)
             if metrics is not None:
                 m = obs.get
                 metrics.add(batch_id, m["records"], m["alarms"])

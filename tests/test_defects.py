@@ -36,3 +36,17 @@ def test_sigma_with_baseline_table(spark):
     spread = baseline.filter(F.col("stddev_value") > 0).select("device_id", "event_name").limit(1)
     probe = events.join(spread, ["device_id", "event_name"]).limit(1).withColumn("value_numeric", F.lit(1e9))
     assert enrich.sigma_anomalies(probe, stats=baseline).collect()[0].sigma_anomaly is True
+
+
+def test_minute_stats_equal_window_definition(spark):
+    from pyspark.sql import Window
+
+    from sensorwerk.functions.columns import bucket_start
+    from sensorwerk.operators.aggregates import attach_minute_stats
+    fact = T.fact_iot_events(spark, SF_SMALL)
+    got = attach_minute_stats(fact).select("event_id", "avg_value_1min", "stddev_value_1min")
+    w = Window.partitionBy("device_sk", "event_name", bucket_start("event_ts", "MINUTE"))
+    want = fact.select("event_id", F.avg("value_numeric").over(w).alias("avg_value_1min"),
+                       F.stddev("value_numeric").over(w).alias("stddev_value_1min"))
+    assert got.count() == fact.count()
+    assert got.exceptAll(want).count() == 0
