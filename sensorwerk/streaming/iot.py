@@ -121,26 +121,40 @@ BACKFILL_PARTITIONS = ("year", "month", "day")
 
 def start_iot_sink(df: DataFrame, output_path: str, checkpoint: str, trigger: dict | None = None,
                    metrics: BatchMetrics | None = None, query_name: str | None = None,
-                   partition_cols=IOT_PARTITIONS) -> StreamingQuery:
+                   partition_cols=IOT_PARTITIONS, state_partitions: int | None = None) -> StreamingQuery:
     """Start the stream (ST-6, ST-7). ``trigger`` defaults to a 5-minute processing-time
     trigger; pass ``{"availableNow": True}`` for a bounded catch-up run (bookmark-like).
 
     The hourly x plant layout suits 5-minute micro-batches (a batch touches a few hour
     partitions of a large stream). A backfill that pushes weeks through one batch should
-    pass ``BACKFILL_PARTITIONS``: hour x plant would make a file per hour and plant."""
+    pass ``BACKFILL_PARTITIONS``: hour x plant would make a file per hour and plant.
+
+    ``state_partitions``: number of state-store / shuffle partitions of a *new* query (it is
+    fixed in the checkpoint at the first start). Applied only while the query starts (the
+    stream clones the session then); the session setting is restored right after."""
     w = (df.writeStream.foreachBatch(idempotent_batch_writer(output_path, partition_cols, metrics=metrics))
          .option("checkpointLocation", checkpoint))
     if query_name:
         w = w.queryName(query_name)
     w = w.trigger(**(trigger or {"processingTime": S.TRIGGER_INTERVAL}))
-    return w.start()
+    if state_partitions is None:
+        return w.start()
+    spark = df.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return w.start()
+    finally:
+        spark.conf.set(key, before)
 
 
 def run_to_completion(spark: SparkSession, stream_df: DataFrame, output_path: str, checkpoint: str,
                       metrics: BatchMetrics | None = None, partition_cols=BACKFILL_PARTITIONS) -> DataFrame:
     """Process everything available now through the sink, then return the sink's table."""
     start_iot_sink(stream_df, output_path, checkpoint, trigger={"availableNow": True}, metrics=metrics,
-                   partition_cols=partition_cols).awaitTermination()
+                   partition_cols=partition_cols,
+                   state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
     # read back with the sink's own schema: partition values such as "05" stay strings
     schema = stream_df.schema.add("batch_id", "long")
     return spark.read.schema(schema).parquet(output_path)
