@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from sensorwerk.functions.columns import ntz, ratio_pct, round_numeric, sla_status, week_start, wow_delta_pct
 from sensorwerk.operators.aggregates import (
-    hourly_plant_kpis, stg_iot_events, weekly_devices, weekly_devices_from_sketches, weekly_from_hourly,
-    weekly_plant_events,
+    device_minutes, hourly_plant_kpis, stg_iot_events, weekly_devices, weekly_devices_from_minutes,
+    weekly_devices_from_sketches, weekly_from_hourly, weekly_plant_events,
 )
 
 DEFAULT_AS_OF = "2024-01-31"
@@ -68,8 +68,12 @@ def weekly_report_after(fact: DataFrame | None, plants: DataFrame, as_of: str =
     """
     lo, hi = day_range(as_of, days)
     window_fact = fact.filter(in_range("event_ts", lo, hi)) if fact is not None else None
+    per_minute = None
     if hourly is None:
-        hourly = hourly_plant_kpis(window_fact, plants, device_sketch=(devices == "sketch"))
+        # one device-minute aggregate feeds both the hourly roll-up and the device counts:
+        # the week's fact is scanned and shuffled once (the exchange is reused)
+        per_minute = device_minutes(window_fact) if "avg_value_1min" not in window_fact.columns else None
+        hourly = hourly_plant_kpis(window_fact, plants, device_sketch=(devices == "sketch"), per_minute=per_minute)
     in_window = hourly.filter(in_range("event_hour", lo, hi))
     if "event_date" in hourly.columns:  # materialized table partitioned by day: prune partitions
         last_day = (date.fromisoformat(hi) - timedelta(days=1)).isoformat()
@@ -77,6 +81,8 @@ def weekly_report_after(fact: DataFrame | None, plants: DataFrame, as_of: str =
     base = weekly_from_hourly(in_window)
     if devices == "sketch":
         counts = weekly_devices_from_sketches(in_window)
+    elif per_minute is not None:
+        counts = weekly_devices_from_minutes(per_minute, exact=(devices == "fact_exact"))
     else:
         counts = weekly_devices(window_fact, exact=(devices == "fact_exact"))
     devices_df = counts.withColumnRenamed("active_devices", "_devices")
