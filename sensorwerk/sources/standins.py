@@ -167,8 +167,9 @@ def log_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Machine logs as parsed from JSON (machines are devices): every 20th event is re-sent one
     second later."""
     e = read_table(spark, sf_dir, "events")
-    t = e.withColumn("resend", F.lit(0)).unionByName(
-        e.filter(F.col("event_id") % 20 == 0).withColumn("resend", F.lit(1)))
+    # one scan: each event yields its original row and, every 20th, a re-sent copy
+    t = e.withColumn("resend", F.explode(F.when(F.col("event_id") % 20 == 0, F.array(F.lit(0), F.lit(1)))
+                                         .otherwise(F.array(F.lit(0)))))
     return t.selectExpr(
         "concat('LOG-', cast(event_id AS string)) AS event_id",
         "concat('DEVICE-', printf('%05d', user_id)) AS machine_id",
