@@ -30,14 +30,21 @@ class LogJobResult:
 def run_log_job(spark: SparkSession, raw_path: str, processed_path: str, quarantine_path: str,
                 dq_path: str, metrics_path: str | None = None, run_id: str | None = None,
                 run_ts: str | None = None, strict: bool = True, prefer_valid: bool = False,
-                partition_cols=lake.LOG_PARTITIONS) -> LogJobResult:
+                partition_cols=lake.LOG_PARTITIONS, persist_input: bool = True) -> LogJobResult:
     """Batch log job: parse -> quarantine -> rules -> keep-latest -> enrich -> clean / failed.
 
     ``partition_cols`` defaults to the hourly x plant layout of an hourly run; a backfill of
     weeks in one run should pass ``lake.BACKFILL_PARTITIONS`` (hour x plant would write a
-    file per hour and plant)."""
+    file per hour and plant).
+
+    ``persist_input`` keeps the parsed input (memory, spilling to local disk) so the JSON is
+    parsed once for the quarantine and the clean paths; lost blocks are recomputed from the
+    source. At very large inputs with little local disk, ``False`` parses the JSON twice
+    instead."""
     run_id = run_id or str(uuid.uuid4())
-    raw = read_raw_logs(spark, raw_path).persist(StorageLevel.MEMORY_AND_DISK)
+    raw = read_raw_logs(spark, raw_path)
+    if persist_input:
+        raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         obs_raw = Observation(f"raw-{run_id}")
         observed = raw.observe(obs_raw, F.count(F.lit(1)).alias("total_raw"),

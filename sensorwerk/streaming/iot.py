@@ -70,6 +70,22 @@ def iot_pipeline(stream: DataFrame, registry: DataFrame, watermark_minutes: int
     return enrich.add_partition_cols(df.withColumn("_utc_ts", epoch_ms_to_ts("timestamp_ms")), "_utc_ts").drop("_utc_ts")
 
 
+def corrupt_records(stream: DataFrame) -> DataFrame:
+    """Malformed lines of the file stream with their source file, for a dead-letter sink (D9):
+    they are kept out of the pipeline but not dropped silently. The fields that did parse
+    are kept as context (a query over raw JSON may not read the corrupt column alone)."""
+    return stream.filter(F.col(S.CORRUPT_COL).isNotNull()).select(
+        F.col("_metadata.file_path").alias("source_file"), F.lit("JSON_PARSE_ERROR").alias("error"),
+        "device_id", "timestamp_ms", F.col(S.CORRUPT_COL).alias("raw_value"))
+
+
+def start_dead_letter_sink(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """JSON dead-letter sink for :func:`corrupt_records` of the same source."""
+    return (corrupt_records(stream).writeStream.format("json").option("path", path)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": S.TRIGGER_INTERVAL})).start())
+
+
 def windowed_stats(stream: DataFrame, window: str = "1 minute", watermark_minutes: int = S.WATERMARK_MINUTES) -> DataFrame:
     """Tumbling-window statistics on the stream (ST-2); rows of a window are emitted once
     the watermark passes its end (append mode); later rows for it are dropped (ST-4)."""

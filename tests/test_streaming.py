@@ -63,6 +63,12 @@ def test_late_week_dropped_and_redelivery_deduped(spark, scratch):
     assert sum(m["records"] for m in metrics.rows) == len(w2) + len(w3)
     assert sum(m["alarms"] for m in metrics.rows) == out.filter("threshold_breach").count()
     assert {"year", "month", "day", "hour", "plant_id", "batch_id", "asset_name"} <= set(out.columns)
+    # the malformed line is not lost: it reaches the dead-letter sink with its file
+    dlq = os.path.join(scratch, "dlq")
+    iot.start_dead_letter_sink(iot.read_iot_stream(spark, src), dlq, os.path.join(scratch, "ckpt-dlq"),
+                               trigger={"availableNow": True}).awaitTermination()
+    dead = spark.read.json(dlq).collect()
+    assert len(dead) == 1 and dead[0].source_file.endswith("d.json") and dead[0].error == "JSON_PARSE_ERROR"
 
 
 def test_replayed_batch_is_not_duplicated(spark, scratch):
