@@ -19,19 +19,6 @@ from sensorwerk.functions.columns import (
 from sensorwerk.sources.tables import read_table
 
 
-def _zero_pad(c: Column, width: int) -> Column:
-    # printf keeps ids longer than the width intact (lpad would truncate them)
-    return F.printf(F.lit(f"%0{width}d"), c)
-
-
-def device_id_of(key) -> Column:
-    return F.concat(F.lit("DEVICE-"), _zero_pad(F.col(key) if isinstance(key, str) else key, 5))
-
-
-def plant_id_of(key) -> Column:
-    return F.concat(F.lit("PLANT-"), _zero_pad(F.col(key) if isinstance(key, str) else key, 2))
-
-
 def iot_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sensor readings with natural ids (as landed in the lake) and surrogate keys.
 
@@ -95,33 +82,32 @@ def fact_iot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dim_plant(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_table(spark, sf_dir, "nation")
     r = read_table(spark, sf_dir, "region")
-    j = n.join(r, n.n_regionkey == r.r_regionkey, "left")
-    return j.select(
-        F.col("n_nationkey").cast("bigint").alias("plant_sk"),
-        plant_id_of("n_nationkey").alias("plant_id"),
-        F.col("n_name").alias("plant_name"),
-        F.concat(F.lit("N"), _zero_pad(F.col("n_nationkey"), 2)).alias("country_code"),
-        F.col("r_name").alias("region"),
-        F.lit("UTC").alias("timezone"),
-        (F.lit(100) + F.col("n_nationkey") * 10).cast("int").alias("capacity_units"),
+    return n.join(r, n.n_regionkey == r.r_regionkey, "left").selectExpr(
+        "cast(n_nationkey AS bigint) AS plant_sk",
+        "concat('PLANT-', printf('%02d', n_nationkey)) AS plant_id",
+        "n_name AS plant_name",
+        "concat('N', printf('%02d', n_nationkey)) AS country_code",
+        "r_name AS region",
+        "'UTC' AS timezone",
+        "cast(100 + n_nationkey * 10 AS int) AS capacity_units",
     )
 
 
+_CRITICALITY = "CASE WHEN c_acctbal >= 5000 THEN 'HIGH' WHEN c_acctbal >= 0 THEN 'MEDIUM' ELSE 'LOW' END"
+
+
 def dim_device(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current device dimension (one version per device)."""
-    c = read_table(spark, sf_dir, "customer")
-    return c.select(
-        F.col("c_custkey").alias("device_sk"),
-        device_id_of("c_custkey").alias("device_id"),
-        F.when(F.col("c_custkey") % 3 == 0, "SENSOR").when(F.col("c_custkey") % 3 == 1, "PLC")
-         .otherwise("HMI").alias("device_type"),
-        F.col("c_name").alias("asset_name"),
-        plant_id_of("c_nationkey").alias("plant_id"),
-        F.concat(F.lit("LINE-"), (F.col("c_custkey") % 4).cast("string")).alias("line_id"),
-        F.col("c_mktsegment").alias("location"),
-        F.when(F.col("c_acctbal") >= 5000, "HIGH").when(F.col("c_acctbal") >= 0, "MEDIUM")
-         .otherwise("LOW").alias("criticality"),
-        (F.lit(5) * (F.col("c_custkey") % 3 + 1)).cast("int").alias("sla_minutes"),
+    return read_table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS device_sk",
+        "concat('DEVICE-', printf('%05d', c_custkey)) AS device_id",
+        "CASE c_custkey % 3 WHEN 0 THEN 'SENSOR' WHEN 1 THEN 'PLC' ELSE 'HMI' END AS device_type",
+        "c_name AS asset_name",
+        "concat('PLANT-', printf('%02d', c_nationkey)) AS plant_id",
+        "concat('LINE-', cast(c_custkey % 4 AS string)) AS line_id",
+        "c_mktsegment AS location",
+        f"{_CRITICALITY} AS criticality",
+        "cast(5 * (c_custkey % 3 + 1) AS int) AS sla_minutes",
     )
 
 
@@ -152,14 +138,12 @@ def dim_device_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def device_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer")
-    return c.select(
-        device_id_of("c_custkey").alias("device_id"),
-        F.col("c_name").alias("asset_name"),
-        F.col("c_mktsegment").alias("location"),
-        F.when(F.col("c_acctbal") >= 5000, "HIGH").when(F.col("c_acctbal") >= 0, "MEDIUM")
-         .otherwise("LOW").alias("criticality"),
-        F.concat(F.lit("SUN-"), _zero_pad(F.col("c_custkey") % 24, 2)).alias("maintenance_window"),
+    return read_table(spark, sf_dir, "customer").selectExpr(
+        "concat('DEVICE-', printf('%05d', c_custkey)) AS device_id",
+        "c_name AS asset_name",
+        "c_mktsegment AS location",
+        f"{_CRITICALITY} AS criticality",
+        "concat('SUN-', printf('%02d', c_custkey % 24)) AS maintenance_window",
     )
 
 
