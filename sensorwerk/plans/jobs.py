@@ -120,3 +120,46 @@ def refresh_hourly(spark: SparkSession, fact_path: str, plants: DataFrame, hourl
         "event_date", F.to_date("event_hour"))
     warehouse.refresh_partitions(spark, hourly_path, hourly.sortWithinPartitions("event_hour", "plant_id"),
                                  "event_date")
+
+
+def run_iot_job(spark: SparkSession, raw_path: str, registry_path: str, output_path: str, checkpoint: str,
+                dead_letter_path: str | None = None, trigger: dict | None = None,
+                minutes: float | None = None):
+    """Streaming IoT job (entry point B): registry (empty if absent) -> file stream ->
+    watermark / de-dup / anomalies / registry / partition columns -> idempotent sink,
+    malformed lines to a dead-letter sink; runs ``minutes`` then stops (or until the
+    ``availableNow`` trigger has drained the input)."""
+    from sensorwerk.sources.raw import load_registry
+    from sensorwerk.streaming import iot
+
+    registry = load_registry(spark, registry_path)
+    stream = iot.read_iot_stream(spark, raw_path)
+    metrics = iot.BatchMetrics()
+    queries = [iot.start_iot_sink(iot.iot_pipeline(stream, registry), output_path, f"{checkpoint}/events",
+                                  trigger=trigger, metrics=metrics)]
+    if dead_letter_path:
+        queries.append(iot.start_dead_letter_sink(stream, dead_letter_path, f"{checkpoint}/dead_letters", trigger))
+    for q in queries:
+        if minutes is None:
+            q.awaitTermination()
+        else:
+            iot.run_bounded(q, minutes)
+    return metrics
+
+
+def run_warehouse_cycle(spark: SparkSession, staging_path: str, fact_path: str, hourly_path: str,
+                        plants: DataFrame, report_table_path: str, as_of: str, days: int = 7) -> DataFrame:
+    """Load + report cycle (entry point C): staging Parquet -> partition-scoped upsert of the
+    fact -> hourly roll-up refreshed for the touched days -> weekly report computed from the
+    roll-up alone (device counts from its sketches) and written as a table."""
+    from sensorwerk.plans.reports import weekly_report_after
+    from sensorwerk.sources.raw import load_staging
+
+    fact_cols = [c for c in spark.read.parquet(fact_path).columns if c != "event_date"]
+    staging = load_staging(spark, staging_path, fact_cols)
+    load_fact_batch(spark, fact_path, staging)
+    refresh_hourly(spark, fact_path, plants, hourly_path,
+                   touched_dates=staging.select(day_start("event_ts").alias("event_date")))
+    report = weekly_report_after(None, plants, as_of, days, hourly=spark.read.parquet(hourly_path), devices="sketch")
+    report.write.mode("overwrite").parquet(report_table_path)
+    return spark.read.parquet(report_table_path)

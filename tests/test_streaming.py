@@ -144,3 +144,20 @@ def test_kafka_shaped_landing_and_dead_letters(spark, scratch):
     assert files and all("/topic=factory-iot-events/year=2024/month=01/day=08/hour=" in f for f in files)
     back = spark.read.json(out)
     assert back.count() == len(rows)
+
+
+def test_iot_job_entry_point(spark, scratch):
+    from sensorwerk.plans.jobs import run_iot_job
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    rows = _iot_rows(spark, "2024-01-08", "2024-01-09")
+    _write(src, "a.json", rows + [{"device_id": "broken"}], time.time() - 10)
+    with open(os.path.join(src, "b.json"), "w") as f:
+        f.write('{"device_id": "X", "timestamp_ms": oops}\n')
+    metrics = run_iot_job(spark, src, os.path.join(scratch, "no-registry"), os.path.join(scratch, "out"),
+                          os.path.join(scratch, "ckpt"), os.path.join(scratch, "dlq"), trigger={"availableNow": True})
+    out = spark.read.parquet(os.path.join(scratch, "out"))
+    assert out.filter(F.col("device_id") != "broken").count() == len(rows)
+    assert out.filter(F.col("asset_name").isNotNull()).count() == 0      # registry absent -> empty
+    assert sum(m["records"] for m in metrics.rows) == out.count()
+    assert spark.read.json(os.path.join(scratch, "dlq")).count() == 1

@@ -108,3 +108,20 @@ def test_weekly_report_from_materialized_hourly_table(spark, scratch):
     with contextlib.redirect_stdout(buf):
         from_mv.explain("formatted")
     assert "PartitionFilters: [isnotnull(event_date" in buf.getvalue()
+
+
+def test_warehouse_cycle_idempotent_and_equal_to_direct_report(spark, scratch):
+    from sensorwerk.plans import reports
+    plants = T.dim_plant(spark, SF_SMALL)
+    fact = _fact(spark).withColumn("event_date", day_start("event_ts"))
+    fpath, hpath, rpath, spath = (os.path.join(scratch, n) for n in ("fact", "hourly", "report", "staging"))
+    initial = fact.filter(F.col("event_ts") < ntz("2024-01-20"))
+    initial.write.partitionBy("event_date").parquet(fpath)
+    jobs.refresh_hourly(spark, fpath, plants, hpath)
+    staging = fact.filter(F.col("event_ts") >= ntz("2024-01-15")).drop("event_date")
+    staging.write.parquet(spath)
+    first = _sorted(jobs.run_warehouse_cycle(spark, spath, fpath, hpath, plants, rpath, "2024-01-31"))
+    second = _sorted(jobs.run_warehouse_cycle(spark, spath, fpath, hpath, plants, rpath, "2024-01-31"))
+    assert first == second
+    direct = reports.weekly_report_after(_fact(spark), plants, "2024-01-31", devices="fact_exact")
+    assert first == _sorted(direct)
