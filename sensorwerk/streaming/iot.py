@@ -86,10 +86,26 @@ def start_dead_letter_sink(stream: DataFrame, path: str, checkpoint: str, trigge
             .trigger(**(trigger or {"processingTime": S.TRIGGER_INTERVAL})).start())
 
 
-def windowed_stats(stream: DataFrame, window: str = "1 minute", watermark_minutes: int = S.WATERMARK_MINUTES) -> DataFrame:
+def windowed_stats(stream: DataFrame, window: str = "1 minute", watermark_minutes: int = S.WATERMARK_MINUTES,
+                   keys=("device_id", "plant_id", "line_id", "event_name", "unit")) -> DataFrame:
     """Tumbling-window statistics on the stream (ST-2); rows of a window are emitted once
     the watermark passes its end (append mode); later rows for it are dropped (ST-4)."""
-    return A.window_aggregate(apply_watermark(stream, watermark_minutes), window)
+    return A.window_aggregate(apply_watermark(stream, watermark_minutes), window, keys=keys)
+
+
+def drain_to_table(spark: SparkSession, stream_df: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Run an append-mode stream over everything available into a Parquet file sink and
+    return the sink's table (the file sink's log makes the output exactly-once)."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(spark.sparkContext.defaultParallelism))   # state partitions of a new query
+    try:
+        q = (stream_df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+             .outputMode("append").trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(key, before)
+    q.awaitTermination()
+    return spark.read.schema(stream_df.schema).parquet(path)
 
 
 @dataclass
