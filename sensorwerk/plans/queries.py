@@ -356,7 +356,8 @@ QUERIES = {
 # ---- streaming and alert queries added after the first registry -------------------------------
 def q_stream_enriched_events(spark, sf):
     """The streaming IoT job run to completion over the whole ``iot_raw`` table: records are
-    landed as JSON in the shared checkpoint folder, streamed through watermark / de-dup /
+    landed as JSON in the shared checkpoint folder (every 20th twice), streamed through
+    watermark / de-dup /
     anomaly flags / registry join / partition columns into the idempotent sink, and the
     sink's table is returned."""
     import uuid
@@ -367,7 +368,10 @@ def q_stream_enriched_events(spark, sf):
 
     base = f"{checkpoint_dir(spark).rstrip('/')}/stream-query-{uuid.uuid4().hex}"
     src = T.iot_raw(spark, sf).withColumn("timestamp_ms", ts_to_epoch_ms("event_ts")).drop("event_ts")
-    src.write.json(f"{base}/landing")
+    # every 20th event is delivered twice (at-least-once transport); the job must drop the copy
+    again = F.substring("event_id", 5, 20).cast("long") % 20 == 0
+    copies = F.explode(F.when(again, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    src.withColumn("_copy", copies).drop("_copy").write.json(f"{base}/landing")
     stream = iot.read_iot_stream(spark, f"{base}/landing", max_files=1_000_000)
     out = iot.run_to_completion(spark, iot.iot_pipeline(stream, T.device_registry(spark, sf)),
                                 f"{base}/processed", f"{base}/checkpoint")
