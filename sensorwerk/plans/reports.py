@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 
 from sensorwerk.functions.columns import ntz, ratio_pct, round_numeric, sla_status, week_start, wow_delta_pct
 from sensorwerk.operators.aggregates import (
-    device_minutes, hourly_plant_kpis, stg_iot_events, weekly_devices, weekly_devices_from_minutes,
-    weekly_devices_from_sketches, weekly_from_hourly, weekly_plant_events,
+    hourly_plant_kpis, stg_iot_events, weekly_devices, weekly_from_hourly, weekly_plant_events,
 )
 
 DEFAULT_AS_OF = "2024-01-31"
@@ -58,39 +57,33 @@ def weekly_plant_mart(fact: DataFrame, plants: DataFrame, since: str = "2024-01-
 
 
 def weekly_report_after(fact: DataFrame | None, plants: DataFrame, as_of: str = DEFAULT_AS_OF, days: int = 7,
-                        hourly: DataFrame | None = None, devices: str = "fact_hll") -> DataFrame:
+                        hourly: DataFrame | None = None, devices: str = "sketch") -> DataFrame:
     """Weekly report over the hourly roll-up (Q-11).
 
     ``hourly`` is the materialized hourly table when one exists; otherwise it is derived
-    from the time-filtered fact. Active devices per plant-week: ``"fact_hll"`` (HyperLogLog
-    over the fact at 2 % error, as the reference), ``"fact_exact"`` (count distinct) or
-    ``"sketch"`` (union of the hourly table's device sketches: the fact is not read again).
+    from the time-filtered fact. Active devices per plant-week: ``"sketch"`` (default: union
+    of the hourly table's HyperLogLog device sketches, so the week's fact is read once, by
+    the roll-up), ``"fact_hll"`` (HyperLogLog over the fact at 2 % error, the reference's
+    form: a second scan) or ``"fact_exact"`` (count distinct, also a second scan).
     """
     lo, hi = day_range(as_of, days)
     window_fact = fact.filter(in_range("event_ts", lo, hi)) if fact is not None else None
-    per_minute = None
     if hourly is None:
-        # one device-minute aggregate feeds both the hourly roll-up and the device counts:
-        # the week's fact is scanned and shuffled once (the exchange is reused)
-        per_minute = device_minutes(window_fact) if "avg_value_1min" not in window_fact.columns else None
-        hourly = hourly_plant_kpis(window_fact, plants, device_sketch=(devices == "sketch"), per_minute=per_minute)
+        hourly = hourly_plant_kpis(window_fact, plants, device_sketch=(devices == "sketch"))
     in_window = hourly.filter(in_range("event_hour", lo, hi))
     if "event_date" in hourly.columns:  # materialized table partitioned by day: prune partitions
         last_day = (date.fromisoformat(hi) - timedelta(days=1)).isoformat()
         in_window = in_window.filter(F.col("event_date").between(F.lit(lo).cast("date"), F.lit(last_day).cast("date")))
-    base = weekly_from_hourly(in_window)
+    base = weekly_from_hourly(in_window).join(plants.select("plant_id", "plant_sk"), "plant_id", "left")
     if devices == "sketch":
-        counts = weekly_devices_from_sketches(in_window)
-    elif per_minute is not None:
-        counts = weekly_devices_from_minutes(per_minute, exact=(devices == "fact_exact"))
+        # estimated in the weekly aggregate itself: the hourly rows (and the fact) are read once
+        joined = base.withColumnRenamed("sketch_devices", "_devices")
     else:
         counts = weekly_devices(window_fact, exact=(devices == "fact_exact"))
-    devices_df = counts.withColumnRenamed("active_devices", "_devices")
-    keys = plants.select("plant_id", "plant_sk")
+        joined = base.join(counts.withColumnRenamed("active_devices", "_devices"), ["plant_sk", "week_start"], "left")
     w = Window.partitionBy("plant_id").orderBy("week_start")
     enriched = (
-        base.join(keys, "plant_id", "left")
-        .join(devices_df, ["plant_sk", "week_start"], "left")
+        joined
         .select(
             "week_start", "plant_id", "plant_name", "country_code", "region", "total_events",
             "total_alarms", "total_high_anomalies",

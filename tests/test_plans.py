@@ -47,3 +47,27 @@ def test_dedup_is_partial_aggregate(spark):
     text = plan_text(E.queries()["log_dedup_latest"](spark, SF_SMALL))
     assert text.count("SortAggregate") + text.count("HashAggregate") + text.count("ObjectHashAggregate") >= 2
     assert "partial_max_by" in text
+
+
+def test_weekly_report_sketch_mode_scans_fact_once(spark):
+    """Device counts from the roll-up's sketches: the week's events are read once."""
+    df = E.queries()["weekly_report_after_sketch"](spark, SF_SMALL)
+    df.collect()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    final = buf.getvalue().split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
+    assert final.count("events.parquet") == 1, final
+
+
+def test_bounded_broadcast_checks_size(spark):
+    from sensorwerk.config import bounded_broadcast, has_at_most
+    small, big = spark.range(10), spark.range(1000)
+    assert has_at_most(small, 10) and not has_at_most(big, 999)
+    assert "broadcast" in plan_text(big.join(bounded_broadcast(small, 10), "id")).lower()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan_text(small.join(bounded_broadcast(big, 999), "id"))
+        assert "BroadcastHashJoin" not in text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
