@@ -9,7 +9,8 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
-             "FlatMapGroupsInPandas", "MapInPandas", "CollectLimit")
+             "FlatMapGroupsInPandas", "MapInPandas", "CollectLimit",
+             "collect_list", "collect_set")   # no group is gathered into one row or task
 
 
 def plan_text(df) -> str:
