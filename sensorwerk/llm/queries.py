@@ -3,7 +3,9 @@ from __future__ import annotations
 
 import os
 
-from sensorwerk.llm import exact_dedup, mixing, packing, simhash, tokens
+from pyspark.sql import functions as F
+
+from sensorwerk.llm import exact_dedup, html_extract, langid, mixing, packing, pivot_search, simhash, substring_dedup, tokens
 from sensorwerk.llm.common import table
 
 #: Where the public tokenizer files lie, unless the caller names another folder.
@@ -12,6 +14,18 @@ BYTE_BPE = f"{TOKENIZER_DIR}/byte_bpe_50k.json"
 WORD_BPE = f"{TOKENIZER_DIR}/word_bpe_49k.json"
 
 
+def op1_pivot_search(spark, sf):
+    return pivot_search.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op2_html_extract(spark, sf):
+    return html_extract.extract(table(spark, sf, "pages"))
+
+
+def op3_substring_dedup(spark, sf):
+    return substring_dedup.deduplicate(table(spark, sf, "documents")).drop("kept_text")
+
+
 def op4_token_shards(spark, sf):
     shards = tokens.write_shards(table(spark, sf, "documents"), BYTE_BPE, keeps_space=True, end_id=2)
     return tokens.read_shards(shards)
@@ -25,6 +39,10 @@ def op6_exact_dedup(spark, sf):
     return exact_dedup.exact_dedup(table(spark, sf, "documents"))
 
 
+def op7_language_id(spark, sf):
+    return langid.identify(table(spark, sf, "documents"))
+
+
 def op8_packing(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"), WORD_BPE, keeps_space=False, end_id=0)
 
@@ -34,14 +52,47 @@ def op10_mixing(spark, sf):
 
 
 QUERIES = {
+    "op1_pivot_search": op1_pivot_search,
+    "op2_html_extract": op2_html_extract,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_token_shards": op4_token_shards,
     "op5_simhash": op5_simhash,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_language_id": op7_language_id,
     "op8_packing": op8_packing,
     "op10_mixing": op10_mixing,
 }
 
 ORACLE_SQL = {
+    "op1_pivot_search": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT a.vec_id AS query_id, b.vec_id,
+                   CAST(list_inner_product(CAST(a.q AS DOUBLE[]), CAST(b.q AS DOUBLE[])) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        WHERE rank <= 5""",
+    "op3_substring_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+            FROM documents),
+        s AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50),
+        k AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM s),
+        m AS (SELECT h, min(doc_id) AS lo FROM k GROUP BY h),
+        r AS (SELECT k.doc_id, k.i FROM k JOIN m USING (h) WHERE k.doc_id > m.lo),
+        gone AS (SELECT DISTINCT doc_id, i + o AS i FROM r, (SELECT unnest(range(0, 50)) AS o)),
+        t AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM d),
+        kept AS (
+            SELECT t.doc_id, string_agg(word, ' ' ORDER BY t.i) AS text, count(*) AS n
+            FROM t ANTI JOIN gone ON t.doc_id = gone.doc_id AND t.i = gone.i GROUP BY t.doc_id)
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id""",
     "op6_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
