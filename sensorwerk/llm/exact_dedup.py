@@ -123,12 +123,13 @@ def _distinct(rows: DataFrame) -> DataFrame:
         "digest", "w.id", "w.no_id", "w.rid", "copies")
 
 
-def digests_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, digest, rid`` written once; ``rid`` tells repeated rows apart."""
+def digests_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """``doc_id, digest, rid`` written once; ``rid`` (or ``row_col``) tells repeated rows apart."""
     norm = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), SPACE, " ")
     return materialize(docs.select(F.col(id_col).cast("long").alias("doc_id"),
                                    F.unhex(F.sha2(norm.cast("binary"), 256)).alias("digest"),
-                                   F.monotonically_increasing_id().alias("rid")), "digests")
+                                   (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("rid")),
+                       "digests")
 
 
 def build_index(history: DataFrame, keys_per_bucket: int = BUCKET_KEYS, buckets: int | None = None) -> DataFrame:
@@ -155,6 +156,11 @@ def verdicts(rows: DataFrame, keys_per_bucket: int = BUCKET_KEYS) -> DataFrame:
     return new.groupBy("bucket").cogroup(index.groupBy("bucket")).applyInPandas(_lookup, VERDICT_SCHEMA)
 
 
+def kept_rows(docs: DataFrame, row_col: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The ``row_col`` values (column ``rid``) of the rows that stay: one per distinct text."""
+    return verdicts(digests_of(docs, id_col, text_col, row_col)).select("rid")
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``."""
     rows = digests_of(docs, id_col, text_col)

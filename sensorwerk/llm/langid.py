@@ -199,6 +199,16 @@ def _predict(model: Mixture):
     return run
 
 
+def language_column(model: Mixture, text_col: str = "text") -> Column:
+    """``struct<lang_pred, score>`` of a text column; the other columns stay in the JVM."""
+    @F.pandas_udf("lang_pred string, score double")
+    def predict(text: pd.Series) -> pd.DataFrame:
+        got = [model.predict(text.iloc[c:c + 512].tolist()) for c in range(0, len(text), 512)]
+        return pd.DataFrame({"lang_pred": [x for a, _ in got for x in a], "score": [x for _, b in got for x in b]},
+                            columns=["lang_pred", "score"]).astype({"lang_pred": object, "score": float})
+    return predict(F.col(text_col))
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 

@@ -118,9 +118,10 @@ def _round(last: bool, seed: int):
     return run
 
 
-def sizes_of(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def sizes_of(docs: DataFrame, text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """``rid, doc_id, source, size``; the caller writes the rows before :func:`mix` reads them."""
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    return docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
+    return docs.select((F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("source").cast("string").alias("source"), size.alias("size"))
 
 
@@ -135,7 +136,6 @@ def mix(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, max_copies: flo
         "rid", "doc_id", "size", "source_size", "target", "source_key",
         F.pmod(F.xxhash64("doc_id", "size"), salts).alias("salt"),
         F.floor(ratio).cast("long").alias("base"), (ratio - F.floor(ratio)).alias("p0"))
-    # equal rows share one salt hash: a row's own place spreads a hot (doc_id, size) no further than its repeats
     todo = materialize(joined, "fractions")
     whole = (F.col("size") == 0) | (F.col("p0") == 0.0)
     rows = todo.where(~whole).select("source_key", "salt", "rid", "doc_id", "size", F.col("p0").alias("p"),
@@ -155,6 +155,12 @@ def mix(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, max_copies: flo
         .otherwise(copies).alias("copies"), (F.col("size") * copies).alias("taken"))
 
 
+def copies_of(docs: DataFrame, row_col: str, text_col: str = "text", **options) -> DataFrame:
+    """``rid`` (the ``row_col`` value) and ``copies`` of every row the mix takes at least once."""
+    sized = materialize(sizes_of(docs, text_col, row_col), "sizes")
+    return mix(sized, **options).where("copies > 0").select("rid", "copies")
+
+
 def mix_sources(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """One row per document with its target and the words the mix takes of it."""
     return mix(materialize(sizes_of(docs, text_col), "sizes"), **options).drop("rid", "copies")

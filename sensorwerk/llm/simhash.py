@@ -67,9 +67,9 @@ def _fingerprints(shingle: int, seed: int):
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
+                 shingle: int = SHINGLE, seed: int = SEED, row_col: str | None = None) -> DataFrame:
     """``rid, doc_id, fp`` (the 64 bits as a long), written once."""
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("doc_id"),
+    rows = docs.select((F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("rid"), F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).alias("text"))
     return materialize(rows.mapInPandas(_fingerprints(shingle, seed), "rid long, doc_id long, fp long"), "simhash")
 
@@ -221,6 +221,13 @@ def groups(prints: DataFrame, radius: int = MAX_BITS, bucket_rows: int = BUCKET_
         "fp", F.col("best.doc_id").alias("component_id"), F.col("best.rid").alias("keep_rid"))
 
 
+def kept_rows(docs: DataFrame, row_col: str, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+              radius: int = MAX_BITS) -> DataFrame:
+    """The ``row_col`` values (column ``rid``) of the rows that stay: one per component."""
+    prints = fingerprints(docs, id_col, text_col, shingle, row_col=row_col)
+    return groups(prints, radius).select(F.col("keep_rid").alias("rid")).distinct()
+
+
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                   radius: int = MAX_BITS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """One row per document: ``doc_id, fingerprint, component_id`` and whether it is kept."""
