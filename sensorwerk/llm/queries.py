@@ -5,7 +5,8 @@ import os
 
 from pyspark.sql import functions as F
 
-from sensorwerk.llm import exact_dedup, html_extract, langid, mixing, packing, pivot_search, simhash, substring_dedup, tokens
+from sensorwerk.llm import (exact_dedup, html_extract, langid, line_dedup, mixing, packing, pivot_search, simhash,
+                            substring_dedup, tokens)
 from sensorwerk.llm.common import table
 
 #: Where the public tokenizer files lie, unless the caller names another folder.
@@ -47,6 +48,10 @@ def op8_packing(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"), WORD_BPE, keeps_space=False, end_id=0)
 
 
+def op9_line_dedup(spark, sf):
+    return line_dedup.deduplicate(table(spark, sf, "documents"))
+
+
 def op10_mixing(spark, sf):
     return mixing.mix_sources(table(spark, sf, "documents"))
 
@@ -60,6 +65,7 @@ QUERIES = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_language_id": op7_language_id,
     "op8_packing": op8_packing,
+    "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
 }
 
@@ -101,4 +107,29 @@ ORACLE_SQL = {
                count(*) OVER (PARTITION BY text_sha256) AS group_size,
                row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id NULLS LAST) = 1 AS kept, text_sha256
         FROM d""",
+    "op9_line_dedup": r"""
+        WITH l AS (
+            SELECT doc_id, unnest(range(0, len(string_split(coalesce(text, ''), chr(10))))) AS line_no,
+                   unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),
+        w AS (
+            SELECT doc_id, line_no, list_sort(list_distinct(list_filter(
+                string_split_regex(line, '[\x20\x09-\x0D]+'), lambda x: x <> ''))) AS s FROM l),
+        u AS (SELECT s, row_number() OVER () AS id, len(s) AS n, min(struct_pack(d := doc_id, k := line_no)) AS f
+              FROM w WHERE len(s) > 0 GROUP BY s),
+        t AS (SELECT id, n, unnest(s) AS x FROM u),
+        df AS (SELECT x, count(*) AS c FROM t GROUP BY x),
+        r AS (SELECT id, n, x, row_number() OVER (PARTITION BY id ORDER BY c, x) AS pos FROM t JOIN df USING (x)),
+        p AS (SELECT id, n, x FROM r WHERE pos <= n - ceil(0.8 * n - 1e-9) + 1),
+        pairs AS (SELECT DISTINCT a.id AS a, b.id AS b FROM p a JOIN p b ON a.x = b.x AND a.id <> b.id
+                  WHERE 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)),
+        m AS (
+            SELECT DISTINCT b.id FROM pairs JOIN u a ON a.id = pairs.a JOIN u b ON b.id = pairs.b
+            WHERE a.f < b.f AND 9 * len(list_intersect(a.s, b.s)) >= 4 * (a.n + b.n)),
+        v AS (
+            SELECT w.doc_id, w.line_no,
+                   coalesce(m.id IS NOT NULL OR u.f <> struct_pack(d := w.doc_id, k := w.line_no), false) AS removed
+            FROM w LEFT JOIN u ON w.s = u.s LEFT JOIN m ON m.id = u.id)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (removed) AS n_removed,
+               coalesce(string_agg(CAST(line_no AS VARCHAR), ',' ORDER BY line_no) FILTER (removed), '') AS removed_lines
+        FROM v GROUP BY doc_id""",
 }
