@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from sensorwerk.llm.common import materialize
 
-CACHE_WORDS = 250_000          # words in each of the two cache generations of a Python worker
+CACHE_WORDS = 400_000          # words in each of the two cache generations of a Python worker
 SHARD_IDS = 1 << 20            # a shard is closed at the first document end past so many ids
 JOINED = 64                    # new words encoded in one call
 MAGIC = b"RNK1"
@@ -62,39 +62,49 @@ class TextEncoder:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def _learn(self, keys: list[str]) -> None:
-        """Keys start with a space where the tokenizer keeps it and the piece follows one."""
-        lead = 1 if self.keeps_space else 0
-        cores, general = {}, []
+        """Keys start with a space where the tokenizer keeps it and the piece follows one.
+
+        Words of Latin letters are encoded many at a time and parted at their edge tokens; a stop
+        after such a word is a token run of its own."""
+        lead, young, stops = int(self.keeps_space), self.young, self.stops
+        letters, bases, stopped, general = _LATIN.fullmatch, {}, [], []
         for key in keys:
-            word = key[:-1] if key[-1:] in self.stops else key
-            bare = word[lead:]
-            if (not lead or key[0] == " ") and _LATIN.fullmatch(bare):
-                cores.setdefault(bare, []).append(key)
-            else:
+            base = key[:-1] if key[-1] in stops else key
+            if (lead and key[0] != " ") or not letters(base, lead):
                 general.append(key)
-        names = list(cores)
-        for c in range(0, len(names), JOINED):
-            some = names[c:c + JOINED]
-            ids = np.array(self.tok.encode(" " * lead + " ".join(some), add_special_tokens=False).ids, self.dtype)
-            at = np.flatnonzero(self.edge[ids])
-            bounds = np.append(at, len(ids)) if lead else np.append(0, at + 1)
-            if len(bounds) != len(some) + 1:                   # not one edge a word: take them one by one
-                general += [k for n in some for k in cores[n]]
                 continue
-            for name, a, b in zip(some, bounds[:-1].tolist(), bounds[1:].tolist()):
-                piece = ids[a:b].tobytes()
-                for key in cores[name]:
-                    self.young[key] = piece + self.stops[key[-1]] if key[-1] in self.stops else piece
+            if base not in young:
+                bases[base] = None
+            if base is not key:
+                stopped.append(key)
+        names = list(bases)
+        chunks = [names[c:c + JOINED] for c in range(0, len(names), JOINED)]
+        for c in range(0, len(chunks), 32):
+            part = chunks[c:c + 32]
+            texts = ["".join(x) if lead else " ".join(x) for x in part]
+            for words, e in zip(part, self.tok.encode_batch_fast(texts, add_special_tokens=False)):
+                ids = np.array(e.ids, self.dtype)
+                at = np.flatnonzero(self.edge[ids])
+                bounds = (np.append(at, len(ids)) if lead else np.append(0, at + 1)) * ids.itemsize
+                if len(bounds) != len(words) + 1:              # not one edge a word: take them one by one
+                    general += words
+                    continue
+                raw, ends = ids.tobytes(), bounds.tolist()
+                young.update(zip(words, [raw[a:b] for a, b in zip(ends, ends[1:])]))
         for c in range(0, len(general), 1024):
             part = general[c:c + 1024]
             for key, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                self.young[key] = np.array(e.ids, self.dtype).tobytes()
+                young[key] = np.array(e.ids, self.dtype).tobytes()
+        for key in stopped:
+            if key not in young:
+                young[key] = young[key[:-1]] + stops[key[-1]]
 
     def _units(self, text: str) -> list[str]:
         if not self.keeps_space:
             return text.replace("\n", " ").split(" ")
+        # only blanks and line feeds part words here: other white space is not printable
         if text[0].isspace() or text[-1].isspace() or "  " in text or " \n" in text or "\n " in text \
-                or "\n\n" in text or _SPACE_RUN.search(text):
+                or "\n\n" in text or not text.replace("\n", "").isprintable() and _SPACE_RUN.search(text):
             first, *rest = _LONE_SPACE.split(text)
             return [first, *[" " + w for w in rest]]
         out: list[str] = []
@@ -117,7 +127,7 @@ class TextEncoder:
         for w in again:
             young[w] = old[w]
         young[""], young["\n"] = b"", self.line_feed if self.keeps_space else b""
-        self._learn(sorted(wanted - again - {"", "\n"}))
+        self._learn(list(wanted - again - {"", "\n"}))
         get = young.__getitem__
         return [b"".join(map(get, u)) for u in units]
 
@@ -248,7 +258,7 @@ def read_shards(shards: DataFrame) -> DataFrame:
     for part, n in sorted(map(tuple, shards.groupBy("part").agg(F.sum("n_ids")).collect())):   # a row per partition
         base[part] = total
         total += n
-    spark = shards.sparkSession
+    spark = shards.sparkSession      # two numbers per partition of the written file: broadcast
     starts = spark.createDataFrame(list(base.items()), "p int, before long")
-    based = shards.join(starts, shards.part == starts.p).select("blob", (F.col("part_start") + F.col("before")).alias("base"))
+    based = shards.join(F.broadcast(starts), shards.part == starts.p).select("blob", (F.col("part_start") + F.col("before")).alias("base"))
     return based.mapInPandas(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
