@@ -25,9 +25,8 @@ JOB_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
-# Row bound under which a join side is hinted for broadcast. Dimensions keyed by plant or
-# calendar day stay far below it at any fact size; device-level tables are checked.
-BROADCAST_MAX_ROWS = 1_000_000
+# Byte bound, by the planner's own statistics, up to which a join side is hinted for broadcast.
+BROADCAST_MAX_BYTES = 64 << 20
 
 
 def build_session(master: str | None = None, app_name: str = "sensorwerk",
@@ -63,12 +62,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Proves a size bound by reading at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def plan_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of a frame (files and their row widths; no job is run)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the side is proven small; otherwise leave the choice to
-    the planner (sort-merge join, re-planned by AQE at runtime)."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast hint only when the plan's statistics bound the side; otherwise the choice is the
+    planner's (sort-merge join, re-planned by AQE from the sizes it meets)."""
+    return F.broadcast(df) if plan_bytes(df) <= max_bytes else df

@@ -1,40 +1,39 @@
 """Keep-latest de-duplication (W-1) for batches; streams use ``dropDuplicatesWithinWatermark``.
 
-Implemented as a grouped ``max_by`` over the whole row instead of ``row_number() = 1``:
-the aggregate reduces every key map-side before the shuffle, so a key re-sent a million
-times (or one holding a third of the input) ships one row per task, not all its copies.
-Ties are broken by the extra ordering columns the caller names, so the result is
-deterministic.
+``row_number() = 1`` prunes: only the key, the ordering and the columns that the caller goes on
+to use reach the scan and the shuffle, and Spark limits every key to its first row per task before
+the shuffle (partial ``WindowGroupLimit``), so a key re-sent a million times ships one row a task.
+Where the caller also wants the number of copies, the survivors and the counts come from one
+aggregate (``max_by`` over the named columns), which is reduced map-side as well. Ties are broken by
+the extra ordering columns the caller names, so the result is deterministic.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def keep_latest(df: DataFrame, key: str, order: Sequence[str], copies_col: str | None = None,
-                null_keys: str = "collapse") -> DataFrame:
+                null_keys: str = "collapse", columns: Sequence[str] | None = None) -> DataFrame:
     """One row per ``key``: the one with the greatest ``order`` tuple (NULLs lose).
 
-    ``copies_col`` adds how many input rows each survivor stood for. ``null_keys``:
-    ``"collapse"`` (one pass; all NULL-key rows form one group, as in the reference),
-    ``"keep"`` (NULL-key rows pass through untouched; costs a second branch over the
-    input, so callers with a persisted input, like the log job, route them away first).
+    ``columns`` names what the result carries (all by default). ``copies_col`` adds how many input
+    rows each survivor stood for. ``null_keys``: ``"collapse"`` (all NULL-key rows form one group,
+    as in the reference) or ``"keep"`` (they pass through; a second branch over the input).
     """
     if null_keys not in ("collapse", "keep"):
         raise ValueError("null_keys must be 'collapse' or 'keep'")
-    payload = F.struct(*[F.col(c) for c in df.columns])
-    ordering = F.struct(*[F.col(c) for c in order])
-    aggs = [F.max_by(payload, ordering).alias("_row")]
-    if copies_col:
-        aggs.append(F.count(F.lit(1)).alias(copies_col))
+    wanted = list(columns or df.columns)
     keyed = df if null_keys == "collapse" else df.filter(F.col(key).isNotNull())
-    out = keyed.groupBy(key).agg(*aggs).select("_row.*", *([copies_col] if copies_col else []))
+    if copies_col:
+        latest = F.max_by(F.struct(*wanted), F.struct(*order)).alias("_row")
+        out = keyed.groupBy(F.col(key).alias("_key")).agg(latest, F.count(F.lit(1)).alias(copies_col)).select("_row.*", copies_col)
+    else:
+        nth = F.row_number().over(Window.partitionBy(key).orderBy(*[F.desc_nulls_last(c) for c in order]))
+        out = keyed.withColumn("_nth", nth).filter(F.col("_nth") == 1).select(*wanted)
     if null_keys == "collapse":
         return out
-    nulls = df.filter(F.col(key).isNull())
-    if copies_col:
-        nulls = nulls.withColumn(copies_col, F.lit(1).cast("long"))
-    return out.unionByName(nulls)
+    nulls = df.filter(F.col(key).isNull()).select(*wanted)
+    return out.unionByName(nulls.withColumn(copies_col, F.lit(1).cast("long")) if copies_col else nulls)

@@ -76,34 +76,18 @@ def asof_join(df: DataFrame, versions: DataFrame, key: str = "device_id", ts: st
     return df.join(v, cond, "left").drop("_vkey")
 
 
-def orphan_report(facts: list[tuple[DataFrame, list[tuple[str, str]]]],
-                  dims: list[tuple[list[str], DataFrame, str]]) -> DataFrame:
+def orphan_report(checks: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
     """Rows and distinct keys of each foreign key with no parent row (J-9).
 
-    ``facts``: (fact, [(fk_name, fact_col), ...]); ``dims``: ([fk_name, ...], dim, dim_col),
-    one entry per parent table, listing every foreign key that refers to it.
-    Each fact is scanned once: its foreign-key columns are unpivoted to (fk_name, key)
-    rows and pre-aggregated to one row per distinct key (partial aggregation, so a hot key
-    never ships its rows), and only the distinct keys are anti-joined with the parent keys.
-    NULL foreign keys are not orphans (SQL FK semantics). Every named FK gets a row.
+    ``checks``: (name, fact, fact column, parent, parent column). Each key is counted on its own type
+    (a partial aggregate, so a hot key never ships its rows); only its distinct values meet the
+    parent, in an anti-join. NULL keys are not orphans (SQL semantics). Every check gets a row.
     """
-    used = []
-    for fact, cols in facts:
-        pairs = F.array(*[F.struct(F.lit(name).alias("fk_name"), F.col(c).cast("string").alias("key"))
-                          for name, c in cols])
-        used.append(fact.select(F.explode(pairs).alias("_fk")).select("_fk.*")
-                    .filter(F.col("key").isNotNull())
-                    .groupBy("fk_name", "key").agg(F.count(F.lit(1)).alias("rows")))
-    keys = reduce(lambda a, b: a.unionByName(b), used)
-    parents = reduce(lambda a, b: a.unionByName(b), [
-        dim.select(F.col(c).cast("string").alias("key")).distinct()
-        .select(F.explode(F.array(*[F.lit(n) for n in fk_names])).alias("fk_name"), "key")
-        for fk_names, dim, c in dims])
-    orphans = (keys.join(parents, ["fk_name", "key"], "left_anti")
-               .groupBy("fk_name").agg(F.sum("rows").alias("orphan_rows"), F.count(F.lit(1)).alias("orphan_keys")))
-    names = [name for _, cols in facts for name, _ in cols]
-    spark = keys.sparkSession
-    every = spark.createDataFrame([(n,) for n in names], "fk_name string")
-    return every.join(orphans, "fk_name", "left").select(
-        "fk_name", F.coalesce("orphan_rows", F.lit(0)).cast("bigint").alias("orphan_rows"),
-        F.coalesce("orphan_keys", F.lit(0)).cast("bigint").alias("orphan_keys"))
+    parts = []
+    for name, fact, column, parent, parent_column in checks:
+        used = fact.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("key")).agg(F.count(F.lit(1)).alias("rows"))
+        held = parent.select(F.col(parent_column).alias("key"))
+        parts.append(used.join(held, "key", "left_anti").agg(
+            F.lit(name).alias("fk_name"), F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("orphan_rows"),
+            F.count(F.lit(1)).alias("orphan_keys")))
+    return reduce(lambda a, b: a.unionByName(b), parts)

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorwerk import schemas as S
-from sensorwerk.config import BROADCAST_MAX_ROWS, bounded_broadcast
+from sensorwerk.config import BROADCAST_MAX_BYTES, bounded_broadcast
 from sensorwerk.functions.columns import (
     anomaly_score, epoch_ms_to_ts, partition_strings, quality_bad, threshold_breach,
 )
@@ -71,11 +71,11 @@ def unique_registry(registry: DataFrame, key: str = "device_id") -> DataFrame:
             .agg(F.max(F.struct(*others)).alias("_r")).select(key, "_r.*"))
 
 
-def enrich_with_registry(df: DataFrame, registry: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+def enrich_with_registry(df: DataFrame, registry: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES,
                          dedupe: bool = True) -> DataFrame:
     """Left join of events to device metadata (J-1); broadcast only below a proven bound."""
     reg = unique_registry(registry) if dedupe else registry
-    return df.join(bounded_broadcast(reg, max_rows), "device_id", "left")
+    return df.join(bounded_broadcast(reg, max_bytes), "device_id", "left")
 
 
 def sla_ack_breach(logs: DataFrame, devices: DataFrame, default_minutes: int = S.SLA_ACK_MINUTES) -> DataFrame:

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sensorwerk.config import bounded_broadcast, checkpoint_dir
 from sensorwerk.operators.dedup import keep_latest
+from sensorwerk.sinks import lake
 
 
 def upsert(target: DataFrame, staging: DataFrame, key: str = "event_id", dedup_staging: bool = False,
@@ -49,24 +50,56 @@ def _scratch(spark: SparkSession, tag: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
-def write_upsert(spark: SparkSession, target_path: str, staging: DataFrame, key: str = "event_id",
-                 partition_col: str = "event_date", dedup_staging: bool = False) -> str:
-    """Apply an upsert to a Parquet table partitioned by ``partition_col``.
+MAX_TOUCHED = 40_000       # partition values (days: a century) a load may touch; more is junk in the column
+
+
+def _partition_values(frame: DataFrame, col: str) -> list:
+    values = [r[0] for r in frame.select(col).distinct().limit(MAX_TOUCHED + 1).collect()]
+    if len(values) > MAX_TOUCHED:
+        raise ValueError(f"a load touches more than {MAX_TOUCHED} values of {col}")
+    return values
 
-    Only partitions present in staging are read and rewritten (partition pruning on the
-    bounded list of touched dates). Returns the scratch path that held the new content.
-    """
-    touched = [r[0] for r in staging.select(partition_col).distinct().collect()]  # bounded: dates
-    target = spark.read.parquet(target_path).filter(F.col(partition_col).isin(touched))
-    merged = upsert(target, staging, key, dedup_staging)
-    scratch = _scratch(spark, "upsert")
-    merged.write.partitionBy(partition_col).parquet(scratch)
-    (spark.read.parquet(scratch).select(*target.columns).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(target_path))
-    return scratch
 
+def _in(col: str, values: list):
+    """Null-safe membership that still prunes partitions."""
+    inside = F.col(col).isin([v for v in values if v is not None])
+    return inside | F.col(col).isNull() if None in values else inside
 
-def refresh_partitions(spark: SparkSession, table_path: str, content: DataFrame, partition_col: str) -> None:
-    """Replace exactly the partitions present in ``content`` (SNK-10 incremental refresh)."""
-    (content.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(table_path))
+
+def write_upsert(spark: SparkSession, target_path: str, staging: DataFrame, key: str = "event_id",
+                 partition_col: str = "event_date", dedup_staging: bool = False) -> list:
+    """Apply an upsert over the whole of a Parquet table partitioned by ``partition_col``.
+
+    A staged key replaces its old row wherever that lies: the touched partitions are those of the
+    staged rows and those of the target rows with a staged key (a semi-join that reads the key and
+    partition columns only), NULL included. The new content of these partitions is written to the
+    shared folder, swapped in by a dynamic partition overwrite, partitions left without rows are
+    removed, and the scratch copy is deleted. Returns the touched partition values.
+    """
+    schema = spark.read.parquet(target_path).schema
+    target = spark.read.schema(schema).parquet(target_path)
+    keys = staging.select(key).filter(F.col(key).isNotNull()).distinct()
+    replaced = target.select(key, partition_col).join(keys, key, "left_semi").select(partition_col)
+    staged_in = staging.select(F.col(partition_col).cast(schema[partition_col].dataType).alias(partition_col))
+    touched = _partition_values(staged_in.unionByName(replaced), partition_col)
+    merged = upsert(target.filter(_in(partition_col, touched)), staging, key, dedup_staging)
+    scratch = _scratch(spark, "upsert")
+    lake.write_partitioned(merged, scratch, [partition_col], mode="errorifexists")
+    fresh = spark.read.schema(schema).parquet(scratch)
+    refresh_partitions(spark, target_path, fresh, partition_col, touched)
+    lake.remove(spark, scratch)
+    return touched
+
+
+def refresh_partitions(spark: SparkSession, table_path: str, content: DataFrame, partition_col: str,
+                       touched: list | None = None) -> None:
+    """Replace the partitions present in ``content`` (SNK-10 incremental refresh) and remove the
+    ``touched`` ones that it has no rows for any more."""
+    seen = Observation(f"refresh-{uuid.uuid4().hex}")
+    there = content.observe(seen, F.collect_set(F.coalesce(F.col(partition_col).cast("string"), F.lit(""))).alias("values"))
+    lake.write_partitioned(there, table_path, [partition_col], mode="overwrite", dynamic_overwrite=True)
+    present = set(seen.get["values"] or [])
+    for value in touched or []:
+        name = "" if value is None else str(value)
+        if name not in present:
+            lake.remove(spark, f"{table_path.rstrip('/')}/{partition_col}={name or '__HIVE_DEFAULT_PARTITION__'}")

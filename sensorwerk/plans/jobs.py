@@ -98,28 +98,27 @@ def run_log_job(spark: SparkSession, raw_path: str, processed_path: str, quarant
 
 
 def load_fact_batch(spark: SparkSession, fact_path: str, staging: DataFrame, key: str = "event_id",
-                    dedup_staging: bool = False) -> str:
-    """Upsert a staging batch into the fact table partitioned by ``event_date``."""
+                    dedup_staging: bool = False) -> list:
+    """Upsert a staging batch into the fact table partitioned by ``event_date``; returns the days
+    it changed (those that staged keys left included)."""
     staged = staging.withColumn("event_date", day_start("event_ts"))
     return warehouse.write_upsert(spark, fact_path, staged, key, "event_date", dedup_staging)
 
 
 def refresh_hourly(spark: SparkSession, fact_path: str, plants: DataFrame, hourly_path: str,
-                   touched_dates: DataFrame | None = None) -> None:
-    """Recompute the hourly roll-up for the days touched by a load only (SNK-10).
+                   touched: list | None = None) -> None:
+    """Recompute the hourly roll-up for the days that a load touched (SNK-10).
 
-    ``touched_dates``: one-column frame of ``event_date`` values (e.g. the staging batch's);
-    when None the whole table is rebuilt. Day boundaries are hour boundaries, so a day's
-    hours depend on that day's events only.
+    ``touched``: the days returned by :func:`load_fact_batch`; a day without events any more loses its
+    rows. When None the whole table is rebuilt. Day boundaries are hour boundaries, so a day's
+    hours depend on that day's events only. Events without a time are in no hour.
     """
-    fact = spark.read.parquet(fact_path)
-    if touched_dates is not None:
-        days = [r[0] for r in touched_dates.distinct().collect()]  # bounded: calendar days
+    fact = spark.read.parquet(fact_path).filter(F.col("event_date").isNotNull())
+    days = None if touched is None else [d for d in touched if d is not None]
+    if days is not None:
         fact = fact.filter(F.col("event_date").isin(days))
-    hourly = A.hourly_plant_kpis(fact, plants, device_sketch=True).withColumn(
-        "event_date", F.to_date("event_hour"))
-    warehouse.refresh_partitions(spark, hourly_path, hourly.sortWithinPartitions("event_hour", "plant_id"),
-                                 "event_date")
+    hourly = A.hourly_plant_kpis(fact, plants, device_sketch=True).withColumn("event_date", F.to_date("event_hour"))
+    warehouse.refresh_partitions(spark, hourly_path, hourly, "event_date", days)
 
 
 def run_iot_job(spark: SparkSession, raw_path: str, registry_path: str, output_path: str, checkpoint: str,
@@ -139,11 +138,7 @@ def run_iot_job(spark: SparkSession, raw_path: str, registry_path: str, output_p
                                   trigger=trigger, metrics=metrics)]
     if dead_letter_path:
         queries.append(iot.start_dead_letter_sink(stream, dead_letter_path, f"{checkpoint}/dead_letters", trigger))
-    for q in queries:
-        if minutes is None:
-            q.awaitTermination()
-        else:
-            iot.run_bounded(q, minutes)
+    iot.run_all(spark, queries, minutes)
     return metrics
 
 
@@ -157,9 +152,8 @@ def run_warehouse_cycle(spark: SparkSession, staging_path: str, fact_path: str,
 
     fact_cols = [c for c in spark.read.parquet(fact_path).columns if c != "event_date"]
     staging = load_staging(spark, staging_path, fact_cols)
-    load_fact_batch(spark, fact_path, staging)
-    refresh_hourly(spark, fact_path, plants, hourly_path,
-                   touched_dates=staging.select(day_start("event_ts").alias("event_date")))
+    touched = load_fact_batch(spark, fact_path, staging)
+    refresh_hourly(spark, fact_path, plants, hourly_path, touched)
     report = weekly_report_after(None, plants, as_of, days, hourly=spark.read.parquet(hourly_path), devices="sketch")
     report.write.mode("overwrite").parquet(report_table_path)
     return spark.read.parquet(report_table_path)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorwerk.functions.columns import ntz, round_numeric
+from sensorwerk.functions.columns import date_sk, epoch_ms_to_ts, ntz, round_numeric
 from sensorwerk.operators import aggregates as A
 from sensorwerk.operators import dims, enrich, quality, warehouse
 from sensorwerk.operators.alerts import AlertRule, evaluate_alerts
@@ -19,8 +19,7 @@ from sensorwerk.plans import dashboard as D
 from sensorwerk.plans import reports
 from sensorwerk.plans.diagnostics import dataset_size_report
 from sensorwerk.sources import standins as T
-from sensorwerk.sources.synthetic import synthetic_iot_events
-from sensorwerk.sources.tables import read_table, table_path
+from sensorwerk.sources.tables import TABLES, table_path
 
 AS_OF = reports.DEFAULT_AS_OF
 RUN_TS = "2024-02-01 00:00:00"          # fixed run time so outputs are reproducible
@@ -28,8 +27,8 @@ LOAD_CUTOFF = "2024-01-20 00:00:00"     # target holds events before this instan
 RESEND_FROM = "2024-01-15 00:00:00"     # staging re-sends events from this instant on
 
 
-def _fact(spark, sf):
-    return T.fact_iot_events(spark, sf)
+def _fact(spark, sf, plant=True):
+    return T.fact_iot_events(spark, sf, plant)
 
 
 def _plants(spark, sf):
@@ -40,12 +39,12 @@ def _logs_flagged(spark, sf):
     return quality.with_dq_flags(T.log_raw(spark, sf))
 
 
-def _dedup(flagged, copies: str | None = None):
-    return keep_latest(flagged, "event_id", ["event_timestamp", "resend"], copies_col=copies)
+def _dedup(flagged, copies: str | None = None, columns=None):
+    return keep_latest(flagged, "event_id", ["event_timestamp", "resend"], copies_col=copies, columns=columns)
 
 
-def _logs_deduped(spark, sf, copies: str | None = None):
-    return _dedup(_logs_flagged(spark, sf), copies)
+def _logs_deduped(spark, sf, copies: str | None = None, columns=None):
+    return _dedup(_logs_flagged(spark, sf), copies, columns)
 
 
 def _fact_machine_logs(spark, sf):
@@ -92,13 +91,13 @@ def q_stg_iot_events(spark, sf):
 
 # ---- IoT stages ------------------------------------------------------------------------------
 def q_anomaly_flags(spark, sf):
-    return enrich.detect_anomalies(T.iot_raw(spark, sf)).select(
+    return enrich.detect_anomalies(T.iot_raw(spark, sf, plant=False)).select(
         "event_id", "device_id", "value_numeric", "alert_threshold", "quality",
         "threshold_breach", "quality_bad", "anomaly_score")
 
 
 def q_sigma_anomalies(spark, sf):
-    out = enrich.sigma_anomalies(T.iot_raw(spark, sf))
+    out = enrich.sigma_anomalies(T.iot_raw(spark, sf, plant=False))
     return out.select("event_id", "device_id", "event_name", "value_numeric", "baseline_readings",
                       "sigma_anomaly")
 
@@ -123,7 +122,7 @@ def q_iot_partition_cols(spark, sf):
 
 
 def q_registry_left_join(spark, sf):
-    out = enrich.enrich_with_registry(T.iot_raw(spark, sf), T.device_registry(spark, sf))
+    out = enrich.enrich_with_registry(T.iot_raw(spark, sf, plant=False), T.device_registry(spark, sf))
     return out.select("event_id", "device_id", "asset_name", "location", "criticality", "maintenance_window")
 
 
@@ -139,8 +138,8 @@ def q_log_dq_split_counts(spark, sf):
 
 
 def q_log_dedup_latest(spark, sf):
-    return _logs_deduped(spark, sf, copies="copies").select(
-        "event_id", "event_timestamp", "resend", "event_type", "severity", "dq_pass", "copies")
+    return _logs_deduped(spark, sf, copies="copies", columns=[
+        "event_id", "event_timestamp", "resend", "event_type", "severity", "dq_pass"])
 
 
 def q_log_enriched(spark, sf):
@@ -151,7 +150,7 @@ def q_log_enriched(spark, sf):
 
 def q_run_metrics(spark, sf):
     raw = T.log_raw(spark, sf)
-    return quality.run_metrics(raw, _dedup(quality.with_dq_flags(raw), copies="copies"))
+    return quality.run_metrics(raw, _dedup(quality.with_dq_flags(raw), copies="copies", columns=["dq_pass"]))
 
 
 def q_dq_fail_rate(spark, sf):
@@ -166,7 +165,7 @@ def q_sla_ack_breach(spark, sf):
 
 # ---- dimensions and joins --------------------------------------------------------------------
 def q_calendar_dim(spark, sf):
-    return dims.calendar_for(_fact(spark, sf))
+    return dims.calendar_for(_fact(spark, sf, plant=False))
 
 
 def q_sk_lookup(spark, sf):
@@ -177,24 +176,20 @@ def q_sk_lookup(spark, sf):
 
 
 def q_scd2_asof_join(spark, sf):
-    out = dims.asof_join(T.iot_raw(spark, sf), T.dim_device_scd2(spark, sf))
+    out = dims.asof_join(T.iot_raw(spark, sf, plant=False), T.dim_device_scd2(spark, sf))
     return out.select("event_id", "device_id", "event_ts", "criticality", "valid_from", "is_active")
 
 
 def q_fk_orphans(spark, sf):
-    fact = _fact(spark, sf)
-    logs = dims.lookup_keys(enrich.enrich_logs(T.log_raw(spark, sf), RUN_TS), T.dim_device(spark, sf),
-                            _plants(spark, sf), device_col="machine_id", plant_col="plant_code")
-    cal = dims.calendar_for(fact)
-    devices = T.dim_device(spark, sf)
-    return dims.orphan_report(
-        [(fact, [("fact_iot_events.device_sk", "device_sk"), ("fact_iot_events.plant_sk", "plant_sk"),
-                 ("fact_iot_events.date_sk", "date_sk")]),
-         (logs, [("fact_machine_logs.date_sk", "date_sk"), ("fact_machine_logs.machine_id", "machine_id")])],
-        [(["fact_iot_events.device_sk"], devices, "device_sk"),
-         (["fact_machine_logs.machine_id"], devices, "device_id"),
-         (["fact_iot_events.plant_sk"], _plants(spark, sf), "plant_sk"),
-         (["fact_iot_events.date_sk", "fact_machine_logs.date_sk"], cal, "date_sk")])
+    fact, devices = _fact(spark, sf), T.dim_device(spark, sf)
+    logs = T.log_raw(spark, sf).select("machine_id", date_sk(epoch_ms_to_ts("event_timestamp")).alias("date_sk"))
+    cal = dims.calendar_for(_fact(spark, sf, plant=False))
+    return dims.orphan_report([
+        ("fact_iot_events.device_sk", fact, "device_sk", devices, "device_sk"),
+        ("fact_iot_events.plant_sk", fact, "plant_sk", _plants(spark, sf), "plant_sk"),
+        ("fact_iot_events.date_sk", fact, "date_sk", cal, "date_sk"),
+        ("fact_machine_logs.date_sk", logs, "date_sk", cal, "date_sk"),
+        ("fact_machine_logs.machine_id", logs, "machine_id", devices, "device_id")])
 
 
 def q_conditional_counts(spark, sf):
@@ -213,19 +208,20 @@ def q_approx_distinct_weekly(spark, sf):
 
 
 def q_table_row_counts(spark, sf):
-    fact = _fact(spark, sf)
+    fact = _fact(spark, sf, plant=False)
+    logs = _logs_deduped(spark, sf, columns=["event_id", "dq_pass"])
     return A.row_counts({
         "dim_plant": _plants(spark, sf),
         "dim_device": T.dim_device(spark, sf),
         "dim_date": dims.calendar_for(fact),
         "fact_iot_events": fact,
-        "fact_machine_logs": _fact_machine_logs(spark, sf),
+        "fact_machine_logs": quality.route_clean(logs),
     })
 
 
 # ---- warehouse loads -------------------------------------------------------------------------
 def _target_and_resend(spark, sf):
-    fact = _fact(spark, sf).select("event_id", "event_ts", "device_sk", "value_numeric")
+    fact = _fact(spark, sf, plant=False).select("event_id", "event_ts", "device_sk", "value_numeric")
     target = fact.filter(F.col("event_ts") < ntz(LOAD_CUTOFF))
     resend = fact.withColumn("value_numeric", F.col("value_numeric") + 1)
     return target, resend
@@ -237,6 +233,27 @@ def q_upsert_events(spark, sf):
     return warehouse.upsert(target, staging, "event_id")
 
 
+def q_upsert_table(spark, sf):
+    """The on-disk upsert over a table partitioned by day, read back. Staged rows carry a new value and,
+    every third, a day later (the old copy lies in another partition); every seventh target row has
+    no day (it lies in the NULL partition) and some of those are staged again, undated."""
+    import uuid
+
+    from sensorwerk.config import checkpoint_dir
+    from sensorwerk.sinks import lake
+
+    base = f"{checkpoint_dir(spark).rstrip('/')}/upsert-query-{uuid.uuid4().hex}"
+    rows = _fact(spark, sf, plant=False).selectExpr("event_sk", "event_id", "device_sk", "value_numeric", "event_ts")
+    day = "CASE WHEN event_sk % 7 = 0 THEN CAST(NULL AS date) ELSE cast(event_ts AS date) END"
+    target = rows.filter(F.col("event_ts") < ntz(LOAD_CUTOFF)).withColumn("event_date", F.expr(day))
+    staging = rows.filter(F.col("event_ts") >= ntz(RESEND_FROM)).selectExpr(
+        "event_sk", "event_id", "device_sk", "value_numeric + 1 AS value_numeric", "event_ts",
+        f"CASE WHEN event_sk % 3 = 0 THEN date_add(cast(event_ts AS date), 1) ELSE {day} END AS event_date")
+    lake.write_partitioned(target, f"{base}/fact", ["event_date"])
+    warehouse.write_upsert(spark, f"{base}/fact", staging)
+    return spark.read.schema(target.schema).parquet(f"{base}/fact").select("event_id", "device_sk", "value_numeric", "event_date")
+
+
 def q_incremental_load(spark, sf):
     target, resend = _target_and_resend(spark, sf)
     return warehouse.incremental_load(target, resend, "event_id", "event_ts")
@@ -244,7 +261,7 @@ def q_incremental_load(spark, sf):
 
 # ---- dashboard -------------------------------------------------------------------------------
 def q_kpi_cards(spark, sf):
-    return D.kpi_cards(_fact(spark, sf), "2024-01-08", "2024-01-22")
+    return D.kpi_cards(_fact(spark, sf, plant=False), "2024-01-08", "2024-01-22")
 
 
 def q_events_by_plant(spark, sf):
@@ -252,19 +269,19 @@ def q_events_by_plant(spark, sf):
 
 
 def q_temperature_trend(spark, sf):
-    return D.temperature_trend(_fact(spark, sf), "HOUR", by_device=True)
+    return D.temperature_trend(_fact(spark, sf, plant=False), "HOUR", by_device=True)
 
 
 def q_breach_points(spark, sf):
-    return D.breach_points(_fact(spark, sf), "TEMPERATURE")
+    return D.breach_points(_fact(spark, sf, plant=False), "TEMPERATURE")
 
 
 def q_top5_hottest(spark, sf):
-    return D.top_hottest(_fact(spark, sf), T.dim_device(spark, sf), 5)
+    return D.top_hottest(_fact(spark, sf, plant=False), T.dim_device(spark, sf), 5)
 
 
 def q_top10_values(spark, sf):
-    return D.top_breaches(_fact(spark, sf), 10)
+    return D.top_breaches(_fact(spark, sf, plant=False), 10)
 
 
 def q_top20_alarm_hours(spark, sf):
@@ -295,14 +312,9 @@ def q_threshold_alerts(spark, sf):
     ], "5 minutes")
 
 
-# ---- generators and diagnostics (rows-only) ---------------------------------------------------
-def q_synthetic_events(spark, sf):
-    return synthetic_iot_events(read_table(spark, sf, "events"))
-
-
+# ---- diagnostics (rows-only) ------------------------------------------------------------------
 def q_dataset_size_report(spark, sf):
-    names = ["region", "nation", "customer", "events"]
-    return dataset_size_report(spark, {n: table_path(sf, n) for n in names})
+    return dataset_size_report(spark, {n: table_path(sf, n) for n in TABLES})
 
 
 QUERIES = {
@@ -335,6 +347,7 @@ QUERIES = {
     "approx_distinct_weekly": q_approx_distinct_weekly,
     "table_row_counts": q_table_row_counts,
     "upsert_events": q_upsert_events,
+    "upsert_table": q_upsert_table,
     "incremental_load": q_incremental_load,
     "kpi_cards": q_kpi_cards,
     "events_by_plant": q_events_by_plant,
@@ -348,7 +361,6 @@ QUERIES = {
     "alarm_trend_8w": q_alarm_trend_8w,
     "cumulative_alarms": q_cumulative_alarms,
     "threshold_alerts": q_threshold_alerts,
-    "synthetic_events": q_synthetic_events,
     "dataset_size_report": q_dataset_size_report,
 }
 

@@ -30,6 +30,14 @@ def write_partitioned(df: DataFrame, path: str, partition_cols, fmt: str = "parq
     w.save(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the lake or of the scratch area, if it is there."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(folder):
+        fs.delete(folder, True)
+
+
 def write_processed(clean: DataFrame, path: str, partition_cols=LOG_PARTITIONS) -> None:
     """Clean logs without the rule helper columns (SNK-1)."""
     keep = clean.drop(*[c for c in DQ_HELPER_COLUMNS if c in clean.columns])

@@ -31,19 +31,21 @@ def load_registry(spark: SparkSession, path: str, schema: StructType = S.REGISTR
     except AnalysisException as err:
         if not _is_missing_path(err):
             raise
-        return spark.createDataFrame([], schema)
+        # a plan of known size (no rows), unlike an RDD scan, which the planner must take for huge
+        return spark.range(0).select(*[F.lit(None if f.nullable else "").cast(f.dataType).alias(f.name) for f in schema])
 
 
 def load_staging(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """Parquet prefix -> staging rows by column name; nested columns become JSON text
-    (the warehouse stores them as strings). Missing columns are NULL."""
+    (the warehouse stores them as strings). A column that the prefix lacks is an error, not NULLs."""
     df = spark.read.parquet(path)
+    absent = [c for c in columns if c not in df.columns]
+    if absent:
+        raise ValueError(f"staging at {path} lacks {', '.join(absent)}")
     have = {f.name: f.dataType for f in df.schema.fields}
     out = []
     for c in columns:
-        if c not in have:
-            out.append(F.lit(None).cast("string").alias(c))
-        elif isinstance(have[c], (ArrayType, StructType, MapType)):
+        if isinstance(have[c], (ArrayType, StructType, MapType)):
             out.append(F.to_json(F.col(c)).alias(c))
         else:
             out.append(F.col(c))

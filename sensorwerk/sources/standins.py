@@ -19,15 +19,23 @@ from sensorwerk.functions.columns import (
 from sensorwerk.sources.tables import read_table
 
 
-def iot_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sensor readings with natural ids (as landed in the lake) and surrogate keys.
+# Devices that the reference tables do not know, told by their key: lookups must cope with them.
+NOT_IN_REGISTRY = "{0} % 17 = 3"
+NOT_IN_DIMENSION = "{0} % 19 = 5"
+
+
+def iot_base(spark: SparkSession, sf_dir: str, plant: bool = True) -> DataFrame:
+    """Sensor readings with natural ids (as landed in the lake) and surrogate keys; ``plant=False``
+    leaves the plant columns out, and with them the join that finds them.
 
     Projections are SQL expression strings: each column is one parse in the JVM instead of
     a tree of Column objects built call by call from Python.
     """
     e = read_table(spark, sf_dir, "events")
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    return e.join(c, e.user_id == c.c_custkey).selectExpr(
+    if plant:
+        c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+        e = e.join(c, e.user_id == c.c_custkey, "left")
+    columns = [
         "event_id AS event_sk",
         "concat('EVT-', cast(event_id AS string)) AS event_id",
         "user_id AS device_sk",
@@ -46,28 +54,29 @@ def iot_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ELSE cast(regexp_extract(props, '[0-9]+', 0) AS int) END AS quality",
         "cast(CASE event_type WHEN 'click' THEN 150 WHEN 'view' THEN 200 WHEN 'error' THEN 250 "
         "WHEN 'purchase' THEN 300 END AS double) AS alert_threshold",
-    )
+    ]
+    return e.selectExpr(*[c for c in columns if plant or "c_nationkey" not in c])
 
 
 IOT_RAW_COLUMNS = ["event_id", "device_id", "device_type", "plant_id", "line_id", "event_ts",
                    "event_name", "value_numeric", "unit", "quality", "alert_threshold"]
 
 
-def iot_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def iot_raw(spark: SparkSession, sf_dir: str, plant: bool = True) -> DataFrame:
     """IoT events as the streaming job sees them (natural ids only)."""
-    return iot_base(spark, sf_dir).select(*IOT_RAW_COLUMNS)
+    return iot_base(spark, sf_dir, plant).select(*[c for c in IOT_RAW_COLUMNS if plant or c != "plant_id"])
 
 
-def fact_iot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fact_iot_events(spark: SparkSession, sf_dir: str, plant: bool = True) -> DataFrame:
     """``fact_iot_events`` as loaded by the warehouse (surrogate keys + anomaly flags).
 
     The 1-minute statistics columns are attached by
     :func:`sensorwerk.operators.aggregates.attach_minute_stats` where a query needs them.
     """
-    b = iot_base(spark, sf_dir)
+    b = iot_base(spark, sf_dir, plant)
     breach = threshold_breach()
     return b.select(
-        "event_sk", "event_id", "device_sk", "plant_sk",
+        "event_sk", "event_id", "device_sk", *(["plant_sk"] if plant else []),
         date_sk("event_ts").alias("date_sk"),
         "event_ts", "event_name", "value_numeric", "unit",
         F.col("quality").cast("smallint").alias("quality"),
@@ -98,7 +107,8 @@ _CRITICALITY = "CASE WHEN c_acctbal >= 5000 THEN 'HIGH' WHEN c_acctbal >= 0 THEN
 
 def dim_device(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current device dimension (one version per device)."""
-    return read_table(spark, sf_dir, "customer").selectExpr(
+    known = read_table(spark, sf_dir, "customer").where(f"NOT ({NOT_IN_DIMENSION.format('c_custkey')})")
+    return known.selectExpr(
         "c_custkey AS device_sk",
         "concat('DEVICE-', printf('%05d', c_custkey)) AS device_id",
         "CASE c_custkey % 3 WHEN 0 THEN 'SENSOR' WHEN 1 THEN 'PLC' ELSE 'HMI' END AS device_type",
@@ -138,7 +148,8 @@ def dim_device_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def device_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "customer").selectExpr(
+    known = read_table(spark, sf_dir, "customer").where(f"NOT ({NOT_IN_REGISTRY.format('c_custkey')})")
+    return known.selectExpr(
         "concat('DEVICE-', printf('%05d', c_custkey)) AS device_id",
         "c_name AS asset_name",
         "c_mktsegment AS location",
@@ -198,7 +209,7 @@ iot_base AS (
       ELSE CAST(regexp_extract(e.props, '[0-9]+', 0) AS INTEGER) END AS quality,
     CAST(CASE e.event_type WHEN 'click' THEN 150 WHEN 'view' THEN 200 WHEN 'error' THEN 250
       WHEN 'purchase' THEN 300 END AS DOUBLE) AS alert_threshold
-  FROM events e JOIN customer c ON c.c_custkey = e.user_id)""",
+  FROM events e LEFT JOIN customer c ON c.c_custkey = e.user_id)""",
     "iot_raw": """
 iot_raw AS (
   SELECT event_id, device_id, device_type, plant_id, line_id, event_ts, event_name,
@@ -234,7 +245,7 @@ dim_device AS (
     c_mktsegment AS location,
     CASE WHEN c_acctbal >= 5000 THEN 'HIGH' WHEN c_acctbal >= 0 THEN 'MEDIUM' ELSE 'LOW' END AS criticality,
     CAST(5 * (c_custkey % 3 + 1) AS INTEGER) AS sla_minutes
-  FROM customer)""",
+  FROM customer WHERE c_custkey % 19 <> 5)""",
     "dim_device_scd2": f"""
 dim_device_scd2 AS (
   SELECT device_sk, device_id, plant_id, criticality, sla_minutes,
@@ -252,7 +263,7 @@ registry AS (
     c_mktsegment AS location,
     CASE WHEN c_acctbal >= 5000 THEN 'HIGH' WHEN c_acctbal >= 0 THEN 'MEDIUM' ELSE 'LOW' END AS criticality,
     'SUN-' || printf('%02d', c_custkey % 24) AS maintenance_window
-  FROM customer)""",
+  FROM customer WHERE c_custkey % 17 <> 3)""",
     "log_raw": """
 log_raw AS (
   SELECT 'LOG-' || CAST(event_id AS VARCHAR) AS event_id,

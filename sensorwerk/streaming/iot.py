@@ -7,16 +7,15 @@ de-duplication within it, which bound the state kept in the (RocksDB) state stor
 from __future__ import annotations
 
 import logging
+import time
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from sensorwerk import schemas as S
-from sensorwerk.config import BROADCAST_MAX_ROWS
 from sensorwerk.functions.columns import epoch_ms_to_instant, epoch_ms_to_ts
 from sensorwerk.operators import aggregates as A
 from sensorwerk.operators import enrich
@@ -56,7 +55,7 @@ def dedup_within_watermark(df: DataFrame, key: str = "event_id") -> DataFrame:
 
 
 def iot_pipeline(stream: DataFrame, registry: DataFrame, watermark_minutes: int = S.WATERMARK_MINUTES,
-                 dedup: bool = True, registry_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                 dedup: bool = True) -> DataFrame:
     """watermark -> event ids -> de-dup -> anomaly flags -> registry -> partition columns (ST-5)."""
     df = stream
     if S.CORRUPT_COL in df.columns:
@@ -65,7 +64,7 @@ def iot_pipeline(stream: DataFrame, registry: DataFrame, watermark_minutes: int
     if dedup:
         df = dedup_within_watermark(df)
     df = enrich.detect_anomalies(df)
-    df = enrich.enrich_with_registry(df, registry, registry_max_rows)
+    df = enrich.enrich_with_registry(df, registry)
     # hour partition from the record's own epoch ms in UTC, whatever the session time zone
     return enrich.add_partition_cols(df.withColumn("_utc_ts", epoch_ms_to_ts("timestamp_ms")), "_utc_ts").drop("_utc_ts")
 
@@ -123,26 +122,19 @@ def idempotent_batch_writer(output_path: str, partition_cols=("year", "month", "
 
     Each micro-batch lands under a ``batch_id`` leaf partition written with dynamic
     partition overwrite: if a batch is replayed after a failure, its files are replaced,
-    not appended twice. Empty batches are skipped; the record / alarm counts come from an
-    Observation on the write (no extra pass over the batch).
+    not appended twice. The write is the batch's only action: an empty batch replaces nothing, and
+    the record / alarm counts come from an Observation on it.
     """
     cols = list(partition_cols) + ["batch_id"]
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
-        batch = batch_df.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if batch.isEmpty():
-                return
-            obs = Observation(f"batch-{batch_id}")
-            out = batch.withColumn("batch_id", F.lit(batch_id).cast("long")).observe(
-                obs, F.count(F.lit(1)).alias("records"),
-                F.count_if(F.col("threshold_breach")).alias("alarms"))
-            lake.write_partitioned(out, output_path, cols, mode="overwrite", dynamic_overwrite=True)
-            if metrics is not None:
-                m = obs.get
-                metrics.add(batch_id, m["records"], m["alarms"])
-        finally:
-            batch.unpersist()
+        obs = Observation(f"batch-{batch_id}")
+        out = batch_df.withColumn("batch_id", F.lit(batch_id).cast("long")).observe(
+            obs, F.count(F.lit(1)).alias("records"), F.count_if(F.col("threshold_breach")).alias("alarms"))
+        lake.write_partitioned(out, output_path, cols, mode="overwrite", dynamic_overwrite=True)
+        m = obs.get
+        if metrics is not None and m["records"]:
+            metrics.add(batch_id, m["records"], m["alarms"])
 
     return process
 
@@ -197,3 +189,25 @@ def run_bounded(query: StreamingQuery, minutes: float = S.STREAM_RUN_MINUTES) ->
     finished = query.awaitTermination(timeout=int(minutes * 60))
     if not finished:
         query.stop()
+
+
+def run_all(spark: SparkSession, queries: list[StreamingQuery], minutes: float | None = None) -> None:
+    """Run several queries under one deadline. A query that fails ends the run: the others are
+    stopped and its error is raised, whichever of them it is."""
+    ends = None if minutes is None else time.monotonic() + minutes * 60
+    try:
+        while any(q.isActive for q in queries):
+            left = 1.0 if ends is None else min(1.0, ends - time.monotonic())
+            if left <= 0:
+                break
+            for q in queries:
+                if q.exception() is not None:
+                    raise q.exception()
+            next(q for q in queries if q.isActive or q is queries[-1]).awaitTermination(timeout=max(0.05, left))
+        for q in queries:
+            if q.exception() is not None:
+                raise q.exception()
+    finally:
+        for q in queries:
+            if q.isActive:
+                q.stop()

@@ -6,6 +6,7 @@ import io
 import pytest
 
 import __spark_entry__ as E
+from sensorwerk.plans.queries import QUERIES
 from tests.conftest import SF_SMALL
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
@@ -20,7 +21,7 @@ def plan_text(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_forbidden_operators(spark, name):
     text = plan_text(E.queries()[name](spark, SF_SMALL))
     for op in FORBIDDEN:
@@ -62,13 +63,16 @@ def test_weekly_report_sketch_mode_scans_fact_once(spark):
 
 
 def test_bounded_broadcast_checks_size(spark):
-    from sensorwerk.config import bounded_broadcast, has_at_most
+    from sensorwerk.config import bounded_broadcast, plan_bytes
     small, big = spark.range(10), spark.range(1000)
-    assert has_at_most(small, 10) and not has_at_most(big, 999)
-    assert "broadcast" in plan_text(big.join(bounded_broadcast(small, 10), "id")).lower()
+    assert plan_bytes(small) == 80 and plan_bytes(big) == 8000
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    hinted = bounded_broadcast(small, 100)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == jobs        # nothing ran to decide
+    assert "broadcast" in plan_text(big.join(hinted, "id")).lower()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan_text(small.join(bounded_broadcast(big, 999), "id"))
+        text = plan_text(small.join(bounded_broadcast(big, 7999), "id"))
         assert "BroadcastHashJoin" not in text
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -44,7 +44,7 @@ def test_bucketed_tables_join_without_shuffle(spark):
         j = spark.table("bucketed_fact_t").join(spark.table("bucketed_dev_t"), "device_sk")
         text = plan_text(j)
         assert "SortMergeJoin" in text and "Exchange" not in text.split("== Physical Plan ==")[1].split("\n\n")[0]
-        assert j.count() == fact.count()
+        assert j.count() == fact.join(dev, "device_sk", "left_semi").count() > 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP TABLE bucketed_fact_t")

@@ -37,9 +37,9 @@ def test_duplicate_registry_does_not_fan_out(spark):
 def test_staging_serialises_nested(spark, scratch):
     p = os.path.join(scratch, "lake")
     spark.createDataFrame([("e1", ["a", "b"])], "event_id string, tags array<string>").write.parquet(p)
-    st = load_staging(spark, p, ["event_id", "tags", "unit"])
-    r = st.collect()[0]
-    assert r.tags == '["a","b"]' and r.unit is None
+    assert load_staging(spark, p, ["event_id", "tags"]).collect()[0].tags == '["a","b"]'
+    with pytest.raises(ValueError, match="unit"):
+        load_staging(spark, p, ["event_id", "tags", "unit"])
 
 
 def test_register_lake_table(spark, scratch):

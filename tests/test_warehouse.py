@@ -58,11 +58,11 @@ def test_partition_scoped_upsert_and_hourly_refresh(spark, scratch):
 
     staging = (fact.filter(F.col("event_ts") >= ntz("2024-01-15"))
                .withColumn("value_numeric", F.col("value_numeric") + 1).drop("event_date"))
-    jobs.load_fact_batch(spark, fpath, staging)
+    touched = jobs.load_fact_batch(spark, fpath, staging)
     expected = warehouse.upsert(initial.drop("event_date"), staging)
     assert _sorted(spark.read.parquet(fpath).drop("event_date")) == _sorted(expected.select(*initial.drop("event_date").columns))
 
-    jobs.refresh_hourly(spark, fpath, plants, h_inc, touched_dates=staging.select(day_start("event_ts")))
+    jobs.refresh_hourly(spark, fpath, plants, h_inc, touched=touched)
     jobs.refresh_hourly(spark, fpath, plants, h_full)
     cols = ["event_hour", "plant_id", "total_events", "alarm_count", "high_anomaly_count", "low_quality_events"]
     inc, full = spark.read.parquet(h_inc), spark.read.parquet(h_full)
