@@ -13,7 +13,13 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import StructType
+
+from sensorwerk import schemas as S
 from sensorwerk.config import bounded_broadcast, checkpoint_dir
+from sensorwerk.functions.columns import epoch_ms_to_ts
+from sensorwerk.operators import dims
+from sensorwerk.operators.aggregates import attach_minute_stats
 from sensorwerk.operators.dedup import keep_latest
 from sensorwerk.sinks import lake
 
@@ -32,6 +38,24 @@ def upsert(target: DataFrame, staging: DataFrame, key: str = "event_id", dedup_s
     return kept.unionByName(staging.select(*target.columns))
 
 
+def conform(df: DataFrame, schema: StructType) -> DataFrame:
+    """The columns of ``schema`` by name, cast to its types; an absent column is an error."""
+    absent = [f.name for f in schema if f.name not in df.columns]
+    if absent:
+        raise ValueError(f"columns are missing: {', '.join(absent)}")
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def fact_events(lake_rows: DataFrame, devices: DataFrame, plants: DataFrame) -> DataFrame:
+    """Lake events (natural ids, anomaly flags, epoch ms) as rows of the event fact: surrogate keys
+    (-1 for unknown members, J-7), ``date_sk``, the 1-minute statistics of the event's own device
+    (A-1) and the fact's types."""
+    timed = lake_rows.withColumn("event_ts", epoch_ms_to_ts("timestamp_ms"))
+    keyed = attach_minute_stats(dims.lookup_keys(timed, devices, plants), key="device_id")
+    return conform(keyed.withColumns({
+        "event_sk": F.xxhash64("event_id"), "year": F.year("event_ts"), "month": F.month("event_ts")}), S.FACT_IOT_SCHEMA)
+
+
 def incremental_rows(target: DataFrame, source: DataFrame, ts: str = "event_ts",
                      floor: str = "0001-01-01 00:00:00") -> DataFrame:
     """Source rows strictly newer than the target's high-water mark (SNK-11). The mark is a

@@ -143,15 +143,21 @@ def run_iot_job(spark: SparkSession, raw_path: str, registry_path: str, output_p
 
 
 def run_warehouse_cycle(spark: SparkSession, staging_path: str, fact_path: str, hourly_path: str,
-                        plants: DataFrame, report_table_path: str, as_of: str, days: int = 7) -> DataFrame:
+                        plants: DataFrame, report_table_path: str, as_of: str, days: int = 7,
+                        devices: DataFrame | None = None) -> DataFrame:
     """Load + report cycle (entry point C): staging Parquet -> partition-scoped upsert of the
     fact -> hourly roll-up refreshed for the touched days -> weekly report computed from the
     roll-up alone (device counts from its sketches) and written as a table."""
     from sensorwerk.plans.reports import weekly_report_after
     from sensorwerk.sources.raw import load_staging
 
-    fact_cols = [c for c in spark.read.parquet(fact_path).columns if c != "event_date"]
-    staging = load_staging(spark, staging_path, fact_cols)
+    if devices is not None:          # the streaming job's own output: natural ids become keys on the way
+        wanted = ["event_id", "device_id", "plant_id", "timestamp_ms", "event_name", "value_numeric", "value_string", "unit",
+                  "quality", "alert_threshold", "threshold_breach", "anomaly_score", "processed_at"]
+        staging = warehouse.fact_events(load_staging(spark, staging_path, wanted), devices, plants)
+    else:
+        fact_cols = [c for c in spark.read.parquet(fact_path).columns if c != "event_date"]
+        staging = load_staging(spark, staging_path, fact_cols)
     touched = load_fact_batch(spark, fact_path, staging)
     refresh_hourly(spark, fact_path, plants, hourly_path, touched)
     report = weekly_report_after(None, plants, as_of, days, hourly=spark.read.parquet(hourly_path), devices="sketch")

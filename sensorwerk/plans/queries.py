@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorwerk.functions.columns import date_sk, epoch_ms_to_ts, ntz, round_numeric
+from sensorwerk.functions.columns import date_sk, epoch_ms_to_ts, ntz, round_numeric, ts_to_epoch_ms
 from sensorwerk.operators import aggregates as A
 from sensorwerk.operators import dims, enrich, quality, warehouse
 from sensorwerk.operators.alerts import AlertRule, evaluate_alerts
@@ -254,6 +254,17 @@ def q_upsert_table(spark, sf):
     return spark.read.schema(target.schema).parquet(f"{base}/fact").select("event_id", "device_sk", "value_numeric", "event_date")
 
 
+def q_lake_to_fact(spark, sf):
+    """Lake rows as the streaming job writes them, loaded as fact rows."""
+    lake_rows = enrich.detect_anomalies(T.iot_raw(spark, sf)).withColumns({
+        "timestamp_ms": ts_to_epoch_ms("event_ts"), "value_string": F.lit(None).cast("string"),
+        "processed_at": F.lit(RUN_TS).cast("timestamp_ntz")}).drop("event_ts")
+    fact = warehouse.fact_events(lake_rows, T.dim_device(spark, sf), _plants(spark, sf))
+    return fact.select("event_id", "device_sk", "plant_sk", "date_sk", "event_ts", "event_name", "value_numeric", "unit",
+                       "quality", "threshold_breach", "anomaly_score", _r4("avg_value_1min"), _r4("stddev_value_1min"),
+                       "year", "month")
+
+
 def q_incremental_load(spark, sf):
     target, resend = _target_and_resend(spark, sf)
     return warehouse.incremental_load(target, resend, "event_id", "event_ts")
@@ -348,6 +359,7 @@ QUERIES = {
     "table_row_counts": q_table_row_counts,
     "upsert_events": q_upsert_events,
     "upsert_table": q_upsert_table,
+    "lake_to_fact": q_lake_to_fact,
     "incremental_load": q_incremental_load,
     "kpi_cards": q_kpi_cards,
     "events_by_plant": q_events_by_plant,

@@ -6,15 +6,13 @@ file sources, so required fields are checked by the quality rules instead.
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    ArrayType, BooleanType, DateType, DoubleType, FloatType, IntegerType, LongType,
+    ArrayType, BooleanType, DoubleType, IntegerType, LongType,
     ShortType, StringType, StructField, StructType, TimestampNTZType, TimestampType,
 )
 
 # ---- fixed values (must equal the reference for identical results) -------------------
 VALID_SEVERITIES = ("INFO", "WARNING", "ERROR", "CRITICAL")
 VALID_EVENT_TYPES = ("START", "STOP", "ALARM", "MAINTENANCE", "CYCLE_COMPLETE")
-DEVICE_TYPES = ("SENSOR", "PLC", "HMI")
-CRITICALITIES = ("HIGH", "MEDIUM", "LOW")
 TEMPERATURE_RANGE_C = (-50, 1500)        # inclusive
 LOW_QUALITY_1MIN = 80                    # "low quality" inside the 1-minute aggregate
 BAD_QUALITY = 60                         # "bad quality" of the anomaly flags and the KPI roll-up
@@ -31,18 +29,12 @@ STREAM_RUN_MINUTES = 110
 LANDING_MAX_RECORDS_PER_FILE = 10000
 KAFKA_TOPICS = ("factory-iot-events", "factory-machine-logs", "factory-alerts")
 DEAD_LETTER_TOPIC = "factory-iot-dlq"
-# synthetic generator: event name -> (low, high, unit, threshold); quality range
-GENERATOR_RANGES = (
-    ("TEMPERATURE", 65.0, 115.0, "°C", 90.0),
-    ("VIBRATION", 0.5, 3.5, "Hz", 2.0),
-    ("PRESSURE", 2.5, 6.5, "bar", 5.0),
-)
-GENERATOR_QUALITY = (70, 99)
-SHIFT_STARTS = ("06:00", "14:00", "22:00")   # morning, afternoon, night
 # ----------------------------------------------------------------------------------------
 
 CORRUPT_COL = "_corrupt_record"
 
+# Record schemas below: field names and types are fixed values as well.
+
 LOG_SCHEMA = StructType([
     StructField("event_id", StringType(), False),
     StructField("machine_id", StringType(), False),
@@ -86,55 +78,6 @@ REGISTRY_SCHEMA = StructType([
     StructField("maintenance_window", StringType(), True),
 ])
 
-DIM_DEVICE_SCHEMA = StructType([
-    StructField("device_sk", LongType(), False),
-    StructField("device_id", StringType(), False),
-    StructField("device_type", StringType(), True),
-    StructField("asset_name", StringType(), True),
-    StructField("plant_id", StringType(), False),
-    StructField("line_id", StringType(), True),
-    StructField("location", StringType(), True),
-    StructField("criticality", StringType(), True),
-    StructField("manufacturer", StringType(), True),
-    StructField("model", StringType(), True),
-    StructField("install_date", DateType(), True),
-    StructField("sla_minutes", IntegerType(), True),
-    StructField("is_active", BooleanType(), True),
-    StructField("valid_from", TimestampNTZType(), True),
-    StructField("valid_to", TimestampNTZType(), True),
-    StructField("created_at", TimestampNTZType(), True),
-])
-
-DIM_PLANT_SCHEMA = StructType([
-    StructField("plant_sk", LongType(), False),
-    StructField("plant_id", StringType(), False),
-    StructField("plant_name", StringType(), True),
-    StructField("country_code", StringType(), True),
-    StructField("region", StringType(), True),
-    StructField("timezone", StringType(), True),
-    StructField("shift_morning_start", StringType(), True),
-    StructField("shift_afternoon_start", StringType(), True),
-    StructField("shift_night_start", StringType(), True),
-    StructField("capacity_units", IntegerType(), True),
-    StructField("created_at", TimestampNTZType(), True),
-])
-
-DIM_DATE_SCHEMA = StructType([
-    StructField("date_sk", IntegerType(), False),
-    StructField("full_date", DateType(), False),
-    StructField("year", ShortType(), True),
-    StructField("quarter", ShortType(), True),
-    StructField("month", ShortType(), True),
-    StructField("month_name", StringType(), True),
-    StructField("week_of_year", ShortType(), True),
-    StructField("day_of_month", ShortType(), True),
-    StructField("day_of_week", ShortType(), True),
-    StructField("day_name", StringType(), True),
-    StructField("is_weekend", BooleanType(), True),
-    StructField("is_holiday", BooleanType(), True),
-    StructField("fiscal_period", StringType(), True),
-])
-
 FACT_IOT_SCHEMA = StructType([
     StructField("event_sk", LongType(), True),
     StructField("event_id", StringType(), True),
@@ -157,31 +100,6 @@ FACT_IOT_SCHEMA = StructType([
     StructField("month", ShortType(), True),
 ])
 
-FACT_LOG_SCHEMA = StructType([
-    StructField("log_sk", LongType(), True),
-    StructField("event_id", StringType(), False),
-    StructField("machine_id", StringType(), False),
-    StructField("device_sk", LongType(), True),
-    StructField("plant_sk", LongType(), True),
-    StructField("date_sk", IntegerType(), True),
-    StructField("event_ts", TimestampNTZType(), False),
-    StructField("event_type", StringType(), True),
-    StructField("severity", StringType(), True),
-    StructField("error_code", StringType(), True),
-    StructField("temperature_c", FloatType(), True),
-    StructField("vibration_hz", FloatType(), True),
-    StructField("pressure_bar", FloatType(), True),
-    StructField("cycle_count", LongType(), True),
-    StructField("operator_id", StringType(), True),
-    StructField("shift", StringType(), True),
-    StructField("is_alarm", BooleanType(), True),
-    StructField("is_critical", BooleanType(), True),
-    StructField("resolution_minutes", IntegerType(), True),
-    StructField("processed_at", TimestampNTZType(), True),
-    StructField("year", ShortType(), True),
-    StructField("month", ShortType(), True),
-])
-
 # Kafka source columns (what ``readStream.format("kafka")`` yields)
 KAFKA_SCHEMA = StructType([
     StructField("key", StringType(), True),

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from sensorwerk.operators import aggregates as A
 from sensorwerk.operators import dims
 from sensorwerk.plans import reports
-from sensorwerk.sources import seeds
+from tests import seeds
 
 
 def test_hourly_kpis_from_seed(spark):

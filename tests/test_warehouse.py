@@ -125,3 +125,43 @@ def test_warehouse_cycle_idempotent_and_equal_to_direct_report(spark, scratch):
     assert first == second
     direct = reports.weekly_report_after(_fact(spark), plants, "2024-01-31", devices="fact_exact")
     assert first == _sorted(direct)
+
+
+def test_upsert_moves_and_undated_rows(spark, scratch):
+    from sensorwerk.operators import warehouse
+
+    path = os.path.join(scratch, "fact")
+    schema = "event_id string, v int, event_date date"
+    day = lambda d: __import__("datetime").date(2024, 1, d)
+    rows = [("k1", 1, day(1)), ("k2", 2, day(1)), ("k3", 3, day(3)), ("n1", 4, None), ("n2", 5, None), (None, 6, day(1))]
+    spark.createDataFrame(rows, schema).write.partitionBy("event_date").parquet(path)
+    sent = [("k1", 10, day(2)), ("k3", 30, day(2)), ("n9", 50, None), ("n2", 51, day(1))]
+    for _ in range(2):                                     # replaying the batch changes nothing
+        warehouse.write_upsert(spark, path, spark.createDataFrame(sent, schema))
+        got = {(r.event_id, r.v, r.event_date) for r in spark.read.schema(schema).parquet(path).collect()}
+        assert got == {("k2", 2, day(1)), (None, 6, day(1)), ("n1", 4, None), *sent}
+    assert not os.path.exists(os.path.join(path, "event_date=2024-01-03"))           # its last row moved away
+
+
+def test_cycle_from_the_lake_and_emptied_days(spark, scratch):
+    from sensorwerk.functions.columns import ts_to_epoch_ms
+    from sensorwerk.operators import enrich, warehouse
+
+    plants, devices = T.dim_plant(spark, SF_SMALL), T.dim_device(spark, SF_SMALL)
+    lake_rows = enrich.detect_anomalies(T.iot_raw(spark, SF_SMALL)).withColumns({
+        "timestamp_ms": ts_to_epoch_ms("event_ts"), "value_string": F.lit(None).cast("string"),
+        "processed_at": F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")}).drop("event_ts")
+    fpath, hpath, rpath, spath, s2 = (os.path.join(scratch, n) for n in ("fact", "hourly", "report", "staging", "late"))
+    first = warehouse.fact_events(lake_rows, devices, plants).withColumn("event_date", day_start("event_ts"))
+    first.filter(F.col("event_ts") < ntz("2024-01-20")).write.partitionBy("event_date").parquet(fpath)
+    jobs.refresh_hourly(spark, fpath, plants, hpath)
+    lake_rows.write.parquet(spath)
+    report = jobs.run_warehouse_cycle(spark, spath, fpath, hpath, plants, rpath, "2024-01-31", devices=devices)
+    assert report.count() > 0
+    fact = spark.read.parquet(fpath)
+    assert fact.count() == lake_rows.count() and fact.filter("device_sk = -1").count() > 0
+    # all events of one day are sent again a day later: the day's hours go
+    moved = first.filter(F.col("event_ts") >= ntz("2024-01-25")).filter(F.col("event_ts") < ntz("2024-01-26")).select("event_id")
+    lake_rows.join(moved, "event_id").withColumn("timestamp_ms", F.col("timestamp_ms") + 86_400_000).write.parquet(s2)
+    jobs.run_warehouse_cycle(spark, s2, fpath, hpath, plants, rpath, "2024-01-31", devices=devices)
+    assert spark.read.parquet(hpath).filter("event_date = DATE'2024-01-25'").count() == 0
