@@ -1,18 +1,15 @@
 """The registered ``opN_*`` queries with production parameters, and their DuckDB twins."""
 from __future__ import annotations
 
-import os
-
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from sensorwerk.llm import (exact_dedup, html_extract, langid, line_dedup, mixing, packing, pivot_search, simhash,
                             substring_dedup, tokens)
 from sensorwerk.llm.common import table
 
-#: Where the public tokenizer files lie, unless the caller names another folder.
-TOKENIZER_DIR = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
-BYTE_BPE = f"{TOKENIZER_DIR}/byte_bpe_50k.json"
-WORD_BPE = f"{TOKENIZER_DIR}/word_bpe_49k.json"
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_pivot_search(spark, sf):
