@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pyspark.sql.types import StructType
@@ -118,12 +118,19 @@ def write_upsert(spark: SparkSession, target_path: str, staging: DataFrame, key:
 def refresh_partitions(spark: SparkSession, table_path: str, content: DataFrame, partition_col: str,
                        touched: list | None = None) -> None:
     """Replace the partitions present in ``content`` (SNK-10 incremental refresh) and remove the
-    ``touched`` ones that it has no rows for any more."""
-    seen = Observation(f"refresh-{uuid.uuid4().hex}")
-    there = content.observe(seen, F.collect_set(F.coalesce(F.col(partition_col).cast("string"), F.lit(""))).alias("values"))
-    lake.write_partitioned(there, table_path, [partition_col], mode="overwrite", dynamic_overwrite=True)
-    present = set(seen.get["values"] or [])
+    ``touched`` ones that it has no rows for any more. ``content`` is read twice: pass a written table."""
+    present = _partition_values(content, partition_col)
+    lake.write_partitioned(content, table_path, [partition_col], mode="overwrite", dynamic_overwrite=True)
     for value in touched or []:
-        name = "" if value is None else str(value)
-        if name not in present:
-            lake.remove(spark, f"{table_path.rstrip('/')}/{partition_col}={name or '__HIVE_DEFAULT_PARTITION__'}")
+        if value not in present:
+            name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+            lake.remove(spark, f"{table_path.rstrip('/')}/{partition_col}={name}")
+
+
+def refresh_through_scratch(spark: SparkSession, table_path: str, content: DataFrame, partition_col: str,
+                            touched: list | None = None) -> None:
+    """:func:`refresh_partitions` of rows that are computed, by way of the shared folder."""
+    scratch = _scratch(spark, "refresh")
+    content.write.parquet(scratch)
+    refresh_partitions(spark, table_path, spark.read.schema(content.schema).parquet(scratch), partition_col, touched)
+    lake.remove(spark, scratch)

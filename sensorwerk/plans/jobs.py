@@ -118,7 +118,7 @@ def refresh_hourly(spark: SparkSession, fact_path: str, plants: DataFrame, hourl
     if days is not None:
         fact = fact.filter(F.col("event_date").isin(days))
     hourly = A.hourly_plant_kpis(fact, plants, device_sketch=True).withColumn("event_date", F.to_date("event_hour"))
-    warehouse.refresh_partitions(spark, hourly_path, hourly, "event_date", days)
+    warehouse.refresh_through_scratch(spark, hourly_path, hourly, "event_date", days)
 
 
 def run_iot_job(spark: SparkSession, raw_path: str, registry_path: str, output_path: str, checkpoint: str,

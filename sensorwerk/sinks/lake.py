@@ -30,6 +30,11 @@ def write_partitioned(df: DataFrame, path: str, partition_cols, fmt: str = "parq
     w.save(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a folder of the lake or of the scratch area, if it is there."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

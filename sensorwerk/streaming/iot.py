@@ -10,7 +10,7 @@ import logging
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -55,14 +55,21 @@ def dedup_within_watermark(df: DataFrame, key: str = "event_id") -> DataFrame:
 
 
 def iot_pipeline(stream: DataFrame, registry: DataFrame, watermark_minutes: int = S.WATERMARK_MINUTES,
-                 dedup: bool = True) -> DataFrame:
-    """watermark -> event ids -> de-dup -> anomaly flags -> registry -> partition columns (ST-5)."""
+                 dedup: str = "sink") -> DataFrame:
+    """event time -> event ids -> de-dup -> anomaly flags -> registry -> partition columns (ST-5).
+
+    ``dedup="sink"`` leaves re-deliveries to the sink, which compares a batch with what it holds for
+    the same days: rows of any lateness are kept, and no state grows. ``"watermark"`` drops copies
+    inside the watermark in the stream's own state (ST-3); rows behind the watermark are dropped
+    with them (ST-4; :func:`dropped_rows` counts them)."""
     df = stream
     if S.CORRUPT_COL in df.columns:
         df = df.filter(F.col(S.CORRUPT_COL).isNull()).drop(S.CORRUPT_COL)
     df = ensure_event_id(apply_watermark(df, watermark_minutes))
-    if dedup:
+    if dedup == "watermark":
         df = dedup_within_watermark(df)
+    elif dedup != "sink":
+        raise ValueError("dedup must be 'sink' or 'watermark'")
     df = enrich.detect_anomalies(df)
     df = enrich.enrich_with_registry(df, registry)
     # hour partition from the record's own epoch ms in UTC, whatever the session time zone
@@ -104,6 +111,8 @@ def drain_to_table(spark: SparkSession, stream_df: DataFrame, path: str, checkpo
     finally:
         spark.conf.set(key, before)
     q.awaitTermination()
+    if lost := dropped_rows(q):
+        log.warning("%s rows came behind the watermark and are in no window", lost)
     return spark.read.schema(stream_df.schema).parquet(path)
 
 
@@ -116,36 +125,63 @@ class BatchMetrics:
         log.info("METRIC batch_id=%s records=%s alarms=%s", batch_id, records, alarms)
 
 
+MAX_BATCH_DAYS = 40_000          # a century; more distinct days in a batch are junk timestamps
+
+
+def not_landed(batch: DataFrame, batch_id: int, output_path: str, key: str, day_cols=("year", "month", "day")) -> DataFrame:
+    """The batch's rows, one per ``key``, that no earlier batch has written for the same days. Only the
+    key column of those days' partitions is read; a replay does not meet its own files."""
+    once = batch.dropDuplicates([key])
+    spark = batch.sparkSession
+    if not lake.exists(spark, output_path):
+        return once
+    day = F.concat_ws("-", *day_cols)
+    days = [r[0] for r in batch.select(day).distinct().limit(MAX_BATCH_DAYS + 1).collect()]
+    if len(days) > MAX_BATCH_DAYS:
+        raise ValueError(f"a batch spans more than {MAX_BATCH_DAYS} days")
+    held = spark.read.schema(batch.schema).parquet(output_path).where(day.isin(days) & (F.col("batch_id") != batch_id))
+    return once.join(held.select(key), key, "left_anti").select(*batch.columns)
+
+
 def idempotent_batch_writer(output_path: str, partition_cols=("year", "month", "day", "hour", "plant_id"),
-                            metrics: BatchMetrics | None = None):
+                            metrics: BatchMetrics | None = None, key: str | None = "event_id"):
     """``foreachBatch`` function (SNK-4, SNK-5b).
 
-    Each micro-batch lands under a ``batch_id`` leaf partition written with dynamic
-    partition overwrite: if a batch is replayed after a failure, its files are replaced,
-    not appended twice. The write is the batch's only action: an empty batch replaces nothing, and
-    the record / alarm counts come from an Observation on it.
+    Each micro-batch lands under a ``batch_id`` leaf partition written with dynamic partition
+    overwrite: if a batch is replayed after a failure, its files are replaced, not appended twice.
+    Re-delivered records are left out by ``key`` (:func:`not_landed`), however late they come. An empty
+    batch replaces nothing. The record / alarm counts are read from the batch's own files.
     """
     cols = list(partition_cols) + ["batch_id"]
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
-        obs = Observation(f"batch-{batch_id}")
-        out = batch_df.withColumn("batch_id", F.lit(batch_id).cast("long")).observe(
-            obs, F.count(F.lit(1)).alias("records"), F.count_if(F.col("threshold_breach")).alias("alarms"))
-        lake.write_partitioned(out, output_path, cols, mode="overwrite", dynamic_overwrite=True)
-        m = obs.get
-        if metrics is not None and m["records"]:
-            metrics.add(batch_id, m["records"], m["alarms"])
+        rows = batch_df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        if key:
+            rows = not_landed(rows, batch_id, output_path, key)
+        lake.write_partitioned(rows, output_path, cols, mode="overwrite", dynamic_overwrite=True)
+        if metrics is None:
+            return
+        landed = batch_df.sparkSession.read.schema(rows.schema).parquet(output_path).where(F.col("batch_id") == batch_id)
+        records, alarms = landed.agg(F.count(F.lit(1)), F.count_if(F.col("threshold_breach"))).first()
+        if records:
+            metrics.add(batch_id, records, alarms)
 
     return process
 
 
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that the query's state operators dropped behind the watermark, over the progress kept."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p.get("stateOperators", []))
+
+
 IOT_PARTITIONS = ("year", "month", "day", "hour", "plant_id")
 BACKFILL_PARTITIONS = ("year", "month", "day")
 
 
 def start_iot_sink(df: DataFrame, output_path: str, checkpoint: str, trigger: dict | None = None,
                    metrics: BatchMetrics | None = None, query_name: str | None = None,
-                   partition_cols=IOT_PARTITIONS, state_partitions: int | None = None) -> StreamingQuery:
+                   partition_cols=IOT_PARTITIONS, state_partitions: int | None = None,
+                   dedup_key: str | None = "event_id") -> StreamingQuery:
     """Start the stream (ST-6, ST-7). ``trigger`` defaults to a 5-minute processing-time
     trigger; pass ``{"availableNow": True}`` for a bounded catch-up run (bookmark-like).
 
@@ -153,10 +189,13 @@ def start_iot_sink(df: DataFrame, output_path: str, checkpoint: str, trigger: di
     partitions of a large stream). A backfill that pushes weeks through one batch should
     pass ``BACKFILL_PARTITIONS``: hour x plant would make a file per hour and plant.
 
+    ``dedup_key``: None for a stream that drops copies in its own state, whose batch must then be
+    evaluated once only.
+
     ``state_partitions``: number of state-store / shuffle partitions of a *new* query (it is
     fixed in the checkpoint at the first start). Applied only while the query starts (the
     stream clones the session then); the session setting is restored right after."""
-    w = (df.writeStream.foreachBatch(idempotent_batch_writer(output_path, partition_cols, metrics=metrics))
+    w = (df.writeStream.foreachBatch(idempotent_batch_writer(output_path, partition_cols, metrics, dedup_key))
          .option("checkpointLocation", checkpoint))
     if query_name:
         w = w.queryName(query_name)
