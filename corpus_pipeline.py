@@ -10,21 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorwerk.llm import exact_dedup, langid, mixing, packing, simhash
-from sensorwerk.llm.common import materialize, table
+from sensorwerk.llm.common import materialize, numbered, table
 from sensorwerk.llm.queries import WORD_BPE
 
 #: SQL has neither the fitted language models nor the tokenizer; tests hold run() against plain Python.
 ORACLE_SQL = None
 
 
-def _with_rows(docs: DataFrame) -> tuple[DataFrame, str]:
-    """The documents with a row number that is fixed by writing them once."""
-    name = "row_no"
-    while name in docs.columns:
-        name += "_"
-    return materialize(docs.withColumn(name, F.monotonically_increasing_id()), "rows"), name
-
-
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents in which no language can be told (null texts and texts without a letter)."""
     model = langid.fit(docs, ~langid.held_out())
@@ -32,20 +24,20 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows, no = _with_rows(docs)
+    rows, no = numbered(docs)
     kept = exact_dedup.kept_rows(rows, no)
     return rows.join(kept, rows[no] == kept.rid, "left_semi").select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows, no = _with_rows(docs)
+    rows, no = numbered(docs)
     kept = simhash.kept_rows(rows, no)
     return rows.join(kept, rows[no] == kept.rid, "left_semi").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it (0, 1 or 2 times)."""
-    rows, no = _with_rows(docs)
+    rows, no = numbered(docs)
     taken = mixing.copies_of(rows, no)
     each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
     taken = taken.select("rid", each.alias("copy_no"))            # a row per copy, before the texts join
