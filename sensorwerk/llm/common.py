@@ -45,6 +45,25 @@ def discard(df: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with a long that names each for good, and that column's name.
+
+    Plain file relations are numbered by their files' places (a number per file, then the row's place
+    in it), which no re-run changes; anything else is written once.
+    """
+    name = "row_no"
+    while name in docs.columns:
+        name += "_"
+    if docs._jdf.queryExecution().analyzed().nodeName() != "LogicalRelation" or "_metadata" in docs.columns:
+        return materialize(docs.withColumn(name, F.monotonically_increasing_id()), "rows"), name
+    file, row = f"{name}file", f"{name}row"
+    placed = docs.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
+    files = materialize(placed.select(F.col(file).alias("path")).distinct().coalesce(1).select(
+        "path", F.monotonically_increasing_id().alias("file_no")), "files")            # a row per file
+    at = F.shiftleft("file_no", 40).bitwiseOR(F.col(row))
+    return placed.join(files, F.col(file) == F.col("path")).select(*[placed[c] for c in docs.columns], at.alias(name)), name
+
+
 def components(edges: DataFrame, a: str, b: str, max_rounds: int = 100) -> DataFrame:
     """Smallest member of the connected component of every node that has a link.
 
