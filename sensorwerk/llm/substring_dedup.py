@@ -182,13 +182,16 @@ def _subtrees(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _nodes(rows: pd.DataFrame) -> pd.DataFrame:
-    """Per context and node the place bits of its windows and the smallest document."""
+    """Per context and node the place bits of its windows, and the smallest document where that is
+    smaller than the context's own."""
     _, group = np.unique(rows.h.to_numpy(), return_inverse=True)
     row, begin, node = repeats(group, [np.frombuffer(w, "<u8") for w in rows.words])
     lo = rows.lo.to_numpy(np.int64)
     least = np.full(int(node.max(initial=-1)) + 1, LAST, np.int64)
     np.minimum.at(least, node, lo[row])
     place = begin + REACH - 1 - rows.left.to_numpy(np.int64)[row]
+    earlier = least[node] < lo[row]                                       # its own first document is known
+    row, node, place = row[earlier], node[earlier], place[earlier]
     out = pd.DataFrame({"row": row, "lo": least[node], "bits": np.left_shift(np.int64(1), place)})
     out = out.groupby(["row", "lo"], as_index=False).bits.sum()
     i = out.row.to_numpy()
@@ -245,7 +248,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # branching prefixes: the text of one occurrence of each distinct context
     first = F.min(F.struct("rank_id", "th", "p")).alias("w")
     ctxs = materialize(both.where("not edge").groupBy("h", "ctx").agg(first), "contexts")
-    width = ctxs.groupBy("h").count().where(F.col("count") > subtree_rows).select(F.col("h").alias("wh"))
+    width = materialize(ctxs.groupBy("h").count().where(F.col("count") > subtree_rows).select(F.col("h").alias("wh")), "wide")
     asked = ctxs.join(width, F.col("h") == F.col("wh"), "left").select(
         F.col("w.rank_id").alias("r"), F.col("w.th").alias("t"),
         F.struct("h", "ctx", F.col("w.rank_id").alias("lo"), F.col("w.p").alias("p"),
@@ -257,15 +260,20 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     trees = content.where("place < 0").select("h", "ctx", "lo", "left", "words").repartition("h").sortWithinPartitions("h")
     nodes = trees.mapInPandas(_subtrees, "h long, ctx long, lo long, bits long")
     wide = content.where("place >= 0").select("h", "ctx", "place", "window", "lo")
-    low = wide.groupBy("h", "place", "window").agg(F.min("lo").alias("least")).select(
-        F.col("h").alias("lh"), F.col("place").alias("lp"), F.col("window").alias("lw"), "least")
-    leaves = wide.join(low, (F.col("h") == F.col("lh")) & (F.col("place") == F.col("lp")) & (F.col("window") == F.col("lw"))) \
+    low = wide.groupBy("h", "place", "window").agg(F.min("lo").alias("least"), F.max("lo").alias("most")).where(
+        "least < most").select(F.col("h").alias("lh"), F.col("place").alias("lp"), F.col("window").alias("lw"), "least")
+    leaves = wide.join(low, (F.col("h") == F.col("lh")) & (F.col("place") == F.col("lp")) & (F.col("window") == F.col("lw"))
+                       & (F.col("least") < F.col("lo"))) \
         .select("h", "ctx", F.col("least").alias("lo"), F.expr("shiftleft(1L, place)").alias("bits"))
     node = nodes.unionByName(leaves).groupBy("h", "ctx", "lo").agg(F.bit_or("bits").alias("bits"))
-    per_ctx = materialize(node.groupBy("h", "ctx").agg(F.collect_list(F.struct("lo", "bits")).alias("nodes")).select(
-        F.col("h").alias("nh"), F.col("ctx").alias("nc"), "nodes"), "nodes")               # at most REACH a context
-    hit = F.aggregate("nodes", F.lit(0).cast("long"), lambda m, e: F.when(
+    nodes = node.groupBy("h", "ctx").agg(F.collect_list(F.struct("lo", "bits")).alias("nodes"))   # at most REACH a context
+    # later occurrences of a context lose all its windows to the first, which may lose some to other contexts
+    own = ctxs.select("h", "ctx", F.col("w.rank_id").alias("own"))
+    per_ctx = materialize(own.join(nodes, ["h", "ctx"], "left").select(
+        F.col("h").alias("nh"), F.col("ctx").alias("nc"), "own", "nodes"), "nodes")
+    to_others = F.aggregate("nodes", F.lit(0).cast("long"), lambda m, e: F.when(
         e["lo"] < F.col("rank_id"), m.bitwiseOR(e["bits"])).otherwise(m))
+    hit = F.when(F.col("rank_id") > F.col("own"), F.lit(every).cast("long")).otherwise(F.coalesce(to_others, F.lit(0).cast("long")))
     branch = both.where("not edge").join(per_ctx, (F.col("h") == F.col("nh")) & (F.col("ctx") == F.col("nc"))).select(
         "rank_id", "th", "p", hit.alias("bits")).where("bits <> 0")
     marks = edges.unionByName(branch).groupBy("rank_id", "th").agg(
