@@ -10,8 +10,10 @@ largest sum (ties: the outermost) is the article. The smallest density on its pa
 the page's threshold: another subtree outside the article is kept only if its sum comes near the
 article's (a text that is split into several sections) and its density reaches the threshold.
 
-Elements that are never main text (menus, footers, scripts, forms, adverts, comments, ...) are
-told by tag, role or class and left out of all counts and of the text.
+Elements without text of their own (scripts, controls, ...) are left out by tag. Page furniture
+(menus, footers, forms, adverts, comments, ...) is told by tag, role or a whole class name and left
+out too, unless it lies on the path to the main text: a wrapper that holds the article or main
+element, or, where the page names no other part its article, the largest density sum.
 
 Defined cases: null or empty html gives an empty text; unclosed and misnested tags are repaired,
 truncated pages are read as far as they go; pages without a body element use the whole tree;
@@ -31,8 +33,10 @@ from pyspark.sql import functions as F
 # Element names of the HTML standard, and words that mark page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp noscript template".split())
-DROPPED = frozenset("""head title script style noscript template iframe object embed svg canvas math audio video nav
-    aside footer form button select option textarea input label menu dialog""".split())
+DROPPED = frozenset("""head title script style noscript template iframe object embed svg canvas math audio video
+    button select option textarea input label""".split())
+PARTS = frozenset("nav aside footer menu dialog".split())
+ARTICLE = ("article", "main")
 BLOCK = frozenset("""address article aside blockquote body center dd details div dl dt fieldset figcaption figure
     footer form h1 h2 h3 h4 h5 h6 header hr html legend li main nav ol p pre section summary table tbody td tfoot th
     thead tr ul caption""".split())
@@ -48,30 +52,33 @@ ROLES = frozenset("navigation banner contentinfo complementary search dialog ale
 
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>?", re.S)
 _ATTR = re.compile(r"([^\s=\"'>/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
-_WORDS = re.compile(r"[a-z]+")
 NEAR = 0.5               # a second section counts when its density sum reaches this share of the article's
 
 
 class Node:
-    __slots__ = ("tag", "kids", "parent", "skip", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "kids", "parent", "part", "named", "skip", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: "Node | None", skip: bool = False):
-        self.tag, self.parent, self.skip, self.kids = tag, parent, skip, []
+    def __init__(self, tag: str, parent: "Node | None", skip: bool = False, part: bool = False, named: bool = False):
+        self.tag, self.parent, self.part, self.named, self.kids = tag, parent, part, named, []
+        self.skip = skip or part or named
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def furniture(tag: str, attrs: str) -> bool:
-    if tag in DROPPED:
+def furniture(tag: str, attrs: str, at: Node) -> bool:
+    """Page furniture by its role, a whole class name or its id."""
+    if tag == "form":
         return True
-    if not attrs or tag in ("html", "body", "article", "main"):
+    if not attrs or tag in ("html", "body", *ARTICLE):
         return False
     for name, a, b, c in _ATTR.findall(attrs):
         name, value = name.lower(), (a or b or c).lower()
         if name == "role" and value.strip() in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
             return True
-        if name in ("class", "id") and not FURNITURE.isdisjoint(_WORDS.findall(value)):
-            return True
+        if name in ("class", "id"):
+            hits = FURNITURE.intersection(value.split())
+            if hits and (hits != {"header"} or _site_header("header", at)):
+                return True
         if name == "style" and "display:none" in value.replace(" ", ""):
             return True
     return re.search(r"\shidden(\s|/|$)", attrs) is not None
@@ -95,7 +102,7 @@ def parse(html: str) -> Node:
             at = _close(at, tag)
             continue
         at = _implied(at, tag)
-        node = Node(tag, at, furniture(tag, m[3]) or _site_header(tag, at))
+        node = Node(tag, at, tag in DROPPED, tag in PARTS or _site_header(tag, at), furniture(tag, m[3], at))
         at.kids.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(html, pos)
@@ -109,7 +116,7 @@ def _site_header(tag: str, at: Node) -> bool:
     """A header belongs to the page unless it opens the article itself."""
     if tag != "header":
         return False
-    while at is not None and at.tag not in ("article", "main"):
+    while at is not None and at.tag not in ARTICLE:
         at = at.parent
     return at is None
 
@@ -143,6 +150,7 @@ def measure(node: Node, in_link: bool = False) -> None:
     while stack:
         x, link, done = stack.pop()
         if not done:
+            x.chars = x.tags = x.link_chars = x.link_tags = 0
             stack.append((x, link, True))
             stack += [(k, link or k.tag == "a", False) for k in x.kids if isinstance(k, Node) and not k.skip]
             continue
@@ -158,6 +166,16 @@ def measure(node: Node, in_link: bool = False) -> None:
                 x.link_tags += k.link_tags + (k.tag == "a")
 
 
+def density(chars: int, tags: int, link_chars: int, link_tags: int, ratio: float) -> float:
+    """Composite text density; ``ratio`` is the body's share of link characters."""
+    if not chars:
+        return 0.0
+    c, t, lc, lt = (max(1, v) for v in (chars, tags, link_chars, link_tags))
+    base = math.log(c / max(1, chars - link_chars) * link_chars + ratio * c + math.e)
+    inside = max(1.0, c / lc * t / lt)
+    return c / t * (math.log(inside) / math.log(base) if base > 1.0 + 1e-9 else math.log(inside))
+
+
 def densities(body: Node) -> list[Node]:
     """Sets density and density sum of every counted node; returns them in page order."""
     order, stack = [], [body]
@@ -165,20 +183,70 @@ def densities(body: Node) -> list[Node]:
     while stack:
         x = stack.pop()
         order.append(x)
-        c, t, lc, lt = (max(1, v) for v in (x.chars, x.tags, x.link_chars, x.link_tags))
-        if x.chars:
-            base = math.log(c / max(1, x.chars - x.link_chars) * x.link_chars + ratio * c + math.e)
-            inside = max(1.0, c / lc * t / lt)
-            x.density = c / t * (math.log(inside) / math.log(base) if base > 1.0 + 1e-9 else math.log(inside))
+        x.density = density(x.chars, x.tags, x.link_chars, x.link_tags, ratio)
         stack += [k for k in reversed(x.kids) if isinstance(k, Node) and not k.skip]
     for x in order:
         x.total = sum(k.density for k in x.kids if isinstance(k, Node) and not k.skip) or 0.0
     return order
 
 
+def reopen(body: Node) -> None:
+    """Measures the tree without its furniture, but with the furniture that the main text lies in.
+
+    A named element may hold the main text if an article or main element with text is in it (and
+    none lies outside all furniture) or if no article lies beside it; parts (nav, footer, ...) only
+    in the first case. The largest density sum of the page decides: what lies on its path is kept.
+    """
+    order, under, stack = [], set(), [body]
+    while stack:
+        x = stack.pop()
+        order.append(x)
+        kids = [k for k in reversed(x.kids) if isinstance(k, Node) and (not k.skip or (k.part or k.named) and k.tag not in DROPPED)]
+        if id(x) in under or x.part or x.named:
+            under.update(map(id, kids))
+        stack += kids
+    marked = [x for x in order if x.part or x.named]
+    measure(body)
+    if not marked:
+        return
+    stated = [x for x in order if x.tag in ARTICLE and x.chars and id(x) not in under]
+    if not stated:
+        for x in marked:
+            x.skip = False
+        measure(body)
+        stated = [x for x in order if x.tag in ARTICLE and x.chars]
+    named, holds, above = set(map(id, stated)), set(), {}
+    for x in stated:
+        while x is not None and id(x) not in holds:
+            holds.add(id(x))
+            x = x.parent
+    for x in order:
+        above[id(x)] = 0 if x is body else above[id(x.parent)] + (id(x.parent) in named)
+    for x in marked:
+        x.skip = id(x) not in holds and (x.part or above[id(x)] < len(stated))
+    if not all(x.skip for x in marked):
+        measure(body)
+        ratio = body.link_chars / max(1, body.chars)
+
+        def text_sum(x: Node) -> float:                        # text beside the child elements counts as one of them
+            own = len("".join("".join(k for k in x.kids if isinstance(k, str)).split())) if x.tag != "a" else 0
+            return density(own, 0, 0, 0, ratio) + sum(
+                k.density for k in x.kids if isinstance(k, Node) and not (k.skip or k.part or k.named))
+
+        sums = [(text_sum(x), x) for x in densities(body)]
+        most, x = max(sums, key=lambda s: s[0])
+        for k in marked:
+            k.skip = True
+        while most > 0 and x is not None:
+            if x.part or x.named:
+                x.skip = False
+            x = x.parent
+    measure(body)
+
+
 def select(body: Node) -> list[Node]:
     """The main subtrees, in page order."""
-    measure(body)
+    reopen(body)
     order = densities(body)
     best = max(order, key=lambda x: x.total, default=body)     # the first of equals is the outermost
     if best.total <= 0.0:
@@ -189,7 +257,7 @@ def select(body: Node) -> list[Node]:
         x = x.parent
     # text of a path node beside the subtree (a heading outside its section) belongs to the article element
     for x in path:
-        if x.tag in ("article", "main"):
+        if x.tag in ARTICLE:
             best = x
     threshold = min((x.density for x in path if x.density > 0), default=0.0)
     chosen, inside = [], set()

@@ -81,6 +81,30 @@ def test_html_extract_cases(spark):
     assert got == sorted([(r[0], r[1], t, len(t)) for r, t in zip(rows, text)], key=repr)
 
 
+P10 = "".join(f"<p>Paragraph {n} of the story has some words.</p>" for n in range(10))
+T10 = "\n".join(f"Paragraph {n} of the story has some words." for n in range(10))
+MENU = "<nav><a href=x>Home</a> <a href=y>News</a></nav><footer>&copy; the site and its owners</footer>"
+
+
+@pytest.mark.parametrize("page,text", [
+    *((f"<body>{MENU}<div class='{c}'><article>{P10}</article></div></body>", T10)
+      for c in ("has-sidebar", "no-sidebar", "content with-comments", "sidebar", "social wide")),
+    *((f"<body>{MENU}<{t}><article>{P10}</article></{t}></body>", T10) for t in ("form", "aside", "div hidden")),
+    (f"<body>{MENU}<div class='content comments'>{P10}</div></body>", T10),
+    (f"<body>{MENU}<form action=x><div>{P10}</div></form></body>", T10),
+    (f"<body>{MENU}<main><div class=notice>{P10}</div></main></body>", T10),
+    (f"<body>{MENU}<div class=notice>Text without any element in it</div></body>", "Text without any element in it"),
+    (f"<article><div class='post-header'><h1>Head</h1></div><p class='share-price'>Price 3</p>{P10}</article>", f"Head\nPrice 3\n{T10}"),
+    (f"<article><div class='header'><h1>Head</h1></div><div class='share'>Tweet</div>{P10}</article>", f"Head\n{T10}"),
+    # furniture beside the article stays out, also when it is longer or holds articles itself
+    (f"<body>{MENU}<article><p>A short story of few words.</p></article><div id=comments>{P10}<article>{P10}</article></div></body>",
+     "A short story of few words."),
+    (f"<body>{MENU}<main><article>{P10}</article><section id=comments>{P10}{P10}</section></main></body>", T10),
+])
+def test_html_extract_furniture_names_do_not_hide_the_text(page, text):
+    assert html_extract.main_text(page) == text
+
+
 def test_html_extract_whole_table_against_the_article_element(spark):
     from html import unescape
 
