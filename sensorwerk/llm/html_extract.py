@@ -7,8 +7,11 @@ characters, tags, link characters and link tags, and the link-adjusted density
 
 (zero counts as 1). The density sum of a node adds its children's densities; the node with the
 largest sum (ties: the outermost) is the article. The smallest density on its path to the body is
-the page's threshold: another subtree outside the article is kept only if its sum comes near the
-article's (a text that is split into several sections) and its density reaches the threshold.
+the page's threshold: every subtree, leaf and run of bare text beside the path is kept if its density
+reaches the threshold. The density of text without links grows with its length, so on pages whose
+article is no article or main element, and for further elements of these, a part is measured as if it
+were as long as the threshold's node (sections of unequal length). Such pages also keep headings
+and paragraphs beside the path that are too short for the threshold.
 
 Elements without text of their own (scripts, controls, ...) are left out by tag. Page furniture
 (menus, footers, forms, adverts, comments, ...) is told by tag, role or a whole class name and left
@@ -52,7 +55,8 @@ ROLES = frozenset("navigation banner contentinfo complementary search dialog ale
 
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>?", re.S)
 _ATTR = re.compile(r"([^\s=\"'>/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
-NEAR = 0.5               # a second section counts when its density sum reaches this share of the article's
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+SHORT = HEADINGS | {"p", "blockquote", "pre"}
 
 
 class Node:
@@ -259,19 +263,60 @@ def select(body: Node) -> list[Node]:
     for x in path:
         if x.tag in ARTICLE:
             best = x
-    threshold = min((x.density for x in path if x.density > 0), default=0.0)
-    chosen, inside = [], set()
-    for x in order:
-        if id(x.parent) in inside or x is best:
-            inside.add(id(x))
-            if x is best:
-                chosen.append(x)
-        elif x not in path and x.total >= NEAR * best.total and x.density >= threshold:
-            inside.add(id(x))
+    least = min((x for x in path if x.density > 0), key=lambda x: x.density, default=body)
+    ratio, on_path, stated = body.link_chars / max(1, body.chars), set(map(id, path)), best.tag in ARTICLE
+
+    def kept(x: Node) -> bool:
+        if x.link_chars >= x.chars:
+            return False
+        if x.density >= least.density:
+            return True
+        if stated and x.tag not in ARTICLE:
+            return False
+        up = max(1.0, least.chars / x.chars)
+        if density(x.chars * up, max(1, x.tags) * up, x.link_chars * up, x.link_tags * up, ratio) >= least.density * (1 - 1e-9):
+            return True
+        if x.chars <= 2 * x.link_chars:
+            return False
+        return x.tag in SHORT and id(x.parent) in on_path or x.tag in HEADINGS and not x.parent.link_chars
+
+    chosen, stack = [], [body]
+    while stack:
+        x = stack.pop()
+        if x is best or id(x) not in on_path and kept(x):
             chosen.append(x)
+        else:
+            stack += reversed(runs(x, on_path, ratio) if id(x) in on_path else [k for k in x.kids if isinstance(k, Node) and not k.skip])
     return chosen
 
 
+def runs(node: Node, on_path: set[int], ratio: float) -> list[Node]:
+    """The counted children of a path node, each run of bare text and inline elements as one leaf."""
+    out, run = [], []
+
+    def end() -> None:
+        if any(isinstance(k, str) and k.strip() for k in run):
+            x = Node("#text", node)
+            x.kids = [*run]
+            measure(x)
+            x.density = density(x.chars, x.tags, x.link_chars, x.link_tags, ratio)
+            out.append(x)
+        else:
+            out.extend(k for k in run if isinstance(k, Node))
+        run.clear()
+
+    for k in node.kids:
+        if isinstance(k, Node) and k.skip:
+            continue
+        if isinstance(k, Node) and (id(k) in on_path or k.tag in BLOCK or any(isinstance(j, Node) and j.tag in BLOCK for j in k.kids)):
+            end()
+            out.append(k)
+        else:
+            run.append(k)
+    end()
+    return out
+
+
 def blocks(node: Node) -> list[str]:
     """Texts of the blocks of a subtree, white space inside a block as one space."""
     out, run = [], []

@@ -105,6 +105,30 @@ def test_html_extract_furniture_names_do_not_hide_the_text(page, text):
     assert html_extract.main_text(page) == text
 
 
+SECTIONS = ["".join(f"<p>Section {s} has a paragraph {n} with words.</p>" for n in range(k)) for s, k in enumerate((5, 2, 1))]
+LINKS = "<div><ul>" + "".join(f"<li><a href={n}>Another page {n}</a></li>" for n in range(8)) + "</ul></div>"
+lines = lambda html: "\n".join(x for x in re.split("<[^>]*>", html) if x)
+
+
+@pytest.mark.parametrize("before,after", [("", ""), (MENU, ""), (LINKS, LINKS)])
+@pytest.mark.parametrize("body,text", [
+    (f"<div><h1>T</h1><p>Lead</p><div class=text>{P10}</div></div>", f"T\nLead\n{T10}"),
+    (f"<h1>A title of the page</h1><p>And a <b>lead</b> to it.</p><div class=text>{P10}</div><p>The end.</p>",
+     f"A title of the page\nAnd a lead to it.\n{T10}\nThe end."),
+    (f"<div><div class=post-header><h1>Title</h1></div><div class=text>{P10}</div></div>", f"Title\n{T10}"),
+    ("<div>" + "".join(f"<div>{s}</div>" for s in SECTIONS) + "</div>", lines("".join(SECTIONS))),
+    ("".join(f"<section><h2>Head</h2>{s}</section>" for s in reversed(SECTIONS)),
+     "\n".join("Head\n" + lines(s) for s in reversed(SECTIONS))),
+    (f"<div>A lead of bare text, as long as any <i>paragraph</i> of the story is.<div>{P10}</div></div>",
+     f"A lead of bare text, as long as any paragraph of the story is.\n{T10}"),
+    (f"<div>A lead of bare text, as long as any paragraph of the story is. <span><b>{P10}</b></span></div>",
+     f"A lead of bare text, as long as any paragraph of the story is.\n{T10}"),
+    (f"<article>{SECTIONS[0]}</article><article>{SECTIONS[1]}</article>", lines(SECTIONS[0] + SECTIONS[1])),
+])
+def test_html_extract_keeps_what_reaches_the_body_path_threshold(before, body, after, text):
+    assert html_extract.main_text(f"<body>{before}{body}{after}</body>") == text
+
+
 def test_html_extract_whole_table_against_the_article_element(spark):
     from html import unescape
 
