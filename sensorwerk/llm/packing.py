@@ -2,9 +2,10 @@
 
 A configuration is a multiset of piece lengths that fits a sequence. The linear program (as few
 configurations as cover the histogram) is solved by multiplicative weights: every length has a
-weight, the dearest configuration under these weights comes from a knapsack dynamic program over
-the capacity, and the lengths it covers become cheaper. The fractional counts are rounded down,
-and what they leave is packed best-fit decreasing on the histogram. Only the histogram (at most
+weight, the dearest configurations under these weights come from a knapsack dynamic program over
+the capacity, and the lengths they cover become cheaper, until the whole histogram is covered within
+a gap of a lower bound. The fractional counts are rounded down, and what rounding leaves is packed
+best-fit decreasing on the histogram. Only the histogram (at most
 ``capacity`` rows) and the plan in run-length form reach the driver; the pieces are numbered per
 length and matched to the plan's ranges by Spark.
 
@@ -28,75 +29,140 @@ from sensorwerk.llm.common import materialize
 from sensorwerk.llm.tokens import encoder, in_slices
 
 CAPACITY = 2048
-ROUNDS = 400             # pricing rounds of the linear program
-STEP = 0.08              # learning rate of the weights
+GAP = 0.002              # the linear program is solved to this share of its lower bound
+ROUNDS = 700             # no new run of the prices begins after so many rounds and half a round a length
+STEP = 0.5               # learning rate of the weights
+FLOOR = 0.5              # starting prices are at least this share of those by length
+MISSES = 20              # a round ends after so many configurations that share a length or are too cheap
+SLACK = 0.005            # configurations this near to the dearest run in the same round
 SALT_ROWS = 50_000       # pieces of one length that one task numbers, on average
 
 
+class Knapsack:
+    """Dynamic program over the capacity: ``value[c]`` is the most weight that fits in ``c``."""
+
+    def __init__(self, lengths: np.ndarray, weights: np.ndarray, left: np.ndarray, capacity: int):
+        self.lengths, self.left, self.capacity = lengths, left, capacity
+        gain, index = np.full(capacity + 1, -np.inf), np.full(capacity + 1, -1, np.int64)
+        use = np.flatnonzero((weights > 0) & (left > 0))
+        gain[lengths[use]], index[lengths[use]] = weights[use], use
+        back, pick = np.zeros(capacity + 1), np.full(capacity + 1, -1, np.int64)      # back[capacity - c] is value[c]
+        for c in range(1, capacity + 1):
+            before = back[capacity - c + 1]
+            got = back[capacity - c + 1:] + gain[1:c + 1]
+            k = int(got.argmax())
+            if got[k] > before:
+                before, pick[c] = got[k], index[k + 1]
+            back[capacity - c] = before
+        self.value, self.pick = back[::-1], pick.tolist()
+
+    def configuration(self, first: int | None = None) -> dict[int, int]:
+        """The dearest configuration (with one of length ``first`` in it). ``left`` bounds a length's
+        copies to its pieces; room that scarce lengths leave goes to the longest that fit."""
+        lengths, left = self.lengths, self.left
+        out: dict[int, int] = defaultdict(int)
+        c = self.capacity
+        if first is not None:
+            out[first] = 1
+            c -= int(lengths[first])
+        while c > 0:
+            i = self.pick[c]
+            if i < 0:
+                c -= 1
+                continue
+            out[i] += 1
+            c -= int(lengths[i])
+        out = {i: min(n, int(left[i])) for i, n in out.items()}
+        room = self.capacity - sum(n * int(lengths[i]) for i, n in out.items())
+        for i in np.flatnonzero((lengths <= room) & (left > 0))[::-1].tolist() if room else ():
+            n = min(room // int(lengths[i]), int(left[i]) - out.get(i, 0))
+            if n > 0:
+                out[i] = out.get(i, 0) + n
+                room -= n * int(lengths[i])
+        return out
+
+
 def best_configuration(lengths: np.ndarray, weights: np.ndarray, left: np.ndarray, capacity: int) -> dict[int, int]:
-    """Knapsack by dynamic programming over the capacity: the most weight in one sequence, as
-    ``{index of length: copies}``. ``left`` bounds a length's copies to its pieces."""
-    use = np.flatnonzero((weights > 0) & (left > 0))
-    size, gain = lengths[use], weights[use]
-    value = np.zeros(capacity + 1)
-    pick = np.full(capacity + 1, -1, np.int64)
-    order = np.argsort(size, kind="stable")
-    size, gain, use = size[order], gain[order], use[order]
-    fits = np.searchsorted(size, np.arange(capacity + 1), side="right")
-    for c in range(1, capacity + 1):
-        value[c] = value[c - 1]
-        n = fits[c]
-        if n:
-            got = value[c - size[:n]] + gain[:n]
-            k = int(np.argmax(got))
-            if got[k] > value[c]:
-                value[c], pick[c] = got[k], k
-    out: dict[int, int] = defaultdict(int)
-    c = capacity
-    while c > 0:
-        if pick[c] < 0:
-            c -= 1
-            continue
-        out[int(use[pick[c]])] += 1
-        c -= int(size[pick[c]])
-    out = {i: min(n, int(left[i])) for i, n in out.items()}
-    room = capacity - sum(n * int(lengths[i]) for i, n in out.items())
-    for i in np.flatnonzero((lengths <= room) & (left > 0))[::-1].tolist():       # room that scarce lengths left
-        n = min(room // int(lengths[i]), int(left[i]) - out.get(i, 0))
-        if n > 0:
-            out[i] = out.get(i, 0) + n
-            room -= n * int(lengths[i])
-    return out
-
-
-def solve_lp(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = ROUNDS,
-             step: float = STEP) -> list[tuple[dict[int, int], float]]:
-    """Fractional counts of configurations that cover ``counts``.
-
-    Start from prices proportional to length (the volume bound). Each round prices the best
-    configuration, runs it as often as its scarcest length allows a fixed share, and lowers the
-    price of the covered lengths by ``exp(-step * covered share)``.
+    """The most weight in one sequence, as ``{index of length: copies}``."""
+    return Knapsack(lengths, weights, left, capacity).configuration()
+
+
+def cover(lengths: np.ndarray, counts: np.ndarray, capacity: int, prices: np.ndarray,
+          share: float) -> tuple[dict[tuple, float], np.ndarray, int]:
+    """One run of multiplicative weights until the whole histogram is covered: configurations with
+    their fractional counts, the average prices and the number of rounds.
+
+    A round prices the knapsack once and runs the dearest configurations that share no length, each
+    for at most ``share`` of its scarcest length (one sequence at least). A length that is ahead of the covered volume
+    becomes cheaper, one that lags dearer: ``exp(-STEP / share * (covered part - volume's part))``.
     """
-    weights = lengths / capacity
-    covered = np.zeros(len(lengths))
     found: dict[tuple, float] = defaultdict(float)
-    for _ in range(rounds):
+    covered, mean, total, rounds = np.zeros(len(lengths)), np.zeros(len(lengths)), 0.0, 0
+    volume = float((lengths * counts).sum())
+    while True:
         open_ = counts - covered
-        left = np.where(open_ > 1e-9, np.ceil(open_), 0).astype(np.int64)
+        open_[open_ <= 1e-9 * counts] = 0.0
+        left = np.ceil(open_).astype(np.int64)
         if not left.any():
+            return found, mean / max(total, 1e-300), rounds
+        rounds += 1
+        ahead = covered / counts - float((lengths * covered).sum()) / volume
+        weights = prices * np.exp(np.clip(-STEP / share * ahead, -30, 30))
+        sack = Knapsack(lengths, weights, left, capacity)
+        at_most = sack.value[capacity]
+        holds = np.where(left > 0, weights + sack.value[capacity - lengths], 0.0)
+        near = np.flatnonzero(holds >= (1 - SLACK) * at_most)
+        taken, ran, misses = np.zeros(len(lengths), bool), 0.0, 0
+        for i in [None, *near[np.argsort(ahead[near], kind="stable")].tolist()]:
+            if i is not None and taken[i]:
+                continue
+            conf = sack.configuration(i)
+            at = np.fromiter(conf, np.int64)
+            n = np.fromiter(conf.values(), np.float64)
+            if i is not None and (taken[at].any() or float(weights[at] @ n) < (1 - SLACK) * at_most):
+                misses += 1
+                if misses == MISSES:
+                    break
+                continue
+            times = min(float((open_[at] / n).min()), max(1.0, share * float((counts[at] / n).min())))
+            found[tuple(sorted(conf.items()))] += times
+            covered[at] += times * n
+            taken[at] = True
+            ran += times
+        mean += ran * weights / at_most
+        total += ran
+
+
+def solve_lp(lengths: np.ndarray, counts: np.ndarray, capacity: int,
+             gap: float = GAP) -> tuple[list[tuple[dict[int, int], float]], float]:
+    """Fractional counts of configurations that cover all of ``counts``, and a lower bound of the
+    linear program's value: prices under which no configuration is worth more than 1.
+
+    Starts from the best prices of the dual feasible functions (1 above ``capacity - a``, 0 below
+    ``a``, else proportional to length; ``a`` = 0 is the volume bound). Runs follow with the average
+    prices of the run before and smaller shares until the cover is within ``gap`` (or a whole sequence)
+    of the bound or the rounds (``ROUNDS`` and half a round a length) are used up.
+    """
+    volume, bound = lengths / capacity, 0.0
+    prices = volume
+    for a in range(capacity // 2 + 1):
+        dual = np.where(lengths > capacity - a, 1.0, np.where(lengths < a, 0.0, volume))
+        if float(counts @ dual) > bound:
+            bound, prices = float(counts @ dual), dual
+    prices, share, spent = np.maximum(prices, FLOOR * volume), 0.25, 0
+    best, least = {}, np.inf
+    while len(lengths):
+        found, prices, rounds = cover(lengths, counts, capacity, prices, share)
+        made = sum(found.values())
+        if made < least:
+            best, least = found, made
+        top = Knapsack(lengths, prices, counts, capacity).value[capacity]
+        bound = max(bound, float(counts @ prices) / top)
+        spent += rounds
+        if least <= max((1 + gap) * bound, np.ceil(bound)) or spent >= ROUNDS + len(lengths) // 2:
             break
-        conf = best_configuration(lengths, weights, left, capacity)
-        if not conf:
-            break
-        at = np.fromiter(conf, np.int64)
-        n = np.fromiter(conf.values(), np.float64)
-        times = float(np.min(open_[at] / n))
-        if times <= 0:
-            break
-        found[tuple(sorted(conf.items()))] += times
-        covered[at] += times * n
-        weights[at] *= np.exp(-step * times * n / counts[at])
-    return [(dict(k), x) for k, x in found.items()]
+        share = max(share / 2, 1 / 64)
+    return [(dict(k), x) for k, x in best.items()], bound
 
 
 def best_fit(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
@@ -132,16 +198,14 @@ def best_fit(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tup
 def plan(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
     """Configurations with whole counts that use up the histogram exactly."""
     left, chosen = counts.astype(np.int64).copy(), []
-    for conf, x in solve_lp(lengths, counts.astype(float), capacity):
+    found, _ = solve_lp(lengths, counts.astype(float), capacity)
+    for conf, x in found:
         times = min([int(x + 1e-9), *(int(left[i] // n) for i, n in conf.items())])
         if times > 0:
             chosen.append((conf, times))
             for i, n in conf.items():
                 left[i] -= times * n
-    rest = [c for c in best_fit(lengths, left, capacity) if c[0]]
-    plain = [c for c in best_fit(lengths, counts, capacity) if c[0]]
-    both = chosen + rest
-    return both if sum(t for _, t in both) <= sum(t for _, t in plain) else plain
+    return chosen + [c for c in best_fit(lengths, left, capacity) if c[0]]
 
 
 def plan_ranges(lengths: np.ndarray, confs: list[tuple[dict[int, int], int]]) -> pd.DataFrame:

@@ -303,6 +303,26 @@ def test_plan_covers_the_histogram_near_the_bound(seed):
     assert made <= 1.04 * bound + 2 and made <= sum(t for c, t in packing.best_fit(lengths, counts, cap) if c)
 
 
+def test_plan_covers_many_lengths_by_the_linear_program(monkeypatch):
+    rng = np.random.default_rng(7)
+    cap = 1024
+    lengths = np.unique(np.minimum(rng.lognormal(5.0, 1.0, 3000).astype(int) + 1, cap))
+    counts = rng.integers(1, 40, len(lengths))
+    rest, solved, plain, solve = [], [], packing.best_fit, packing.solve_lp
+    monkeypatch.setattr(packing, "best_fit", lambda a, b, c: (rest.append(int((a * b).sum())), plain(a, b, c))[1])
+    monkeypatch.setattr(packing, "solve_lp", lambda *a: solved.append(solve(*a)) or solved[0])
+    made = sum(t for _, t in packing.plan(lengths, counts, cap))
+    volume = int((lengths * counts).sum())
+    assert len(lengths) > 500 and len(rest) == 1 and rest[0] <= 0.2 * volume
+    found, bound = solved[0]
+    covered = np.zeros(len(lengths))
+    for conf, x in found:
+        assert sum(int(lengths[i]) * n for i, n in conf.items()) <= cap
+        covered[list(conf)] += x * np.array(list(conf.values()))
+    assert np.allclose(covered, counts) and bound >= volume / cap - 1e-6
+    assert sum(x for _, x in found) <= max((1 + packing.GAP) * bound, np.ceil(bound) + 1) and made <= 1.005 * bound + 2
+
+
 def test_knapsack_prices_the_best_configuration():
     rng = np.random.default_rng(4)
     lengths, weights = np.array([3, 5, 7, 11]), rng.random(4)
