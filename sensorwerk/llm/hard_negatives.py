@@ -36,6 +36,7 @@ SCALE = 256
 ANCHOR_BLOCK = 512
 ROW_BLOCK = 16_384
 FIRST_STEP = 64           # entries read from every list before the first look at the threshold
+TOGETHER = 32             # anchors whose thresholds are computed in one product
 EXACT = float(1 << 53)
 LEAST, MOST = -(1 << 63), (1 << 63) - 1
 
@@ -57,7 +58,17 @@ class Lists:
         sums = left.astype(object) @ right.astype(object) if right.size else np.zeros(len(left), object)
         return np.array([max(LEAST, min(MOST, int(s))) for s in sums], np.int64)
 
-    def best(self, anchor: np.ndarray, fits: np.ndarray, windows: list[tuple[int, int]], k: int):
+    def limits(self, anchors: np.ndarray) -> np.ndarray:
+        """The threshold of each anchor (row) after each depth: its product with the values passed there."""
+        size = float(np.abs(anchors).max(initial=0)) * float(self.top) * max(1, anchors.shape[1])
+        if size < EXACT:
+            up, down = np.maximum(anchors, 0).astype(np.float64), np.minimum(anchors, 0).astype(np.float64)
+            return (up @ self.plain[1][:, ::-1] + down @ self.plain[1]).astype(np.int64)
+        up, down = np.maximum(anchors, 0), np.minimum(anchors, 0)
+        both = np.concatenate([self.values[:, ::-1], self.values]).T
+        return np.stack([self.product(both, np.concatenate([x, y]), False) for x, y in zip(up, down)])
+
+    def best(self, anchor: np.ndarray, fits: np.ndarray, windows: list[tuple[int, int]], k: int, limit: np.ndarray | None = None):
         """The k best fitting rows of each window ``(lowest, highest score)`` and the depth reached.
 
         Returns, per window, ``(scores, places)`` by score descending, then id, then row number.
@@ -66,30 +77,31 @@ class Lists:
         held = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in windows]
         if not n or not windows:
             return held, 0
-        size = float(np.abs(anchor).max(initial=0)) * float(self.top) * max(1, len(anchor))
-        exact = size < EXACT
-        rows, values = self.plain if exact else (self.rows, self.values)
+        limit = self.limits(anchor[None, :])[0] if limit is None else limit
+        exact = float(np.abs(anchor).max(initial=0)) * float(self.top) * max(1, len(anchor)) < EXACT
+        rows = self.plain[0] if exact else self.rows
         up, down = np.flatnonzero(anchor > 0), np.flatnonzero(anchor < 0)
-        if len(up) + len(down):
-            lists = np.concatenate([self.order[up, ::-1], self.order[down]])
-            passed = np.concatenate([values[up, ::-1], values[down]])
-            limit = self.product(passed.T, np.concatenate([anchor[up], anchor[down]]), exact)
-        else:                                                       # every row scores 0
-            lists, limit = np.arange(n, dtype=np.int32)[None, :], np.zeros(n, np.int64)
-        met, depth, step = ~fits, 0, FIRST_STEP
+        walked = len(up) + len(down) > 0                             # else every row scores 0
+        left, depth, step = fits.copy(), 0, FIRST_STEP
         while depth < n:
             upto = min(n, depth + step)
-            new = lists[:, depth:upto].ravel()
-            new = np.unique(new[~met[new]])
-            met[new] = True
+            found = np.zeros(n, bool)
+            if walked:
+                found[self.order[up, n - upto:n - depth]] = True     # largest values first
+                found[self.order[down, depth:upto]] = True
+            else:
+                found[depth:upto] = True
+            new = np.flatnonzero(found & left)
+            left[new] = False
             score = self.product(rows[new], anchor, exact)
             for w, (lowest, highest) in enumerate(windows):
                 s, at = held[w]
-                inside = (score >= lowest) & (score <= highest)
-                if len(s) == k:
-                    inside &= score >= s[-1]
+                inside = (score >= (lowest if len(s) < k else max(lowest, int(s[-1])))) & (score <= highest)
                 if inside.any():
                     s, at = np.concatenate([s, score[inside]]), np.concatenate([at, new[inside]])
+                    if len(s) > 8 * k:                               # only those that can be among the first k
+                        near = s >= np.partition(s, len(s) - k)[len(s) - k]
+                        s, at = s[near], at[near]
                     first = np.lexsort((self.rids[at], self.ids[at], ~s))[:k]       # ~s falls as s rises
                     held[w] = s[first], at[first]
             depth, step = upto, step * 2
@@ -116,13 +128,16 @@ def _cell(k: int, low: int | None, high: int | None):
             dim = int(key[0])
             ids, rids, labels = (rows[c].to_numpy(np.int64) for c in ("vec_id", "rid", "label"))
             block = Lists(_stack(rows.vec, dim), ids, rids)
-            for i, anchor in enumerate(_stack(anchors.vec, dim)):
+            asked = _stack(anchors.vec, dim)
+            for i, anchor in enumerate(asked):
+                if i % TOGETHER == 0:
+                    limits = block.limits(asked[i:i + TOGETHER])
                 rid, label = int(anchors.rid.iat[i]), int(anchors.label.iat[i])
                 if low is None:
                     fits, windows = (labels == label) & (rids != rid), [(LEAST, MOST)]
                 else:
                     fits, windows = labels != label, [window_of(int(s), low, high) for s in anchors.scores.iat[i]]
-                for place, (score, at) in enumerate(block.best(anchor, fits, windows, k)[0]):
+                for place, (score, at) in enumerate(block.best(anchor, fits, windows, k, limits[i % TOGETHER])[0]):
                     out["anchor_rid"] += [rid] * len(at)
                     out["place"] += [place] * len(at)
                     out["vec_id"] += ids[at].tolist()
