@@ -16,7 +16,7 @@ word, and bincounts the accepting states. A task adds its shards' counts and Spa
 Scores are taken in 38-digit decimals.
 
 Memory: a task holds one shard of text (``SHARD_BYTES``, or one piece if that is longer), sieves
-(16 MB each) and at most ``TRIES`` tries of ``block_phrases`` phrases. Groups of the bucket step are
+(at most 16 MB each) and at most ``TRIES`` tries of ``block_phrases`` phrases. Groups of the bucket step are
 hash ranges sized by the corpus, so a common word or phrase gives one number a shard.
 
 Defined cases: null texts and texts without words count nothing; a null language is ``und``; repeated
@@ -26,6 +26,7 @@ are exact.
 """
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -160,16 +161,26 @@ def shards(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[str,
 
 # ---- sieves ------------------------------------------------------------------------------------
 class Sieve:
-    """Bit row of fixed size over the top bits of a key; the kept buckets' bits are set."""
+    """Bit row over the top bits of a key; the kept buckets' bits are set. At most ``1 << SIEVE_BITS`` of them."""
 
-    def __init__(self, bits: np.ndarray):
-        self.bits = bits                                             # uint8, 2 ** SIEVE_BITS of them packed
+    def __init__(self, bits: np.ndarray, width: int):
+        self.bits, self.width = bits, width                          # uint8, packed
 
     def has(self, keys: np.ndarray) -> np.ndarray:
-        at = (keys >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)
+        at = (keys >> np.uint64(64 - self.width)).astype(np.int64)
         return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 != 0
 
 
+class Sieves(list):
+    """Broadcasts of packed sieves; a task unpacks them."""
+
+    def add(self, spark, bits: np.ndarray, width: int) -> None:
+        self.append(spark.sparkContext.broadcast((zlib.compress(bits.tobytes(), 1), width)))
+
+    def unpack(self) -> list[Sieve]:
+        return [Sieve(np.frombuffer(zlib.decompress(b.value[0]), np.uint8), b.value[1]) for b in self]
+
+
 def passing(words: Words, hashes: np.ndarray, k: int, sieves: list[Sieve]) -> tuple[np.ndarray, np.ndarray]:
     """Places and keys of the k-word phrases whose two parts of k - 1 words pass (``sieves[j - 1]`` is for j words)."""
     places = words.joined(k)
@@ -189,9 +200,10 @@ BUCKETS = "part int, at binary, n binary"
 NAMES = "lang string, k int, phrase string"
 
 
-def _bucket(k: int, sieves: list[Sieve], part_bits: int, shard_bytes: int):
+def _bucket(k: int, packed: Sieves, part_bits: int, shard_bytes: int):
     """Per shard and hash range: distinct 32-bit buckets and their counts (255 stands for more)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sieves = packed.unpack()
         for lang, words in shards(batches, shard_bytes):
             _, keys = passing(words, words.hashes(lang), k, sieves)
             wide = np.uint64(64 - part_bits - 32)
@@ -206,7 +218,7 @@ def _bucket(k: int, sieves: list[Sieve], part_bits: int, shard_bytes: int):
     return run
 
 
-def _keep(part_bits: int, least: int):
+def _keep(part_bits: int, least: int, width: int):
     """A hash range's buckets that reach the least count, as its bits of the sieve."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         at = np.concatenate([np.frombuffer(b, "<u4") for b in pdf["at"]])
@@ -215,15 +227,16 @@ def _keep(part_bits: int, least: int):
         at, n = at[order], n[order]
         first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
         kept = at[first[np.add.reduceat(n, first) >= least]]
-        bits = np.zeros(1 << (SIEVE_BITS - part_bits), bool)
-        bits[kept >> np.uint32(32 - SIEVE_BITS + part_bits)] = True
+        bits = np.zeros(1 << (width - part_bits), bool)
+        bits[kept >> np.uint32(32 - width + part_bits)] = True
         return pd.DataFrame({"part": [int(pdf.part.iat[0])], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
     return run
 
 
-def _name(k: int, sieves: list[Sieve], shard_bytes: int):
+def _name(k: int, packed: Sieves, shard_bytes: int):
     """The k-word phrases of each shard that pass the k-th sieve."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sieves = packed.unpack()
         for lang, words in shards(batches, shard_bytes):
             places, keys = passing(words, words.hashes(lang), k, sieves)
             places, keys = (x[sieves[k - 1].has(keys)] for x in (places, keys))
@@ -363,6 +376,8 @@ def build_trie(words: np.ndarray, n_words: int) -> tuple[int, np.ndarray, np.nda
 
 TRIE_SCHEMA = "block long, langs array<string>, words array<binary>, bits int, base binary, check binary, accept binary, phrases long"
 
+TRIE_COLUMNS = ["block", "langs", "words", "bits", "base", "check", "accept", "phrases"]
+
 
 def _build(pdf: pd.DataFrame) -> pd.DataFrame:
     """One block's trie; ``no`` numbers its phrases from 0."""
@@ -380,8 +395,8 @@ def _build(pdf: pd.DataFrame) -> pd.DataFrame:
         first += len(flat.dictionary)
     bits, base, check, accept, _ = build_trie(rows, first)
     blobs = [_to_ipc(v) for v in vocabularies]
-    return pd.DataFrame({"block": [int(pdf.block.iat[0])], "langs": [langs], "words": [blobs], "bits": [bits], "base": [base.tobytes()],
-                         "check": [check.tobytes()], "accept": [accept.tobytes()], "phrases": [len(pdf)]})
+    return pd.DataFrame({"block": [int(pdf.block.iat[0])], "langs": [langs], "words": [blobs], "bits": [bits], "phrases": [len(pdf)],
+                         **{c: [zlib.compress(x.tobytes(), 1)] for c, x in (("base", base), ("check", check), ("accept", accept))}})[TRIE_COLUMNS]
 
 
 def _to_ipc(values: pa.Array) -> bytes:
@@ -397,7 +412,7 @@ def _from_ipc(blob: bytes) -> pa.Array:
 
 
 def _trie(row) -> Trie:
-    base, check, accept = (np.frombuffer(row[c], np.int32) for c in ("base", "check", "accept"))
+    base, check, accept = (np.frombuffer(zlib.decompress(row[c]), np.int32) for c in ("base", "check", "accept"))
     vocabularies = [x.chunk(0) if isinstance(x, pa.ChunkedArray) else x for x in map(_from_ipc, row["words"])]
     return Trie(list(row["langs"]), vocabularies, row["bits"], base, check, accept)
 
@@ -439,16 +454,17 @@ def phrase_counts(texts: DataFrame, longest: int = LONGEST, least: int = LEAST,
                          "lang-words")
     n = totals.agg(F.sum("n")).first()[0] or 0
     part_bits = min(16, max(4, int(n // range_words).bit_length()))
-    sieves: list[Sieve] = []
+    width = min(SIEVE_BITS, max(part_bits + 3, int(8 * n).bit_length()))
+    sieves = Sieves()
     named = []
     for k in range(1, longest + 1):
         buckets = texts.mapInArrow(_bucket(k, sieves, part_bits, shard_bytes), BUCKETS)
-        kept = buckets.groupBy("part").applyInPandas(_keep(part_bits, least), "part int, bits binary")
-        wide = 1 << (SIEVE_BITS - part_bits - 3)
-        bits = np.zeros(1 << (SIEVE_BITS - 3), np.uint8)
-        for row in kept.toLocalIterator():                           # 16 MB in all, whatever the input
+        kept = buckets.groupBy("part").applyInPandas(_keep(part_bits, least, width), "part int, bits binary")
+        wide = 1 << (width - part_bits - 3)
+        bits = np.zeros(1 << (width - 3), np.uint8)
+        for row in kept.collect():                                   # 16 MB in all at most, whatever the input
             bits[row.part * wide:(row.part + 1) * wide] = np.frombuffer(row.bits, np.uint8)
-        sieves.append(Sieve(bits))
+        sieves.add(spark, bits, width)
         found = texts.mapInArrow(_name(k, sieves, shard_bytes), NAMES).distinct()
         named.append(materialize(found, f"phrases-{k}"))
     phrases = named[0]
@@ -466,13 +482,15 @@ def phrase_counts(texts: DataFrame, longest: int = LONGEST, least: int = LEAST,
         sent = spark.sparkContext.broadcast(held)                    # at most ``tries`` bounded blocks
         met = texts.mapInArrow(_count(sent, longest, shard_bytes), "block long, no long, n long")
         counts.append(materialize(met.groupBy("block", "no").agg(F.sum("n").alias("a")).where(F.col("a") >= least), "phrase-counts"))
-        sent.unpersist()
+        sent.destroy()
     total = counts[0]
     for x in counts[1:]:
         total = total.unionByName(x)
     result = materialize(dealt.join(total, ["block", "no"]).select("lang", "k", "phrase", "a"), "counted-phrases")
     for x in (*named, dealt, built, *counts):
         discard(x)
+    for x in sieves:
+        x.destroy()
     return result, totals
 
 
