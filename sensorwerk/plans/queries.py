@@ -16,7 +16,7 @@ from sensorwerk.operators import dims, enrich, quality, warehouse
 from sensorwerk.operators.alerts import AlertRule, evaluate_alerts
 from sensorwerk.operators.dedup import keep_latest
 from sensorwerk.plans import dashboard as D
-from sensorwerk.plans import reports
+from sensorwerk.plans import load_queries, reports
 from sensorwerk.plans.diagnostics import dataset_size_report
 from sensorwerk.sources import standins as T
 from sensorwerk.sources.tables import TABLES, table_path
@@ -433,28 +433,7 @@ def q_log_job_output(spark, sf):
                       "hour", "plant_code", "is_alarm", "is_critical", "temp_fahrenheit")
 
 
-def q_stream_window_stats(spark, sf):
-    """Hourly per-plant statistics computed by the streaming job over the whole ``iot_raw``
-    table: with a 5-minute watermark, exactly the windows that end at or before the final
-    watermark (latest event time minus 5 minutes) are emitted; the still-open hour is not."""
-    import uuid
-
-    from sensorwerk.config import checkpoint_dir
-    from sensorwerk.functions.columns import epoch_ms_to_ts, ts_to_epoch_ms
-    from sensorwerk.streaming import iot
-
-    base = f"{checkpoint_dir(spark).rstrip('/')}/stream-window-query-{uuid.uuid4().hex}"
-    src = T.iot_raw(spark, sf).withColumn("timestamp_ms", ts_to_epoch_ms("event_ts")).drop("event_ts")
-    src.write.json(f"{base}/landing")
-    stream = iot.read_iot_stream(spark, f"{base}/landing", max_files=1_000_000, corrupt_col=None)
-    stats = iot.windowed_stats(stream, "1 hour", keys=("plant_id", "event_name", "unit"))
-    out = iot.drain_to_table(spark, stats, f"{base}/out", f"{base}/checkpoint")
-    return out.select(epoch_ms_to_ts(F.unix_millis("window_start")).alias("window_start"),
-                      "plant_id", "event_name", "unit", _r4("avg_value"), "min_value", "max_value",
-                      _r4("stddev_value"), "event_count", _r4("avg_quality"), "low_quality_count")
-
-
 QUERIES["stream_enriched_events"] = q_stream_enriched_events
-QUERIES["stream_window_stats"] = q_stream_window_stats
 QUERIES["log_job_output"] = q_log_job_output
 QUERIES["dq_failure_alerts"] = q_dq_failure_alerts
+QUERIES.update(load_queries.QUERIES)

@@ -9,7 +9,7 @@ from pyspark.sql.types import ArrayType, MapType, StructType
 from sensorwerk import schemas as S
 
 
-def read_raw_logs(spark: SparkSession, path: str, schema: StructType = S.LOG_SCHEMA,
+def read_raw_logs(spark: SparkSession, path: str | list[str], schema: StructType = S.LOG_SCHEMA,
                   corrupt_col: str = S.CORRUPT_COL) -> DataFrame:
     """JSON lines with an explicit schema; unparseable or wrongly typed lines are kept with
     their raw text in ``corrupt_col`` (PERMISSIVE). Parsing is split per file block."""
