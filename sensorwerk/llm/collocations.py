@@ -2,8 +2,8 @@
 
 Texts are lower-cased (A-Z), split at ``.,;:!?`` and line ends into pieces and those at blanks and
 tabs into words; everything is per language. Candidates grow level by level. A pass over the texts
-hashes the k-word phrases whose first and last k-1 words passed the level before, sums each
-shard's counts per hash bucket, and keeps the buckets that reach the least count. Phrases in one
+hashes the k-word phrases whose first and last k-1 words passed the level before, Spark sums the
+shards' counts per hash bucket, and the buckets that reach the least count are kept. Phrases in one
 bucket only add to each other and a phrase is never more frequent than its parts, so no phrase that
 reaches the least count is lost. The kept buckets become a sieve, a bit row of fixed size, and the
 next pass names the phrases that pass it. False passes are harmless: they are counted and dropped.
@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -45,9 +46,9 @@ TOP = 2_000
 CONTAINED = 50                  # per cent of the shorter phrase's count
 SHARD_BYTES = 24 << 20
 SIEVE_BITS = 27
-RANGE_WORDS = 1 << 21           # words of the corpus per hash range of the bucket step
-BLOCK_PHRASES = 1_000_000
-TRIES = 4                       # blocks that one pass over the texts counts
+RANGE_BYTES = 12 << 20          # bytes of text per hash range of the bucket step
+BLOCK_PHRASES = 500_000
+TRIES = 8                       # blocks that one pass over the texts counts
 
 _WORD, _BLANK, _CUT = 0, 1, 2
 _KIND = np.zeros(256, np.uint8)
@@ -196,25 +197,49 @@ def passing(words: Words, hashes: np.ndarray, k: int, sieves: list[Sieve]) -> tu
     return places, keys_of(each, places, k)
 
 
-BUCKETS = "part int, at binary, n binary"
-NAMES = "lang string, k int, phrase string"
+PASS = "lang string, k int, phrase string, part int, at binary, n binary"
+PASS_ARROW = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("phrase", pa.string()), ("part", pa.int32()),
+                        ("at", pa.binary()), ("n", pa.binary())])
 
 
-def _bucket(k: int, packed: Sieves, part_bits: int, shard_bytes: int):
-    """Per shard and hash range: distinct 32-bit buckets and their counts (255 stands for more)."""
+def _rows(size: int, **columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(size, f.type) for f in PASS_ARROW], schema=PASS_ARROW)
+
+
+def bucket_rows(keys: np.ndarray, part_bits: int) -> pa.RecordBatch:
+    """Per hash range: a shard's distinct 32-bit buckets and their counts (255 stands for more)."""
+    found, n = np.unique(keys >> np.uint64(64 - part_bits - 32), return_counts=True)
+    part, at = (found >> np.uint64(32)).astype(np.int64), found.astype("<u4")
+    n = np.minimum(n, 255).astype(np.uint8)
+    ends = np.searchsorted(part, np.arange((1 << part_bits) + 1))
+    real = [(p, a, b) for p, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())) if b > a]
+    return _rows(len(real), part=pa.array([p for p, _, _ in real], pa.int32()), at=pa.array([at[a:b].tobytes() for _, a, b in real], pa.binary()),
+                 n=pa.array([n[a:b].tobytes() for _, a, b in real], pa.binary()))
+
+
+def name_rows(lang: str, words: Words, places: np.ndarray, keys: np.ndarray, k: int) -> pa.RecordBatch:
+    """The distinct k-word phrases at the places."""
+    order = np.argsort(keys)
+    keys, places = keys[order], places[order]
+    places = places[np.append(True, keys[1:] != keys[:-1])] if len(keys) else places
+    parts = [words.names.take(pa.array(words.ids[places + j])) for j in range(k)]
+    phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if k > 1 else parts[0]
+    return _rows(len(places), lang=pa.array([lang] * len(places), pa.string()), k=pa.array(np.full(len(places), k, np.int32)),
+                 phrase=phrase.cast(pa.string()))
+
+
+def _pass(k: int, longest: int, packed: Sieves, part_bits: int, shard_bytes: int):
+    """One reading of the texts: names the k-word phrases that pass the k-th sieve and hashes the longer ones made of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sieves = packed.unpack()
         for lang, words in shards(batches, shard_bytes):
-            _, keys = passing(words, words.hashes(lang), k, sieves)
-            wide = np.uint64(64 - part_bits - 32)
-            found, n = np.unique(keys >> wide, return_counts=True)
-            part, at = (found >> np.uint64(32)).astype(np.int64), found.astype("<u4")
-            n = np.minimum(n, 255).astype(np.uint8)
-            ends = np.searchsorted(part, np.arange((1 << part_bits) + 1))
-            real = [(p, a, b) for p, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())) if b > a]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([p for p, _, _ in real], pa.int32()), pa.array([at[a:b].tobytes() for _, a, b in real], pa.binary()),
-                pa.array([n[a:b].tobytes() for _, a, b in real], pa.binary())], names=["part", "at", "n"])
+            hashes = words.hashes(lang)
+            if k:
+                places, keys = passing(words, hashes, k, sieves)
+                ok = sieves[k - 1].has(keys)
+                yield name_rows(lang, words, places[ok], keys[ok], k)
+            if k < longest:
+                yield bucket_rows(passing(words, hashes, k + 1, sieves)[1], part_bits)
     return run
 
 
@@ -233,23 +258,6 @@ def _keep(part_bits: int, least: int, width: int):
     return run
 
 
-def _name(k: int, packed: Sieves, shard_bytes: int):
-    """The k-word phrases of each shard that pass the k-th sieve."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sieves = packed.unpack()
-        for lang, words in shards(batches, shard_bytes):
-            places, keys = passing(words, words.hashes(lang), k, sieves)
-            places, keys = (x[sieves[k - 1].has(keys)] for x in (places, keys))
-            order = np.argsort(keys)
-            keys, places = keys[order], places[order]
-            places = places[np.append(True, keys[1:] != keys[:-1])] if len(keys) else places
-            parts = [words.names.take(pa.array(words.ids[places + j])) for j in range(k)]
-            phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if k > 1 else parts[0]
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(places), pa.string()), pa.array(np.full(len(places), k, np.int32)),
-                                              phrase.cast(pa.string())], names=["lang", "k", "phrase"])
-    return run
-
-
 # ---- double-array tries ------------------------------------------------------------------------
 class Trie:
     """Double array over word pairs of digits. State 0 is dead, state 1 the root."""
@@ -376,27 +384,33 @@ def build_trie(words: np.ndarray, n_words: int) -> tuple[int, np.ndarray, np.nda
 
 TRIE_SCHEMA = "block long, langs array<string>, words array<binary>, bits int, base binary, check binary, accept binary, phrases long"
 
-TRIE_COLUMNS = ["block", "langs", "words", "bits", "base", "check", "accept", "phrases"]
+TRIE_ARROW = pa.schema([("block", pa.int64()), ("langs", pa.list_(pa.string())), ("words", pa.list_(pa.binary())), ("bits", pa.int32()),
+                        ("base", pa.binary()), ("check", pa.binary()), ("accept", pa.binary()), ("phrases", pa.int64())])
 
 
-def _build(pdf: pd.DataFrame) -> pd.DataFrame:
+def _build(table: pa.Table) -> pa.Table:
     """One block's trie; ``no`` numbers its phrases from 0."""
-    pdf = pdf.sort_values("no")
-    langs = sorted(set(pdf.lang))
-    columns: list[np.ndarray] = []
-    vocabularies, first, rows = [], 0, np.full((len(pdf), int(pdf.k.max())), -1, np.int64)
-    for lang in langs:
-        at = np.flatnonzero((pdf.lang == lang).to_numpy())
-        flat = pa.array([w for p in pdf.phrase.iloc[at] for w in p.split(" ")], pa.large_string()).dictionary_encode()
-        k = pdf.k.to_numpy()[at].astype(np.int64)
-        place = np.arange(int(k.sum())) - np.repeat(np.cumsum(k) - k, k)
-        rows[np.repeat(at, k), place] = flat.indices.to_numpy().astype(np.int64) + first
+    table = table.sort_by("no").combine_chunks()
+    lang_of = table["lang"].combine_chunks().dictionary_encode()
+    names, codes = lang_of.dictionary.to_pylist(), lang_of.indices.to_numpy()
+    k = table["k"].to_numpy().astype(np.int64)
+    phrases = table["phrase"].cast(pa.large_string()).combine_chunks()
+    vocabularies, first, rows = [], 0, np.full((len(k), int(k.max())), -1, np.int64)
+    for i in range(len(names)):
+        at = np.flatnonzero(codes == i)
+        flat = pc.split_pattern(phrases.take(pa.array(at)), " ").flatten().dictionary_encode()
+        place = np.arange(int(k[at].sum())) - np.repeat(np.cumsum(k[at]) - k[at], k[at])
+        rows[np.repeat(at, k[at]), place] = flat.indices.to_numpy().astype(np.int64) + first
         vocabularies.append(flat.dictionary)
         first += len(flat.dictionary)
     bits, base, check, accept, _ = build_trie(rows, first)
-    blobs = [_to_ipc(v) for v in vocabularies]
-    return pd.DataFrame({"block": [int(pdf.block.iat[0])], "langs": [langs], "words": [blobs], "bits": [bits], "phrases": [len(pdf)],
-                         **{c: [zlib.compress(x.tobytes(), 1)] for c, x in (("base", base), ("check", check), ("accept", accept))}})[TRIE_COLUMNS]
+    out = {"block": [table["block"][0].as_py()], "langs": [names], "words": [[_to_ipc(v) for v in vocabularies]], "bits": [bits],
+           "base": [_pack(base)], "check": [_pack(check)], "accept": [_pack(accept)], "phrases": [len(k)]}
+    return pa.table({f.name: pa.array(out[f.name], f.type) for f in TRIE_ARROW}, schema=TRIE_ARROW)
+
+
+def _pack(values: np.ndarray) -> bytes:
+    return zlib.compress(values.tobytes(), 1)
 
 
 def _to_ipc(values: pa.Array) -> bytes:
@@ -417,76 +431,74 @@ def _trie(row) -> Trie:
     return Trie(list(row["langs"]), vocabularies, row["bits"], base, check, accept)
 
 
+COUNTS = "block long, no long, lang string, n long"
+COUNTS_ARROW = pa.schema([("block", pa.int64()), ("no", pa.int64()), ("lang", pa.string()), ("n", pa.int64())])
+
+
 def _count(tries, longest: int, shard_bytes: int):
-    """``tries``: broadcast of block rows. One row per phrase that the task has met."""
+    """``tries``: broadcast of block rows. A row per phrase that the task has met, and one per language (block -1) with its words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = [(row["block"], _trie(row), np.zeros(row["phrases"], np.int64)) for row in tries.value]
+        total: dict[str, int] = {}
         for lang, words in shards(batches, shard_bytes):
+            total[lang] = total.get(lang, 0) + len(words.ids)
             for _, trie, n in blocks:
                 trie.count(lang, words, longest, n)
+        out = [(-1, np.zeros(len(total), np.int64), pa.array(list(total), pa.string()), np.array(list(total.values()), np.int64))]
         for block, _, n in blocks:
             met = np.flatnonzero(n)
             for a in range(0, len(met), 1 << 18):
                 part = met[a:a + (1 << 18)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), block)), pa.array(part), pa.array(n[part])],
-                                                 names=["block", "no", "n"])
+                out.append((block, part, pa.nulls(len(part), pa.string()), n[part]))
+        for block, no, lang, n in out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(no), block, np.int64)), pa.array(no), lang, pa.array(n)], schema=COUNTS_ARROW)
     return run
 
 
 # ---- the operator ------------------------------------------------------------------------------
-def _word_counts(shard_bytes: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[str, int] = {}
-        for lang, words in shards(batches, shard_bytes):
-            total[lang] = total.get(lang, 0) + len(words.ids)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["lang", "n"])
-    return run
-
-
 def phrase_counts(texts: DataFrame, longest: int = LONGEST, least: int = LEAST, shard_bytes: int = SHARD_BYTES,
-                  block_phrases: int = BLOCK_PHRASES, tries: int = TRIES, range_words: int = RANGE_WORDS) -> tuple[DataFrame, DataFrame]:
+                  block_phrases: int = BLOCK_PHRASES, tries: int = TRIES, range_bytes: int = RANGE_BYTES) -> tuple[DataFrame, DataFrame]:
     """Exact counts of all phrases of 1 to ``longest`` words that reach ``least`` and of all words of a language.
 
     ``texts`` has ``text, lang``. Returns ``lang, k, phrase, a`` and ``lang, n``, both written tables.
     """
     spark = texts.sparkSession
-    totals = materialize(texts.mapInArrow(_word_counts(shard_bytes), "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n")),
-                         "lang-words")
-    n = totals.agg(F.sum("n")).first()[0] or 0
-    part_bits = min(16, max(4, int(n // range_words).bit_length()))
-    width = min(SIEVE_BITS, max(part_bits + 3, int(8 * n).bit_length()))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    part_bits = min(16, max(4, int(size // range_bytes).bit_length()))
+    width = min(SIEVE_BITS, max(part_bits + 3, int(size).bit_length()))
     sieves = Sieves()
     named = []
-    for k in range(1, longest + 1):
-        buckets = texts.mapInArrow(_bucket(k, sieves, part_bits, shard_bytes), BUCKETS)
-        kept = buckets.groupBy("part").applyInPandas(_keep(part_bits, least, width), "part int, bits binary")
-        wide = 1 << (width - part_bits - 3)
-        bits = np.zeros(1 << (width - 3), np.uint8)
-        for row in kept.collect():                                   # 16 MB in all at most, whatever the input
-            bits[row.part * wide:(row.part + 1) * wide] = np.frombuffer(row.bits, np.uint8)
-        sieves.add(spark, bits, width)
-        found = texts.mapInArrow(_name(k, sieves, shard_bytes), NAMES).distinct()
-        named.append(materialize(found, f"phrases-{k}"))
-    phrases = named[0]
-    for x in named[1:]:
-        phrases = phrases.unionByName(x)
-    n_phrases = phrases.count()
-    blocks = max(1, -(-n_phrases // block_phrases))
+    for k in range(longest + 1):
+        read = materialize(texts.mapInArrow(_pass(k, longest, sieves, part_bits, shard_bytes), PASS), f"phrases-pass-{k}")
+        if k:
+            found = read.where("phrase IS NOT NULL").select("lang", "k", "phrase").distinct()
+            named.append(materialize(found, f"phrases-{k}"))
+        if k < longest:
+            kept = read.where("part IS NOT NULL").select("part", "at", "n").groupBy("part").applyInPandas(
+                _keep(part_bits, least, width), "part int, bits binary")
+            wide = 1 << (width - part_bits - 3)
+            bits = np.zeros(1 << (width - 3), np.uint8)
+            for row in kept.collect():                               # 16 MB in all at most, whatever the input
+                bits[row.part * wide:(row.part + 1) * wide] = np.frombuffer(row.bits, np.uint8)
+            sieves.add(spark, bits, width)
+        discard(read)
+    phrases = reduce(DataFrame.unionByName, named)
+    blocks = max(1, -(-phrases.count() // block_phrases))
     order = Window.partitionBy("block").orderBy("lang", "phrase")    # a block is bounded
     dealt = materialize(phrases.withColumn("block", F.pmod(F.xxhash64("lang", "phrase"), F.lit(blocks)))
                         .withColumn("no", (F.row_number().over(order) - 1).cast("long")), "phrase-blocks")
-    built = materialize(dealt.groupBy("block").applyInPandas(_build, TRIE_SCHEMA), "tries")
+    built = materialize(dealt.groupBy("block").applyInArrow(_build, TRIE_SCHEMA), "tries")
     counts = []
     for first in range(0, blocks, tries):
-        held = [r.asDict() for r in built.where((F.col("block") >= first) & (F.col("block") < first + tries)).toLocalIterator()]
-        sent = spark.sparkContext.broadcast(held)                    # at most ``tries`` bounded blocks
-        met = texts.mapInArrow(_count(sent, longest, shard_bytes), "block long, no long, n long")
-        counts.append(materialize(met.groupBy("block", "no").agg(F.sum("n").alias("a")).where(F.col("a") >= least), "phrase-counts"))
+        some = built.where((F.col("block") >= first) & (F.col("block") < first + tries))
+        sent = spark.sparkContext.broadcast([r.asDict() for r in some.toLocalIterator()])       # at most ``tries`` bounded blocks
+        met = texts.mapInArrow(_count(sent, longest, shard_bytes), COUNTS)
+        counts.append(materialize(met.groupBy("block", "no", "lang").agg(F.sum("n").alias("a")).where(
+            (F.col("a") >= least) | (F.col("block") < 0)), "phrase-counts"))
         sent.destroy()
-    total = counts[0]
-    for x in counts[1:]:
-        total = total.unionByName(x)
-    result = materialize(dealt.join(total, ["block", "no"]).select("lang", "k", "phrase", "a"), "counted-phrases")
+    totals = materialize(counts[0].where("block < 0").select("lang", F.col("a").alias("n")), "lang-words")
+    counted = reduce(DataFrame.unionByName, counts).where("block >= 0").drop("lang")
+    result = materialize(dealt.join(counted, ["block", "no"]).select("lang", "k", "phrase", "a"), "counted-phrases")
     for x in (*named, dealt, built, *counts):
         discard(x)
     for x in sieves:

@@ -187,7 +187,7 @@ def chat(seed, n):
 CHAT = [(chat(i, 40 + 9 * i), [None, "en", "en", "de", "und"][i % 5]) for i in range(40)] + [(None, "en"), ("", "fr"), ("...", "it"), ("one", "sv")]
 
 
-@pytest.mark.parametrize("sizes", [{}, {"shard_bytes": 64}, {"block_phrases": 50, "tries": 2, "range_words": 64}])
+@pytest.mark.parametrize("sizes", [{}, {"shard_bytes": 64}, {"block_phrases": 50, "tries": 2, "range_bytes": 64}])
 def test_collocations_match_brute_force(spark, sizes):
     df = spark.createDataFrame([(t, x, 1, "clash") for t, x in CHAT], "text string, lang string, a int, phrase string").repartition(3)
     want = slow_collocations(CHAT, 3, 40)
