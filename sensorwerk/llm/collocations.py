@@ -44,7 +44,8 @@ LEAST = 10
 LONGEST = 3
 TOP = 2_000
 CONTAINED = 50                  # per cent of the shorter phrase's count
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 6 << 20
+HELD_KEYS = 1 << 22             # distinct keys that a task holds before it passes them on
 SIEVE_BITS = 27
 RANGE_BYTES = 12 << 20          # bytes of text per hash range of the bucket step
 BLOCK_PHRASES = 500_000
@@ -206,40 +207,71 @@ def _rows(size: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(size, f.type) for f in PASS_ARROW], schema=PASS_ARROW)
 
 
-def bucket_rows(keys: np.ndarray, part_bits: int) -> pa.RecordBatch:
-    """Per hash range: a shard's distinct 32-bit buckets and their counts (255 stands for more)."""
-    found, n = np.unique(keys >> np.uint64(64 - part_bits - 32), return_counts=True)
-    part, at = (found >> np.uint64(32)).astype(np.int64), found.astype("<u4")
-    n = np.minimum(n, 255).astype(np.uint8)
-    ends = np.searchsorted(part, np.arange((1 << part_bits) + 1))
-    real = [(p, a, b) for p, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())) if b > a]
-    return _rows(len(real), part=pa.array([p for p, _, _ in real], pa.int32()), at=pa.array([at[a:b].tobytes() for _, a, b in real], pa.binary()),
-                 n=pa.array([n[a:b].tobytes() for _, a, b in real], pa.binary()))
+class Buckets:
+    """Counts per 32-bit bucket and hash range over a task's shards."""
 
+    def __init__(self, part_bits: int):
+        self.part_bits, self.found, self.counts, self.size = part_bits, [], [], 0
 
-def name_rows(lang: str, words: Words, places: np.ndarray, keys: np.ndarray, k: int) -> pa.RecordBatch:
-    """The distinct k-word phrases at the places."""
-    order = np.argsort(keys)
-    keys, places = keys[order], places[order]
-    places = places[np.append(True, keys[1:] != keys[:-1])] if len(keys) else places
+    def add(self, keys: np.ndarray) -> None:
+        found, n = np.unique(keys >> np.uint64(64 - self.part_bits - 32), return_counts=True)
+        self.found.append(found)
+        self.counts.append(n.astype(np.int32))
+        self.size += len(found)
+
+    def release(self) -> pa.RecordBatch:
+        """A row per hash range: its buckets and their counts (255 stands for more)."""
+        found, n = np.concatenate([*self.found, np.zeros(0, np.uint64)]), np.concatenate([*self.counts, np.zeros(0, np.int32)])
+        order = np.argsort(found)
+        found, n = found[order], n[order]
+        first = np.flatnonzero(np.append(True, found[1:] != found[:-1])) if len(found) else np.zeros(0, np.int64)
+        found, n = found[first], np.minimum(np.add.reduceat(n, first), 255).astype(np.uint8) if len(first) else n.astype(np.uint8)
+        part, at = (found >> np.uint64(32)).astype(np.int64), found.astype("<u4")
+        ends = np.searchsorted(part, np.arange((1 << self.part_bits) + 1))
+        real = [(p, a, b) for p, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())) if b > a]
+        self.found, self.counts, self.size = [], [], 0
+        return _rows(len(real), part=pa.array([p for p, _, _ in real], pa.int32()),
+                     at=pa.array([at[a:b].tobytes() for _, a, b in real], pa.binary()),
+                     n=pa.array([n[a:b].tobytes() for _, a, b in real], pa.binary()))
+
+
+def name_rows(lang: str, words: Words, places: np.ndarray, k: int) -> pa.RecordBatch:
     parts = [words.names.take(pa.array(words.ids[places + j])) for j in range(k)]
     phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if k > 1 else parts[0]
     return _rows(len(places), lang=pa.array([lang] * len(places), pa.string()), k=pa.array(np.full(len(places), k, np.int32)),
                  phrase=phrase.cast(pa.string()))
 
 
+def unseen(keys: np.ndarray, places: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct key that is not in ``seen`` (sorted), and the new ``seen``."""
+    order = np.argsort(keys)
+    keys, places = keys[order], places[order]
+    new = np.append(True, keys[1:] != keys[:-1]) if len(keys) else np.zeros(0, bool)
+    if len(seen):
+        new &= seen[np.minimum(np.searchsorted(seen, keys), len(seen) - 1)] != keys
+    return places[new], np.sort(np.concatenate([seen, keys[new]]))
+
+
 def _pass(k: int, longest: int, packed: Sieves, part_bits: int, shard_bytes: int):
-    """One reading of the texts: names the k-word phrases that pass the k-th sieve and hashes the longer ones made of them."""
+    """One reading of the texts: names the k-word phrases that pass the k-th sieve, once a task, and counts the
+    longer ones made of them by bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sieves = packed.unpack()
+        sieves, buckets, seen = packed.unpack(), Buckets(part_bits), np.zeros(0, np.uint64)
         for lang, words in shards(batches, shard_bytes):
             hashes = words.hashes(lang)
             if k:
                 places, keys = passing(words, hashes, k, sieves)
                 ok = sieves[k - 1].has(keys)
-                yield name_rows(lang, words, places[ok], keys[ok], k)
+                new, seen = unseen(keys[ok], places[ok], seen)
+                yield name_rows(lang, words, new, k)
+                if len(seen) >= HELD_KEYS:                           # names may come again from here
+                    seen = np.zeros(0, np.uint64)
             if k < longest:
-                yield bucket_rows(passing(words, hashes, k + 1, sieves)[1], part_bits)
+                buckets.add(passing(words, hashes, k + 1, sieves)[1])
+                if buckets.size >= HELD_KEYS:
+                    yield buckets.release()
+        if k < longest:
+            yield buckets.release()
     return run
 
 
