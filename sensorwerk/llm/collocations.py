@@ -44,8 +44,8 @@ LEAST = 10
 LONGEST = 3
 TOP = 2_000
 CONTAINED = 50                  # per cent of the shorter phrase's count
-SHARD_BYTES = 6 << 20
-HELD_KEYS = 1 << 22             # distinct keys that a task holds before it passes them on
+SHARD_BYTES = 4 << 20
+HELD_KEYS = 1 << 21             # distinct keys that a task holds before it passes them on
 SIEVE_BITS = 27
 RANGE_BYTES = 12 << 20          # bytes of text per hash range of the bucket step
 BLOCK_PHRASES = 500_000
@@ -123,6 +123,15 @@ def _pieces(text: str, limit: int) -> list[str]:
     return [*parts, text[at:]]
 
 
+def in_slices(batch: pa.RecordBatch, limit: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about ``limit`` bytes of text, so that copies stay small."""
+    sizes = pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    cuts = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // limit)) + 1
+    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(sizes)]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def shards(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[str, Words]]:
     """The rows' words, language by language, from shards of about ``limit`` bytes."""
     held: dict[str, list] = {}
@@ -133,7 +142,7 @@ def shards(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[str,
         size.pop(lang)
         return Words(pa.concat_arrays(held.pop(lang)))
 
-    for batch in batches:
+    for batch in (part for whole in batches for part in in_slices(whole, limit)):
         texts = pc.fill_null(batch["text"], "").cast(pa.large_string())
         coded = pc.fill_null(batch["lang"], "und").dictionary_encode()
         lang_of, names = coded.indices.to_numpy(), coded.dictionary.to_pylist()
