@@ -64,5 +64,53 @@ FROM events WHERE event_id % 50 = 0
 SELECT 'run-' || CAST(k AS VARCHAR) AS job_run, TRUE AS files_once,
   (SELECT COUNT(*) FROM events WHERE event_id % 50 = 0 AND event_id % 2 = k) AS corrupt_records
 FROM (SELECT unnest([0, 1]) AS k)
+"""),
+    "scd2_asof_carry": (("iot_raw", "dim_device_scd2"), """
+SELECT r.event_id, r.device_id, r.event_ts, v.criticality AS criticality_at_event, v.sla_minutes, v.valid_from
+FROM iot_raw r LEFT JOIN dim_device_scd2 v
+  ON v.device_id = r.device_id AND r.event_ts >= v.valid_from AND (v.valid_to IS NULL OR r.event_ts < v.valid_to)
+"""),
+    "lake_discovery": (("iot_raw",), """
+SELECT event_id, device_id, value_numeric, CASE WHEN event_ts >= TIMESTAMP '2024-01-20 00:00:00' THEN quality END AS quality,
+  CAST(event_ts AS DATE) AS event_date
+FROM iot_raw WHERE event_ts IS NOT NULL
+"""),
+    "model_graph": (("fact", "dim_plant"), """
+SELECT CAST(date_trunc('week', event_ts) AS DATE) AS week_start, plant_name, COUNT(*) AS total_events,
+  COUNT(*) FILTER (WHERE threshold_breach) AS total_alarms, COUNT(*) FILTER (WHERE anomaly_score > 0.8) AS high_anomalies,
+  RND(AVG(value_numeric), 4) AS avg_value, RND(AVG(quality), 4) AS avg_quality
+FROM fact JOIN dim_plant USING (plant_sk) WHERE event_ts IS NOT NULL GROUP BY plant_sk, plant_name, 1
+"""),
+    "registry_missing": (("iot_raw",), """
+SELECT event_id, device_id, CAST(NULL AS VARCHAR) AS asset_name, CAST(NULL AS VARCHAR) AS criticality FROM iot_raw
+"""),
+    "staging_json": (("iot_raw",), """
+SELECT event_id, '["' || unit || '","' || event_name || '"]' AS tags,
+  '{"device_id":"' || device_id || '"' || CASE WHEN quality IS NOT NULL THEN ',"quality":' || CAST(quality AS VARCHAR) ELSE '' END || '}' AS reading
+FROM iot_raw
+"""),
+    "stream_batch_metrics": (("iot_raw",), """
+SELECT COUNT(*) AS records, COUNT(*) FILTER (WHERE value_numeric > alert_threshold) AS alarms, TRUE AS several_batches FROM iot_raw
+"""),
+    "topic_landing": ((), """
+SELECT 'factory-iot-events' AS topic, event_id AS "offset", CAST(event_id % 3 AS INTEGER) AS "partition",
+  'DEVICE-' || printf('%05d', user_id) AS key, CAST(year(t) AS VARCHAR) AS year, lpad(CAST(month(t) AS VARCHAR), 2, '0') AS month,
+  lpad(CAST(day(t) AS VARCHAR), 2, '0') AS day, lpad(CAST(hour(t) AS VARCHAR), 2, '0') AS hour, event_id % 40 = 0 AS dead_letter
+FROM (SELECT *, CASE WHEN event_id % 40 <> 0 THEN ts END AS t FROM events) e
+"""),
+    "hourly_refresh": (("fact", "dim_plant"), """,
+now AS (
+  SELECT event_ts, plant_sk, threshold_breach, anomaly_score,
+    CASE WHEN event_ts >= TIMESTAMP '2024-01-15 00:00:00' THEN quality - 1 ELSE quality END AS quality
+  FROM fact WHERE event_ts IS NOT NULL)
+SELECT date_trunc('hour', event_ts) AS event_hour, plant_name, COUNT(*) AS total_events,
+  COUNT(*) FILTER (WHERE threshold_breach) AS alarm_count, COUNT(*) FILTER (WHERE anomaly_score > 0.8) AS high_anomaly_count,
+  COUNT(*) FILTER (WHERE quality < 60) AS low_quality_events, CAST(SUM(quality) AS BIGINT) AS sum_quality, COUNT(quality) AS n_quality
+FROM now JOIN dim_plant USING (plant_sk) GROUP BY plant_sk, plant_name, 1
+"""),
+    "approx_distinct_bounds": (("fact",), """
+SELECT CAST(date_trunc('week', event_ts) AS DATE) AS week_start, plant_sk, COUNT(DISTINCT device_sk) AS exact_devices,
+  TRUE AS hll_within, TRUE AS sketch_within
+FROM fact WHERE plant_sk IS NOT NULL GROUP BY 1, 2
 """),
 }

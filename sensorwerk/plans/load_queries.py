@@ -167,3 +167,145 @@ def log_job_runs(spark, sf):
 QUERIES = {f.__name__: f for f in (
     stream_window_stats, stream_window_open, stream_window_arrivals, upsert_snapshot, minute_stats_loads, staging_cycle,
     log_job_twice, log_job_failures, log_job_quarantine, log_job_runs)}
+
+
+# ---- catalog, models, dimensions, further sinks ------------------------------------------------------
+def scd2_asof_carry(spark, sf):
+    """The as-of join by carrying versions forward."""
+    from sensorwerk.operators import dims
+
+    versions = T.dim_device_scd2(spark, sf).select("device_id", "criticality", "sla_minutes", "valid_from", "valid_to")
+    events = T.iot_raw(spark, sf, plant=False).select("event_id", "device_id", "event_ts")
+    return dims.asof_carry(events, versions).select("event_id", "device_id", "event_ts", F.col("criticality").alias("criticality_at_event"),
+                                                    "sla_minutes", "valid_from")
+
+
+def lake_discovery(spark, sf):
+    """A folder that grows between two visits: first days without ``quality``, later ones with it, and folders
+    that are no data."""
+    from sensorwerk.sources.raw import sync_lake_table
+
+    base, name = fresh(spark, "discovery"), f"lake_{uuid.uuid4().hex}"
+    rows = T.iot_raw(spark, sf, plant=False).withColumn("event_date", F.to_date("event_ts")).where("event_date IS NOT NULL")
+    old = rows.where(F.col("event_ts") < ntz(CUTOFF)).select("event_id", "device_id", "value_numeric", "event_date")
+    lake.write_partitioned(old, f"{base}/lake", ["event_date"])
+    sync_lake_table(spark, name, f"{base}/lake", ["event_date"], {"event_date": "date"})
+    new = rows.where(F.col("event_ts") >= ntz(CUTOFF)).select("event_id", "device_id", "value_numeric", "quality", "event_date")
+    lake.write_partitioned(new, f"{base}/later", ["event_date"])
+    new.select("event_id").write.parquet(f"{base}/lake/_spark_staging")
+    lake.write_partitioned(spark.read.schema(new.schema).parquet(f"{base}/later"), f"{base}/lake", ["event_date"])
+    rows.select("event_id").write.parquet(f"{base}/lake/_temporary/0")              # what a writer that died left
+    sync_lake_table(spark, name, f"{base}/lake", ["event_date"])
+    return spark.table(name).select("event_id", "device_id", "value_numeric", "quality", "event_date")
+
+
+def model_graph(spark, sf):
+    """Staging view and weekly mart as models; the mart refers to the view and to the plants."""
+    from sensorwerk.operators import aggregates as A
+    from sensorwerk.plans.catalog import Catalog
+    from sensorwerk.sources.tables import read_table
+
+    tag = uuid.uuid4().hex
+    cat = Catalog(spark)
+    for name in ("events", "customer", "nation", "region"):
+        cat.add_source(name, lambda s, n=name: read_table(s, sf, n))
+    sources = ("events", "customer")
+    cat.add_model(f"stg_{tag}", lambda c: A.stg_iot_events(T.fact_iot_events(spark, sf)), "view", sources=sources)
+    cat.add_model(f"plants_{tag}", lambda c: T.dim_plant(spark, sf), "view", sources=("nation", "region"))
+    cat.add_model(f"mart_{tag}", lambda c: A.weekly_plant_events(c.ref(f"stg_{tag}")).join(
+        c.ref(f"plants_{tag}").select("plant_sk", "plant_name"), "plant_sk"), "table", refs=(f"stg_{tag}", f"plants_{tag}"))
+    cat.run([f"mart_{tag}"])
+    if cat.run():
+        raise AssertionError("a model was built again without need")
+    return cat.ref(f"mart_{tag}").select("week_start", "plant_name", "total_events", "total_alarms", "high_anomalies",
+                                         *[round_numeric(c, 4).alias(c) for c in ("avg_value", "avg_quality")])
+
+
+def registry_missing(spark, sf):
+    """Enrichment against a registry path that is not there: every event stays, without attributes."""
+    from sensorwerk.operators import enrich
+    from sensorwerk.sources.raw import load_registry
+
+    registry = load_registry(spark, f"{fresh(spark, 'registry')}/none")
+    return enrich.enrich_with_registry(T.iot_raw(spark, sf, plant=False), registry).select("event_id", "device_id", "asset_name", "criticality")
+
+
+def staging_json(spark, sf):
+    """A staging prefix with nested columns: arrays and structs come as JSON text."""
+    from sensorwerk.sources.raw import load_staging
+
+    base = fresh(spark, "nested")
+    T.iot_raw(spark, sf, plant=False).select(
+        "event_id", F.array("unit", "event_name").alias("tags"), F.struct("device_id", "quality").alias("reading")).write.parquet(f"{base}/staging")
+    return load_staging(spark, f"{base}/staging", ["event_id", "tags", "reading"])
+
+
+def stream_batch_metrics(spark, sf):
+    """Record and alarm counts of all micro-batches of the streaming job, added up."""
+    base = fresh(spark, "metrics")
+    n = _landed_events(spark, sf, f"{base}/landing")
+    metrics = iot.BatchMetrics()
+    stream = iot.read_iot_stream(spark, f"{base}/landing", max_files=max(1, n // 3))
+    iot.run_to_completion(spark, iot.iot_pipeline(stream, T.device_registry(spark, sf)), f"{base}/out", f"{base}/checkpoint", metrics)
+    rows = spark.createDataFrame([(r["batch_id"], r["records"], r["alarms"]) for r in metrics.rows], "batch_id long, records long, alarms long")
+    return rows.agg(F.sum("records").alias("records"), F.sum("alarms").alias("alarms"), (F.count("*") >= 3).alias("several_batches"))
+
+
+def topic_landing(spark, sf):
+    """Kafka-shaped messages, landed raw by the hour of their own time; every 40th is cut off: it goes to the
+    dead letters as well and lies in the partition without a time."""
+    from sensorwerk.streaming import landing
+
+    base = fresh(spark, "landing")
+    src = T.iot_raw(spark, sf).withColumn("timestamp_ms", ts_to_epoch_ms("event_ts")).drop("event_ts")
+    no = F.substring("event_id", 5, 20).cast("long")
+    value = F.to_json(F.struct(*src.columns))
+    messages = src.select(F.col("device_id").alias("key"), F.when(no % 40 == 0, F.concat(F.lit('{"timestamp_ms": '), F.col("timestamp_ms").cast("string"),
+                          F.lit(', "device_id": '))).otherwise(value).alias("value"), F.lit("factory-iot-events").alias("topic"),
+                          (no % 3).cast("int").alias("partition"), no.alias("offset"), F.lit(RUN_TS).cast("timestamp").alias("timestamp"))
+    messages.write.parquet(f"{base}/topic")
+    stream = spark.readStream.schema(messages.schema).parquet(f"{base}/topic")
+    _, dead = landing.split_dead_letters(landing.parse_values(stream))
+    for q in (landing.start_landing(stream, f"{base}/raw", f"{base}/c1", {"availableNow": True}),
+              landing.start_dead_letters(dead, f"{base}/dead", f"{base}/c2", {"availableNow": True})):
+        q.awaitTermination()
+    raw = spark.read.schema("topic string, year string, month string, day string, hour string, key string, value string, "
+                            "partition int, offset long").json(f"{base}/raw")
+    lost = spark.read.schema("source_topic string, offset long, error string").json(f"{base}/dead")
+    return raw.join(lost.select(F.col("offset").alias("_o"), "error"), F.col("offset") == F.col("_o"), "left").select(
+        "topic", "offset", "partition", "key", "year", "month", "day", "hour", F.col("error").isNotNull().alias("dead_letter"))
+
+
+def hourly_refresh(spark, sf):
+    """The hourly roll-up after a full build and an incremental refresh of the days that a second load touched."""
+    from sensorwerk.functions.columns import day_start
+    from sensorwerk.plans import jobs
+
+    base, plants = fresh(spark, "refresh"), T.dim_plant(spark, sf)
+    rows = T.fact_iot_events(spark, sf)
+    first = rows.where(F.col("event_ts") < ntz(CUTOFF)).withColumn("event_date", day_start("event_ts"))
+    lake.write_partitioned(first, f"{base}/fact", ["event_date"])
+    jobs.refresh_hourly(spark, f"{base}/fact", plants, f"{base}/hourly")
+    second = rows.where(F.col("event_ts") >= ntz(RESEND_FROM)).withColumn("quality", F.col("quality") - F.lit(1).cast("smallint"))
+    touched = jobs.load_fact_batch(spark, f"{base}/fact", second)
+    jobs.refresh_hourly(spark, f"{base}/fact", plants, f"{base}/hourly", touched)
+    return spark.read.parquet(f"{base}/hourly").select("event_hour", "plant_name", "total_events", "alarm_count", "high_anomaly_count",
+                                                       "low_quality_events", "sum_quality", "n_quality")
+
+
+def approx_distinct_bounds(spark, sf):
+    """Approximate device counts of every plant-week beside the exact ones: all within their error bounds."""
+    from sensorwerk.operators import aggregates as A
+
+    fact = T.fact_iot_events(spark, sf)
+    exact = A.weekly_devices(fact, exact=True).withColumnRenamed("active_devices", "exact_devices")
+    hll = A.weekly_devices(fact, exact=False, rsd=0.02).withColumnRenamed("active_devices", "hll")
+    sketch = A.weekly_devices_from_sketches(A.hourly_plant_kpis(fact, T.dim_plant(spark, sf), device_sketch=True)).withColumnRenamed("active_devices", "sketch")
+    near = lambda c, rsd: F.abs(F.col(c) - F.col("exact_devices")) <= F.greatest(F.lit(1.0), 4 * rsd * F.col("exact_devices"))
+    both = exact.join(hll, ["week_start", "plant_sk"]).join(sketch, ["week_start", "plant_sk"])
+    return both.select("week_start", "plant_sk", "exact_devices", near("hll", 0.02).alias("hll_within"), near("sketch", 0.02).alias("sketch_within"))
+
+
+QUERIES.update({f.__name__: f for f in (
+    scd2_asof_carry, lake_discovery, model_graph, registry_missing, staging_json, stream_batch_metrics, topic_landing, hourly_refresh,
+    approx_distinct_bounds)})

@@ -23,6 +23,7 @@ from sensorwerk.sinks.snapshot import Change, Snapshots, State, replace_rows
 from sensorwerk.sources.raw import read_raw_logs
 
 FACT, MINUTES = "fact", "minutes"
+FACT_ORDER = ("event_ts", "device_sk")           # files hold time ranges: range scans skip the others
 MINUTE_KEYS = ["device_sk", "event_name", "minute"]
 MINUTE_COLUMNS = [*MINUTE_KEYS, *moments.names("value")]
 
@@ -92,7 +93,8 @@ def load_events(spark: SparkSession, root: str, staging: DataFrame, key: str = "
 
     plain = staged.drop("avg_value_1min", "stddev_value_1min").withColumns(
         {c: F.lit(None).cast("double") for c in ("avg_value_1min", "stddev_value_1min")})
-    fact = replace_rows(snap, state, FACT, plain, ["event_date"], keys, key, same_minute, with_stats)
+    fact = replace_rows(snap, state, FACT, plain, ["event_date"], keys, key, same_minute, with_stats,
+                        order=FACT_ORDER, size=lake.folder_bytes(spark, f"{scratch}/staged"))
 
     rows = merged.withColumn("event_date", F.to_date("minute"))
     old = snap.holding(MINUTES, state, lambda t: t.where(of_days).join(touched, MINUTE_KEYS, "left_semi"))

@@ -118,10 +118,14 @@ class Snapshots:
         return sorted({unquote(urlparse(r[0]).path)[len(base) + 1:] for r in found})
 
     # ---- writing --------------------------------------------------------------------------------
-    def write(self, name: str, rows: DataFrame, partition_cols: list[str]) -> list[str]:
-        """New folders with the rows, in force only after :meth:`commit`."""
+    def write(self, name: str, rows: DataFrame, partition_cols: list[str], order=(), size: int | None = None) -> list[str]:
+        """New folders with the rows, in force only after :meth:`commit`. With ``order`` the files hold ranges of
+        these columns, sorted, as many as ``size`` bytes call for."""
         folder = f"v={uuid.uuid4().hex}"
-        lake.write_partitioned(rows, f"{self.root}/{name}/{folder}", partition_cols, mode="errorifexists")
+        if order:
+            lake.write_clustered(rows, f"{self.root}/{name}/{folder}", order, order, partition_cols, mode="errorifexists", size=size)
+        else:
+            lake.write_partitioned(rows, f"{self.root}/{name}/{folder}", partition_cols, mode="errorifexists")
         base = self._fs.makeQualified(self._path(name)).toUri().getPath()
         found = self._fs.globStatus(self._path(f"{name}/{folder}" + "/*=*" * len(partition_cols))) or []
         return sorted(f.getPath().toUri().getPath()[len(base) + 1:] for f in found)
@@ -170,13 +174,13 @@ class Change:
 
 def replace_rows(snap: Snapshots, state: State, name: str, rows: DataFrame, partition_cols: list[str],
                  keys: DataFrame | None = None, key: str = "event_id", also: Callable[[DataFrame], DataFrame] | None = None,
-                 finish: Callable[[DataFrame], DataFrame] | None = None) -> Change:
+                 finish: Callable[[DataFrame], DataFrame] | None = None, order=(), size: int = 0) -> Change:
     """Writes a table's next content: rows of the staged ``keys`` go, ``rows`` come.
 
     ``keys`` (default: the keys of ``rows``) are looked for in the key column alone; NULL keys match
     nothing. Folders that hold one are rewritten without it, the others stay. ``also`` keeps the
     rows whose folders are to be rewritten for another reason, and ``finish`` is applied to all that is
-    written (rows kept of these folders and new ones).
+    written (rows kept of these folders and new ones), which ``order`` sorts; ``size``: bytes of the new rows.
     """
     gone = (keys if keys is not None else rows.select(key)).where(F.col(key).isNotNull()).select(key).distinct()
     folders: list[str] = []
@@ -190,7 +194,9 @@ def replace_rows(snap: Snapshots, state: State, name: str, rows: DataFrame, part
         content = kept.unionByName(rows.select(*kept.columns))
     if finish is not None:
         content = finish(content)
-    adds = snap.write(name, content, partition_cols)
+    if order:
+        size += lake.folder_bytes(snap.spark, *[f"{snap.root}/{name}/{f}" for f in folders])
+    adds = snap.write(name, content, partition_cols, order, size)
     schema = content.schema if name not in state.tables else StructType.fromJson(state.tables[name]["schema"])
     return Change(schema, list(partition_cols), folders, adds)
 

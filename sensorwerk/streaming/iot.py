@@ -125,21 +125,27 @@ class BatchMetrics:
         log.info("METRIC batch_id=%s records=%s alarms=%s", batch_id, records, alarms)
 
 
-MAX_BATCH_DAYS = 40_000          # a century; more distinct days in a batch are junk timestamps
+PRUNED_HOURS = 10_000            # distinct time partitions of a batch that are named to the scan
+TIME_PARTITIONS = ("year", "month", "day", "hour")
 
 
-def not_landed(batch: DataFrame, batch_id: int, output_path: str, key: str, day_cols=("year", "month", "day")) -> DataFrame:
-    """The batch's rows, one per ``key``, that no earlier batch has written for the same days. Only the
-    key column of those days' partitions is read; a replay does not meet its own files."""
+def landed_before(batch: DataFrame, batch_id: int, output_path: str, time_cols=TIME_PARTITIONS[:3]) -> DataFrame:
+    """What earlier batches have written for the time partitions of ``batch``. A copy of a record carries the
+    record's own time, so it lies in the same hour; only these folders are read, however large the
+    table is. A batch that names too many of them (a backfill) is compared with the whole table."""
+    held = batch.sparkSession.read.schema(batch.schema).parquet(output_path).where(F.col("batch_id") != batch_id)
+    at = F.concat_ws("-", *time_cols)
+    hours = [r[0] for r in batch.select(at).distinct().limit(PRUNED_HOURS + 1).collect()]
+    return held.where(at.isin(hours)) if len(hours) <= PRUNED_HOURS else held
+
+
+def not_landed(batch: DataFrame, batch_id: int, output_path: str, key: str, time_cols=TIME_PARTITIONS[:3]) -> DataFrame:
+    """The batch's rows, one per ``key``, that no earlier batch has written for the same time partitions. Only
+    the key column is read; a replay does not meet its own files."""
     once = batch.dropDuplicates([key])
-    spark = batch.sparkSession
-    if not lake.exists(spark, output_path):
+    if not lake.exists(batch.sparkSession, output_path):
         return once
-    day = F.concat_ws("-", *day_cols)
-    days = [r[0] for r in batch.select(day).distinct().limit(MAX_BATCH_DAYS + 1).collect()]
-    if len(days) > MAX_BATCH_DAYS:
-        raise ValueError(f"a batch spans more than {MAX_BATCH_DAYS} days")
-    held = spark.read.schema(batch.schema).parquet(output_path).where(day.isin(days) & (F.col("batch_id") != batch_id))
+    held = landed_before(batch, batch_id, output_path, time_cols)
     return once.join(held.select(key), key, "left_anti").select(*batch.columns)
 
 
@@ -157,8 +163,14 @@ def idempotent_batch_writer(output_path: str, partition_cols=("year", "month", "
     def process(batch_df: DataFrame, batch_id: int) -> None:
         rows = batch_df.withColumn("batch_id", F.lit(batch_id).cast("long"))
         if key:
-            rows = not_landed(rows, batch_id, output_path, key)
-        lake.write_partitioned(rows, output_path, cols, mode="overwrite", dynamic_overwrite=True)
+            times = [c for c in TIME_PARTITIONS if c in cols]
+            kept = rows.persist()                        # its hours, then its rows: one pass over the source
+            try:
+                lake.write_partitioned(not_landed(kept, batch_id, output_path, key, times), output_path, cols, mode="overwrite", dynamic_overwrite=True)
+            finally:
+                kept.unpersist()
+        else:
+            lake.write_partitioned(rows, output_path, cols, mode="overwrite", dynamic_overwrite=True)
         if metrics is None:
             return
         landed = batch_df.sparkSession.read.schema(rows.schema).parquet(output_path).where(F.col("batch_id") == batch_id)
