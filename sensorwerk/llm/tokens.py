@@ -10,6 +10,11 @@ distinct ids u32 by falling frequency (ties: smaller id); control bytes, four 2-
 (code c: c + 1 data bytes); data bytes, the low bytes of each id's rank. Decoding looks the four
 lengths of a control byte up in a table of 256 rows. Shards carry their own ranks, so each can
 be read alone and a lost task rewrites only its own.
+
+Defined cases: null and empty texts have the end id alone; null doc_ids come first in the file; rows of
+one id follow each other by text; texts of any length are encoded whole; strings of the tokenizer's
+special tokens get their ids, as the plain call gives them; an empty table gives no shard and an empty
+result; other columns are not read.
 """
 from __future__ import annotations
 
@@ -18,6 +23,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pandas as pd
@@ -46,8 +52,10 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True                  # their strings are ordinary text
         self.keeps_space = keeps_space
+        # a text that may hold a special token's string is encoded whole: the library gives it its own id
+        added = list(self.tok.get_added_tokens_decoder().values())
+        self.marks, self.folded = {t.content[:2] for t in added}, {t.content[:2].lower() for t in added if t.normalized}
         vocab = self.tok.get_vocab()
         self.edge = np.zeros(max(vocab.values()) + 1, bool)
         for token, i in vocab.items():
@@ -116,20 +124,28 @@ class TextEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each whole text, as little-endian bytes of ``dtype``."""
-        units = [self._units(t) if t and "\x00" not in t else [t] if t else [] for t in texts]
+        units = [None if t and self._is_whole(t) else self._units(t) if t else [] for t in texts]
         young, old = self.young, self.old
         if len(young) > CACHE_WORDS:
             self.old = old = young
             self.young = young = {}
-        wanted = set().union(*units) if units else set()
-        wanted.difference_update(young)
+        young[""], young["\n"] = b"", self.line_feed if self.keeps_space else b""
+        wanted: set[str] = set()
+        known = young.__contains__
+        for u in units:
+            if u:
+                wanted.update(filterfalse(known, u))
         again = wanted & old.keys()
         for w in again:
             young[w] = old[w]
-        young[""], young["\n"] = b"", self.line_feed if self.keeps_space else b""
-        self._learn(list(wanted - again - {"", "\n"}))
+        self._learn(list(wanted - again))
         get = young.__getitem__
-        return [b"".join(map(get, u)) for u in units]
+        return [self._plain(t) if u is None else b"".join(map(get, u)) for t, u in zip(texts, units)]
+
+    def _is_whole(self, text: str) -> bool:
+        if "\x00" in text or any(m in text for m in self.marks):
+            return True
+        return bool(self.folded) and any(m in text.lower() for m in self.folded)
 
 
 def encoder(path: str, keeps_space: bool) -> TextEncoder:

@@ -185,13 +185,12 @@ def slow_ids(path, text, end):
     from tokenizers import Tokenizer
 
     tok = slow_ids.cache.setdefault(path, Tokenizer.from_file(path))
-    tok.encode_special_tokens = True
     return tok.encode(text or "", add_special_tokens=False).ids + [end]
 
 
 slow_ids.cache = {}
 ODD = ["", " ", "\n", "a\nb", "a \nb", " a", "a ", "a  b", "a\n\nb", "a\tb c", "don't we'll it's", "x., y.,. z,, w.", "\x00a b\x00", "a\x00 b",
-       "naïve Ünïcode  x", "1234 56,78.", "日本語 テキスト", "<|endoftext|> <|startoftext|>", "é ö", "A B C 　D", "ΑΣ ΣΑΣ. İ", "\r\n x\r\n"]
+       "naïve Ünïcode  x", "1234 56,78.", "日本語 テキスト", "<|endoftext|> <|startoftext|>", "a<|endoftext|>b c", "x <|ENDOFTEXT|> é<|endoftext|>\n y", "<|end oftext|> <| a", "é ö", "A B C 　D", "ΑΣ ΣΑΣ. İ", "\r\n x\r\n"]
 
 
 @pytest.mark.parametrize("path,keeps", [(queries.BYTE_BPE, True), (queries.WORD_BPE, False)])
