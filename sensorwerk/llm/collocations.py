@@ -16,7 +16,7 @@ word, and bincounts the accepting states. A task adds its shards' counts and Spa
 Scores are taken in 38-digit decimals.
 
 Memory: a task holds one shard of text (``SHARD_BYTES``, or one piece if that is longer), sieves
-(at most 16 MB each) and at most ``TRIES`` tries of ``block_phrases`` phrases. Groups of the bucket step are
+(at most 8 MB each) and at most ``TRIES`` tries of ``block_phrases`` phrases. Groups of the bucket step are
 hash ranges sized by the corpus, so a common word or phrase gives one number a shard.
 
 Defined cases: null texts and texts without words count nothing; a null language is ``und``; repeated
@@ -44,9 +44,10 @@ LEAST = 10
 LONGEST = 3
 TOP = 2_000
 CONTAINED = 50                  # per cent of the shorter phrase's count
-SHARD_BYTES = 4 << 20
-HELD_KEYS = 1 << 21             # distinct keys that a task holds before it passes them on
-SIEVE_BITS = 27
+SHARD_BYTES = 3 << 20
+HELD_KEYS = 1 << 20             # distinct keys that a task holds before it passes them on
+SIEVE_BITS = 26
+BATCH_ROWS = 1_000              # texts that Spark hands to Python at once
 RANGE_BYTES = 12 << 20          # bytes of text per hash range of the bucket step
 BLOCK_PHRASES = 500_000
 TRIES = 8                       # blocks that one pass over the texts counts
@@ -499,6 +500,18 @@ def _count(tries, longest: int, shard_bytes: int):
 # ---- the operator ------------------------------------------------------------------------------
 def phrase_counts(texts: DataFrame, longest: int = LONGEST, least: int = LEAST, shard_bytes: int = SHARD_BYTES,
                   block_phrases: int = BLOCK_PHRASES, tries: int = TRIES, range_bytes: int = RANGE_BYTES) -> tuple[DataFrame, DataFrame]:
+    """:func:`_phrase_counts` with small Arrow batches: texts are long, and a batch is held by both sides of a task."""
+    conf, name = texts.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(name)
+    conf.set(name, str(BATCH_ROWS))
+    try:
+        return _phrase_counts(texts, longest, least, shard_bytes, block_phrases, tries, range_bytes)
+    finally:
+        conf.set(name, before)
+
+
+def _phrase_counts(texts: DataFrame, longest: int, least: int, shard_bytes: int, block_phrases: int, tries: int,
+                   range_bytes: int) -> tuple[DataFrame, DataFrame]:
     """Exact counts of all phrases of 1 to ``longest`` words that reach ``least`` and of all words of a language.
 
     ``texts`` has ``text, lang``. Returns ``lang, k, phrase, a`` and ``lang, n``, both written tables.
@@ -519,7 +532,7 @@ def phrase_counts(texts: DataFrame, longest: int = LONGEST, least: int = LEAST,
                 _keep(part_bits, least, width), "part int, bits binary")
             wide = 1 << (width - part_bits - 3)
             bits = np.zeros(1 << (width - 3), np.uint8)
-            for row in kept.collect():                               # 16 MB in all at most, whatever the input
+            for row in kept.collect():                               # 8 MB in all at most, whatever the input
                 bits[row.part * wide:(row.part + 1) * wide] = np.frombuffer(row.bits, np.uint8)
             sieves.add(spark, bits, width)
         discard(read)
