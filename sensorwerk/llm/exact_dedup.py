@@ -150,7 +150,8 @@ def verdicts(rows: DataFrame, keys_per_bucket: int = BUCKET_KEYS) -> DataFrame:
     split = rows.agg(F.percentile_approx("doc_id", 0.5)).first()[0]
     in_history = F.coalesce(F.col("doc_id") <= F.lit(split), F.lit(False)) if split is not None else F.lit(False)
     history = materialize(_distinct(rows.where(in_history)), "history")
-    buckets = max(1, -(-history.count() // keys_per_bucket))
+    most = max(history.count(), rows.where(~in_history).count())      # the batch's rows bound its distinct digests
+    buckets = max(1, -(-most // keys_per_bucket))
     index = materialize(build_index(history, buckets=buckets), "mph-index")
     new = _distinct(rows.where(~in_history)).withColumn("bucket", bucket_of("digest", buckets))
     return new.groupBy("bucket").cogroup(index.groupBy("bucket")).applyInPandas(_lookup, VERDICT_SCHEMA)

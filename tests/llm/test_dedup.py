@@ -44,6 +44,15 @@ def test_exact_dedup_empty(no_docs):
     assert exact_dedup.exact_dedup(no_docs).count() == 0
 
 
+def test_buckets_follow_the_larger_side(spark, monkeypatch):
+    rows = spark.createDataFrame([(None, f"text {i}") for i in range(500)], "doc_id long, text string")      # no history at all
+    seen = []
+    plain = exact_dedup.bucket_of
+    monkeypatch.setattr(exact_dedup, "bucket_of", lambda c, n: (seen.append(n), plain(c, n))[1])
+    assert exact_dedup.verdicts(exact_dedup.digests_of(rows), keys_per_bucket=50).count() == 500
+    assert set(seen) == {10}
+
+
 @pytest.mark.parametrize("n", [1, 2, 63, 1000, 20_000])
 def test_mph_is_minimal_and_perfect(n):
     keys = np.random.default_rng(n).integers(0, 256, (n, 32), dtype=np.uint8)
