@@ -134,7 +134,7 @@ def mix(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, max_copies: flo
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     joined = sized.join(per.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).select(
         "rid", "doc_id", "size", "source_size", "target", "source_key",
-        F.pmod(F.xxhash64("doc_id", "size"), salts).alias("salt"),
+        F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64("rid")).otherwise(F.xxhash64("doc_id", "size")), salts).alias("salt"),
         F.floor(ratio).cast("long").alias("base"), (ratio - F.floor(ratio)).alias("p0"))
     todo = materialize(joined, "fractions")
     whole = (F.col("size") == 0) | (F.col("p0") == 0.0)
