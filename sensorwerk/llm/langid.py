@@ -8,12 +8,15 @@ than the penalty ``0.5 * log(words) + log(languages)``; the prediction is the la
 largest proportion in the set, which is the score.
 
 The models are fitted on a bounded sample: about ``train_docs`` labelled documents per language,
-chosen by id hash among those the fold leaves to training, and the ``max_grams`` most frequent
-n-grams of that sample. Whole texts are read in fitting and prediction; exact word counts enter.
+chosen by id hash among those the fold leaves to training. Every label is learned, and each brings its
+own most frequent n-grams of that sample (``max_grams`` in equal shares, ``LEAST_GRAMS`` at least), so a
+small language keeps its own beside a large one. Whole texts are read in fitting and prediction; exact
+word counts enter.
 
 Defined cases: null texts and texts without a letter get ``und`` with score 0, as does every text
 when nothing can be learned; letters that no model knows give the score 1/languages; null ids fall
-outside the held-out fold; repeated rows are predicted alike; an empty table gives an empty result.
+outside the held-out fold; repeated rows are predicted alike; of languages that explain a text equally
+well the first by name wins; n-grams of equal frequency go by code; an empty table gives an empty result.
 """
 from __future__ import annotations
 
@@ -21,14 +24,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorwerk.llm.common import materialize
 
 TRAIN_DOCS = 1_500       # labelled documents per language that the models are fitted on, about
-MAX_GRAMS = 60_000       # n-grams in the model
-MAX_LANGS = 200          # distinct labels that are learned (the most frequent)
+MAX_GRAMS = 60_000       # n-grams of all models together, in equal shares ...
+LEAST_GRAMS = 1_000      # ... but of each language no fewer than these
+BROADCAST_LABELS = 100_000
+CACHE_CELLS = 16_000_000 # word likelihoods that a Python worker keeps
 SMOOTH = 0.5
 FLOOR = 30.0             # a word's log-likelihoods differ by no more than this
 CACHE_WORDS = 250_000
@@ -81,7 +86,7 @@ class Mixture:
         return out
 
     def _places(self, docs: list[list[str]]) -> list[np.ndarray]:
-        if len(self.place) > CACHE_WORDS:
+        if len(self.place) > min(CACHE_WORDS, CACHE_CELLS // max(1, len(self.langs))):
             self.place, self.like = {}, self.like[:0]
         new = sorted(set().union(*docs) - self.place.keys()) if docs else []
         for c in range(0, len(new), 50_000):
@@ -169,17 +174,21 @@ def fit(docs: DataFrame, is_training: Column, text_col: str = "text", lang_col:
     """Fits the models on about ``train_docs`` documents of each label."""
     labelled = docs.where(is_training & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    counts = dict(map(tuple, labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()))
-    if not counts:
-        return Mixture([], np.zeros(0, np.uint64), np.zeros((0, 0)), np.zeros(0))
-    keep = F.element_at(F.create_map(*[F.lit(x) for lang, n in counts.items()
-                                       for x in (lang, min(1.0, train_docs / n))]), F.col("lang"))
+    share = materialize(labelled.groupBy(F.col("lang").alias("of")).agg(
+        F.least(F.lit(1.0), F.lit(float(train_docs)) / F.count("*")).alias("keep")), "labels")
+    if share.count() <= BROADCAST_LABELS:
+        share = F.broadcast(share)
     draw = F.pmod(F.xxhash64(F.lit("train"), "id"), F.lit(1 << 20)) / float(1 << 20)
-    sample = labelled.where(draw < F.coalesce(keep, F.lit(0.0))).select("text", "lang")
+    sample = labelled.withColumn("draw", draw).join(share, (F.col("lang") == F.col("of")) & (F.col("draw") < F.col("keep"))).select("text", "lang")
     grams = materialize(sample.mapInPandas(_count, "lang string, code long, n long")
                         .groupBy("lang", "code").agg(F.sum("n").alias("n")), "grams")
-    top = grams.groupBy("code").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "code").limit(max_grams)
-    table = grams.join(top, "code").toPandas()                                  # at most max_grams x languages
+    langs_held = grams.select("lang").distinct().count()
+    if not langs_held:
+        return Mixture([], np.zeros(0, np.uint64), np.zeros((0, 0)), np.zeros(0))
+    each = max(LEAST_GRAMS, max_grams // langs_held)
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))
+    top = grams.withColumn("nth", nth).where(F.col("nth") <= each).select("code").distinct()
+    table = grams.join(top, "code").toPandas()                                  # at most ``each`` n-grams a label x labels
     total = dict(map(tuple, grams.groupBy("lang").agg(F.sum("n")).collect()))
     langs = sorted(total)
     codes = np.unique(table.code.to_numpy(np.int64))
