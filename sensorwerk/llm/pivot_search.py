@@ -12,8 +12,8 @@ Cells have bounded size, so nothing is broadcast but the pivots (at most ``pivot
 length, chosen from ``sample`` rows).
 
 Defined cases: null vectors, vectors with null or non-finite components and null ids take no part;
-of rows repeated under one id the smallest vector counts; vectors of different length are not
-compared; scores beyond the 64-bit range are saturated; ties go to the smaller id; fewer than k
+rows repeated under one id are rows of their own (each is a candidate and, if the condition holds, a
+query, and only the query's own row is no candidate); vectors of different length are not compared; scores beyond the 64-bit range are saturated; ties go to the smaller id; fewer than k
 candidates give fewer rows; an empty table gives an empty result.
 """
 from __future__ import annotations
@@ -79,13 +79,13 @@ def _table(pivots: dict[int, tuple[np.ndarray, np.ndarray]]):
                     d = distances(np.stack([vecs[i] for i in at]), pivots[int(dim)][1])
                     for i, row in zip(at, d):
                         dist[i] = row.astype("<f8").tobytes()
-            yield pd.DataFrame({"vec_id": pdf.vec_id, "dim": dims, "is_query": pdf.is_query,
+            yield pd.DataFrame({"vec_id": pdf.vec_id, "rid": pdf.rid, "dim": dims, "is_query": pdf.is_query,
                                 "vec": [v.tobytes() for v in vecs], "dist": dist})
     return run
 
 
-def search_cell(q_ids, q, dq, v_ids, v, dv, start: np.ndarray, k: int, chunk: int = 128):
-    """Best k rows of the block for every query: ``(query_id, vec_id, score)`` arrays."""
+def search_cell(q_rows, q, dq, v_rows, v_ids, v, dv, start: np.ndarray, k: int, chunk: int = 128):
+    """Best k rows of the block for every query: ``(query row, place in the block, score)`` lists."""
     norm_q, norm_v = ((x.astype(np.float64) ** 2).sum(axis=1) for x in (q, v))
     slack = 1e-9 * (1.0 + max(float(norm_q.max(initial=0)), float(norm_v.max(initial=0))))
     out_q, out_v, out_s = [], [], []
@@ -97,8 +97,8 @@ def search_cell(q_ids, q, dq, v_ids, v, dv, start: np.ndarray, k: int, chunk: in
         upper = (norm_q[part][:, None] + norm_v - bound * bound) / 2 + slack
         upper *= 1 + 1e-12
         for i in range(len(upper)):
-            at, me, u = c + i, q_ids[c + i], upper[i]
-            cand = np.flatnonzero((u >= start[at]) & (v_ids != me))
+            at, me, u = c + i, q_rows[c + i], upper[i]
+            cand = np.flatnonzero((u >= start[at]) & (v_rows != me))
             cand = cand[np.argsort(-u[cand], kind="stable")]
             best_s, best_v, done, step = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 64
             while done < len(cand):
@@ -106,8 +106,8 @@ def search_cell(q_ids, q, dq, v_ids, v, dv, start: np.ndarray, k: int, chunk: in
                     break                                          # no later bound reaches the k-th score
                 take = cand[done:done + step]
                 s = np.concatenate([best_s, inner(v[take], q[at])])
-                d = np.concatenate([best_v, v_ids[take]])
-                top = np.lexsort((d, -s.astype(object) if s.min() == -(1 << 63) else -s))[:k]
+                d = np.concatenate([best_v, take])
+                top = np.lexsort((v_rows[d], v_ids[d], -s.astype(object) if s.min() == -(1 << 63) else -s))[:k]
                 best_s, best_v, done, step = s[top], d[top], done + step, step * 2
             out_q += [me] * len(best_s)
             out_v += best_v.tolist()
@@ -118,22 +118,28 @@ def search_cell(q_ids, q, dq, v_ids, v, dv, start: np.ndarray, k: int, chunk: in
 def _search(pivots: dict[int, tuple[np.ndarray, np.ndarray]], k: int):
     def run(key, queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if queries.empty or rows.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
+            return pd.DataFrame({c: [] for c in FOUND}, dtype="int64")
         dim = int(key[0])
         q, v = _ints(queries.vec), _ints(rows.vec)
         dq, dv = (np.stack([np.frombuffer(b, "<f8") for b in x.dist]) for x in (queries, rows))
+        q_rows, v_rows = queries.rid.to_numpy(np.int64), rows.rid.to_numpy(np.int64)
         q_ids, v_ids = queries.vec_id.to_numpy(np.int64), rows.vec_id.to_numpy(np.int64)
         start = np.full(len(q), -np.inf)
         ids, vecs = pivots.get(dim, (np.zeros(0, np.int64), np.zeros((0, dim), np.int64)))
         for i in range(len(q)):                                  # k-th best among the pivots
-            s = np.sort(inner(vecs[ids != q_ids[i]], q[i]))
+            s = np.sort(inner(vecs[ids != q_rows[i]], q[i]))
             if len(s) >= k:
                 start[i] = s[-k]
-        a, b, c = search_cell(q_ids, q, dq, v_ids, v, dv, start, k)
-        return pd.DataFrame({"query_id": np.array(a, np.int64), "vec_id": np.array(b, np.int64), "score": np.array(c, np.int64)})
+        a, b, c = search_cell(q_rows, q, dq, v_rows, v_ids, v, dv, start, k)
+        b, id_of = np.array(b, np.int64), dict(zip(q_rows.tolist(), q_ids.tolist()))
+        return pd.DataFrame({"query_row": np.array(a, np.int64), "query_id": np.array([id_of[x] for x in a], np.int64),
+                             "vec_id": v_ids[b], "rid": v_rows[b], "score": np.array(c, np.int64)})
     return run
 
 
+FOUND = ("query_row", "query_id", "vec_id", "rid", "score")
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
           scale: int = SCALE, pivots: int = PIVOTS, sample: int = SAMPLE, query_block: int = QUERY_BLOCK,
           vector_block: int = VECTOR_BLOCK) -> DataFrame:
@@ -146,27 +152,27 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     clean = vectors.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull() & real)
     ints = F.transform(F.col(vec_col), lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("long"))
     rows = clean.select(F.col(id_col).cast("long").alias("vec_id"), ints.alias("v"))
-    rows = materialize(rows.groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("is_query", is_query), "vectors")
+    rows = materialize(rows.withColumn("is_query", is_query).withColumn("rid", F.monotonically_increasing_id()), "vectors")
     n, n_query = rows.agg(F.count("*"), F.count_if("is_query")).first()
     held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    drawn = rows.orderBy(F.xxhash64("vec_id")).limit(sample).select("vec_id", "v").toPandas()    # bounded
+    drawn = rows.orderBy(F.xxhash64("vec_id"), "rid").limit(sample).select("rid", "v").toPandas()    # bounded
     for dim, g in drawn.groupby(drawn.v.map(len)):
-        ids, vecs = g.vec_id.to_numpy(np.int64), np.array([list(x) for x in g.v], np.int64).reshape(len(g), int(dim))
+        ids, vecs = g.rid.to_numpy(np.int64), np.array([list(x) for x in g.v], np.int64).reshape(len(g), int(dim))
         at = choose_pivots(ids, vecs, pivots)
         held[int(dim)] = (ids[at], vecs[at])
-    known = materialize(rows.mapInPandas(_table(held), "vec_id long, dim long, is_query boolean, vec binary, dist binary"),
+    known = materialize(rows.mapInPandas(_table(held), "vec_id long, rid long, dim long, is_query boolean, vec binary, dist binary"),
                         "pivot-table")
     blocks, q_blocks = max(1, -(-n // vector_block)), max(1, -(-n_query // query_block))
 
     def block(count: int) -> Column:
-        return F.pmod(F.xxhash64("vec_id"), F.lit(count))
+        return F.pmod(F.xxhash64("rid"), F.lit(count))
 
     every = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long")))
-    asked = known.where("is_query").select("vec_id", "dim", "vec", "dist", block(q_blocks).alias("qb"),
+    asked = known.where("is_query").select("vec_id", "rid", "dim", "vec", "dist", block(q_blocks).alias("qb"),
                                            every(blocks).alias("vb"))
-    held_rows = known.select("vec_id", "dim", "vec", "dist", every(q_blocks).alias("qb"),
+    held_rows = known.select("vec_id", "rid", "dim", "vec", "dist", every(q_blocks).alias("qb"),
                              block(blocks).alias("vb"))
     cells = asked.groupBy("dim", "qb", "vb").cogroup(held_rows.groupBy("dim", "qb", "vb"))
-    found = cells.applyInPandas(_search(held, k), "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    found = cells.applyInPandas(_search(held, k), ", ".join(f"{c} long" for c in FOUND))
+    rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "rid"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

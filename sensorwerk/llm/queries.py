@@ -85,16 +85,17 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_pivot_search": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+            SELECT row_number() OVER () AS rid, vec_id,
+                   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
               AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         s AS (
-            SELECT a.vec_id AS query_id, b.vec_id,
+            SELECT a.rid AS query_rid, a.vec_id AS query_id, b.rid, b.vec_id,
                    CAST(list_inner_product(CAST(a.q AS DOUBLE[]), CAST(b.q AS DOUBLE[])) AS BIGINT) AS score
-            FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0)
+            FROM v a JOIN v b ON a.rid <> b.rid AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
-        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_rid ORDER BY score DESC, vec_id, rid) AS rank FROM s)
         WHERE rank <= 5""",
     "op3_substring_dedup": r"""
         WITH d AS (

@@ -16,16 +16,12 @@ SF = "/root/testdata/sf0.001"
 
 # ---- exact top-k ------------------------------------------------------------------------------
 def slow_top(rows, k=5, every=50):
-    ok = {}
-    for i, v in rows:
-        if i is None or v is None or any(x is None or not np.isfinite(x) for x in v):
-            continue
-        q = tuple(int(np.floor(256 * float(x))) for x in v)
-        ok[i] = min(ok.get(i, q), q)
+    ok = [(i, tuple(int(np.floor(256 * float(x))) for x in v)) for i, v in rows
+          if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
-    for i, q in ok.items():
+    for n, (i, q) in enumerate(ok):
         if i % every == 0:
-            s = sorted(((-sum(a * b for a, b in zip(q, w)), j) for j, w in ok.items() if j != i and len(w) == len(q)))[:k]
+            s = sorted(((-sum(a * b for a, b in zip(q, w)), j) for m, (j, w) in enumerate(ok) if m != n and len(w) == len(q)))[:k]
             out += [(i, r + 1, j, -n) for r, (n, j) in enumerate(s)]
     return sorted(out)
 
@@ -36,7 +32,7 @@ def test_top_k_matches_brute_force(spark, blocks):
     rows = [(i, [float(np.float32(x)) for x in rng.normal(0, 0.3, 8)]) for i in range(230)]
     rows += [(300 + i, rows[i % 3][1]) for i in range(40)]                             # ties
     rows += [(400, None), (450, [1.0, None] * 4), (500, [float("nan")] * 8), (550, [float("inf")] * 8), (None, rows[0][1]),
-             (600, [0.5, 0.25]), (601, [0.25, -0.5]), (650, []), (0, rows[0][1]), (700, [1e9] * 8), (702, [-3e9] * 8)]
+             (600, [0.5, 0.25]), (601, [0.25, -0.5]), (650, []), (0, rows[0][1]), (50, rows[7][1]), (301, rows[1][1]), (700, [1e9] * 8), (702, [-3e9] * 8)]
     df = spark.createDataFrame([(i, v, "x", 1) for i, v in rows], "vec_id long, embedding array<float>, label string, rank int")
     got = pivot_search.top_k(df, F.col("vec_id") % 50 == 0, query_block=blocks[0], vector_block=blocks[1], pivots=6, sample=40)
     assert sorted(map(tuple, got.collect())) == slow_top([(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v])
@@ -51,7 +47,7 @@ def test_top_k_stops_early_and_empty(spark):
     seen, plain = [], pivot_search.inner
     pivot_search.inner = lambda a, q: (seen.append(len(a)), plain(a, q))[1]
     try:
-        pivot_search.search_cell(np.arange(8), v[:8], d[:8], np.arange(len(v)), v, d, np.full(8, -np.inf), 5)
+        pivot_search.search_cell(np.arange(8), v[:8], d[:8], np.arange(len(v)), np.arange(len(v)), v, d, np.full(8, -np.inf), 5)
     finally:
         pivot_search.inner = plain
     assert sum(seen) < 8 * len(v)
@@ -165,6 +161,31 @@ def test_language_id_odd_rows(docs, no_docs, spark):
     assert {r.lang_pred for r in langid.identify(unlabelled).collect()} == {"und"}
 
 
+def test_every_label_is_learned_and_small_ones_keep_their_ngrams(spark):
+    rnd = random.Random(5)
+    words = {f"l{i}": ["".join(chr(0x4E00 + 40 * i + rnd.randrange(40)) for _ in range(4)) for _ in range(6)] for i in range(250)}
+    rows = [(1000 * i + j, " ".join(rnd.choice(ws) for _ in range(12)), lang) for i, (lang, ws) in enumerate(words.items())
+            for j in range(9 if i else 400)]
+    got = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    true = {r[0]: r[2] for r in rows}
+    assert len({r.lang_pred for r in got}) == 250 and sum(r.lang_pred == true[r.doc_id] for r in got) > 0.99 * len(got)
+
+
+def test_pipeline_keeps_a_corpus_without_labels(spark, docs):
+    import corpus_pipeline
+
+    got = corpus_pipeline.language_id(spark, docs.withColumn("lang", F.lit(None).cast("string")), "")
+    assert got.count() == sum(any(c.isalpha() for c in r[1] or "") for r in corpus())
+
+
+def test_mixing_spreads_many_rows_without_an_id(spark):
+    rows = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("w").alias("text"), F.lit("s").alias("source"))
+    sized = mixing.sizes_of(rows)
+    got = mixing.mix(mixing.materialize(sized, "sizes"), group_docs=1_000)
+    n, taken, target = got.agg(F.count("*"), F.sum("taken"), F.first("target")).first()
+    assert n == 20_000 and abs(taken - target) <= 2
+
+
 def test_mixture_proportions():
     rnd = random.Random(1)
     words = {"aa": ["kato", "mika", "tiko", "kota"], "bb": ["zub", "blug", "gruz", "zlub"]}
