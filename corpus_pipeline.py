@@ -3,6 +3,10 @@
 Each stage takes ``(spark, docs, sf_dir)`` and works on all its predecessor kept; all but the last
 return the columns of ``documents``. :func:`run` writes every stage's rows to the shared folder and
 reads them again. The language models are fitted once, on the stage's own input.
+
+Defined cases: null and letterless texts go in the first stage; of equal texts, and of near ones, one row
+stays (smallest doc_id, null ids last, repeated rows by their place); an empty table passes as one; other
+columns of the documents are carried along; ties are those of the operators called.
 """
 from __future__ import annotations
 
@@ -18,8 +22,12 @@ ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents in which no language can be told (null texts and texts without a letter)."""
+    """Rejects documents in which no language can be told: null texts and texts without a letter.
+
+    Without any label there is no model to tell languages by, and the letters alone decide."""
     model = langid.fit(docs, ~langid.held_out())
+    if not model.langs:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     return docs.where(langid.language_column(model)["lang_pred"] != "und")
 
 
