@@ -34,7 +34,7 @@ from sensorwerk.llm.common import discard, materialize
 WINDOW = 50
 ANCHOR = 17
 REACH = WINDOW - ANCHOR + 1           # places of an anchor in a window
-SUBTREE_ROWS = 4_096                  # contexts of one subtree
+SUBTREE_ROWS = 512                    # contexts of one subtree
 BATCH_ROWS = 8_192                    # contexts whose subtrees are built at a time
 LAST = (1 << 63) - 1                  # rank of a null doc_id
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -237,9 +237,9 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     occ = materialize(long_enough.drop("doc_id").mapInPandas(_anchors, "h long, ctx long, rank_id long, th long, p int"), "anchors")
 
     # prefixes of two documents or more; one context: one edge, its windows' first document is known
-    shared = occ.groupBy("h").agg(F.min("rank_id").alias("lo"), F.max("rank_id").alias("hi"),
-                                  (F.min("ctx") == F.max("ctx")).alias("edge")).where("lo < hi").select(
-        F.col("h").alias("sh"), F.col("lo").alias("first"), "edge")
+    shared = materialize(occ.groupBy("h").agg(F.min("rank_id").alias("lo"), F.max("rank_id").alias("hi"),
+                                              (F.min("ctx") == F.max("ctx")).alias("edge")).where("lo < hi").select(
+        F.col("h").alias("sh"), F.col("lo").alias("first"), "edge"), "shared-prefixes")     # written: the join may split a hot prefix
     both = materialize(occ.join(shared, F.col("h") == F.col("sh")).drop("sh"), "shared-anchors")
     discard(occ)
     every = (1 << REACH) - 1
@@ -260,8 +260,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     trees = content.where("place < 0").select("h", "ctx", "lo", "left", "words").repartition("h").sortWithinPartitions("h")
     nodes = trees.mapInPandas(_subtrees, "h long, ctx long, lo long, bits long")
     wide = content.where("place >= 0").select("h", "ctx", "place", "window", "lo")
-    low = wide.groupBy("h", "place", "window").agg(F.min("lo").alias("least"), F.max("lo").alias("most")).where(
-        "least < most").select(F.col("h").alias("lh"), F.col("place").alias("lp"), F.col("window").alias("lw"), "least")
+    low = materialize(wide.groupBy("h", "place", "window").agg(F.min("lo").alias("least"), F.max("lo").alias("most")).where(
+        "least < most").select(F.col("h").alias("lh"), F.col("place").alias("lp"), F.col("window").alias("lw"), "least"), "wide-nodes")
     leaves = wide.join(low, (F.col("h") == F.col("lh")) & (F.col("place") == F.col("lp")) & (F.col("window") == F.col("lw"))
                        & (F.col("least") < F.col("lo"))) \
         .select("h", "ctx", F.col("least").alias("lo"), F.expr("shiftleft(1L, place)").alias("bits"))
@@ -277,6 +277,6 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     branch = both.where("not edge").join(per_ctx, (F.col("h") == F.col("nh")) & (F.col("ctx") == F.col("nc"))).select(
         "rank_id", "th", "p", hit.alias("bits")).where("bits <> 0")
     marks = edges.unionByName(branch).groupBy("rank_id", "th").agg(
-        F.collect_list(F.struct("p", "bits")).alias("marks")).select(F.col("rank_id").alias("r"), F.col("th").alias("t"), "marks")
+        F.collect_set(F.struct("p", "bits")).alias("marks")).select(F.col("rank_id").alias("r"), F.col("th").alias("t"), "marks")
     joined = base.join(marks, (F.col("rank_id") == F.col("r")) & (F.col("th") == F.col("t")), "left")
     return joined.select("doc_id", "text", "marks").mapInPandas(_kept, RESULT)

@@ -242,3 +242,12 @@ def test_line_dedup_kept_texts(spark):
 
 def test_line_dedup_empty(no_docs):
     assert line_dedup.deduplicate(no_docs).count() == 0
+
+
+def test_substring_many_repeated_rows_without_an_id(spark):
+    text = " ".join(f"w{i}" for i in range(90))
+    rows = [(None, text)] * 4000 + [(3, "x " + text), (5, text + " y"), (7, "z " * 10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = substring_dedup.deduplicate(df).groupBy("doc_id", "n_words", "n_removed").count().collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r["count"]) for r in got), key=repr) == sorted(
+        [(None, 90, 90, 4000), (3, 91, 0, 1), (5, 91, 90, 1), (7, 10, 0, 1)], key=repr)
