@@ -90,9 +90,26 @@ class Words:
         return np.flatnonzero(self.piece[:n] == self.piece[k - 1:]) if n > 0 else np.zeros(0, np.int64)
 
     def hashes(self, lang: str) -> np.ndarray:
-        """64-bit hash of each distinct word under its language."""
-        seed = xxhash.xxh64_intdigest(lang)
-        return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in self.names.to_pylist()), np.uint64, len(self.names))
+        """64-bit hash of each distinct word under its language (a polynomial of its bytes, mixed)."""
+        names = self.names
+        ends = np.frombuffer(names.buffers()[1], np.int64)[names.offset:names.offset + len(names) + 1]
+        data = np.frombuffer(names.buffers()[2], np.uint8)[:ends[-1]] if len(names) else np.zeros(0, np.uint8)
+        up, down = powers(len(data) + 1)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1])])
+        own = (sums[ends[1:]] - sums[ends[:-1]]) * down[ends[:-1]]
+        return mix(own + mix(np.full(1, xxhash.xxh64_intdigest(lang), np.uint64) + np.diff(ends).astype(np.uint64)))
+
+
+_ODD = 0x9E3779B97F4A7C15
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of an odd number and of its inverse, modulo 2 ** 64."""
+    if len(_POWERS[0]) < n:
+        for i, b in enumerate((_ODD, pow(_ODD, -1, 1 << 64))):
+            _POWERS[i] = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n + (n >> 1), b, np.uint64))])
+    return _POWERS[0][:n], _POWERS[1][:n]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -193,8 +210,10 @@ class Sieves(list):
         return [Sieve(np.frombuffer(zlib.decompress(b.value[0]), np.uint8), b.value[1]) for b in self]
 
 
-def passing(words: Words, hashes: np.ndarray, k: int, sieves: list[Sieve]) -> tuple[np.ndarray, np.ndarray]:
-    """Places and keys of the k-word phrases whose two parts of k - 1 words pass (``sieves[j - 1]`` is for j words)."""
+def passing(words: Words, hashes: np.ndarray, k: int, sieves: list[Sieve], shorter: tuple | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Places and keys of the k-word phrases whose two parts of k - 1 words pass (``sieves[j - 1]`` is for j words).
+
+    ``shorter``: this function's result for k - 1, if it is known."""
     places = words.joined(k)
     each = hashes[words.ids]
     if k > 1 and len(places):
@@ -202,7 +221,7 @@ def passing(words: Words, hashes: np.ndarray, k: int, sieves: list[Sieve]) -> tu
             ok = sieves[0].has(keys_of(hashes, np.arange(len(hashes)), 1))[words.ids]
         else:
             ok = np.zeros(len(words.ids), bool)
-            inner, keys = passing(words, hashes, k - 1, sieves)
+            inner, keys = shorter or passing(words, hashes, k - 1, sieves)
             ok[inner] = sieves[k - 2].has(keys)
         places = places[ok[places] & ok[places + 1]]
     return places, keys_of(each, places, k)
@@ -268,16 +287,16 @@ def _pass(k: int, longest: int, packed: Sieves, part_bits: int, shard_bytes: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sieves, buckets, seen = packed.unpack(), Buckets(part_bits), np.zeros(0, np.uint64)
         for lang, words in shards(batches, shard_bytes):
-            hashes = words.hashes(lang)
+            hashes, found = words.hashes(lang), None
             if k:
-                places, keys = passing(words, hashes, k, sieves)
+                found = places, keys = passing(words, hashes, k, sieves)
                 ok = sieves[k - 1].has(keys)
                 new, seen = unseen(keys[ok], places[ok], seen)
                 yield name_rows(lang, words, new, k)
                 if len(seen) >= HELD_KEYS:                           # names may come again from here
                     seen = np.zeros(0, np.uint64)
             if k < longest:
-                buckets.add(passing(words, hashes, k + 1, sieves)[1])
+                buckets.add(passing(words, hashes, k + 1, sieves, found)[1])
                 if buckets.size >= HELD_KEYS:
                     yield buckets.release()
         if k < longest:
@@ -546,7 +565,7 @@ def _phrase_counts(texts: DataFrame, longest: int, least: int, shard_bytes: int,
     for first in range(0, blocks, tries):
         some = built.where((F.col("block") >= first) & (F.col("block") < first + tries))
         sent = spark.sparkContext.broadcast([r.asDict() for r in some.toLocalIterator()])       # at most ``tries`` bounded blocks
-        met = texts.mapInArrow(_count(sent, longest, shard_bytes), COUNTS)
+        met = texts.mapInArrow(_count(sent, longest, 2 * shard_bytes), COUNTS)     # no keys beside the words here
         counts.append(materialize(met.groupBy("block", "no", "lang").agg(F.sum("n").alias("a")).where(
             (F.col("a") >= least) | (F.col("block") < 0)), "phrase-counts"))
         sent.destroy()
