@@ -5,7 +5,7 @@ characters, tags, link characters and link tags, and the link-adjusted density
 
     C / T * log(C / LC * T / LT) to the base ln(C / notLC * LC + LC_body / C_body * C + e)
 
-(zero counts as 1). The density sum of a node adds its children's densities; the node with the
+(a divisor of zero counts as 1). The density sum of a node adds its children's densities; the node with the
 largest sum (ties: the outermost) is the article. The smallest density on its path to the body is
 the page's threshold: every subtree, leaf and run of bare text beside the path is kept if its density
 reaches the threshold. The density of text without links grows with its length, so on pages whose
@@ -51,10 +51,18 @@ FURNITURE = frozenset("""ad ads advert adverts advertisement advertising sponsor
     navigation menu breadcrumb breadcrumbs sidebar footer header masthead cookie cookies consent notice notification
     popup modal newsletter subscribe subscription share sharing social comment comments disqus reply replies related
     recommended widget toolbar pagination pager skip""".split())
+COMMENTS = frozenset("comment comments disqus reply replies".split())
+# further words that a compound name of furniture is made of (cookie-banner, comment-list, site-footer)
+COMPANIONS = frozenset("""area articles bar block box button buttons container content form icons item items label link links
+    list main page posts section site slot stories top unit wrap wrapper zone bottom""".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar toolbar".split())
 
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>?", re.S)
-_ATTR = re.compile(r"([^\s=\"'>/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+_NAME = re.compile(r"[A-Za-z][^\s/>]*")
+_GAP = re.compile(r"[\s/]*")
+_ATTR_NAME = re.compile(r"=?[^\s/>=]*")
+_EQUALS = re.compile(r"\s*=\s*")
+_BARE = re.compile(r"[^\s>]*")
+_RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>?", re.I) for t in RAW}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 SHORT = HEADINGS | {"p", "blockquote", "pre"}
 
@@ -69,49 +77,137 @@ class Node:
         self.density = self.total = 0.0
 
 
-def furniture(tag: str, attrs: str, at: Node) -> bool:
-    """Page furniture by its role, a whole class name or its id."""
+def named_furniture(value: str) -> set[str]:
+    """The furniture words of the class names (or ids) that are made of such words and their companions alone."""
+    hits: set[str] = set()
+    for name in value.split():
+        words = [w for w in re.split("[-_]+", name) if w]
+        own = FURNITURE.intersection(words)
+        if own and all(w in own or w in COMPANIONS for w in words):
+            hits |= own
+    return hits
+
+
+def furniture(tag: str, attrs: list[tuple[str, str]], at: Node) -> bool:
+    """Page furniture by its role, its class names or its id.
+
+    Inside an article, headings and text elements are the article's whatever their names, and so is what only
+    an id names, reader comments aside."""
     if tag == "form":
         return True
     if not attrs or tag in ("html", "body", *ARTICLE):
         return False
-    for name, a, b, c in _ATTR.findall(attrs):
-        name, value = name.lower(), (a or b or c).lower()
+    inside = None
+    for name, value in attrs:
+        value = value.lower()
         if name == "role" and value.strip() in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
             return True
         if name in ("class", "id"):
-            hits = FURNITURE.intersection(value.split())
+            hits = named_furniture(value)
             if hits and (hits != {"header"} or _site_header("header", at)):
-                return True
+                inside = _above(at) if inside is None else inside
+                if not inside or tag not in SHORT and (name == "class" or "article" not in inside or hits & COMMENTS):
+                    return True
         if name == "style" and "display:none" in value.replace(" ", ""):
             return True
-    return re.search(r"\shidden(\s|/|$)", attrs) is not None
+    return False
+
+
+def _above(at: Node | None) -> set[str]:
+    """The article and main elements that a place lies in."""
+    found = set()
+    while at is not None:
+        if at.tag in ARTICLE:
+            found.add(at.tag)
+        at = at.parent
+    return found
+
+
+class Reader:
+    """Reads tags from left to right. What was looked for in vain is not looked for again, so a page is read in
+    time proportional to its length however broken it is."""
+
+    def __init__(self, html: str):
+        self.html, self.size, self.absent = html, len(html), set()
+
+    def find(self, what: str, start: int) -> int:
+        at = -1 if what in self.absent else self.html.find(what, start)
+        if at < 0:
+            self.absent.add(what)
+        return at
+
+    def past(self, what: str, start: int) -> int:
+        at = self.find(what, start)
+        return self.size if at < 0 else at + len(what)
+
+    def comment_end(self, at: int) -> int:
+        """End of a comment whose ``<!--`` ends at ``at``; ``<!-->`` and ``<!--->`` are whole ones."""
+        for short in (">", "->"):
+            if self.html.startswith(short, at):
+                return at + len(short)
+        ends = [e + n for e, n in ((self.find("-->", at), 3), (self.find("--!>", at), 4)) if e >= 0]
+        return min(ends, default=self.size)
+
+    def attributes(self, at: int) -> tuple[list[tuple[str, str]], int, bool]:
+        """Names and values up to the tag's end, the place after it, and whether a slash closes it."""
+        out = []
+        while True:
+            gap = _GAP.match(self.html, at)
+            at = gap.end()
+            if at >= self.size:
+                return out, at, False
+            if self.html[at] == ">":
+                return out, at + 1, gap[0].endswith("/")
+            name = _ATTR_NAME.match(self.html, at)
+            at, value = name.end(), ""
+            equals = _EQUALS.match(self.html, at)
+            if equals:
+                at = equals.end()
+                quote = self.html[at:at + 1]
+                close = self.find(quote, at + 1) if quote in ("'", '"') else -1
+                if close >= 0:
+                    value, at = self.html[at + 1:close], close + 1
+                else:                                              # bare, or a quote that nothing ends
+                    bare = _BARE.match(self.html, at)
+                    value, at = bare[0].strip("\"'"), bare.end()
+            out.append((name[0].lower(), unescape(value)))
 
 
 def parse(html: str) -> Node:
     root = at = Node("#root", None)
-    pos, n = 0, len(html)
+    read, pos, n = Reader(html), 0, len(html)
     while pos < n:
-        m = _TAG.search(html, pos)
-        cut = m.start() if m else n
+        cut = read.find("<", pos)
+        if cut < 0:
+            at.kids.append(html[pos:])
+            break
+        after = html[cut + 1:cut + 2]
+        name = _NAME.match(html, cut + 2 if after == "/" else cut + 1)
+        if not name and after not in ("!", "?", "/"):              # a sign of its own
+            end = read.find("<", cut + 1)
+            end = n if end < 0 else end
+            at.kids.append(html[pos:end])
+            pos = end
+            continue
         if cut > pos:
             at.kids.append(html[pos:cut])
-        if not m:
-            break
-        pos = m.end()
-        if not m[2]:
+        if not name:
+            pos = read.comment_end(cut + 4) if html.startswith("<!--", cut) else read.past(">", cut)
             continue
-        tag = m[2].lower()
-        if m[1]:
+        tag = name[0].lower()
+        attrs, pos, closed = read.attributes(name.end())
+        if after == "/":
             at = _close(at, tag)
             continue
         at = _implied(at, tag)
-        node = Node(tag, at, tag in DROPPED, tag in PARTS or _site_header(tag, at), furniture(tag, m[3], at))
+        node = Node(tag, at, tag in DROPPED, tag in PARTS or _site_header(tag, at), furniture(tag, attrs, at))
         at.kids.append(node)
         if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(html, pos)
+            end = _RAW_END[tag].search(html, pos) if ("</", tag) not in read.absent else None
+            if not end:
+                read.absent.add(("</", tag))
             pos = end.end() if end else n
-        elif tag not in VOID and not m[3].endswith("/"):
+        elif tag not in VOID and not closed:
             at = node
     return root
 
@@ -266,13 +362,24 @@ def select(body: Node) -> list[Node]:
     least = min((x for x in path if x.density > 0), key=lambda x: x.density, default=body)
     ratio, on_path, stated = body.link_chars / max(1, body.chars), set(map(id, path)), best.tag in ARTICLE
 
+    def leads(x: Node) -> bool:
+        """Headings and paragraphs straight before the article element, the first a heading, are its title and lead."""
+        if x.tag not in SHORT or x.chars <= 2 * x.link_chars or id(x.parent) not in on_path:
+            return False
+        kids = [k for k in x.parent.kids if isinstance(k, Node) and not k.skip and k.chars]
+        end = next((i for i, k in enumerate(kids) if id(k) in on_path), 0)
+        begin = end
+        while begin and kids[begin - 1].tag in SHORT:
+            begin -= 1
+        return any(k is x for k in kids[begin:end]) and kids[begin].tag in HEADINGS
+
     def kept(x: Node) -> bool:
         if x.link_chars >= x.chars:
             return False
         if x.density >= least.density:
             return True
         if stated and x.tag not in ARTICLE:
-            return False
+            return leads(x)
         up = max(1.0, least.chars / x.chars)
         if density(x.chars * up, max(1, x.tags) * up, x.link_chars * up, x.link_tags * up, ratio) >= least.density * (1 - 1e-9):
             return True
@@ -322,7 +429,7 @@ def blocks(node: Node) -> list[str]:
     out, run = [], []
 
     def flush() -> None:
-        text = " ".join(unescape("".join(run)).split())
+        text = " ".join("".join(map(unescape, run)).split())          # a reference ends where its run of text does
         run.clear()
         if text:
             out.append(text)

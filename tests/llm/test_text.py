@@ -139,6 +139,91 @@ def test_html_extract_deep_and_long():
     assert len(html_extract.main_text("<article>" + "<p>some words of text</p>" * 20_000)) == 20_000 * 19 - 1
 
 
+GONE = "<p>Some words that must go away now, as they are no text.</p>"
+KEPT_NAMES = ("<p class=reply>{}</p>", "<section id=social><p>{}</p></section>", "<section id=menu><p>{}</p></section>", "<blockquote class=comment>{}</blockquote>")
+
+
+@pytest.mark.parametrize("page,text", [
+    ("<p class=x'>Hello</p><p>it's</p>", "Hello\nit's"),                                # a quote in a bare value
+    ("<p>a<!-->b c</p><p>d --> e</p>", "ab c\nd --> e"), ("<p>a<!--->b</p>", "ab"), ("<p>a<!-- x --!>b</p>", "ab"),
+    ("<p>1 < 2 and a<b> c</b></p><p>x <3 y</p>", "1 < 2 and a c\nx <3 y"), ("<p title=\"a>b\">c</p>", "c"), ("<p>a</>b<?php x ?>c</p>", "abc"),
+    ("<article><p>AT&<i>copy</i> and &amp;lt; x &copy;</p></article>", "AT&copy and &lt; x \u00a9"),      # references end with their run
+    *((f"<article>{P10}{c.format('Kept text here')}</article>", f"{T10}\nKept text here") for c in KEPT_NAMES),
+    *((page.format(f"<div class={c}>{GONE}</div>"), T10) for c in ("site-footer", "related-posts", "cookie-banner", "ad-slot", "share-buttons", "comment-list")
+      for page in (f"<body><article>{P10}</article>{{}}</body>", f"<body><article>{P10}{{}}</article></body>", f"<body><div class=content>{P10}</div>{{}}</body>")),
+    (f"<article>{P10}<section id=comments>{GONE}</section></article>", T10),
+    (f"<body><h1>Title of it</h1><p>Lead text.</p><article>{P10}</article></body>", f"Title of it\nLead text.\n{T10}"),
+    (f"<body>{MENU}<h1>Title of it</h1><main>{P10}</main><p>Imprint</p></body>", f"Title of it\n{T10}"),
+])
+def test_html_extract_by_the_rules_of_html(page, text):
+    assert html_extract.main_text(page) == text
+
+
+@pytest.mark.parametrize("part", ['<p class="a', " <a href='x", "<p title=\"'", "<!--", "<!-- -", '<p a=b"c>', "<", "</", "<script>x</scrip", "&amp"])
+def test_html_extract_reads_broken_pages_in_proportion_to_their_length(part):
+    import time
+
+    def seconds(n):
+        begin = time.process_time()
+        html_extract.main_text(part * (n // len(part)))
+        return time.process_time() - begin
+
+    assert seconds(1_000_000) < 8 * max(0.25, seconds(250_000))
+
+
+def test_html_extract_of_an_empty_table(spark):
+    assert html_extract.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def slow_density(node, body):
+    """Counts and composite density of an element, written again over its text alone."""
+    import math
+
+    def walk(x, link):
+        c = t = lc = lt = 0
+        for k in x.kids:
+            if isinstance(k, str):
+                n = len(re.sub(r"\s", "", k))
+                c, lc = c + n, lc + n * link
+            else:
+                a = walk(k, link or k.tag == "a")
+                c, t, lc, lt = c + a[0], t + a[1] + 1, lc + a[2], lt + a[3] + (k.tag == "a")
+        return c, t, lc, lt
+
+    bc, _, blc, _ = walk(body, False)
+    c, t, lc, lt = walk(node, False)
+    if not c:
+        return 0.0
+    base = math.log(c / max(1, c - lc) * lc + blc / max(1, bc) * c + math.e)
+    return c / max(1, t) * math.log(max(1.0, c / max(1, lc) * max(1, t) / max(1, lt))) / (math.log(base) if base > 1 + 1e-9 else 1)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_html_extract_densities_and_their_sums_against_brute_force(seed):
+    rnd = random.Random(seed)
+
+    def part(depth):
+        if depth == 0 or rnd.random() < 0.3:
+            return "".join(rnd.choice(["word ", "a ", "<a href=x>link</a> "]) for _ in range(rnd.randrange(1, 9)))
+        return "".join(f"<{t}>{part(depth - 1)}</{t}>" for t in (rnd.choice(["div", "section", "p", "b", "span"]) for _ in range(rnd.randrange(1, 4))))
+
+    root = html_extract.parse(f"<body>{part(5)}</body>")
+    body = root.kids[0]
+    html_extract.measure(body)
+    for x in html_extract.densities(body):
+        inside = [k for k in x.kids if not isinstance(k, str)]
+        if x.tag != "a" and all(y.tag != "a" for y in ancestors(x)):
+            assert x.density == pytest.approx(slow_density(x, body))
+            if all(k.tag != "a" for k in inside):
+                assert x.total == pytest.approx(sum(slow_density(k, body) for k in inside))
+
+
+def ancestors(x):
+    while x.parent is not None:
+        x = x.parent
+        yield x
+
+
 # ---- language ID ------------------------------------------------------------------------------
 def test_language_id_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
