@@ -118,15 +118,33 @@ def asof_carry(df: DataFrame, versions: DataFrame, key: str = "device_id", ts: s
 def orphan_report(checks: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
     """Rows and distinct keys of each foreign key with no parent row (J-9).
 
-    ``checks``: (name, fact, fact column, parent, parent column). Each key is counted on its own type
-    (a partial aggregate, so a hot key never ships its rows); only its distinct values meet the
-    parent, in an anti-join. NULL keys are not orphans (SQL semantics). Every check gets a row.
+    ``checks``: (name, fact, fact column, parent, parent column). A fact is read once for all its keys: they are
+    counted by grouping sets, each on its own type, in one aggregate that is partial before its shuffle (a hot
+    key never ships its rows). The distinct values meet all their parents in one anti-join, told apart by the
+    check's number. NULL keys are not orphans (SQL semantics). Every check gets a row.
     """
-    parts = []
-    for name, fact, column, parent, parent_column in checks:
-        used = fact.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("key")).agg(F.count(F.lit(1)).alias("rows"))
-        held = parent.select(F.col(parent_column).alias("key"))
-        parts.append(used.join(held, "key", "left_anti").agg(
-            F.lit(name).alias("fk_name"), F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("orphan_rows"),
-            F.count(F.lit(1)).alias("orphan_keys")))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    facts: dict[tuple[int, int], list[tuple[int, str, DataFrame, str]]] = {}
+    frames = {}
+    for no, (_, fact, column, parent, parent_column) in enumerate(checks):
+        again = 0                                        # a column that is checked twice is counted twice
+        while any(c == column for _, c, _, _ in facts.get((id(fact), again), [])):
+            again += 1
+        facts.setdefault((id(fact), again), []).append((no, column, parent, parent_column))
+        frames[id(fact)] = fact
+    lost = []
+    for (which, _), items in facts.items():
+        fact, columns = frames[which], [c for _, c, _, _ in items]
+        types = {c: fact.schema[c].dataType for c in columns}
+        number = reduce(lambda rest, i: F.when(F.grouping(i[1]) == 0, F.lit(i[0])).otherwise(rest), items, F.lit(-1))
+        used = fact.groupingSets([[c] for c in columns], *columns).agg(F.count(F.lit(1)).alias("rows"), number.alias("check"))
+        used = used.where(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in columns]))
+        held = reduce(DataFrame.unionByName, [
+            parent.select(F.lit(no).alias("of"), *[(F.col(parent_column) if c == column else F.lit(None)).cast(types[c]).alias(f"_{c}") for c in columns])
+            for no, column, parent, parent_column in items])
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns], F.col("check") == F.col("of"))
+        lost.append(used.join(held, same, "left_anti").groupBy("check").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("keys")))
+    names = F.array(*[F.lit(name) for name, *_ in checks])
+    every = checks[0][1].sparkSession.range(len(checks)).select(F.col("id").cast("int").alias("no"), F.element_at(names, (F.col("id") + 1).cast("int")).alias("fk_name"))
+    found = reduce(DataFrame.unionByName, lost)
+    return every.join(found, F.col("no") == F.col("check"), "left").select(
+        "fk_name", F.coalesce("rows", F.lit(0).cast("long")).alias("orphan_rows"), F.coalesce("keys", F.lit(0).cast("long")).alias("orphan_keys"))

@@ -56,6 +56,17 @@ def fact_events(lake_rows: DataFrame, devices: DataFrame, plants: DataFrame) ->
         "event_sk": F.xxhash64("event_id"), "year": F.year("event_ts"), "month": F.month("event_ts")}), S.FACT_IOT_SCHEMA)
 
 
+def fact_logs(clean: DataFrame, devices: DataFrame, plants: DataFrame) -> DataFrame:
+    """Clean log records of the lake as rows of the machine log fact: surrogate keys of machine and plant (-1
+    for unknown members, J-7), ``date_sk`` and the fact's types. A lake without ``resolution_minutes``
+    gives NULL (not resolved yet); it may also come with a later load of the same event."""
+    keyed = dims.lookup_keys(clean, devices, plants, device_col="machine_id", plant_col="plant_code")
+    extra = {"log_sk": F.xxhash64("event_id"), "year": F.year("event_ts"), "month": F.month("event_ts")}
+    if "resolution_minutes" not in clean.columns:
+        extra["resolution_minutes"] = F.lit(None).cast("int")
+    return conform(keyed.withColumns(extra), S.FACT_LOG_SCHEMA)
+
+
 def incremental_rows(target: DataFrame, source: DataFrame, ts: str = "event_ts",
                      floor: str = "0001-01-01 00:00:00") -> DataFrame:
     """Source rows strictly newer than the target's high-water mark (SNK-11). The mark is a

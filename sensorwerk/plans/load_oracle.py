@@ -50,6 +50,15 @@ SELECT event_id, event_timestamp, event_type, severity, event_ts,
   plant_code, event_type = 'ALARM' AS is_alarm, severity = 'CRITICAL' AS is_critical,
   CASE WHEN temperature_c IS NOT NULL THEN RND(temperature_c * 9 / 5 + 32, 2) END AS temp_fahrenheit
 FROM log_enriched WHERE dq_pass = TRUE
+"""),
+    "machine_log_load": (("log_enriched", "dim_device", "dim_plant"), """
+SELECT event_id, machine_id, COALESCE(d.device_sk, -1) AS device_sk, COALESCE(p.plant_sk, -1) AS plant_sk,
+  CAST(strftime(event_ts, '%Y%m%d') AS INTEGER) AS date_sk, event_ts, event_type, severity, event_type = 'ALARM' AS is_alarm,
+  severity = 'CRITICAL' AS is_critical,
+  CASE WHEN event_type = 'ALARM' AND no % 13 <> 0 THEN CAST(no % 11 AS INTEGER) END AS resolution_minutes,
+  CAST(year(event_ts) AS SMALLINT) AS year, CAST(month(event_ts) AS SMALLINT) AS month
+FROM (SELECT *, CAST(substring(event_id, 5) AS BIGINT) AS no FROM log_enriched WHERE dq_pass = TRUE) l
+LEFT JOIN dim_device d ON d.device_id = l.machine_id LEFT JOIN dim_plant p ON p.plant_id = l.plant_code
 """),
     "log_job_failures": (("log_enriched",), """
 SELECT event_id, event_timestamp, plant_code, dq_pass, dq_reason, CAST(year(event_ts) AS VARCHAR) AS year,

@@ -164,8 +164,24 @@ def log_job_runs(spark, sf):
     return ledger.join(bad, "job_run", "left").select("job_run", "files_once", F.coalesce("corrupt_records", F.lit(0)).alias("corrupt_records"))
 
 
+def machine_log_load(spark, sf):
+    """Clean log rows of the lake as the machine log fact, in two batches; then the alarms come again, resolved."""
+    from sensorwerk.operators import warehouse
+
+    root = f"{fresh(spark, 'log-fact')}/warehouse"
+    rows = warehouse.fact_logs(_log_lake(spark, sf).table(loads.PROCESSED), T.dim_device(spark, sf), T.dim_plant(spark, sf))
+    no = F.substring("event_id", 5, 20).cast("long")
+    for part in (0, 1):
+        loads.load_logs(spark, root, rows.where(F.pmod(no, F.lit(2)) == part))
+    resolved = F.when(no % 13 != 0, (no % 11).cast("int"))
+    loads.load_logs(spark, root, rows.where("is_alarm").withColumn("resolution_minutes", resolved))
+    return Snapshots(spark, root).table(loads.MACHINE_LOGS).select(
+        "event_id", "machine_id", "device_sk", "plant_sk", "date_sk", "event_ts", "event_type", "severity", "is_alarm", "is_critical",
+        "resolution_minutes", "year", "month")
+
+
 QUERIES = {f.__name__: f for f in (
-    stream_window_stats, stream_window_open, stream_window_arrivals, upsert_snapshot, minute_stats_loads, staging_cycle,
+    machine_log_load, stream_window_stats, stream_window_open, stream_window_arrivals, upsert_snapshot, minute_stats_loads, staging_cycle,
     log_job_twice, log_job_failures, log_job_quarantine, log_job_runs)}
 
 

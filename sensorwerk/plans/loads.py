@@ -24,6 +24,7 @@ from sensorwerk.sources.raw import read_raw_logs
 
 FACT, MINUTES = "fact", "minutes"
 FACT_ORDER = ("event_ts", "device_sk")           # files hold time ranges: range scans skip the others
+MACHINE_LOGS, LOG_ORDER = "machine_logs", ("event_ts", "plant_sk")
 MINUTE_KEYS = ["device_sk", "event_name", "minute"]
 MINUTE_COLUMNS = [*MINUTE_KEYS, *moments.names("value")]
 
@@ -109,6 +110,23 @@ def load_events(spark: SparkSession, root: str, staging: DataFrame, key: str = "
     return done
 
 
+def load_logs(spark: SparkSession, root: str, staging: DataFrame, key: str = "event_id", notes: dict | None = None,
+              before_commit: Callable[[], None] | None = None) -> State:
+    """Upserts rows of the machine log fact (:func:`~sensorwerk.operators.warehouse.fact_logs`) into the table
+    ``machine_logs`` of ``root``, ordered by time and plant inside its days."""
+    snap = Snapshots(spark, root)
+    state = snap.state()
+    scratch = f"{checkpoint_dir(spark).rstrip('/')}/load-{uuid.uuid4().hex}"
+    staging.withColumn("event_date", day_start("event_ts")).write.parquet(scratch)
+    staged = spark.read.parquet(scratch)
+    change = replace_rows(snap, state, MACHINE_LOGS, staged, ["event_date"], key=key, order=LOG_ORDER, size=lake.folder_bytes(spark, scratch))
+    if before_commit:
+        before_commit()
+    done = snap.commit(state, {MACHINE_LOGS: change}, notes)
+    lake.remove(spark, scratch)
+    return done
+
+
 def staged_files(spark: SparkSession, path: str) -> list[str]:
     """The data files under a prefix (hidden files and folders are not data)."""
     if not lake.exists(spark, path):

@@ -380,8 +380,8 @@ QUERIES = {
 # ---- streaming and alert queries added after the first registry -------------------------------
 def q_stream_enriched_events(spark, sf):
     """The streaming IoT job run to completion over the whole ``iot_raw`` table: records are
-    landed as JSON in the shared checkpoint folder (every 20th twice) in files by device, each of
-    which spans the whole time, and streamed one file a micro-batch through anomaly flags /
+    landed as JSON in the shared checkpoint folder (every 20th twice) in six files or more, dealt by a
+    hash so that each spans the whole time, and streamed in six micro-batches through anomaly flags /
     registry join / partition columns into the idempotent sink; the sink's table is returned.
     No row is lost for being late, and no copy stays, whichever batch brings it."""
     import uuid
@@ -395,9 +395,8 @@ def q_stream_enriched_events(spark, sf):
     # every 20th event is delivered twice (at-least-once transport); the job must drop the copy
     again = F.substring("event_id", 5, 20).cast("long") % 20 == 0
     copies = F.explode(F.when(again, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    by_device = src.withColumn("_copy", copies).repartition(6, "device_id", "_copy").drop("_copy")
-    by_device.write.json(f"{base}/landing")
-    stream = iot.read_iot_stream(spark, f"{base}/landing", max_files=1)
+    n = load_queries.land(src.withColumn("_copy", copies), f"{base}/landing", "event_id", "_copy")
+    stream = iot.read_iot_stream(spark, f"{base}/landing", max_files=max(1, n // 6))
     out = iot.run_to_completion(spark, iot.iot_pipeline(stream, T.device_registry(spark, sf)),
                                 f"{base}/processed", f"{base}/checkpoint")
     return out.select("event_id", "device_id", "plant_id", "timestamp_ms", "threshold_breach", "quality_bad",

@@ -6,7 +6,7 @@ file sources, so required fields are checked by the quality rules instead.
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    ArrayType, BooleanType, DoubleType, IntegerType, LongType,
+    ArrayType, BooleanType, DoubleType, FloatType, IntegerType, LongType,
     ShortType, StringType, StructField, StructType, TimestampNTZType, TimestampType,
 )
 
@@ -100,6 +100,31 @@ FACT_IOT_SCHEMA = StructType([
     StructField("month", ShortType(), True),
 ])
 
+FACT_LOG_SCHEMA = StructType([
+    StructField("log_sk", LongType(), True),
+    StructField("event_id", StringType(), False),
+    StructField("machine_id", StringType(), False),
+    StructField("device_sk", LongType(), True),
+    StructField("plant_sk", LongType(), True),
+    StructField("date_sk", IntegerType(), True),
+    StructField("event_ts", TimestampNTZType(), False),
+    StructField("event_type", StringType(), True),
+    StructField("severity", StringType(), True),
+    StructField("error_code", StringType(), True),
+    StructField("temperature_c", FloatType(), True),
+    StructField("vibration_hz", FloatType(), True),
+    StructField("pressure_bar", FloatType(), True),
+    StructField("cycle_count", LongType(), True),
+    StructField("operator_id", StringType(), True),
+    StructField("shift", StringType(), True),
+    StructField("is_alarm", BooleanType(), True),
+    StructField("is_critical", BooleanType(), True),
+    StructField("resolution_minutes", IntegerType(), True),   # NULL until resolved
+    StructField("processed_at", TimestampNTZType(), True),
+    StructField("year", ShortType(), True),
+    StructField("month", ShortType(), True),
+])
+
 # Kafka source columns (what ``readStream.format("kafka")`` yields)
 KAFKA_SCHEMA = StructType([
     StructField("key", StringType(), True),

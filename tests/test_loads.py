@@ -204,3 +204,26 @@ def test_a_log_run_that_dies_leaves_nothing_and_is_repeated(spark, scratch):
     assert state_of(spark, f"{scratch}/lake") == before
     assert loads.run_log_increment(spark, f"{scratch}/raw", f"{scratch}/lake")["files"] == 1
     assert len(state_of(spark, f"{scratch}/lake")[0]) == 4
+
+
+def test_log_fact_loads_are_one_commit_and_resolve_later(spark, scratch):
+    from sensorwerk.operators import warehouse
+
+    root = f"{scratch}/w"
+    clean = spark.createDataFrame([(f"L{i}", "M1" if i % 3 else "M9", "P1" if i % 2 else "P7", dt.datetime(2024, 1, 1 + i % 2, i), "ALARM", "INFO") for i in range(8)],
+                                  "event_id string, machine_id string, plant_code string, event_ts timestamp_ntz, event_type string, severity string")
+    for c, t in (("error_code", "string"), ("temperature_c", "double"), ("vibration_hz", "double"), ("pressure_bar", "double"), ("cycle_count", "long"),
+                 ("operator_id", "string"), ("shift", "string"), ("processed_at", "timestamp_ntz")):
+        clean = clean.withColumn(c, F.lit(None).cast(t))
+    clean = clean.withColumns({"is_alarm": F.lit(True), "is_critical": F.lit(False)})
+    devices = spark.createDataFrame([("M1", 11)], "device_id string, device_sk long")
+    plants = spark.createDataFrame([("P1", 21)], "plant_id string, plant_sk long")
+    rows = warehouse.fact_logs(clean, devices, plants)
+    loads.load_logs(spark, root, rows)
+    with pytest.raises(Crash):
+        loads.load_logs(spark, root, rows.withColumn("resolution_minutes", F.lit(5)), before_commit=crash)
+    snap = Snapshots(spark, root)
+    assert snap.table("machine_logs").where("resolution_minutes IS NOT NULL").count() == 0
+    loads.load_logs(spark, root, rows.where("event_id = 'L4'").withColumn("resolution_minutes", F.lit(5)))
+    got = {r.event_id: (r.device_sk, r.plant_sk, r.resolution_minutes) for r in snap.table("machine_logs").collect()}
+    assert len(got) == 8 and got["L4"] == (11, -1, 5) and got["L3"] == (-1, 21, None) and got["L1"] == (11, 21, None)
