@@ -144,12 +144,15 @@ def run_iot_job(spark: SparkSession, raw_path: str, registry_path: str, output_p
 
 def run_warehouse_cycle(spark: SparkSession, staging_path: str, fact_path: str, hourly_path: str,
                         plants: DataFrame, report_table_path: str, as_of: str, days: int = 7,
-                        devices: DataFrame | None = None) -> DataFrame:
+                        devices: DataFrame | None = None, catalog_table: str | None = None) -> DataFrame:
     """Load + report cycle (entry point C): staging Parquet -> partition-scoped upsert of the
     fact -> hourly roll-up refreshed for the touched days -> weekly report computed from the
-    roll-up alone (device counts from its sketches) and written as a table."""
+    roll-up alone (device counts from its sketches) and written as a table.
+
+    ``catalog_table``: after the load the catalog learns the fact's new partitions and columns (SRC-7), and
+    its row count and column statistics are measured for the planner (SNK-13)."""
     from sensorwerk.plans.reports import weekly_report_after
-    from sensorwerk.sources.raw import load_staging
+    from sensorwerk.sources.raw import load_staging, sync_lake_table
 
     if devices is not None:          # the streaming job's own output: natural ids become keys on the way
         wanted = ["event_id", "device_id", "plant_id", "timestamp_ms", "event_name", "value_numeric", "value_string", "unit",
@@ -159,6 +162,9 @@ def run_warehouse_cycle(spark: SparkSession, staging_path: str, fact_path: str,
         fact_cols = [c for c in spark.read.parquet(fact_path).columns if c != "event_date"]
         staging = load_staging(spark, staging_path, fact_cols)
     touched = load_fact_batch(spark, fact_path, staging)
+    if catalog_table:
+        sync_lake_table(spark, catalog_table, fact_path, ["event_date"], {"event_date": "date"})
+        lake.analyze_table(spark, catalog_table, ["event_id", "event_ts", "device_sk", "plant_sk", "event_name"])
     refresh_hourly(spark, fact_path, plants, hourly_path, touched)
     report = weekly_report_after(None, plants, as_of, days, hourly=spark.read.parquet(hourly_path), devices="sketch")
     report.write.mode("overwrite").parquet(report_table_path)

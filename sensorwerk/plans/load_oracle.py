@@ -123,3 +123,4 @@ SELECT CAST(date_trunc('week', event_ts) AS DATE) AS week_start, plant_sk, COUNT
 FROM fact WHERE plant_sk IS NOT NULL GROUP BY 1, 2
 """),
 }
+SQL["cycle_hourly"] = SQL["hourly_refresh"]

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,13 +17,16 @@ from pyspark.sql import functions as F
 from sensorwerk import schemas as S
 from sensorwerk.config import bounded_broadcast, checkpoint_dir
 from sensorwerk.functions.columns import bucket_start, day_start
+from sensorwerk.operators import aggregates as A
 from sensorwerk.operators import dedup, enrich, moments, quality
 from sensorwerk.operators.dedup import keep_latest
+from sensorwerk.plans import reports
 from sensorwerk.sinks import lake
 from sensorwerk.sinks.snapshot import Change, Snapshots, State, replace_rows
 from sensorwerk.sources.raw import read_raw_logs
 
-FACT, MINUTES = "fact", "minutes"
+FACT, MINUTES, HOURLY = "fact", "minutes", "hourly"
+STALE = "stale_days"                             # note of a state: days whose roll-up is older than the fact
 FACT_ORDER = ("event_ts", "device_sk")           # files hold time ranges: range scans skip the others
 MACHINE_LOGS, LOG_ORDER = "machine_logs", ("event_ts", "plant_sk")
 MINUTE_KEYS = ["device_sk", "event_name", "minute"]
@@ -105,11 +109,45 @@ def load_events(spark: SparkSession, root: str, staging: DataFrame, key: str = "
     minutes = Change(rows.schema, ["event_date"], old, snap.write(MINUTES, rows, ["event_date"]))
     if before_commit:
         before_commit()
-    done = snap.commit(state, {FACT: fact, MINUTES: minutes}, notes)
+    stale = sorted({*state.notes.get(STALE, []), *map(_day_of, fact.drops + fact.adds)})
+    done = snap.commit(state, {FACT: fact, MINUTES: minutes}, {**(notes or {}), STALE: stale})
     lake.remove(spark, scratch)
     return done
 
 
+def _day_of(folder: str) -> str:
+    """The day of a partition folder; events without a time lie in ``__HIVE_DEFAULT_PARTITION__``."""
+    return unquote(folder.rsplit("event_date=", 1)[1])
+
+
+def refresh_hourly(spark: SparkSession, root: str, plants: DataFrame, before_commit: Callable[[], None] | None = None) -> State:
+    """Brings the ``hourly`` roll-up of ``root`` up to date (SNK-10): the days that loads have changed since the last
+    refresh are made anew from the fact, the others stay. A load notes its days in the same commit, so a
+    crash between load and refresh loses none; a day without events any more loses its rows."""
+    snap = Snapshots(spark, root)
+    state = snap.state()
+    days = [d for d in state.notes.get(STALE, []) if d != "__HIVE_DEFAULT_PARTITION__"]
+    if days:
+        fact = snap.table(FACT, state).where(F.col("event_date").isin([F.lit(d).cast("date") for d in days]))
+        rows = A.hourly_plant_kpis(fact, plants, device_sketch=True).withColumn("event_date", F.to_date("event_hour"))
+        old = [f for f in state.folders(HOURLY) if _day_of(f) in days]
+        change = Change(rows.schema, ["event_date"], old, snap.write(HOURLY, rows, ["event_date"]))
+        if before_commit:
+            before_commit()
+        state = snap.commit(state, {HOURLY: change}, {**state.notes, STALE: []})
+    return state
+
+
+def run_cycle(spark: SparkSession, root: str, staging_path: str, plants: DataFrame, as_of: str, report_path: str, days: int = 7,
+              prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+    """Staging prefix -> fact and minutes -> hourly roll-up of the changed days -> weekly report from the roll-up alone."""
+    load_and_empty(spark, root, staging_path, prepare)
+    state = refresh_hourly(spark, root, plants)
+    hourly = Snapshots(spark, root).table(HOURLY, state).drop("event_date")
+    reports.weekly_report_after(None, plants, as_of, days, hourly=hourly, devices="sketch").write.mode("overwrite").parquet(report_path)
+    return spark.read.parquet(report_path)
+
+
 def load_logs(spark: SparkSession, root: str, staging: DataFrame, key: str = "event_id", notes: dict | None = None,
               before_commit: Callable[[], None] | None = None) -> State:
     """Upserts rows of the machine log fact (:func:`~sensorwerk.operators.warehouse.fact_logs`) into the table
@@ -122,7 +160,7 @@ def load_logs(spark: SparkSession, root: str, staging: DataFrame, key: str = "ev
     change = replace_rows(snap, state, MACHINE_LOGS, staged, ["event_date"], key=key, order=LOG_ORDER, size=lake.folder_bytes(spark, scratch))
     if before_commit:
         before_commit()
-    done = snap.commit(state, {MACHINE_LOGS: change}, notes)
+    done = snap.commit(state, {MACHINE_LOGS: change}, {**(notes or {}), STALE: state.notes.get(STALE, [])})
     lake.remove(spark, scratch)
     return done
 

@@ -227,3 +227,27 @@ def test_log_fact_loads_are_one_commit_and_resolve_later(spark, scratch):
     loads.load_logs(spark, root, rows.where("event_id = 'L4'").withColumn("resolution_minutes", F.lit(5)))
     got = {r.event_id: (r.device_sk, r.plant_sk, r.resolution_minutes) for r in snap.table("machine_logs").collect()}
     assert len(got) == 8 and got["L4"] == (11, -1, 5) and got["L3"] == (-1, 21, None) and got["L1"] == (11, 21, None)
+
+
+def test_the_roll_up_follows_the_loads_through_a_crash(spark, scratch):
+    from sensorwerk.operators import aggregates as A
+    from sensorwerk.sources import standins as T
+    from tests.conftest import SF_SMALL
+
+    root, plants = f"{scratch}/w", T.dim_plant(spark, SF_SMALL)
+    rows = T.fact_iot_events(spark, SF_SMALL)
+    cols = ("event_hour", "plant_id", "total_events", "alarm_count", "sum_quality")
+    fresh = lambda: content(A.hourly_plant_kpis(Snapshots(spark, root).table("fact").where("event_ts IS NOT NULL"), plants), *cols)
+    rows.where("event_sk % 3 > 0").write.parquet(f"{scratch}/staging")
+    loads.run_cycle(spark, root, f"{scratch}/staging", plants, "2024-01-31", f"{scratch}/report")
+    assert content(Snapshots(spark, root).table("hourly"), *cols) == fresh()
+    moved = rows.where("event_ts < timestamp_ntz'2024-01-03 00:00:00'").withColumn("event_ts", F.expr("event_ts + INTERVAL 10 DAYS"))
+    loads.load_events(spark, root, moved)                                             # two days empty, their rows go elsewhere
+    with pytest.raises(Crash):
+        loads.refresh_hourly(spark, root, plants, before_commit=crash)
+    assert content(Snapshots(spark, root).table("hourly"), *cols) != fresh()
+    loads.load_events(spark, root, rows.where("event_sk % 3 = 0 AND event_ts > timestamp_ntz'2024-01-20 00:00:00'"))
+    before = Snapshots(spark, root).state()
+    loads.refresh_hourly(spark, root, plants)                                         # the days of both loads
+    assert content(Snapshots(spark, root).table("hourly"), *cols) == fresh()
+    assert loads.refresh_hourly(spark, root, plants).number == before.number + 1      # nothing left to do

@@ -121,8 +121,12 @@ def test_warehouse_cycle_idempotent_and_equal_to_direct_report(spark, scratch):
     staging = fact.filter(F.col("event_ts") >= ntz("2024-01-15")).drop("event_date")
     staging.write.parquet(spath)
     first = _sorted(jobs.run_warehouse_cycle(spark, spath, fpath, hpath, plants, rpath, "2024-01-31"))
-    second = _sorted(jobs.run_warehouse_cycle(spark, spath, fpath, hpath, plants, rpath, "2024-01-31"))
+    second = _sorted(jobs.run_warehouse_cycle(spark, spath, fpath, hpath, plants, rpath, "2024-01-31", catalog_table="cycle_fact"))
     assert first == second
+    stats = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED cycle_fact").collect()}
+    assert f"{spark.read.parquet(fpath).count()} rows" in stats["Statistics"]
+    assert any(r.info_name == "distinct_count" and r.info_value != "NULL" for r in spark.sql("DESCRIBE EXTENDED cycle_fact device_sk").collect())
+    spark.sql("DROP TABLE cycle_fact")
     direct = reports.weekly_report_after(_fact(spark), plants, "2024-01-31", devices="fact_exact")
     assert first == _sorted(direct)
 
