@@ -23,7 +23,6 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import filterfalse
 
 import numpy as np
 import pandas as pd
@@ -32,7 +31,7 @@ from pyspark.sql import functions as F
 
 from sensorwerk.llm.common import materialize
 
-CACHE_WORDS = 400_000          # words in each of the two cache generations of a Python worker
+CACHE_WORDS = 600_000          # words in each of the two cache generations of a Python worker
 SHARD_IDS = 1 << 20            # a shard is closed at the first document end past so many ids
 JOINED = 64                    # new words encoded in one call
 MAGIC = b"RNK1"
@@ -130,17 +129,36 @@ class TextEncoder:
             self.old = old = young
             self.young = young = {}
         young[""], young["\n"] = b"", self.line_feed if self.keeps_space else b""
+        rows: list[tuple[list, list[int]] | None] = []
         wanted: set[str] = set()
-        known = young.__contains__
+        known = young.get
         for u in units:
-            if u:
-                wanted.update(filterfalse(known, u))
+            if u is None:
+                rows.append(None)
+                continue
+            pieces, holes = list(map(known, u)), []
+            at = -1
+            try:
+                while True:
+                    at = pieces.index(None, at + 1)
+                    holes.append(at)
+            except ValueError:                                 # no further new word
+                pass
+            wanted.update([u[i] for i in holes])
+            rows.append((pieces, holes))
         again = wanted & old.keys()
         for w in again:
             young[w] = old[w]
         self._learn(list(wanted - again))
-        get = young.__getitem__
-        return [self._plain(t) if u is None else b"".join(map(get, u)) for t, u in zip(texts, units)]
+        out = []
+        for t, u, row in zip(texts, units, rows):
+            if row is None:
+                out.append(self._plain(t))
+                continue
+            for i in row[1]:
+                row[0][i] = young[u[i]]
+            out.append(b"".join(row[0]))
+        return out
 
     def _is_whole(self, text: str) -> bool:
         if "\x00" in text or any(m in text for m in self.marks):
