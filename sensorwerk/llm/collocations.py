@@ -50,7 +50,7 @@ SIEVE_BITS = 26
 BATCH_ROWS = 1_000              # texts that Spark hands to Python at once
 RANGE_BYTES = 12 << 20          # bytes of text per hash range of the bucket step
 BLOCK_PHRASES = 500_000
-TRIES = 8                       # blocks that one pass over the texts counts
+TRIES = 3                       # blocks that one pass over the texts counts
 
 _WORD, _BLANK, _CUT = 0, 1, 2
 _KIND = np.zeros(256, np.uint8)
@@ -565,7 +565,7 @@ def _phrase_counts(texts: DataFrame, longest: int, least: int, shard_bytes: int,
     for first in range(0, blocks, tries):
         some = built.where((F.col("block") >= first) & (F.col("block") < first + tries))
         sent = spark.sparkContext.broadcast([r.asDict() for r in some.toLocalIterator()])       # at most ``tries`` bounded blocks
-        met = texts.mapInArrow(_count(sent, longest, 2 * shard_bytes), COUNTS)     # no keys beside the words here
+        met = texts.mapInArrow(_count(sent, longest, shard_bytes), COUNTS)
         counts.append(materialize(met.groupBy("block", "no", "lang").agg(F.sum("n").alias("a")).where(
             (F.col("a") >= least) | (F.col("block") < 0)), "phrase-counts"))
         sent.destroy()
