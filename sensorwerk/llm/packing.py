@@ -5,7 +5,7 @@ configurations as cover the histogram) is solved by multiplicative weights: ever
 weight, the dearest configurations under these weights come from a knapsack dynamic program over
 the capacity, and the lengths they cover become cheaper, until the whole histogram is covered within
 a gap of a lower bound. The fractional counts are rounded down, and what rounding leaves is packed
-best-fit decreasing on the histogram. Only the histogram (at most
+best-fit decreasing on the histogram, together with the pieces of sequences that are opened again for it. Only the histogram (at most
 ``capacity`` rows) and the plan in run-length form reach the driver; the pieces are numbered per
 length and matched to the plan's ranges by Spark.
 
@@ -35,6 +35,7 @@ STEP = 0.5               # learning rate of the weights
 FLOOR = 0.5              # starting prices are at least this share of those by length
 MISSES = 20              # a round ends after so many configurations that share a length or are too cheap
 SLACK = 0.005            # configurations this near to the dearest run in the same round
+OPEN = ((0.01, 0.0), (0.0, 0.0), (0.0, 1 / 32))     # sequences that stay: free share at most, smallest piece at least
 SALT_ROWS = 50_000       # pieces of one length that one task numbers, on average
 
 
@@ -196,16 +197,37 @@ def best_fit(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tup
 
 
 def plan(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
-    """Configurations with whole counts that use up the histogram exactly."""
-    left, chosen = counts.astype(np.int64).copy(), []
+    """Configurations with whole counts that use up the histogram exactly.
+
+    What rounding leaves cannot fill sequences well alone, so some of the rounded ones are opened again
+    for it: those with room to spare, and of the full ones those with pieces so small that they fill
+    gaps elsewhere. Of the choices (open none, open by ``OPEN``) that keep a part of the linear program's
+    sequences, the one with the fewest sequences stands, the one that opens least first.
+    """
+    whole, chosen = counts.astype(np.int64).copy(), []
     found, _ = solve_lp(lengths, counts.astype(float), capacity)
     for conf, x in found:
-        times = min([int(x + 1e-9), *(int(left[i] // n) for i, n in conf.items())])
+        times = min([int(x + 1e-9), *(int(whole[i] // n) for i, n in conf.items())])
         if times > 0:
             chosen.append((conf, times))
             for i, n in conf.items():
-                left[i] -= times * n
-    return chosen + [c for c in best_fit(lengths, left, capacity) if c[0]]
+                whole[i] -= times * n
+    best: list = []
+    fewest = None
+    for room, small in ((capacity, 0), *((int(r * capacity), int(s * capacity)) for r, s in OPEN)):
+        kept, left = [], whole.copy()
+        for conf, times in chosen:
+            free = capacity - sum(n * int(lengths[i]) for i, n in conf.items())
+            if free <= room and min(int(lengths[i]) for i in conf) >= small:
+                kept.append((conf, times))
+                continue
+            for i, n in conf.items():
+                left[i] += times * n
+        made = kept + [c for c in best_fit(lengths, left, capacity) if c[0]]
+        size = sum(times for _, times in made)
+        if fewest is None or kept and size < fewest:
+            best, fewest = made, size
+    return best
 
 
 def plan_ranges(lengths: np.ndarray, confs: list[tuple[dict[int, int], int]]) -> pd.DataFrame:

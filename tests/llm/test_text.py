@@ -343,6 +343,20 @@ def test_token_shards_empty(no_docs):
 
 
 # ---- packing ----------------------------------------------------------------------------------
+def test_plan_reaches_the_volume_bound_where_best_fit_does():
+    rng = np.random.default_rng(4)
+    sizes = np.minimum(2048, (rng.lognormal(6, 0.9, 1200)).astype(np.int64) + 1)
+    lengths, counts = np.unique(sizes, return_counts=True)
+    made = packing.plan(lengths, counts, 2048)
+    used = np.zeros(len(lengths), np.int64)
+    for conf, times in made:
+        assert sum(n * int(lengths[i]) for i, n in conf.items()) <= 2048
+        for i, n in conf.items():
+            used[i] += n * times
+    fewest = sum(times for _, times in packing.best_fit(lengths, counts, 2048))
+    assert (used == counts).all() and sum(times for _, times in made) <= fewest
+
+
 def check_packed(rows, docs, capacity):
     """Pieces are the documents', sequences are gapless and within the capacity."""
     want = Counter()
