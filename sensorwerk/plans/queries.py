@@ -86,7 +86,7 @@ def q_hourly_plant_kpis(spark, sf):
 
 
 def q_stg_iot_events(spark, sf):
-    return A.stg_iot_events(_fact(spark, sf))
+    return A.stg_iot_events(_fact(spark, sf).withColumn("processed_at", ntz(RUN_TS)))
 
 
 # ---- IoT stages ------------------------------------------------------------------------------
