@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorwerk import schemas as S
-from sensorwerk.config import checkpoint_dir, plan_bytes
+from sensorwerk.config import checkpoint_dir
 from sensorwerk.functions.columns import epoch_ms_to_ts, ntz, round_numeric, ts_to_epoch_ms
 from sensorwerk.plans import loads
 from sensorwerk.sinks import lake
@@ -27,8 +27,9 @@ def fresh(spark: SparkSession, label: str) -> str:
 
 def land(rows: DataFrame, path: str, *by: str, least: int = 6) -> int:
     """JSON files of about equal size, ``least`` at the fewest; a row goes by a hash, so a device with many
-    rows is spread and every file spans the whole time. Returns the number of files asked for."""
-    n = max(least, plan_bytes(rows) // LANDING_BYTES)
+    rows is spread and every file spans the whole time. Returns the number of files asked for, which follows
+    the bytes of the rows themselves: the planner's estimate of joined rows is the product of both sides."""
+    n = max(least, lake.rows_bytes(rows) // LANDING_BYTES)
     rows.repartition(n, *by).write.json(path)
     return n
 

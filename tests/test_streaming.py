@@ -168,3 +168,19 @@ def test_iot_job_entry_point(spark, scratch):
     assert out.filter(F.col("asset_name").isNotNull()).count() == 0      # registry absent -> empty
     assert sum(m["records"] for m in metrics.rows) == out.count()
     assert spark.read.json(os.path.join(scratch, "dlq")).count() == 1
+
+
+def test_landing_has_as_many_files_as_its_rows_call_for(spark, scratch, monkeypatch):
+    """The planner takes joined rows for the product of both sides: 20,000 short rows were hundreds of files."""
+    from sensorwerk.plans import load_queries
+
+    for name in ("a", "b"):
+        spark.range(20_000).write.parquet(os.path.join(scratch, name))
+    a, b = (spark.read.parquet(os.path.join(scratch, n)) for n in ("a", "b"))
+    rows = a.join(b.withColumnRenamed("id", "k"), a.id == F.col("k"), "left").selectExpr("id AS event_id", "repeat('x', 92) AS text")
+    assert load_queries.land(rows, os.path.join(scratch, "few"), "event_id") == 6
+    monkeypatch.setattr(load_queries, "LANDING_BYTES", 100_000)                   # 108 bytes a row: 21 files and a bit
+    assert load_queries.land(rows, os.path.join(scratch, "many"), "event_id") == 21
+    for folder, n in (("few", 6), ("many", 21)):
+        files = [f for f in os.listdir(os.path.join(scratch, folder)) if f.endswith(".json")]
+        assert len(files) == n and spark.read.json(os.path.join(scratch, folder)).distinct().count() == 20_000
