@@ -99,7 +99,7 @@ def load_events(spark: SparkSession, root: str, staging: DataFrame, key: str = "
     plain = staged.drop("avg_value_1min", "stddev_value_1min").withColumns(
         {c: F.lit(None).cast("double") for c in ("avg_value_1min", "stddev_value_1min")})
     fact = replace_rows(snap, state, FACT, plain, ["event_date"], keys, key, same_minute, with_stats,
-                        order=FACT_ORDER, size=lake.folder_bytes(spark, f"{scratch}/staged"))
+                        order=FACT_ORDER, size=lake.rows_bytes(plain))
 
     rows = merged.withColumn("event_date", F.to_date("minute"))
     old = snap.holding(MINUTES, state, lambda t: t.where(of_days).join(touched, MINUTE_KEYS, "left_semi"))
@@ -157,7 +157,7 @@ def load_logs(spark: SparkSession, root: str, staging: DataFrame, key: str = "ev
     scratch = f"{checkpoint_dir(spark).rstrip('/')}/load-{uuid.uuid4().hex}"
     staging.withColumn("event_date", day_start("event_ts")).write.parquet(scratch)
     staged = spark.read.parquet(scratch)
-    change = replace_rows(snap, state, MACHINE_LOGS, staged, ["event_date"], key=key, order=LOG_ORDER, size=lake.folder_bytes(spark, scratch))
+    change = replace_rows(snap, state, MACHINE_LOGS, staged, ["event_date"], key=key, order=LOG_ORDER, size=lake.rows_bytes(staged))
     if before_commit:
         before_commit()
     done = snap.commit(state, {MACHINE_LOGS: change}, {**(notes or {}), STALE: state.notes.get(STALE, [])})

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
-from sensorwerk.config import plan_bytes
 from sensorwerk.operators.quality import DQ_HELPER_COLUMNS
 
 LOG_PARTITIONS = ("year", "month", "day", "hour", "plant_code")
@@ -63,16 +62,7 @@ def write_dq_failures(failed: DataFrame, path: str, partition_cols=DQ_PARTITIONS
     write_partitioned(failed, path, partition_cols)
 
 
-FILE_BYTES = 256 << 20
-
-
-def folder_bytes(spark: SparkSession, *paths: str) -> int:
-    """Bytes of all files under the folders, from the file system's own summary."""
-    total = 0
-    for path in paths:
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        total += folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
-    return int(total)
+FILE_BYTES = 128 << 20           # of a file's rows as the task that sorts them holds them; the file is several times smaller
 
 
 def rows_bytes(df: DataFrame) -> int:
@@ -89,9 +79,10 @@ def write_clustered(df: DataFrame, path: str, cluster_cols, sort_cols, partition
     """Load-time physical ordering (SNK-12): range-partition on the leading sort key and sort
     inside each file, so Parquet row-group min/max statistics skip most of a range scan.
 
-    The number of files follows ``size``, the bytes of the rows (by default what the planner expects),
-    one for every ``FILE_BYTES``; a partition value with many rows spans several ranges."""
-    n = num_partitions or max(1, -(-(size if size is not None else plan_bytes(df)) // FILE_BYTES))
+    The number of ranges follows ``size``, the bytes of the rows (:func:`rows_bytes`, the default), one for
+    every ``FILE_BYTES``, so that no task sorts more however well the rows compress; a partition value with
+    many rows spans several ranges."""
+    n = num_partitions or max(1, -(-(size if size is not None else rows_bytes(df)) // FILE_BYTES))
     ordered = df.repartitionByRange(n, *partition_cols, *cluster_cols).sortWithinPartitions(*partition_cols, *sort_cols)
     w = ordered.write.mode(mode)
     if partition_cols:

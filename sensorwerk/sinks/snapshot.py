@@ -195,7 +195,7 @@ def replace_rows(snap: Snapshots, state: State, name: str, rows: DataFrame, part
     if finish is not None:
         content = finish(content)
     if order:
-        size += lake.folder_bytes(snap.spark, *[f"{snap.root}/{name}/{f}" for f in folders])
+        size += lake.rows_bytes(snap.table(name, state, folders)) if folders else 0
     adds = snap.write(name, content, partition_cols, order, size)
     schema = content.schema if name not in state.tables else StructType.fromJson(state.tables[name]["schema"])
     return Change(schema, list(partition_cols), folders, adds)

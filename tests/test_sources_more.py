@@ -108,6 +108,27 @@ def test_loaded_files_hold_disjoint_time_ranges(spark, scratch, monkeypatch):
     assert "LessThan(event_ts" in text
 
 
+def test_rows_that_compress_well_are_sorted_by_many_tasks(spark, scratch, monkeypatch):
+    """Tasks follow the bytes of the rows, in the first load and in one that rewrites folders: the files' bytes are a fraction."""
+    monkeypatch.setattr(lake, "FILE_BYTES", 100_000)
+    rows = spark.range(8_000).select(
+        F.format_string("event-%060d", "id").alias("event_id"), (F.col("id") % 3).alias("device_sk"), F.lit("T").alias("event_name"),
+        F.lit(1.0).alias("value_numeric"), F.timestamp_add("SECOND", F.col("id").cast("int"), F.lit("2024-01-01").cast("timestamp_ntz")).alias("event_ts"))
+    asked, write = [], lake.write_clustered
+    monkeypatch.setattr(lake, "write_clustered", lambda df, *a, **k: (asked.append(-(-k["size"] // lake.FILE_BYTES)), write(df, *a, **k))[1])
+    loads.load_events(spark, f"{scratch}/w", rows)
+    loads.load_events(spark, f"{scratch}/w", rows.limit(4_000).withColumn("value_numeric", F.lit(2.0)))
+    assert asked[0] >= 8 and asked[1] >= asked[0]
+    back = Snapshots(spark, f"{scratch}/w").table("fact")
+    assert back.count() == back.select("event_id").distinct().count() == 8_000 and back.where("value_numeric = 2").count() == 4_000
+
+
+def test_bytes_of_rows_count_texts_nulls_and_nested_values(spark):
+    rows = spark.createDataFrame([(1, "ab", [1, 2]), (2, None, None), (None, "ü", [])], "n int, t string, a array<int>")
+    assert lake.rows_bytes(rows) == 3 * 24 + (2 + 6) + (2 + 2)
+    assert lake.rows_bytes(rows.limit(0)) == 0
+
+
 def test_statistics_change_the_join(spark, scratch):
     path = f"{scratch}/lake"
     wide = spark.range(20_000).select(F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 512).alias("text"), F.lit("x").alias("part"))
