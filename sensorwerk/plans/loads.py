@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sensorwerk import schemas as S
-from sensorwerk.config import bounded_broadcast, checkpoint_dir
+from sensorwerk.config import checkpoint_dir
 from sensorwerk.functions.columns import bucket_start, day_start
 from sensorwerk.operators import aggregates as A
 from sensorwerk.operators import dedup, enrich, moments, quality
@@ -62,24 +62,25 @@ def load_events(spark: SparkSession, root: str, staging: DataFrame, key: str = "
         staging = keep_latest(staging, key, list(order), null_keys="keep")
     staging.withColumn("event_date", day_start("event_ts")).write.parquet(f"{scratch}/staged")      # read several times
     staged = spark.read.parquet(f"{scratch}/staged")
-    keys = staged.select(key).where(F.col(key).isNotNull()).distinct()
+    staged.select(key).where(F.col(key).isNotNull()).distinct().write.parquet(f"{scratch}/keys")
+    keys = spark.read.parquet(f"{scratch}/keys")
     new = _minutes_of(staged)
     if state.folders(FACT):
-        held = snap.table(FACT, state)
-        lost = _with_minute(held.join(bounded_broadcast(keys), key, "left_semi")).select(*MINUTE_KEYS).dropna().distinct()
+        held, gone = snap.table(FACT, state), lake.join_side(keys)
+        lost = _with_minute(held.join(gone, key, "left_semi")).select(*MINUTE_KEYS).dropna().distinct()
         lost.write.parquet(f"{scratch}/lost")
-        lost = spark.read.parquet(f"{scratch}/lost")
+        lost = lake.join_side(spark.read.parquet(f"{scratch}/lost"))
         touched = new.select(*MINUTE_KEYS).unionByName(lost).distinct()
         days = [r[0] for r in touched.select(F.to_date("minute")).distinct().collect()]              # a row a day
         of_days = F.col("event_date").isin(days)
-        left = held.where(of_days).join(bounded_broadcast(keys), key, "left_anti")
+        left = held.where(of_days).join(gone, key, "left_anti")
         again = _minutes_of(_with_minute(left).join(lost, MINUTE_KEYS, "left_semi").drop("minute"))
         stays = snap.table(MINUTES, state).where(of_days).join(touched, MINUTE_KEYS, "left_semi").join(lost, MINUTE_KEYS, "left_anti")
         parts = new.unionByName(again).unionByName(stays.select(*MINUTE_COLUMNS))
     else:
         touched, of_days, parts = new.select(*MINUTE_KEYS), F.lit(False), new
     touched.write.parquet(f"{scratch}/touched")
-    touched = spark.read.parquet(f"{scratch}/touched")
+    touched = lake.join_side(spark.read.parquet(f"{scratch}/touched"))
     moments.merge(parts, MINUTE_KEYS, ["value"]).write.parquet(f"{scratch}/merged")
     merged = spark.read.parquet(f"{scratch}/merged")
 

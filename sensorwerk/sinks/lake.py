@@ -74,6 +74,15 @@ def rows_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
 
 
+JOINED_BYTES = 16 << 20          # of a broadcast side's rows; their hash table takes about seven times as much in every task
+
+
+def join_side(df: DataFrame) -> DataFrame:
+    """A join side of keys: broadcast if its rows are few by their own bytes (:func:`rows_bytes`, one pass), else
+    for a sort-merge join, whose tasks hold a partition and spill, however little its files tell of the rows."""
+    return F.broadcast(df) if rows_bytes(df) <= JOINED_BYTES else df.hint("merge")
+
+
 def write_clustered(df: DataFrame, path: str, cluster_cols, sort_cols, partition_cols=(),
                     num_partitions: int | None = None, mode: str = "overwrite", size: int | None = None) -> None:
     """Load-time physical ordering (SNK-12): range-partition on the leading sort key and sort

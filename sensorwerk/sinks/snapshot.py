@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sensorwerk.config import bounded_broadcast
 from sensorwerk.sinks import lake
 
 VERSIONS = "_versions"
@@ -185,12 +184,13 @@ def replace_rows(snap: Snapshots, state: State, name: str, rows: DataFrame, part
     gone = (keys if keys is not None else rows.select(key)).where(F.col(key).isNotNull()).select(key).distinct()
     folders: list[str] = []
     if state.folders(name):
-        folders = snap.holding(name, state, lambda t: t.join(bounded_broadcast(gone), key, "left_semi"))
+        gone = lake.join_side(gone)
+        folders = snap.holding(name, state, lambda t: t.join(gone, key, "left_semi"))
         if also is not None:
             folders = sorted({*folders, *snap.holding(name, state, also)})
     content = rows
     if folders:
-        kept = snap.table(name, state, folders).join(bounded_broadcast(gone), key, "left_anti")
+        kept = snap.table(name, state, folders).join(gone, key, "left_anti")
         content = kept.unionByName(rows.select(*kept.columns))
     if finish is not None:
         content = finish(content)

@@ -251,3 +251,26 @@ def test_the_roll_up_follows_the_loads_through_a_crash(spark, scratch):
     loads.refresh_hourly(spark, root, plants)                                         # the days of both loads
     assert content(Snapshots(spark, root).table("hourly"), *cols) == fresh()
     assert loads.refresh_hourly(spark, root, plants).number == before.number + 1      # nothing left to do
+
+
+def test_many_staged_keys_are_no_hash_table_in_a_task(spark, scratch, monkeypatch):
+    """Files tell little of their rows: keys were a broadcast by 64 MB of files, whatever their table took."""
+    from tests.test_plans import plan_text
+
+    seen, write = [], Snapshots.write
+    monkeypatch.setattr(Snapshots, "write", lambda self, name, rows, *a, **k: seen.append((name, plan_text(rows))) or write(self, name, rows, *a, **k))
+    rows = spark.range(30_000).select(F.concat(F.lit("EVT-"), F.col("id").cast("string")).alias("event_id"), (F.col("id") % 3).alias("device_sk"),
+                                       F.lit("T").alias("event_name"), F.expr("timestamp_ntz'2024-01-01 05:00:10'").alias("event_ts"), F.lit(2.0).alias("value_numeric"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")                      # what is broadcast was asked for
+    try:
+        loads.load_events(spark, f"{scratch}/w", rows)
+        for most, kinds in ((lake.JOINED_BYTES, "BroadcastHashJoin"), (1 << 17, "SortMergeJoin")):
+            seen.clear()
+            monkeypatch.setattr(lake, "JOINED_BYTES", most)
+            loads.load_events(spark, f"{scratch}/w", rows.where("device_sk = 1").withColumn("value_numeric", F.lit(5.0)))
+            text = next(t for name, t in seen if name == loads.FACT)
+            assert next(x for x in text.splitlines() if "LeftAnti" in x).count(kinds) == 1, text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    got = Snapshots(spark, f"{scratch}/w").table(loads.FACT).groupBy("device_sk").agg(F.count("*"), F.avg("value_numeric"), F.avg("avg_value_1min"))
+    assert content(got) == [(0, 10_000, 2.0, 2.0), (1, 10_000, 5.0, 5.0), (2, 10_000, 2.0, 2.0)]
