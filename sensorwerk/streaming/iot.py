@@ -141,12 +141,13 @@ def landed_before(batch: DataFrame, batch_id: int, output_path: str, time_cols=T
 
 def not_landed(batch: DataFrame, batch_id: int, output_path: str, key: str, time_cols=TIME_PARTITIONS[:3]) -> DataFrame:
     """The batch's rows, one per ``key``, that no earlier batch has written for the same time partitions. Only
-    the key column is read; a replay does not meet its own files."""
+    the key column is read; a replay does not meet its own files. The batch lies by key already, so the keys are
+    sorted in as many tasks: a hash table of all keys held, which their files make look small, is in no task."""
     once = batch.dropDuplicates([key])
     if not lake.exists(batch.sparkSession, output_path):
         return once
     held = landed_before(batch, batch_id, output_path, time_cols)
-    return once.join(held.select(key), key, "left_anti").select(*batch.columns)
+    return once.join(held.select(key).hint("merge"), key, "left_anti").select(*batch.columns)
 
 
 def idempotent_batch_writer(output_path: str, partition_cols=("year", "month", "day", "hour", "plant_id"),

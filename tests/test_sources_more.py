@@ -201,6 +201,18 @@ def test_a_batch_reads_only_the_hours_it_brings(spark, scratch):
     assert "PartitionFilters" in text and "concat_ws" in text[text.index("PartitionFilters"):]
 
 
+def test_keys_held_by_the_sink_are_no_hash_table_in_a_task(spark, scratch):
+    rows = spark.range(3000).select(F.concat(F.lit("e"), "id").alias("event_id"), F.lit("2024").alias("year"), F.lit("01").alias("month"),
+                                    F.lit("07").alias("day"), F.lit("P1").alias("plant_id"), F.lit(False).alias("threshold_breach"))
+    write = iot.idempotent_batch_writer(f"{scratch}/out", iot.BACKFILL_PARTITIONS)
+    write(rows.where("event_id < 'e2'"), 0)
+    batch = rows.withColumn("batch_id", F.lit(1).cast("long"))
+    left = iot.not_landed(batch.unionByName(batch), 1, f"{scratch}/out", "event_id", iot.BACKFILL_PARTITIONS)
+    text = plan_text(left)
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+    assert left.count() == rows.where("event_id >= 'e2'").count() == left.select("event_id").distinct().count()
+
+
 def window_rows(spark, minutes, device="d"):
     rows = [(f"e{m}", device, "p", "l", "T", "C", 1_700_000_000_000 // 60_000 * 60_000 + int(m * 60_000), float(m), 70) for m in minutes]
     return spark.createDataFrame(rows, "event_id string, device_id string, plant_id string, line_id string, event_name string, unit string, "
