@@ -20,12 +20,15 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,12 +39,17 @@ SHARD_IDS = 1 << 20            # a shard is closed at the first document end pas
 JOINED = 64                    # new words encoded in one call
 MAGIC = b"RNK1"
 
-_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+")                  # letters to every version of the character tables
+MARKS = string.punctuation.replace("'", "")                # an apostrophe can start a contraction
+_LATIN = "[A-Za-zÀ-ÖØ-öø-ɏ]+"                              # letters to every version of the character tables
 _SPACE_RUN = re.compile(r"\s\s")
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _ENCODERS: dict[tuple[str, bool], "TextEncoder"] = {}
 
 
+def _strings(words: pa.Array) -> list[str]:
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
 class TextEncoder:
     """``keeps_space``: the tokenizer joins a space to the word after it (byte-level), rather
     than dropping white space. ``word_edge``: tokens that start (or end) a word of letters."""
@@ -62,103 +70,104 @@ class TextEncoder:
         self.dtype = "<u2" if len(self.edge) <= 1 << 16 else "<u4"
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.stops = {c: self._plain(c) for c in ".,"}
         self.line_feed = self._plain("\n")
 
     def _plain(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _learn(self, keys: list[str]) -> None:
-        """Keys start with a space where the tokenizer keeps it and the piece follows one.
+    def _encoded(self, words: list[str]) -> Iterator[bytes]:
+        for c in range(0, len(words), 1024):
+            for e in self.tok.encode_batch_fast(words[c:c + 1024], add_special_tokens=False):
+                yield np.array(e.ids, self.dtype).tobytes()
 
-        Words of Latin letters are encoded many at a time and parted at their edge tokens; a stop
-        after such a word is a token run of its own."""
-        lead, young, stops = int(self.keeps_space), self.young, self.stops
-        letters, bases, stopped, general = _LATIN.fullmatch, {}, [], []
-        for key in keys:
-            base = key[:-1] if key[-1] in stops else key
-            if (lead and key[0] != " ") or not letters(base, lead):
-                general.append(key)
-                continue
-            if base not in young:
-                bases[base] = None
-            if base is not key:
-                stopped.append(key)
-        names = list(bases)
-        chunks = [names[c:c + JOINED] for c in range(0, len(names), JOINED)]
+    def _stems(self, words: list[str]) -> dict[str, bytes]:
+        """Words of Latin letters: encoded many at a time and parted at their edge tokens."""
+        out: dict[str, bytes] = {}
+        lead, alone = int(self.keeps_space), []
+        chunks = [words[c:c + JOINED] for c in range(0, len(words), JOINED)]
         for c in range(0, len(chunks), 32):
             part = chunks[c:c + 32]
             texts = ["".join(x) if lead else " ".join(x) for x in part]
-            for words, e in zip(part, self.tok.encode_batch_fast(texts, add_special_tokens=False)):
+            for some, e in zip(part, self.tok.encode_batch_fast(texts, add_special_tokens=False)):
                 ids = np.array(e.ids, self.dtype)
                 at = np.flatnonzero(self.edge[ids])
                 bounds = (np.append(at, len(ids)) if lead else np.append(0, at + 1)) * ids.itemsize
-                if len(bounds) != len(words) + 1:              # not one edge a word: take them one by one
-                    general += words
+                if len(bounds) != len(some) + 1:               # not one edge a word: take them one by one
+                    alone += some
                     continue
                 raw, ends = ids.tobytes(), bounds.tolist()
-                young.update(zip(words, [raw[a:b] for a, b in zip(ends, ends[1:])]))
-        for c in range(0, len(general), 1024):
-            part = general[c:c + 1024]
-            for key, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                young[key] = np.array(e.ids, self.dtype).tobytes()
-        for key in stopped:
-            if key not in young:
-                young[key] = young[key[:-1]] + stops[key[-1]]
-
-    def _units(self, text: str) -> list[str]:
+                out.update(zip(some, [raw[a:b] for a, b in zip(ends, ends[1:])]))
+        out.update(zip(alone, self._encoded(alone)))
+        return out
+
+    def _learn(self, keys: list[str]) -> list[bytes]:
+        """Keys start with a space where the tokenizer keeps it and the piece follows one.
+
+        Marks after a word of Latin letters are a token run of their own, so the word and its marks
+        are encoded apart, each once."""
+        young = self.young
+        words = pa.array(keys, pa.large_string())
+        bases = pc.utf8_rtrim(words, MARKS)
+        latin = pc.match_substring_regex(bases, rf"\A{' ' * self.keeps_space}{_LATIN}\z")
+        at = latin.to_numpy(zero_copy_only=False)
+        stems = bases.filter(latin).dictionary_encode()
+        names = _strings(stems.dictionary)
+        new = [w for w in names if w not in young]
+        young.update(self._stems(new))
+        out = np.empty(len(keys), object)
+        out[at] = np.array([young[w] for w in names], object)[stems.indices.to_numpy()]
+        general = [keys[i] for i in np.flatnonzero(~at)]
+        out[~at] = list(self._encoded(general))
+        sizes = pc.utf8_length(bases).to_numpy()
+        marked = np.flatnonzero(at & (sizes < pc.utf8_length(words).to_numpy())).tolist()
+        marks = [keys[i][n:] for i, n in zip(marked, sizes[marked].tolist())]
+        runs = list(set(marks))
+        ids = dict(zip(runs, self._encoded(runs)))
+        for i, run in zip(marked, marks):
+            out[i] += ids[run]
+        young.update(zip(keys, out))
+        return out.tolist()
+
+    def _units(self, text: str) -> str:
+        """The text's pieces, parted by zeros."""
         if not self.keeps_space:
-            return text.replace("\n", " ").split(" ")
+            return text.replace("\n", "\x00").replace(" ", "\x00")
         # only blanks and line feeds part words here: other white space is not printable
         if text[0].isspace() or text[-1].isspace() or "  " in text or " \n" in text or "\n " in text \
                 or "\n\n" in text or not text.replace("\n", "").isprintable() and _SPACE_RUN.search(text):
-            first, *rest = _LONE_SPACE.split(text)
-            return [first, *[" " + w for w in rest]]
-        out: list[str] = []
-        for line in text.replace(" ", "\x00 ").split("\n"):    # each word keeps the space before it
-            out += line.split("\x00") if "\x00" in line else [line]
-            out.append("\n")
-        out.pop()
-        return out
+            return _LONE_SPACE.sub("\x00 ", text)
+        return text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00")     # each word keeps the space before it
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each whole text, as little-endian bytes of ``dtype``."""
-        units = [None if t and self._is_whole(t) else self._units(t) if t else [] for t in texts]
+        """Ids of each whole text, as little-endian bytes of ``dtype``.
+
+        The pieces of all the texts are told apart first, so each distinct one is looked up once a call."""
+        whole = {i: self._plain(t) for i, t in enumerate(texts) if t and self._is_whole(t)}
+        units = pc.split_pattern(pa.array(["" if not t or i in whole else self._units(t) for i, t in enumerate(texts)],
+                                          pa.large_string()), "\x00")
+        pieces = units.flatten().dictionary_encode()
+        keys = _strings(pieces.dictionary)
         young, old = self.young, self.old
         if len(young) > CACHE_WORDS:
             self.old = old = young
             self.young = young = {}
         young[""], young["\n"] = b"", self.line_feed if self.keeps_space else b""
-        rows: list[tuple[list, list[int]] | None] = []
-        wanted: set[str] = set()
-        known = young.get
-        for u in units:
-            if u is None:
-                rows.append(None)
-                continue
-            pieces, holes = list(map(known, u)), []
-            at = -1
-            try:
-                while True:
-                    at = pieces.index(None, at + 1)
-                    holes.append(at)
-            except ValueError:                                 # no further new word
-                pass
-            wanted.update([u[i] for i in holes])
-            rows.append((pieces, holes))
-        again = wanted & old.keys()
-        for w in again:
-            young[w] = old[w]
-        self._learn(list(wanted - again))
-        out = []
-        for t, u, row in zip(texts, units, rows):
-            if row is None:
-                out.append(self._plain(t))
-                continue
-            for i in row[1]:
-                row[0][i] = young[u[i]]
-            out.append(b"".join(row[0]))
-        return out
+        known = list(map(young.get, keys))
+        holes = [i for i, ids in enumerate(known) if ids is None]
+        for i, ids in zip(holes, [old.get(keys[i]) for i in holes]):
+            if ids is not None:
+                known[i] = young[keys[i]] = ids
+        holes = [i for i in holes if known[i] is None]
+        for i, ids in zip(holes, self._learn([keys[i] for i in holes])):
+            known[i] = ids
+        bank = np.frombuffer(b"".join(known), self.dtype)
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // bank.itemsize
+        at = pieces.indices.to_numpy()
+        n, first = sizes[at], (np.cumsum(sizes) - sizes)[at]
+        ends = np.append(0, np.cumsum(n))
+        raw = bank[np.repeat(first - ends[:-1], n) + np.arange(ends[-1])].tobytes()
+        cuts = (ends[units.offsets.to_numpy()] * bank.itemsize).tolist()
+        return [whole[i] if i in whole else raw[a:b] for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
 
     def _is_whole(self, text: str) -> bool:
         if "\x00" in text or any(m in text for m in self.marks):
@@ -174,7 +183,7 @@ def encoder(path: str, keeps_space: bool) -> TextEncoder:
     return _ENCODERS[key]
 
 
-def in_slices(texts: pd.Series, chars: int = 1 << 21) -> Iterator[tuple[int, list[str]]]:
+def in_slices(texts: pd.Series, chars: int = 1 << 23) -> Iterator[tuple[int, list[str]]]:
     """Runs of about ``chars`` characters, so that a batch of long texts stays small in memory."""
     part, start, size = [], 0, 0
     for i, t in enumerate(texts):

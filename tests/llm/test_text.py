@@ -317,6 +317,23 @@ def test_encoder_cache_generations(monkeypatch):
         assert len(enc.young) < 500
 
 
+@pytest.mark.parametrize("path,keeps", [(queries.BYTE_BPE, True), (queries.WORD_BPE, False)])
+def test_encoder_looks_a_piece_up_once_a_call(path, keeps):
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *a):
+            Counted.asked += 1
+            return super().get(*a)
+
+    enc = tokens.TextEncoder(path, keeps)
+    enc.young = Counted()
+    texts = ["one two. three\nfour &&& five&&& six###,!! don't'' a_b__ é*** *** x.'y &&&"] * 500
+    got = [np.frombuffer(b, enc.dtype).tolist() for b in enc.encode(texts)]
+    assert got == [slow_ids(path, t, 0)[:-1] for t in texts]
+    assert 0 < Counted.asked < 100
+
+
 def test_shard_round_trip():
     rng = np.random.default_rng(2)
     ids = [rng.integers(0, m, n).astype(np.uint32) for n, m in ((0, 1), (1, 9), (5000, 300), (70_000, 70_000), (3, 1 << 20))]
