@@ -1,5 +1,6 @@
 """Exact, SimHash, substring and line dedup against plain Python."""
 import hashlib
+import random
 import re
 from collections import defaultdict
 
@@ -235,6 +236,25 @@ def test_line_dedup_plan_is_native(docs):
     assert not re.search("Python|Pandas|Arrow", text)
 
 
+def test_line_dedup_verifies_few_false_pairs(spark, monkeypatch):
+    from tests.llm.conftest import DOC_SCHEMA
+
+    rng = random.Random(3)
+    new = lambda n: [f"w{rng.randrange(1 << 60):x}" for _ in range(n)]
+    rows = []
+    for k in range(300):                                  # six words of 40 differ on both sides: 34 / 46 is below 0.8
+        words = new(40)
+        rows += [(2 * k, " ".join(words), *[None] * 6), (2 * k + 1, " ".join(words[:34] + new(6)), *[None] * 6)]
+    found, asked, tried = [], line_dedup.candidates, line_dedup._verified
+    met = []
+    monkeypatch.setattr(line_dedup, "candidates", lambda *a: met.append(asked(*a)) or met[0])
+    monkeypatch.setattr(line_dedup, "_verified", lambda pairs, *a: found.append(pairs.count()) or tried(pairs, *a))
+    got = line_dedup.deduplicate(spark.createDataFrame(rows, DOC_SCHEMA)).collect()
+    assert len(got) == 600 and not any(r.n_removed for r in got)
+    pairs = met[0].select("a", "b").distinct().count()
+    assert pairs >= 10 and 2 * sum(found) <= pairs
+
+
 def test_line_dedup_kept_texts(spark):
     df = spark.createDataFrame([(1, "a b c\nd e f\n\na b c"), (2, "d e f\ng h i"), (3, None)], "doc_id long, text string")
     assert rows_of(line_dedup.kept_texts(df), "doc_id", "kept_text") == [(1, "a b c\nd e f\n"), (2, "g h i"), (3, "")]
