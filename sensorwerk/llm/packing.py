@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -29,6 +30,8 @@ from sensorwerk.llm.common import materialize
 from sensorwerk.llm.tokens import encoder, in_slices
 
 CAPACITY = 2048
+CACHE_WORDS = 300_000    # words in each cache generation of the encoder; the pipeline's executors hold other stages' rows besides
+SLICE_CHARS = 1 << 22    # characters encoded at once, for the same reason
 GAP = 0.002              # the linear program is solved to this share of its lower bound
 ROUNDS = 700             # no new run of the prices begins after so many rounds and half a round a length
 STEP = 0.5               # learning rate of the weights
@@ -248,16 +251,17 @@ def plan_ranges(lengths: np.ndarray, confs: list[tuple[dict[int, int], int]]) ->
 
 def _pieces(path: str, keeps_space: bool, end_id: int, capacity: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = encoder(path, keeps_space)
+        enc = encoder(path, keeps_space, CACHE_WORDS)
         for pdf in batches:
             rows = []
             rids, docs = pdf.rid.tolist(), [None if pd.isna(d) else int(d) for d in pdf.doc_id]
-            for first, texts in in_slices(pdf.text):
+            for first, texts in in_slices(pdf.text, SLICE_CHARS):
                 for k, got in enumerate(enc.encode(texts)):
                     ids = np.append(np.frombuffer(got, enc.dtype).astype("<u4"), np.array([end_id], "<u4"))
                     for p, s in enumerate(range(0, len(ids), capacity)):
                         part = ids[s:s + capacity]
                         rows.append((rids[first + k], docs[first + k], p, s, len(part), zlib.crc32(part.tobytes())))
+                pa.default_memory_pool().release_unused()          # Arrow keeps what a slice took otherwise
             out = pd.DataFrame(rows, columns=["rid", "doc_id", "piece", "start", "length", "ids_crc32"])
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out

@@ -36,6 +36,7 @@ from sensorwerk.llm.common import materialize
 
 CACHE_WORDS = 400_000          # words in each of the two cache generations of a Python worker
 SHARD_IDS = 1 << 20            # a shard is closed at the first document end past so many ids
+GATHERED = 1 << 17             # pieces whose ids are put together at once
 JOINED = 64                    # new words encoded in one call
 MAGIC = b"RNK1"
 
@@ -54,12 +55,13 @@ class TextEncoder:
     """``keeps_space``: the tokenizer joins a space to the word after it (byte-level), rather
     than dropping white space. ``word_edge``: tokens that start (or end) a word of letters."""
 
-    def __init__(self, path: str, keeps_space: bool):
+    def __init__(self, path: str, keeps_space: bool, cache_words: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"         # Spark runs one task a core
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.keeps_space = keeps_space
+        self.cache_words = cache_words or CACHE_WORDS
         # a text that may hold a special token's string is encoded whole: the library gives it its own id
         added = list(self.tok.get_added_tokens_decoder().values())
         self.marks, self.folded = {t.content[:2] for t in added}, {t.content[:2].lower() for t in added if t.normalized}
@@ -148,7 +150,7 @@ class TextEncoder:
         pieces = units.flatten().dictionary_encode()
         keys = _strings(pieces.dictionary)
         young, old = self.young, self.old
-        if len(young) > CACHE_WORDS:
+        if len(young) > self.cache_words:
             self.old = old = young
             self.young = young = {}
         young[""], young["\n"] = b"", self.line_feed if self.keeps_space else b""
@@ -162,12 +164,22 @@ class TextEncoder:
             known[i] = ids
         bank = np.frombuffer(b"".join(known), self.dtype)
         sizes = np.fromiter(map(len, known), np.int64, len(known)) // bank.itemsize
-        at = pieces.indices.to_numpy()
-        n, first = sizes[at], (np.cumsum(sizes) - sizes)[at]
-        ends = np.append(0, np.cumsum(n))
-        raw = bank[np.repeat(first - ends[:-1], n) + np.arange(ends[-1])].tobytes()
-        cuts = (ends[units.offsets.to_numpy()] * bank.itemsize).tolist()
-        return [whole[i] if i in whole else raw[a:b] for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+        at, offsets = pieces.indices.to_numpy(), units.offsets.to_numpy()
+        first = np.cumsum(sizes) - sizes
+        out: list[bytes] = []
+        a = 0
+        while a < len(texts):                                  # some texts at a time: an id's place takes eight bytes, thrice
+            b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + GATHERED, side="right")) - 1)
+            part = at[offsets[a]:offsets[b]]
+            n = sizes[part]
+            ends = np.append(0, np.cumsum(n))
+            raw = bank[np.repeat(first[part] - ends[:-1], n) + np.arange(ends[-1])].tobytes()
+            cuts = (ends[offsets[a:b + 1] - offsets[a]] * bank.itemsize).tolist()
+            out += [raw[c:d] for c, d in zip(cuts, cuts[1:])]
+            a = b
+        for i, ids in whole.items():
+            out[i] = ids
+        return out
 
     def _is_whole(self, text: str) -> bool:
         if "\x00" in text or any(m in text for m in self.marks):
@@ -175,11 +187,11 @@ class TextEncoder:
         return bool(self.folded) and any(m in text.lower() for m in self.folded)
 
 
-def encoder(path: str, keeps_space: bool) -> TextEncoder:
+def encoder(path: str, keeps_space: bool, cache_words: int | None = None) -> TextEncoder:
     """One per Python worker, so its cache serves all tasks of the worker."""
     key = (path, keeps_space)
     if key not in _ENCODERS:
-        _ENCODERS[key] = TextEncoder(path, keeps_space)
+        _ENCODERS[key] = TextEncoder(path, keeps_space, cache_words)
     return _ENCODERS[key]
 
 

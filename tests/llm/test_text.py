@@ -1,10 +1,12 @@
 """HTML extraction, language ID, token shards, packing, mixing, search and the pipeline against plain Python."""
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -334,6 +336,28 @@ def test_encoder_looks_a_piece_up_once_a_call(path, keeps):
     assert 0 < Counted.asked < 100
 
 
+@pytest.mark.parametrize("path,keeps", [(queries.BYTE_BPE, True), (queries.WORD_BPE, False)])
+def test_encoder_puts_ids_together_in_bounded_memory(path, keeps):
+    enc = tokens.TextEncoder(path, keeps)
+    texts = ["a bc " * 2000 + "d", "", "x\x00 y", "a"] * 200 + ["bc a " * 150_000 + "bc"]         # some above and some below the bound
+    some = enc.encode(texts[:4])
+    tracemalloc.start()
+    got = enc.encode(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got[:-1] == some * 200 and got[-1] == enc.encode(texts[-1:])[0] and len(got) == len(texts)
+    assert [np.frombuffer(b, enc.dtype).tolist() for b in some] == [slow_ids(path, t, 0)[:-1] for t in texts[:4]]
+    assert peak < 25e6, peak
+
+
+def test_packing_keeps_a_small_cache(monkeypatch):
+    monkeypatch.setattr(tokens, "_ENCODERS", {})
+    pdf = pd.DataFrame({"rid": range(3), "doc_id": [1, None, 3], "text": [prose(1, 50), None, "x"]})
+    list(packing._pieces(queries.WORD_BPE, False, 0, 8)(iter([pdf])))
+    (enc,) = tokens._ENCODERS.values()
+    assert enc.cache_words == packing.CACHE_WORDS < tokens.CACHE_WORDS
+
+
 def test_shard_round_trip():
     rng = np.random.default_rng(2)
     ids = [rng.integers(0, m, n).astype(np.uint32) for n, m in ((0, 1), (1, 9), (5000, 300), (70_000, 70_000), (3, 1 << 20))]
