@@ -1,5 +1,6 @@
 """Exact, SimHash, substring and line dedup against plain Python."""
 import hashlib
+import os
 import random
 import re
 from collections import defaultdict
@@ -255,6 +256,21 @@ def test_line_dedup_verifies_few_false_pairs(spark, monkeypatch):
     assert pairs >= 10 and 2 * sum(found) <= pairs
 
 
+def test_line_dedup_keeps_prefixes_no_longer_than_needed(spark, monkeypatch):
+    """The candidate join carries a set's number, not its place; once the sets are written, only they hold prefixes."""
+    asked, write, joined, written = line_dedup.candidates, line_dedup.materialize, [], []
+    monkeypatch.setattr(line_dedup, "candidates", lambda *a: joined.append(asked(*a)) or joined[0])
+    monkeypatch.setattr(line_dedup, "materialize", lambda df, label: written.append((label, write(df, label))) or written[-1][1])
+    line = "one two three four five six seven eight nine ten"
+    rows = [(9, line), (3, line + " eleven\n" + line), (5, "x\n" + line + " twelve"), (None, line), (4, "y z")]
+    got = line_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id or 99, r.removed_lines) for r in got.collect()) == [(3, "1"), (4, ""), (5, "1"), (9, "0"), (99, "0")]
+    plan = joined[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "rank_id" not in plan.split("Relation")[0] and "line_no" not in plan.split("Relation")[0]
+    left = [(label, df.columns) for label, df in written if any(os.path.exists(f.removeprefix("file://")) for f in df.inputFiles())]
+    assert {label for label, _ in left} >= {"lines", "sets"} and {label for label, columns in left if "keys" in columns} == {"sets"}
+
+
 def test_line_dedup_kept_texts(spark):
     df = spark.createDataFrame([(1, "a b c\nd e f\n\na b c"), (2, "d e f\ng h i"), (3, None)], "doc_id long, text string")
     assert rows_of(line_dedup.kept_texts(df), "doc_id", "kept_text") == [(1, "a b c\nd e f\n"), (2, "g h i"), (3, "")]
