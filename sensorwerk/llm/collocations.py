@@ -5,19 +5,21 @@ tabs into words; everything is per language. Candidates grow level by level. A p
 hashes the k-word phrases whose first and last k-1 words passed the level before, Spark sums the
 shards' counts per hash bucket, and the buckets that reach the least count are kept. Phrases in one
 bucket only add to each other and a phrase is never more frequent than its parts, so no phrase that
-reaches the least count is lost. The kept buckets become a sieve, a bit row of fixed size, and the
-next pass names the phrases that pass it. False passes are harmless: they are counted and dropped.
-
-The named phrases (single words included) are dealt by hash into blocks of bounded size. Each block
-becomes one double-array trie, built by a Spark task: a word is two digits, and a state's child
-by a digit is at ``base[state] + digit`` if ``check`` there names the state. A few blocks at a time
-are broadcast; a pass over the texts advances the states of all text positions together, word by
-word, and bincounts the accepting states. A task adds its shards' counts and Spark sums the tasks'.
-Scores are taken in 38-digit decimals.
-
-Memory: a task holds one shard of text (``SHARD_BYTES``, or one piece if that is longer), sieves
-(at most 8 MB each) and at most ``TRIES`` tries of ``block_phrases`` phrases. Groups of the bucket step are
-hash ranges sized by the corpus, so a common word or phrase gives one number a shard.
+reaches the least count is lost. The kept buckets become a sieve, a bit row sized by their number
+(``KEY_BITS`` bits and ``PROBES`` probes a bucket), and the next pass names the phrases that pass it.
+False passes are harmless: they are counted and dropped.
+
+The named phrases are dealt into blocks of bounded size by the hash of their first two words (single
+words by their own). Each block becomes one double-array trie, built by a Spark task: a word is two
+digits, and a state's child by a digit is at ``base[state] + digit`` if ``check`` there names the state.
+One pass over the texts deals every position to the block of its first two words, as a window of the
+words that can be a phrase; equal windows of a shard are one with a count. A block's task advances
+the states of all its windows together, word by word, and bincounts the accepting states, so that each
+position meets one trie however many there are. Scores are taken in 38-digit decimals.
+
+Memory: a task holds one shard of text (``SHARD_BYTES``, or one piece if that is longer) and the sieves
+(at most 64 MB each), or one trie of about ``block_phrases`` phrases and ``HELD_WINDOWS`` windows. Groups of the
+bucket step are hash ranges sized by the corpus, so a common word or phrase gives one number a shard.
 
 Defined cases: null texts and texts without words count nothing; a null language is ``und``; repeated
 rows and null ids count like any other row; ties go by count, then by the phrase's UTF-8 bytes; an
@@ -46,11 +48,18 @@ TOP = 2_000
 CONTAINED = 50                  # per cent of the shorter phrase's count
 SHARD_BYTES = 3 << 20
 HELD_KEYS = 1 << 20             # distinct keys that a task holds before it passes them on
-SIEVE_BITS = 26
+SIEVE_BITS = 29                 # of a sieve, as a power of two, at most
+KEY_BITS = 12                   # bits of a sieve for each kept bucket
+PROBES = 3                      # bits that a kept bucket sets
 BATCH_ROWS = 1_000              # texts that Spark hands to Python at once
+WINDOW_ROWS = 32                # rows of windows that Spark hands to Python at once
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 RANGE_BYTES = 12 << 20          # bytes of text per hash range of the bucket step
 BLOCK_PHRASES = 500_000
-TRIES = 3                       # blocks that one pass over the texts counts
+TRIES = 3                       # blocks that a task counts, one after another
+BLOCK_BYTES = 16 << 20          # bytes of text per block, so that small vocabularies are counted in several tasks, too
+SPREAD_BLOCKS = 256             # blocks that BLOCK_BYTES asks for at most
+HELD_WINDOWS = 1 << 20          # windows that a block's task counts at once
 
 _WORD, _BLANK, _CUT = 0, 1, 2
 _KIND = np.zeros(256, np.uint8)
@@ -189,25 +198,36 @@ def shards(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[str,
 
 
 # ---- sieves ------------------------------------------------------------------------------------
+def probes(at: np.ndarray, low_bits: int) -> Iterator[np.ndarray]:
+    """The bits of 32-bit buckets in their hash range's part of the sieve, which has ``1 << low_bits`` bits."""
+    for odd in (1, 0x9E3779B1, 0x85EBCA77)[:PROBES]:
+        yield ((at * np.uint32(odd)) >> np.uint32(32 - low_bits)).astype(np.int64)
+
+
 class Sieve:
-    """Bit row over the top bits of a key; the kept buckets' bits are set. At most ``1 << SIEVE_BITS`` of them."""
+    """Bit row over the buckets of the keys, hash range by hash range; the kept buckets' bits are set. At most ``1 << SIEVE_BITS`` of them."""
 
-    def __init__(self, bits: np.ndarray, width: int):
-        self.bits, self.width = bits, width                          # uint8, packed
+    def __init__(self, bits: np.ndarray, width: int, part_bits: int):
+        self.bits, self.width, self.part_bits = bits, width, part_bits          # uint8, packed
 
     def has(self, keys: np.ndarray) -> np.ndarray:
-        at = (keys >> np.uint64(64 - self.width)).astype(np.int64)
-        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 != 0
+        part = (keys >> np.uint64(64 - self.part_bits)).astype(np.int64) << (self.width - self.part_bits)
+        bucket = (keys >> np.uint64(32 - self.part_bits)).astype(np.uint32)
+        out = np.ones(len(keys), bool)
+        for low in probes(bucket, self.width - self.part_bits):
+            at = part + low
+            out &= (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 != 0
+        return out
 
 
 class Sieves(list):
     """Broadcasts of packed sieves; a task unpacks them."""
 
-    def add(self, spark, bits: np.ndarray, width: int) -> None:
-        self.append(spark.sparkContext.broadcast((zlib.compress(bits.tobytes(), 1), width)))
+    def add(self, spark, bits: np.ndarray, width: int, part_bits: int) -> None:
+        self.append(spark.sparkContext.broadcast((zlib.compress(bits.tobytes(), 1), width, part_bits)))
 
     def unpack(self) -> list[Sieve]:
-        return [Sieve(np.frombuffer(zlib.decompress(b.value[0]), np.uint8), b.value[1]) for b in self]
+        return [Sieve(np.frombuffer(zlib.decompress(b.value[0]), np.uint8), *b.value[1:]) for b in self]
 
 
 def passing(words: Words, hashes: np.ndarray, k: int, sieves: list[Sieve], shorter: tuple | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -227,9 +247,9 @@ def passing(words: Words, hashes: np.ndarray, k: int, sieves: list[Sieve], short
     return places, keys_of(each, places, k)
 
 
-PASS = "lang string, k int, phrase string, part int, at binary, n binary"
-PASS_ARROW = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("phrase", pa.string()), ("part", pa.int32()),
-                        ("at", pa.binary()), ("n", pa.binary())])
+PASS = "lang string, k int, phrase string, deal long, part int, at binary, n binary, n_words long"
+PASS_ARROW = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("phrase", pa.string()), ("deal", pa.int64()), ("part", pa.int32()),
+                        ("at", pa.binary()), ("n", pa.binary()), ("n_words", pa.int64())])
 
 
 def _rows(size: int, **columns) -> pa.RecordBatch:
@@ -264,11 +284,16 @@ class Buckets:
                      n=pa.array([n[a:b].tobytes() for _, a, b in real], pa.binary()))
 
 
-def name_rows(lang: str, words: Words, places: np.ndarray, k: int) -> pa.RecordBatch:
+def deals(word_hash: np.ndarray, places: np.ndarray, k: int) -> np.ndarray:
+    """What deals the k-word phrases at the places to blocks: 31 bits of the hash of their first two words, or of the only one."""
+    return (keys_of(word_hash, places, min(k, 2)) >> np.uint64(33)).astype(np.int64)
+
+
+def name_rows(lang: str, words: Words, hashes: np.ndarray, places: np.ndarray, k: int) -> pa.RecordBatch:
     parts = [words.names.take(pa.array(words.ids[places + j])) for j in range(k)]
     phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if k > 1 else parts[0]
     return _rows(len(places), lang=pa.array([lang] * len(places), pa.string()), k=pa.array(np.full(len(places), k, np.int32)),
-                 phrase=phrase.cast(pa.string()))
+                 phrase=phrase.cast(pa.string()), deal=pa.array(deals(hashes[words.ids], places, k)))
 
 
 def unseen(keys: np.ndarray, places: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -283,16 +308,17 @@ def unseen(keys: np.ndarray, places: np.ndarray, seen: np.ndarray) -> tuple[np.n
 
 def _pass(k: int, longest: int, packed: Sieves, part_bits: int, shard_bytes: int):
     """One reading of the texts: names the k-word phrases that pass the k-th sieve, once a task, and counts the
-    longer ones made of them by bucket."""
+    longer ones made of them by bucket. The first also counts each language's words (``n_words``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sieves, buckets, seen = packed.unpack(), Buckets(part_bits), np.zeros(0, np.uint64)
+        sieves, buckets, seen, total = packed.unpack(), Buckets(part_bits), np.zeros(0, np.uint64), {}
         for lang, words in shards(batches, shard_bytes):
             hashes, found = words.hashes(lang), None
+            total[lang] = total.get(lang, 0) + len(words.ids)
             if k:
                 found = places, keys = passing(words, hashes, k, sieves)
                 ok = sieves[k - 1].has(keys)
                 new, seen = unseen(keys[ok], places[ok], seen)
-                yield name_rows(lang, words, new, k)
+                yield name_rows(lang, words, hashes, new, k)
                 if len(seen) >= HELD_KEYS:                           # names may come again from here
                     seen = np.zeros(0, np.uint64)
             if k < longest:
@@ -301,11 +327,13 @@ def _pass(k: int, longest: int, packed: Sieves, part_bits: int, shard_bytes: int
                     yield buckets.release()
         if k < longest:
             yield buckets.release()
+        if not k:
+            yield _rows(len(total), lang=pa.array(list(total), pa.string()), n_words=pa.array(list(total.values()), pa.int64()))
     return run
 
 
-def _keep(part_bits: int, least: int, width: int):
-    """A hash range's buckets that reach the least count, as its bits of the sieve."""
+def _keep(least: int):
+    """A hash range's buckets that reach the least count, and their number."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         at = np.concatenate([np.frombuffer(b, "<u4") for b in pdf["at"]])
         n = np.concatenate([np.frombuffer(b, np.uint8) for b in pdf.n]).astype(np.int64)
@@ -313,9 +341,19 @@ def _keep(part_bits: int, least: int, width: int):
         at, n = at[order], n[order]
         first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
         kept = at[first[np.add.reduceat(n, first) >= least]]
-        bits = np.zeros(1 << (width - part_bits), bool)
-        bits[kept >> np.uint32(32 - width + part_bits)] = True
-        return pd.DataFrame({"part": [int(pdf.part.iat[0])], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
+        return pd.DataFrame({"part": [int(pdf.part.iat[0])], "kept": [kept.tobytes()], "many": [len(kept)]})
+    return run
+
+
+def _bits(part_bits: int, width: int):
+    """The hash ranges' bits of the sieve."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for part, kept in zip(pdf.part, pdf.kept):
+                bits = np.zeros(1 << (width - part_bits), bool)
+                for low in probes(np.frombuffer(kept, "<u4"), width - part_bits):
+                    bits[low] = True
+                yield pd.DataFrame({"part": [part], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
     return run
 
 
@@ -336,27 +374,29 @@ class Trie:
             state = np.where(self.check[to] == state, to, 0)
         return state
 
-    def count(self, lang: str, words: Words, longest: int, into: np.ndarray) -> None:
-        """Adds the occurrences of every phrase in the shard to ``into``."""
+    def count(self, lang: str, names: pa.Array, windows: np.ndarray, n: np.ndarray, into: np.ndarray) -> None:
+        """Adds ``n`` for every phrase that a window begins with; windows are rows of places in ``names``, -1 after their end.
+
+        Windows of several words stand for phrases of two words or more, those of one word for that word."""
         if lang not in self.langs:
             return
         v = self.langs.index(lang)
-        known = pc.fill_null(pc.index_in(words.names, value_set=self.vocabularies[v]), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-        ids = np.where(known >= 0, known + self.first_id[v], -1)[words.ids]
-        places = np.flatnonzero(ids >= 0)
-        state = self.roots[ids[places]]
-        for k in range(1, longest + 1):
+        known = pc.fill_null(pc.index_in(names, value_set=self.vocabularies[v]), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        ids = np.append(np.where(known >= 0, known + self.first_id[v], -1), -1)[windows]         # -1: past the end
+        lone = windows[:, 1] < 0 if windows.shape[1] > 1 else np.ones(len(windows), bool)
+        rows = np.flatnonzero(ids[:, 0] >= 0)
+        state = self.roots[ids[rows, 0]]
+        for k in range(1, windows.shape[1] + 1):
             live = state > 0
-            places, state = places[live], state[live]
+            rows, state = rows[live], state[live]
             hit = self.accept[state]
-            into += np.bincount(hit[hit >= 0], minlength=len(into))
-            if k == longest:
+            at = np.flatnonzero((hit >= 0) & (lone[rows] if k == 1 else True))
+            np.add.at(into, hit[at], n[rows[at]])
+            if k == windows.shape[1]:
                 break
-            inside = places + k < len(ids)
-            places, state = places[inside], state[inside]
-            inside = (words.piece[places] == words.piece[places + k]) & (ids[places + k] >= 0)
-            places, state = places[inside], state[inside]
-            state = self.step(state, ids[places + k])
+            more = ids[rows, k] >= 0
+            rows, state = rows[more], state[more]
+            state = self.step(state, ids[rows, k])
 
 
 def place_families(family: np.ndarray, digit: np.ndarray, n_families: int, span: int) -> tuple[np.ndarray, int]:
@@ -492,27 +532,108 @@ def _trie(row) -> Trie:
     return Trie(list(row["langs"]), vocabularies, row["bits"], base, check, accept)
 
 
-COUNTS = "block long, no long, lang string, n long"
-COUNTS_ARROW = pa.schema([("block", pa.int64()), ("no", pa.int64()), ("lang", pa.string()), ("n", pa.int64())])
+# ---- windows -----------------------------------------------------------------------------------
+#: A row per shard and block: the words of its windows, and the windows and their counts, packed.
+DEALT = "block long, lang string, names binary, windows binary, times binary"
+DEALT_ARROW = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("names", pa.binary()), ("windows", pa.binary()), ("times", pa.binary())])
+
+
+def merged(windows: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct row, and how often it comes."""
+    code, top = windows[:, 0].astype(np.int64), n_words
+    for j in range(1, windows.shape[1]):
+        if top > (1 << 62) // (n_words + 1):                        # numbers of what there is take less room
+            found, code = np.unique(code, return_inverse=True)
+            top = len(found)
+        code, top = code * (n_words + 1) + (windows[:, j] + 1), top * (n_words + 1)
+    _, first, n = np.unique(code, return_index=True, return_counts=True)
+    return first, n
+
+
+def shard_windows(words: Words, hashes: np.ndarray, longest: int, sieves: list[Sieve]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows (rows of word numbers, -1 after their end), their counts and their deals: each word by itself, and each place's
+    longest run of ``longest`` words at most whose beginnings all pass the sieves, if that is two words or more."""
+    ids, each = words.ids.astype(np.int32), hashes[words.ids]
+    often = np.bincount(words.ids, minlength=len(hashes))
+    ones = np.flatnonzero(sieves[0].has(keys_of(hashes, np.arange(len(hashes)), 1)) & (often > 0))
+    alone = np.full((len(ones), longest), -1, np.int32)
+    alone[:, 0] = ones
+    if longest == 1:
+        return alone, often[ones], deals(hashes, ones, 1)
+    reach, found = np.zeros(len(ids), np.int8), None
+    for k in range(2, longest + 1):
+        found = places, keys = passing(words, hashes, k, sieves, found)
+        places = places[sieves[k - 1].has(keys)]
+        reach[places[reach[places] == (k - 1 if k > 2 else 0)]] = k
+    places = np.flatnonzero(reach)
+    many = np.full((len(places), longest), -1, np.int32)
+    for j in range(longest):
+        inside = reach[places] > j
+        many[inside, j] = ids[places[inside] + j]
+    first, n = merged(many, len(hashes))
+    return (np.concatenate([alone, many[first]]), np.concatenate([often[ones], n]),
+            np.concatenate([deals(hashes, ones, 1), deals(each, places[first], 2)]))
+
+
+def _deal(packed: Sieves, blocks: int, longest: int, shard_bytes: int):
+    """One reading of the texts: every shard's windows, block by block."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sieves = packed.unpack()
+        for lang, words in shards(batches, shard_bytes):
+            windows, n, deal = shard_windows(words, words.hashes(lang), longest, sieves)
+            block = deal % blocks
+            order = np.argsort(block, kind="stable")
+            windows, n, block = windows[order], n[order], block[order]
+            cuts = np.flatnonzero(np.diff(block)) + 1
+            rows = []
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(block)]):
+                if b > a:
+                    own, at = np.unique(windows[a:b], return_inverse=True)
+                    at = at.reshape(windows[a:b].shape).astype("<i4")
+                    if own[0] < 0:
+                        own, at = own[1:], at - 1
+                    rows.append((int(block[a]), lang, _to_ipc(words.names.take(pa.array(own))), _pack(at.T), _pack(n[a:b].astype("<i4"))))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), DEALT_ARROW)], schema=DEALT_ARROW)
+    return run
+
 
+COUNTS = "block long, no long, a long"
+COUNTS_ARROW = pa.schema([("block", pa.int64()), ("no", pa.int64()), ("a", pa.int64())])
 
-def _count(tries, longest: int, shard_bytes: int):
-    """``tries``: broadcast of block rows. A row per phrase that the task has met, and one per language (block -1) with its words."""
+
+def _count(longest: int, least: int, held: int):
+    """The counts of a block's phrases that reach ``least``. Comes sorted: a block's trie, then its windows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks = [(row["block"], _trie(row), np.zeros(row["phrases"], np.int64)) for row in tries.value]
-        total: dict[str, int] = {}
-        for lang, words in shards(batches, shard_bytes):
-            total[lang] = total.get(lang, 0) + len(words.ids)
-            for _, trie, n in blocks:
-                trie.count(lang, words, longest, n)
-        out = [(-1, np.zeros(len(total), np.int64), pa.array(list(total), pa.string()), np.array(list(total.values()), np.int64))]
-        for block, _, n in blocks:
-            met = np.flatnonzero(n)
-            for a in range(0, len(met), 1 << 18):
-                part = met[a:a + (1 << 18)]
-                out.append((block, part, pa.nulls(len(part), pa.string()), n[part]))
-        for block, no, lang, n in out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(no), block, np.int64)), pa.array(no), lang, pa.array(n)], schema=COUNTS_ARROW)
+        block, trie, n, waiting, size = None, None, None, {}, 0
+
+        def count() -> None:
+            for lang, parts in waiting.items():
+                first = np.cumsum([0] + [len(w) for w, _, _ in parts])
+                windows = np.concatenate([np.where(x >= 0, x + a, -1) for (_, x, _), a in zip(parts, first)])
+                trie.count(lang, pa.concat_arrays([w for w, _, _ in parts]), windows, np.concatenate([t for _, _, t in parts]).astype(np.int64), n)
+            waiting.clear()
+
+        def counts() -> pa.RecordBatch:
+            met = np.flatnonzero(n >= least)
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(met), block, np.int64)), pa.array(met), pa.array(n[met])], schema=COUNTS_ARROW)
+
+        for row in (r for b in batches for i in range(b.num_rows) for r in b.slice(i, 1).to_pylist()):
+            if row["base"] is not None:
+                if trie is not None:
+                    count()
+                    yield counts()
+                block, trie, n, size = row["block"], _trie(row), np.zeros(row["phrases"], np.int64), 0
+            elif row["block"] == block:                              # else a block without phrases
+                x = np.frombuffer(zlib.decompress(row["windows"]), "<i4").reshape(longest, -1).T
+                waiting.setdefault(row["lang"], []).append((_from_ipc(row["names"]), x, np.frombuffer(zlib.decompress(row["times"]), "<i4")))
+                size += len(x)
+                if size >= held:
+                    count()
+                    size = 0
+        if trie is not None:
+            count()
+            yield counts()
     return run
 
 
@@ -520,13 +641,13 @@ def _count(tries, longest: int, shard_bytes: int):
 def phrase_counts(texts: DataFrame, longest: int = LONGEST, least: int = LEAST, shard_bytes: int = SHARD_BYTES,
                   block_phrases: int = BLOCK_PHRASES, tries: int = TRIES, range_bytes: int = RANGE_BYTES) -> tuple[DataFrame, DataFrame]:
     """:func:`_phrase_counts` with small Arrow batches: texts are long, and a batch is held by both sides of a task."""
-    conf, name = texts.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = conf.get(name)
-    conf.set(name, str(BATCH_ROWS))
+    conf = texts.sparkSession.conf
+    before = conf.get(BATCH_CONF)
+    conf.set(BATCH_CONF, str(BATCH_ROWS))
     try:
         return _phrase_counts(texts, longest, least, shard_bytes, block_phrases, tries, range_bytes)
     finally:
-        conf.set(name, before)
+        conf.set(BATCH_CONF, before)
 
 
 def _phrase_counts(texts: DataFrame, longest: int, least: int, shard_bytes: int, block_phrases: int, tries: int,
@@ -538,41 +659,41 @@ def _phrase_counts(texts: DataFrame, longest: int, least: int, shard_bytes: int,
     spark = texts.sparkSession
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     part_bits = min(16, max(4, int(size // range_bytes).bit_length()))
-    width = min(SIEVE_BITS, max(part_bits + 3, int(size).bit_length()))
     sieves = Sieves()
     named = []
     for k in range(longest + 1):
         read = materialize(texts.mapInArrow(_pass(k, longest, sieves, part_bits, shard_bytes), PASS), f"phrases-pass-{k}")
-        if k:
-            found = read.where("phrase IS NOT NULL").select("lang", "k", "phrase").distinct()
+        if not k:
+            totals = materialize(read.where("n_words IS NOT NULL").groupBy("lang").agg(F.sum("n_words").alias("n")), "lang-words")
+        else:
+            found = read.where("phrase IS NOT NULL").select("lang", "k", "phrase", "deal").distinct()
             named.append(materialize(found, f"phrases-{k}"))
         if k < longest:
-            kept = read.where("part IS NOT NULL").select("part", "at", "n").groupBy("part").applyInPandas(
-                _keep(part_bits, least, width), "part int, bits binary")
+            kept = materialize(read.where("part IS NOT NULL").select("part", "at", "n").groupBy("part").applyInPandas(
+                _keep(least), "part int, kept binary, many long"), "kept-buckets")
+            many = kept.agg(F.sum("many")).first()[0] or 0
+            width = min(SIEVE_BITS, max(part_bits + 3, int(KEY_BITS * many).bit_length()))
             wide = 1 << (width - part_bits - 3)
             bits = np.zeros(1 << (width - 3), np.uint8)
-            for row in kept.collect():                               # 8 MB in all at most, whatever the input
+            for row in kept.select("part", "kept").mapInPandas(_bits(part_bits, width), "part int, bits binary").toLocalIterator():
                 bits[row.part * wide:(row.part + 1) * wide] = np.frombuffer(row.bits, np.uint8)
-            sieves.add(spark, bits, width)
+            sieves.add(spark, bits, width, part_bits)
+            discard(kept)
         discard(read)
     phrases = reduce(DataFrame.unionByName, named)
-    blocks = max(1, -(-phrases.count() // block_phrases))
+    blocks = max(1, -(-phrases.count() // block_phrases), min(SPREAD_BLOCKS, int(size // BLOCK_BYTES)))
     order = Window.partitionBy("block").orderBy("lang", "phrase")    # a block is bounded
-    dealt = materialize(phrases.withColumn("block", F.pmod(F.xxhash64("lang", "phrase"), F.lit(blocks)))
-                        .withColumn("no", (F.row_number().over(order) - 1).cast("long")), "phrase-blocks")
+    dealt = materialize(phrases.withColumn("block", F.pmod("deal", F.lit(blocks)))
+                        .withColumn("no", (F.row_number().over(order) - 1).cast("long")).drop("deal"), "phrase-blocks")
     built = materialize(dealt.groupBy("block").applyInArrow(_build, TRIE_SCHEMA), "tries")
-    counts = []
-    for first in range(0, blocks, tries):
-        some = built.where((F.col("block") >= first) & (F.col("block") < first + tries))
-        sent = spark.sparkContext.broadcast([r.asDict() for r in some.toLocalIterator()])       # at most ``tries`` bounded blocks
-        met = texts.mapInArrow(_count(sent, longest, shard_bytes), COUNTS)
-        counts.append(materialize(met.groupBy("block", "no", "lang").agg(F.sum("n").alias("a")).where(
-            (F.col("a") >= least) | (F.col("block") < 0)), "phrase-counts"))
-        sent.destroy()
-    totals = materialize(counts[0].where("block < 0").select("lang", F.col("a").alias("n")), "lang-words")
-    counted = reduce(DataFrame.unionByName, counts).where("block >= 0").drop("lang")
+    windows = texts.mapInArrow(_deal(sieves, blocks, longest, shard_bytes), DEALT)
+    met = built.unionByName(windows, allowMissingColumns=True).repartition(max(1, -(-blocks // tries)), "block") \
+        .sortWithinPartitions("block", F.col("base").isNull())
+    spark.conf.set(BATCH_CONF, str(WINDOW_ROWS))
+    counted = materialize(met.mapInArrow(_count(longest, least, HELD_WINDOWS), COUNTS), "phrase-counts")
+    spark.conf.set(BATCH_CONF, str(BATCH_ROWS))
     result = materialize(dealt.join(counted, ["block", "no"]).select("lang", "k", "phrase", "a"), "counted-phrases")
-    for x in (*named, dealt, built, *counts):
+    for x in (*named, dealt, built, counted):
         discard(x)
     for x in sieves:
         x.destroy()

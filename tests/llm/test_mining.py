@@ -203,6 +203,35 @@ def test_longer_phrases_and_empty_tables(spark):
     assert collocations.collocations(empty).count() == 0
 
 
+def test_texts_are_read_once_for_all_tries(spark, monkeypatch):
+    labels, write = [], collocations.materialize
+    monkeypatch.setattr(collocations, "materialize", lambda df, label: labels.append(label) or write(df, label))
+    df = spark.createDataFrame(CHAT, "text string, lang string").repartition(3)
+    got = collocations.collocations(df, least=3, top=40, block_phrases=8, tries=1)
+    assert sorted(map(tuple, got.collect())) == slow_collocations(CHAT, 3, 40)
+    assert labels.count("phrase-counts") == 1
+
+
+def test_sieves_name_few_phrases_below_the_least_count(spark, monkeypatch):
+    """Every word is frequent; as many pairs come once as twice."""
+    rng = np.random.default_rng(5)
+    words = [f"{i:x}" for i in range(200)]
+    some = rng.permutation(200 * 200)
+    pairs = lambda at: ".".join(f"{words[i // 200]} {words[i % 200]}" for i in at.tolist())
+    df = spark.createDataFrame([(pairs(some[:8000]), "en"), (pairs(some[:16000]), "en")], "text string, lang string")
+    named, write = {}, collocations.materialize
+
+    def written(df, label):
+        named[label] = write(df, label)
+        if label == "phrases-2":
+            named["found"] = named[label].count()
+        return named[label]
+    monkeypatch.setattr(collocations, "materialize", written)
+    counted, _ = collocations.phrase_counts(df, longest=2, least=2)
+    assert counted.where("k = 2").count() == 8000
+    assert named["found"] <= 8100
+
+
 def test_scores_are_exact_beyond_64_bits(spark):
     a, x, y = 3_000_000_019, 4_000_000_007, 5_000_000_029
     df = spark.createDataFrame([("en", 1, "p", x), ("en", 1, "q", y), ("en", 2, "p q", a)], "lang string, k int, phrase string, a long")
