@@ -271,6 +271,35 @@ def test_line_dedup_keeps_prefixes_no_longer_than_needed(spark, monkeypatch):
     assert {label for label, _ in left} >= {"lines", "sets"} and {label for label, columns in left if "keys" in columns} == {"sets"}
 
 
+def test_line_dedup_joins_few_false_pairs_of_long_lines(spark, monkeypatch):
+    """Two lines of 150 words share 75 rare ones, the others are common; one line comes again with ten other words."""
+    rng = random.Random(7)
+    new = lambda n: [f"w{rng.randrange(1 << 60):x}" for _ in range(n)]
+    rows, common = [], new(400)
+    for k in range(100):
+        words, other = ([*rng.sample(common, 75), *x] for x in [new(75)] * 2)
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    rows.append((500, " ".join(words[:140] + new(10))))
+    met, asked = [], line_dedup.candidates
+    monkeypatch.setattr(line_dedup, "candidates", lambda *a: met.append(asked(*a)) or met[0])
+    before = spark.conf.get(line_dedup.CLEANUP_CONF)
+    got = line_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r.doc_id for r in got if r.n_removed] == [500] and len(got) == 201
+    assert met[0].select("a", "b").distinct().count() <= 10
+    assert spark.conf.get(line_dedup.CLEANUP_CONF) == before
+
+
+def test_line_dedup_orders_rare_words_first(spark):
+    """40,000 words come once and 500 twenty times: nearly all of those are told apart by their class."""
+    rng = random.Random(8)
+    rare, often = ([f"w{rng.randrange(1 << 60):x}" for _ in range(n)] for n in (40_000, 500))
+    lines = [" ".join(rare[i::40] + often) for i in range(20)] + [" ".join(rare[i::40]) for i in range(20, 40)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "doc_id long, text string")
+    table = line_dedup.frequency_classes(docs, "text")
+    counted = [table[(xxhash.xxh64_intdigest(w, 42) >> 6) & (len(table) - 1)] for w in rare[:5000]]
+    assert sum(c == 5 for c in counted) >= 3500                  # alone in their buckets: 1 + 4 log2 2
+
+
 def test_line_dedup_kept_texts(spark):
     df = spark.createDataFrame([(1, "a b c\nd e f\n\na b c"), (2, "d e f\ng h i"), (3, None)], "doc_id long, text string")
     assert rows_of(line_dedup.kept_texts(df), "doc_id", "kept_text") == [(1, "a b c\nd e f\n"), (2, "g h i"), (3, "")]
